@@ -15,12 +15,10 @@ def _lit(x) -> Column:
 
 
 def uint(frame: Column, pos, length: int) -> Column:
-    """Unsigned integer of ``length`` bytes at ``pos``; null when the frame
-    does not hold all of them."""
-    p = _lit(pos)
-    value = F.conv(F.hex(F.substring(frame, p, F.lit(length))), 16, 10).cast("bigint")
-    enough = F.length(frame) >= p + (length - 1)
-    return F.when(p.isNotNull() & enough, value)
+    """Unsigned integer of ``length`` bytes at ``pos``. ``pos`` appears once
+    in the expression (no nested copies); callers guard truncation at the
+    layer level (a layer is present only if its sub-frame is long enough)."""
+    return F.conv(F.hex(F.substring(frame, _lit(pos), F.lit(length))), 16, 10).cast("bigint")
 
 
 def uint8(frame: Column, pos) -> Column:

@@ -1,9 +1,9 @@
 """Packet header fields as Column expressions over a framed record.
 
 Input rows carry ``frame BINARY``, ``linktype INT`` and ``ts TIMESTAMP``
-(see ``schema.FRAME_SCHEMA``). ``with_layers`` adds the layer offsets and
-presence flags once; every field is then a plain byte read relative to them,
-so the whole decode stays inside one whole-stage-codegen projection.
+(see ``schema.FRAME_SCHEMA``). ``with_layers`` adds the layer sub-frames and
+presence flags; every field is a byte read at a fixed offset of a sub-frame,
+so the whole decode runs inside one whole-stage-codegen stage.
 
 Layer presence follows the dissector the features were designed with: the IP
 block needs IPv4, the TCP block needs a TCP header (IPv4 first fragment or
@@ -42,101 +42,87 @@ ETH_IPV4 = 0x0800
 ETH_IPV6 = 0x86DD
 ETH_VLAN = (0x8100, 0x88A8)
 IPV6_EXT_HEADERS = (0, 43, 60)  # hop-by-hop, routing, destination options
+RAW_LINKTYPES = (LINKTYPE_NULL, LINKTYPE_RAW, LINKTYPE_IPV4, LINKTYPE_IPV6)
+_REST = 1 << 30  # "to the end of the frame" for binary substring
 
-_L = "_tl_"  # prefix of helper columns
 
+def _rest(b: Column, pos) -> Column:
+    return F.substring(b, pos if isinstance(pos, Column) else F.lit(pos), F.lit(_REST))
 
-def _c(name: str) -> Column:
-    return F.col(_L + name)
 
-
-def with_layers(df: DataFrame, frame: str = "frame", linktype: str = "linktype") -> DataFrame:
-    """Add helper columns ``_tl_*``: layer-3/4 offsets, IP version flags,
-    protocol, payload position and length."""
-    fr = F.col(frame)
-    lt = F.col(linktype)
-
-    t0 = uint16(fr, 13)
-    vlan1 = t0.isin(*ETH_VLAN)
-    t1 = uint16(fr, 17)
-    vlan2 = vlan1 & t1.isin(*ETH_VLAN)
-    eth_type_ethernet = F.when(vlan2, uint16(fr, 21)).when(vlan1, t1).otherwise(t0)
-    l3_ethernet = F.when(vlan2, F.lit(23)).when(vlan1, F.lit(19)).otherwise(F.lit(15))
-
-    l3 = (F.when(lt == LINKTYPE_ETHERNET, l3_ethernet)
-          .when(lt.isin(LINKTYPE_RAW, LINKTYPE_IPV4, LINKTYPE_IPV6), F.lit(1))
-          .when(lt == LINKTYPE_LINUX_SLL, F.lit(17))
-          .when(lt == LINKTYPE_LINUX_SLL2, F.lit(21))
-          .when(lt == LINKTYPE_NULL, F.lit(5)))
-    df = df.withColumn(_L + "l3", l3)
-    version = F.shiftright(uint8(fr, _c("l3")), 4)
-    by_version = F.when(version == 4, F.lit(ETH_IPV4)).when(version == 6, F.lit(ETH_IPV6))
-    eth_type = (F.when(lt == LINKTYPE_ETHERNET, eth_type_ethernet)
-                .when(lt == LINKTYPE_LINUX_SLL, uint16(fr, 15))
-                .when(lt == LINKTYPE_LINUX_SLL2, uint16(fr, 1))
-                .otherwise(by_version))
-    df = df.withColumn(_L + "eth", eth_type).withColumn(_L + "ver", version)
-
-    l3c = _c("l3")
-    ihl = uint8(fr, l3c).bitwiseAND(15)
-    v4 = F.coalesce((_c("eth") == ETH_IPV4) & (_c("ver") == 4) & (ihl >= 5)
-                    & (F.length(fr) >= l3c + 19), F.lit(False))
-    v6 = F.coalesce((_c("eth") == ETH_IPV6) & (_c("ver") == 6)
-                    & (F.length(fr) >= l3c + 39), F.lit(False))
-    df = df.withColumn(_L + "v4", v4).withColumn(_L + "v6", v6).withColumn(_L + "ihl", F.when(v4, ihl))
-
-    nh = uint8(fr, l3c + 6)
-    ext = v6 & nh.isin(*IPV6_EXT_HEADERS)
-    proto = (F.when(_c("v4"), uint8(fr, l3c + 9))
-             .when(ext, uint8(fr, l3c + 40))
-             .when(_c("v6"), nh))
-    l4 = (F.when(_c("v4"), l3c + _c("ihl") * 4)
-          .when(ext, l3c + 40 + (uint8(fr, l3c + 41) + 1) * 8)
-          .when(_c("v6"), l3c + 40))
-    frag = F.when(_c("v4"), uint16(fr, l3c + 6).bitwiseAND(0x1FFF)).when(_c("v6"), F.lit(0))
-    # Length of the IP packet counted from the start of layer 3; a zero length
-    # field (segmentation offload) falls back to the captured bytes.
-    cap_len = F.length(fr) - l3c + 1
-    v4_len = uint16(fr, l3c + 2)
-    v6_len = uint16(fr, l3c + 4) + 40
-    ip_len = (F.when(_c("v4"), F.when(v4_len > 0, v4_len).otherwise(cap_len))
-              .when(_c("v6"), F.when(v6_len > 40, v6_len).otherwise(cap_len)))
-    df = (df.withColumn(_L + "proto", proto).withColumn(_L + "l4", l4)
-            .withColumn(_L + "frag", frag).withColumn(_L + "iplen", ip_len))
-
-    l4c = _c("l4")
-    first = _c("frag") == 0
-    tcp = F.coalesce(first & (_c("proto") == 6) & (F.length(fr) >= l4c + 13), F.lit(False))
-    udp = F.coalesce(first & (_c("proto") == 17) & (F.length(fr) >= l4c + 7), F.lit(False))
-    df = df.withColumn(_L + "tcp", tcp).withColumn(_L + "udp", udp)
-    dataofs = F.when(_c("tcp"), F.shiftright(uint8(fr, l4c + 12), 4))
-    l4_hdr = F.when(_c("tcp"), dataofs * 4).when(_c("udp"), F.lit(8))
-    header_to_l4 = l4c - l3c
-    pay_len = (F.when(_c("tcp") | _c("udp"), _c("iplen") - header_to_l4 - l4_hdr)
-               # later fragments carry no transport header: all of it is payload
-               .when(_c("v4") & (_c("frag") > 0), _c("iplen") - header_to_l4))
-    pay_pos = F.when(_c("tcp") | _c("udp"), l4c + l4_hdr).when(_c("v4") & (_c("frag") > 0), l4c)
-    return (df.withColumn(_L + "dataofs", dataofs)
-              .withColumn(_L + "paylen", pay_len)
-              .withColumn(_L + "paypos", pay_pos))
+_H = "_tl_"  # prefix of the helper columns added by ``with_layers``
 
 
-def drop_layers(df: DataFrame) -> DataFrame:
-    return df.drop(*[c for c in df.columns if c.startswith(_L)])
+def _h(name: str) -> Column:
+    return F.col(_H + name)
 
 
-def _octet(i: int, base: int, frame: Column) -> Column:
-    return F.when(_c("v4"), uint8(frame, _c("l3") + base + i))
+def with_layers(df: DataFrame, frame: str = "frame", linktype: str = "linktype") -> DataFrame:
+    """Add the layer helper columns ``_tl_*`` in a few small projections.
+
+    Every later layer is a *sub-frame* (``_tl_ip`` starts at the IP header,
+    ``_tl_l4`` at the transport header), so each field is a read at a fixed
+    offset of one sub-frame. Each stage is its own projection: Catalyst
+    keeps them apart (their outputs are expensive and used many times), so
+    the plan stays small and every expression is computed once per row."""
+    fr, lt = F.col(frame), F.col(linktype)
+    t0 = uint16(fr, 13)
+    nvlan = F.when(t0.isin(*ETH_VLAN),
+                   F.when(uint16(fr, 17).isin(*ETH_VLAN), F.lit(2)).otherwise(F.lit(1))).otherwise(F.lit(0))
+    ethernet = lt == LINKTYPE_ETHERNET
+    df = df.withColumn(_H + "nvlan", F.when(ethernet, nvlan))
+    l3pos = (F.when(ethernet, _h("nvlan") * 4 + 15)
+             .when(lt == LINKTYPE_NULL, F.lit(5))
+             .when(lt.isin(*RAW_LINKTYPES), F.lit(1))
+             .when(lt == LINKTYPE_LINUX_SLL, F.lit(17))
+             .when(lt == LINKTYPE_LINUX_SLL2, F.lit(21)))
+    ethertype = (F.when(ethernet, uint16(fr, _h("nvlan") * 4 + 13))
+                 .when(lt == LINKTYPE_LINUX_SLL, uint16(fr, 15))
+                 .when(lt == LINKTYPE_LINUX_SLL2, uint16(fr, 1)))
+    df = df.withColumn(_H + "ip", _rest(fr, l3pos)).withColumn(_H + "eth", ethertype)
+
+    ip = _h("ip")
+    raw = lt.isin(*RAW_LINKTYPES)
+    df = df.withColumn(_H + "b0", uint8(ip, 1))
+    version = F.shiftright(_h("b0"), 4)
+    ihl = _h("b0").bitwiseAND(15)
+    v4 = F.coalesce((raw | (_h("eth") == ETH_IPV4)) & (version == 4) & (ihl >= 5)
+                    & (F.length(ip) >= 20), F.lit(False))
+    v6 = F.coalesce((raw | (_h("eth") == ETH_IPV6)) & (version == 6) & (F.length(ip) >= 40), F.lit(False))
+    df = df.withColumn(_H + "v4", v4).withColumn(_H + "v6", v6) \
+           .withColumn(_H + "ver", version).withColumn(_H + "ihl", ihl) \
+           .withColumn(_H + "nh", uint8(ip, 7)).withColumn(_H + "frag", uint16(ip, 7).bitwiseAND(0x1FFF))
+
+    ext = _h("nh").isin(*IPV6_EXT_HEADERS)
+    proto = (F.when(_h("v4"), uint8(ip, 10))
+             .when(_h("v6"), F.when(ext, uint8(ip, 41)).otherwise(_h("nh"))))
+    # 1-based start of the transport header inside the IP sub-frame
+    l4start = (F.when(_h("v4"), _h("ihl") * 4 + 1)
+               .when(_h("v6"), F.when(ext, (uint8(ip, 42) + 1) * 8 + 41).otherwise(F.lit(41))))
+    total4, plen6 = uint16(ip, 3), uint16(ip, 5)
+    # IP length from layer 3 on; a zero length field (segmentation offload)
+    # falls back to the captured bytes.
+    iplen = (F.when(_h("v4"), F.when(total4 > 0, total4).otherwise(F.length(ip)))
+             .when(_h("v6"), F.when(plen6 > 0, plen6 + 40).otherwise(F.length(ip))))
+    df = df.withColumn(_H + "proto", proto).withColumn(_H + "l4start", l4start).withColumn(_H + "iplen", iplen)
+
+    df = df.withColumn(_H + "l4", _rest(ip, _h("l4start")))
+    l4 = _h("l4")
+    first = F.when(_h("v4"), _h("frag") == 0).when(_h("v6"), F.lit(True))
+    df = df.withColumn(_H + "tcp", F.coalesce(first & (_h("proto") == 6) & (F.length(l4) >= 20), F.lit(False))) \
+           .withColumn(_H + "udp", F.coalesce(first & (_h("proto") == 17) & (F.length(l4) >= 8), F.lit(False))) \
+           .withColumn(_H + "later", _h("v4") & (_h("frag") > 0))
+    dataofs = F.shiftright(uint8(l4, 13), 4)
+    l4hdr = F.when(_h("tcp"), dataofs * 4).when(_h("udp"), F.lit(8)).otherwise(F.lit(0))
+    df = df.withColumn(_H + "l4hdr", l4hdr)
+    # payload bytes after the transport header (all of a later fragment)
+    paylen = F.when(_h("tcp") | _h("udp") | _h("later"),
+                    _h("iplen") - _h("l4start") + 1 - _h("l4hdr"))
+    return df.withColumn(_H + "paylen", paylen)
 
 
-def ip_octet_columns(frame: str = "frame") -> dict[str, Column]:
-    fr = F.col(frame)
-    out = {}
-    for i in range(4):
-        out[f"Source_IP{i + 1}"] = _octet(i, 12, fr)
-    for i in range(4):
-        out[f"Destination_IP{i + 1}"] = _octet(i, 16, fr)
-    return out
+def drop_layers(df: DataFrame) -> DataFrame:
+    return df.drop(*[c for c in df.columns if c.startswith(_H)])
 
 
 def dotted_length(o1: Column, o2: Column, o3: Column, o4: Column) -> Column:
@@ -160,21 +146,24 @@ def ip_text_octets(text: Column) -> list[Column]:
     return [F.when(ok, o) for o in octs]
 
 
-def packet_feature_columns(frame: str = "frame", ts: str = "ts") -> dict[str, Column]:
-    """The 19 feature columns (CLASS excluded) over a frame with layers."""
-    fr = F.col(frame)
+def packet_feature_columns(ts: str = "ts") -> dict[str, Column]:
+    """The 19 feature columns (CLASS excluded), over ``with_layers`` output."""
     t = F.col(ts)
-    octs = ip_octet_columns(frame)
+    ip, l4, v4, tcp = _h("ip"), _h("l4"), _h("v4"), _h("tcp")
     cols: dict[str, Column] = {}
-    src = [octs[f"Source_IP{i}"] for i in range(1, 5)]
-    dst = [octs[f"Destination_IP{i}"] for i in range(1, 5)]
-    cols["LEN_SRC_IP"] = F.when(_c("v4"), dotted_length(*src))
-    cols["LEN_DEST_IP"] = F.when(_c("v4"), dotted_length(*dst))
-    cols.update(octs)
-    cols["TCP_SPORT"] = F.when(_c("tcp"), uint16(fr, _c("l4")))
-    cols["TCP_DPORT"] = F.when(_c("tcp"), uint16(fr, _c("l4") + 2))
-    cols["LEN_RAW"] = F.when(_c("paylen") > 0, (_c("paylen") * 2).cast("int"))
-    ip_tcp = _c("v4") & _c("tcp")
+    src = [uint8(ip, 13 + i) for i in range(4)]
+    dst = [uint8(ip, 17 + i) for i in range(4)]
+    cols["LEN_SRC_IP"] = F.when(v4, dotted_length(*src))
+    cols["LEN_DEST_IP"] = F.when(v4, dotted_length(*dst))
+    for i in range(4):
+        cols[f"Source_IP{i + 1}"] = F.when(v4, src[i])
+    for i in range(4):
+        cols[f"Destination_IP{i + 1}"] = F.when(v4, dst[i])
+    cols["TCP_SPORT"] = F.when(tcp, uint16(l4, 1))
+    cols["TCP_DPORT"] = F.when(tcp, uint16(l4, 3))
+    # hex length of the payload = 2 x bytes; null when there is none
+    cols["LEN_RAW"] = F.when(_h("paylen") > 0, _h("paylen") * 2)
+    ip_tcp = v4 & tcp
     cols["Send_Year"] = F.when(ip_tcp, F.year(t))
     cols["Send_Month"] = F.when(ip_tcp, F.month(t))
     cols["Send_Day"] = F.when(ip_tcp, F.dayofmonth(t))
@@ -185,36 +174,35 @@ def packet_feature_columns(frame: str = "frame", ts: str = "ts") -> dict[str, Co
 
 
 def extended_columns(frame: str = "frame", ts: str = "ts", linktype: str = "linktype") -> dict[str, Column]:
-    fr = F.col(frame)
-    l3, l4 = _c("l3"), _c("l4")
-    v4, tcp = _c("v4"), _c("tcp")
+    fr, ip, l4 = F.col(frame), _h("ip"), _h("l4")
+    v4, tcp = _h("v4"), _h("tcp")
     eth = F.col(linktype) == LINKTYPE_ETHERNET
     cols: dict[str, Column] = {}
-    cols["VERSION"] = F.when(v4, _c("ver"))
-    cols["IHL"] = _c("ihl")
+    cols["VERSION"] = F.when(v4, _h("ver"))
+    cols["IHL"] = F.when(v4, _h("ihl"))
     for i in range(6):
         cols[f"DST_{i + 1}"] = F.when(eth, uint8(fr, 1 + i))
     for i in range(6):
         cols[f"SRC_{i + 1}"] = F.when(eth, uint8(fr, 7 + i))
     cols["TYPE"] = F.when(eth, uint16(fr, 13))
-    cols["LEN"] = F.when(v4, uint16(fr, l3 + 2))
-    cols["ID"] = F.when(v4, uint16(fr, l3 + 4))
-    cols["IP_FLAGS"] = F.when(v4, F.shiftright(uint16(fr, l3 + 6), 13))
-    cols["FRAG"] = F.when(v4, _c("frag"))
-    cols["TTL"] = F.when(v4, uint8(fr, l3 + 8))
-    cols["PROTO"] = F.when(v4, uint8(fr, l3 + 9))
-    cols["CHKSUM"] = F.when(v4, uint16(fr, l3 + 10))
-    cols["DATAOFS"] = _c("dataofs")
-    cols["RESERVED"] = F.when(tcp, F.shiftright(uint8(fr, l4 + 12), 1).bitwiseAND(7))
-    cols["TCP_FLAGS"] = F.when(tcp, uint16(fr, l4 + 12).bitwiseAND(511))
-    cols["WINDOW"] = F.when(tcp, uint16(fr, l4 + 14))
-    cols["CHKSUM_"] = F.when(tcp, uint16(fr, l4 + 16))
-    cols["URGPTR"] = F.when(tcp, uint16(fr, l4 + 18))
+    cols["LEN"] = F.when(v4, uint16(ip, 3))
+    cols["ID"] = F.when(v4, uint16(ip, 5))
+    cols["IP_FLAGS"] = F.when(v4, F.shiftright(uint16(ip, 7), 13))
+    cols["FRAG"] = F.when(v4, _h("frag"))
+    cols["TTL"] = F.when(v4, uint8(ip, 9))
+    cols["PROTO"] = F.when(v4, uint8(ip, 10))
+    cols["CHKSUM"] = F.when(v4, uint16(ip, 11))
+    cols["DATAOFS"] = F.when(tcp, F.shiftright(uint8(l4, 13), 4))
+    cols["RESERVED"] = F.when(tcp, F.shiftright(uint8(l4, 13), 1).bitwiseAND(7))
+    cols["TCP_FLAGS"] = F.when(tcp, uint16(l4, 13).bitwiseAND(511))
+    cols["WINDOW"] = F.when(tcp, uint16(l4, 15))
+    cols["CHKSUM_"] = F.when(tcp, uint16(l4, 17))
+    cols["URGPTR"] = F.when(tcp, uint16(l4, 19))
     out = {k: v.cast("int") for k, v in cols.items()}
     assert list(out) == EXTENDED_INT_COLUMNS
-    out["SEQ"] = F.when(tcp, uint32(fr, l4 + 4))
-    out["ACK"] = F.when(tcp, uint32(fr, l4 + 8))
-    out["MESSAGE_RAW"] = F.when(_c("paylen") > 0, F.substring(fr, _c("paypos"), _c("paylen")))
+    out["SEQ"] = F.when(tcp, uint32(l4, 5))
+    out["ACK"] = F.when(tcp, uint32(l4, 9))
+    out["MESSAGE_RAW"] = F.when(_h("paylen") > 0, F.substring(l4, _h("l4hdr") + 1, _h("paylen")))
     out["TIME_TCP"] = F.when(v4 & tcp, F.date_trunc("second", F.col(ts)))
     name = None
     for code, text in LINKTYPE_NAMES.items():
@@ -233,32 +221,38 @@ def tcp_flag_letters(flags: Column) -> Column:
     return F.when(flags.isNotNull(), F.concat(*parts))
 
 
+def sealed(df: DataFrame, keep: list[str], columns: dict[str, Column]) -> DataFrame:
+    """Select ``keep`` plus ``columns`` through a one-element generator.
+
+    Predicates on the decoded columns then stay above the decoder (they are
+    evaluated on its output, once per row) instead of being pushed below it
+    with the whole decode inlined into the filter; predicates on ``keep``
+    columns still reach the scan."""
+    return df.select(*keep, F.inline(F.array(F.struct(*[v.alias(k) for k, v in columns.items()]))))
+
+
 def packet_features(df: DataFrame, class_col: str = "CLASS", frame: str = "frame",
                     ts: str = "ts", linktype: str = "linktype", keep: list[str] | None = None) -> DataFrame:
     """Framed records (with a CLASS column) → the 20-column packet table,
     in canonical column order; ``keep`` carries extra columns through."""
-    layered = with_layers(df, frame, linktype)
-    feats = packet_feature_columns(frame, ts)
-    sel = [F.col(class_col).cast("int").alias("CLASS")] + [feats[c].alias(c) for c in PACKET_COLUMNS[1:]]
-    return layered.select(*(keep or []), *sel)
+    feats = packet_feature_columns(ts)
+    cols = {"CLASS": F.col(class_col).cast("int")}
+    cols.update((c, feats[c]) for c in PACKET_COLUMNS[1:])
+    return sealed(with_layers(df, frame, linktype), list(keep or []), cols)
 
 
 def extended_features(df: DataFrame, class_col: str = "CLASS", frame: str = "frame",
                       ts: str = "ts", linktype: str = "linktype", keep: list[str] | None = None) -> DataFrame:
-    layered = with_layers(df, frame, linktype)
-    feats = packet_feature_columns(frame, ts)
-    ext = extended_columns(frame, ts, linktype)
-    sel = ([F.col(class_col).cast("int").alias("CLASS")]
-           + [feats[c].alias(c) for c in PACKET_COLUMNS[1:]]
-           + [v.alias(k) for k, v in ext.items()])
-    return layered.select(*(keep or []), *sel)
+    feats = packet_feature_columns(ts)
+    cols = {"CLASS": F.col(class_col).cast("int")}
+    cols.update((c, feats[c]) for c in PACKET_COLUMNS[1:])
+    cols.update(extended_columns(frame, ts, linktype))
+    return sealed(with_layers(df, frame, linktype), list(keep or []), cols)
 
 
 def layer_flags(df: DataFrame, frame: str = "frame", linktype: str = "linktype",
                 keep: list[str] | None = None) -> DataFrame:
     """Layer predicates: has_ip (IPv4), has_tcp, has_raw (a payload)."""
-    layered = with_layers(df, frame, linktype)
-    return layered.select(*(keep or []),
-                          _c("v4").alias("has_ip"),
-                          _c("tcp").alias("has_tcp"),
-                          F.coalesce(_c("paylen") > 0, F.lit(False)).alias("has_raw"))
+    return sealed(with_layers(df, frame, linktype), list(keep or []),
+                  {"has_ip": _h("v4"), "has_tcp": _h("tcp"),
+                   "has_raw": F.coalesce(_h("paylen") > 0, F.lit(False))})

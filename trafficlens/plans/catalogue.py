@@ -104,3 +104,172 @@ def q_ip_text_parse(spark, sf_dir):
             .otherwise(good))
     octs = fields.ip_text_octets(text)
     return ev.select(e, text.alias("ip_text"), *[o.alias(f"IP{i + 1}") for i, o in enumerate(octs)])
+
+
+# ---- S3 / P / U / S4: labels, subsets, unions, prefix samples -----------------
+
+from ..operators import evaluate as EV  # noqa: E402
+from ..operators import prepare as PR  # noqa: E402
+from ..operators import profile as PF  # noqa: E402
+from ..operators import sample as SA  # noqa: E402
+from ..operators.labels import class_dimension  # noqa: E402
+from ..schema import FEATURE_COLUMNS  # noqa: E402
+
+SUBSET_CLASSES = ["click", "purchase", "view"]
+
+
+def round6(df: DataFrame, cols: list[str]) -> DataFrame:
+    for c in cols:
+        df = df.withColumn(c, F.round(F.col(c).cast("double"), 6))
+    return df
+
+
+def packets_with_positions(spark, sf_dir) -> DataFrame:
+    frames = P.packets(events(spark, sf_dir))
+    return SA.with_capture_positions(frames, "path", ["ts", "event_id"])
+
+
+@register("class_index")
+def q_class_index(spark, sf_dir):
+    return class_dimension(events(spark, sf_dir), "event_type")
+
+
+@register("label_double")
+def q_label_double(spark, sf_dir):
+    return PR.label_as_double(packet_table(spark, sf_dir)).select("event_id", "CLASS")
+
+
+@register("class_union")
+def q_class_union(spark, sf_dir):
+    """Positional UNION ALL of per-class slices (one pushed-down filter per
+    branch), as the jobs union one folder per class."""
+    frames = P.packets(events(spark, sf_dir))
+    names = ["click", "error", "purchase", "signup", "view"]
+    parts = [fields.packet_features(frames.where(F.col("class_name") == n), keep=["event_id"]) for n in names]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.union(p)
+    return out
+
+
+@register("class_subset")
+def q_class_subset(spark, sf_dir):
+    frames = PR.class_subset(P.packets(events(spark, sf_dir)), SUBSET_CLASSES)
+    return fields.packet_features(frames, keep=["event_id", "class_name"])
+
+
+def _prefix(pct):
+    def q(spark, sf_dir):
+        pos = packets_with_positions(spark, sf_dir)
+        return SA.prefix_sample(pos, pct).select("event_id", "path", "ordinal", "n_in_capture", "CLASS")
+    return q
+
+
+for _pct in (20, 40, 60, 80):
+    register(f"prefix_sample_{_pct}")(_prefix(_pct))
+
+
+@register("prefix_sample_20_compat")
+def q_prefix_sample_20_compat(spark, sf_dir):
+    pos = packets_with_positions(spark, sf_dir)
+    return SA.prefix_sample(pos, 20, compat=True).select("event_id", "path", "ordinal", "n_in_capture", "CLASS")
+
+
+@register("packets_per_capture")
+def q_packets_per_capture(spark, sf_dir):
+    return SA.packets_per_capture(P.packets(events(spark, sf_dir)), "path")
+
+
+# ---- A1-A6: profile, box statistics, nulls, min-max ----------------------------
+
+@register("dataset_profile")
+def q_dataset_profile(spark, sf_dir):
+    return PF.profile(PR.canonical(packet_table(spark, sf_dir)), "CLASS")
+
+
+@register("distinct_classes")
+def q_distinct_classes(spark, sf_dir):
+    return PF.distinct_values(packet_table(spark, sf_dir), "CLASS")
+
+
+@register("box_statistics")
+def q_box_statistics(spark, sf_dir):
+    st = PF.box_statistics(packet_table(spark, sf_dir), FEATURE_COLUMNS)
+    return round6(st, ["min", "q1", "median", "q3", "max", "iqr", "whisker_lo", "whisker_hi"])
+
+
+@register("box_fliers")
+def q_box_fliers(spark, sf_dir):
+    return PF.box_fliers(packet_table(spark, sf_dir), FEATURE_COLUMNS)
+
+
+@register("null_policy_skip")
+def q_null_policy_skip(spark, sf_dir):
+    return PR.apply_null_policy(packet_table(spark, sf_dir), "skip")
+
+
+@register("null_policy_zero")
+def q_null_policy_zero(spark, sf_dir):
+    return PR.apply_null_policy(packet_table(spark, sf_dir), "zero")
+
+
+@register("null_policy_counts")
+def q_null_policy_counts(spark, sf_dir):
+    return PR.null_counts(packet_table(spark, sf_dir))
+
+
+@register("minmax_summary")
+def q_minmax_summary(spark, sf_dir):
+    return PR.minmax_summary(packet_table(spark, sf_dir))
+
+
+@register("minmax_scaled")
+def q_minmax_scaled(spark, sf_dir):
+    df = packet_table(spark, sf_dir)
+    return round6(PR.minmax_scale(df).select("event_id", *FEATURE_COLUMNS), FEATURE_COLUMNS)
+
+
+# ---- X3: key-hash split --------------------------------------------------------
+
+@register("hash_split")
+def q_hash_split(spark, sf_dir):
+    pos = packets_with_positions(spark, sf_dir)
+    key = PR.split_key("path", "ordinal")
+    return pos.select("event_id", "path", "ordinal",
+                      PR.split_bucket(key, 42).alias("bucket"),
+                      (PR.split_bucket(key, 42) < 80).alias("is_train"))
+
+
+@register("hash_split_counts")
+def q_hash_split_counts(spark, sf_dir):
+    pos = packets_with_positions(spark, sf_dir)
+    flagged = PR.with_split_flag(pos, ["path", "ordinal"], 80, 42)
+    return flagged.groupBy("is_train").agg(F.count(F.lit(1)).alias("rows"))
+
+
+# ---- A7-A11: evaluation over the predictions projection -------------------------
+
+def _confusion(spark, sf_dir):
+    return EV.confusion_long(P.predictions(events(spark, sf_dir)))
+
+
+@register("confusion_long")
+def q_confusion_long(spark, sf_dir):
+    return _confusion(spark, sf_dir)
+
+
+@register("confusion_grid")
+def q_confusion_grid(spark, sf_dir):
+    conf = _confusion(spark, sf_dir)
+    return EV.confusion_grid(conf, EV.grid_classes(conf))
+
+
+@register("class_scores")
+def q_class_scores(spark, sf_dir):
+    return round6(EV.class_scores(_confusion(spark, sf_dir)), ["precision", "recall", "f1"])
+
+
+@register("weighted_scores")
+def q_weighted_scores(spark, sf_dir):
+    return round6(EV.weighted_scores(_confusion(spark, sf_dir)),
+                  ["accuracy", "weighted_precision", "weighted_recall", "f1"])

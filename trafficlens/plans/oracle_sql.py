@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from .oracle import CTE_RULE, FEATURE_LIST, PACKET_COLS, with_pk
+from .oracle import CTE_EV, CTE_PK, CTE_RULE, FEATURE_LIST, PACKET_COLS, with_pk
 
 SQL: dict[str, str] = {}
 
@@ -76,3 +76,124 @@ SELECT event_id, ip_text,
   (CASE WHEN NOT bad THEN s1 END)::INTEGER AS IP1, (CASE WHEN NOT bad THEN s2 END)::INTEGER AS IP2,
   (CASE WHEN NOT bad THEN s3 END)::INTEGER AS IP3, (CASE WHEN NOT bad THEN s4 END)::INTEGER AS IP4
 FROM t"""
+
+
+# ---- labels, subsets, unions, prefix samples ---------------------------------
+
+SQL["class_index"] = "WITH " + CTE_PK + "\nSELECT DISTINCT class_name, CLASS FROM pk"
+SQL["label_double"] = _pk_select("CLASS::DOUBLE AS CLASS")
+SQL["class_union"] = _pk_select(PACKET_COLS)
+SQL["class_subset"] = with_pk(f"SELECT event_id, class_name, {PACKET_COLS} FROM pk "
+                              "WHERE class_name IN ('click', 'purchase', 'view')")
+
+_POS = """,
+pos AS (
+  SELECT *, (row_number() OVER (PARTITION BY path ORDER BY ts, event_id) - 1)::BIGINT AS ordinal,
+         count(*) OVER (PARTITION BY path) AS n_in_capture
+  FROM pk
+)"""
+
+
+def _with_pos(body: str) -> str:
+    return "WITH " + CTE_PK + _POS + "\n" + body
+
+
+for _pct in (20, 40, 60, 80):
+    SQL[f"prefix_sample_{_pct}"] = _with_pos(
+        f"SELECT event_id, path, ordinal, n_in_capture, CLASS FROM pos WHERE ordinal < (n_in_capture * {_pct}) // 100")
+SQL["prefix_sample_20_compat"] = _with_pos(
+    "SELECT event_id, path, ordinal, n_in_capture, CLASS FROM pos WHERE ordinal <= (n_in_capture * 20) // 100")
+SQL["packets_per_capture"] = with_pk("SELECT path, count(*) AS packets FROM pk GROUP BY path")
+
+# ---- profile, box statistics, nulls, min-max -----------------------------------
+
+SQL["dataset_profile"] = with_pk("SELECT count(*) AS rows, 20 AS columns, count(DISTINCT CLASS) AS classes FROM pk")
+SQL["distinct_classes"] = with_pk("SELECT DISTINCT CLASS FROM pk")
+
+_LONG = ",\nlong AS (\n" + "\n  UNION ALL ".join(
+    f"SELECT event_id, '{c}' AS feature, {c}::DOUBLE AS value FROM pk WHERE {c} IS NOT NULL"
+    for c in FEATURE_LIST) + "\n)"
+_Q = """,
+q AS (
+  SELECT feature, count(*) AS n, min(value) AS mn, max(value) AS mx,
+         quantile_cont(value, 0.25) AS q1, quantile_cont(value, 0.5) AS median,
+         quantile_cont(value, 0.75) AS q3
+  FROM long GROUP BY feature
+),
+f AS (SELECT *, q3 - q1 AS iqr, q1 - 1.5 * (q3 - q1) AS lo_fence, q3 + 1.5 * (q3 - q1) AS hi_fence FROM q)"""
+SQL["box_statistics"] = "WITH " + CTE_PK + _LONG + _Q + """
+SELECT f.feature, n, round(mn, 6) AS min, round(q1, 6) AS q1, round(median, 6) AS median, round(q3, 6) AS q3,
+       round(mx, 6) AS max, round(iqr, 6) AS iqr,
+       round(min(CASE WHEN l.value >= lo_fence THEN l.value END), 6) AS whisker_lo,
+       round(max(CASE WHEN l.value <= hi_fence THEN l.value END), 6) AS whisker_hi,
+       count(*) FILTER (WHERE l.value < lo_fence OR l.value > hi_fence) AS fliers
+FROM f JOIN long l USING (feature)
+GROUP BY f.feature, n, mn, q1, median, q3, mx, iqr"""
+SQL["box_fliers"] = "WITH " + CTE_PK + _LONG + _Q + """
+SELECT l.feature, l.value, count(*) AS n
+FROM long l JOIN f USING (feature)
+WHERE l.value < lo_fence OR l.value > hi_fence
+GROUP BY l.feature, l.value"""
+
+SQL["null_policy_skip"] = with_pk(f"SELECT event_id, {PACKET_COLS} FROM pk WHERE " +
+                                  " AND ".join(f"{c} IS NOT NULL" for c in FEATURE_LIST))
+SQL["null_policy_zero"] = with_pk("SELECT event_id, CLASS, " +
+                                  ", ".join(f"coalesce({c}, 0)::INTEGER AS {c}" for c in FEATURE_LIST) + " FROM pk")
+SQL["null_policy_counts"] = with_pk("\n  UNION ALL ".join(
+    f"SELECT '{c}' AS feature, count(*) FILTER (WHERE {c} IS NULL) AS nulls, count(*) AS rows FROM pk"
+    for c in FEATURE_LIST))
+SQL["minmax_summary"] = with_pk("\n  UNION ALL ".join(
+    f"SELECT '{c}' AS feature, min({c})::DOUBLE AS min, max({c})::DOUBLE AS max FROM pk" for c in FEATURE_LIST))
+SQL["minmax_scaled"] = "WITH " + CTE_PK + ",\nmm AS (SELECT " + ", ".join(
+    f"min({c})::DOUBLE AS mn_{c}, max({c})::DOUBLE AS mx_{c}" for c in FEATURE_LIST) + " FROM pk)\nSELECT event_id, " + \
+    ", ".join(f"round(CASE WHEN mx_{c} = mn_{c} THEN (CASE WHEN {c} IS NOT NULL THEN 0.5 END) "
+              f"ELSE ({c} - mn_{c}) / (mx_{c} - mn_{c}) END, 6) AS {c}" for c in FEATURE_LIST) + \
+    " FROM pk, mm"
+
+# ---- key-hash split -------------------------------------------------------------
+
+_BUCKET = "((('0x' || substr(md5('42:' || path || ':' || ordinal::VARCHAR), 1, 8))::BIGINT) % 100)::INTEGER"
+SQL["hash_split"] = _with_pos(f"SELECT event_id, path, ordinal, {_BUCKET} AS bucket, {_BUCKET} < 80 AS is_train FROM pos")
+SQL["hash_split_counts"] = _with_pos(f"SELECT {_BUCKET} < 80 AS is_train, count(*) AS rows FROM pos GROUP BY 1")
+
+# ---- evaluation over the predictions projection ---------------------------------
+
+CTE_PRED = CTE_EV + """,
+pred AS (
+  SELECT event_id, CLASS::DOUBLE AS label,
+    (CASE WHEN floor(value)::BIGINT % 10 < 6 THEN CLASS
+          WHEN floor(value)::BIGINT % 10 < 8 THEN (CLASS + 1) % 5
+          WHEN floor(value)::BIGINT % 10 < 9 THEN 0 ELSE 9 END)::DOUBLE AS prediction
+  FROM ev
+),
+conf AS (SELECT label, prediction, count(*) AS n FROM pred GROUP BY label, prediction),
+cls AS (
+  SELECT c AS class,
+    coalesce((SELECT sum(n) FROM conf WHERE label = c), 0)::BIGINT AS support,
+    coalesce((SELECT sum(n) FROM conf WHERE prediction = c), 0)::BIGINT AS predicted,
+    coalesce((SELECT sum(n) FROM conf WHERE label = c AND prediction = c), 0)::BIGINT AS tp
+  FROM (SELECT label AS c FROM conf UNION SELECT prediction FROM conf)
+),
+sc AS (
+  SELECT *, CASE WHEN predicted > 0 THEN tp / predicted ELSE 0.0 END AS precision,
+            CASE WHEN support > 0 THEN tp / support ELSE 0.0 END AS recall
+  FROM cls
+),
+sc2 AS (
+  SELECT *, CASE WHEN precision + recall > 0 THEN 2 * precision * recall / (precision + recall) ELSE 0.0 END AS f1
+  FROM sc
+)"""
+
+SQL["confusion_long"] = "WITH " + CTE_PRED + "\nSELECT label, prediction, n FROM conf"
+SQL["confusion_grid"] = "WITH " + CTE_PRED + "\nSELECT label, " + ", ".join(
+    f"sum(CASE WHEN prediction = {k} THEN n ELSE 0 END)::BIGINT AS p_{k}" for k in (0, 1, 2, 3, 4, 9)) + \
+    " FROM conf GROUP BY label"
+SQL["class_scores"] = "WITH " + CTE_PRED + """
+SELECT class, support, predicted, tp, round(precision, 6) AS precision, round(recall, 6) AS recall,
+       round(f1, 6) AS f1 FROM sc2"""
+SQL["weighted_scores"] = "WITH " + CTE_PRED + """
+SELECT sum(support)::BIGINT AS n, round(sum(tp) / sum(support), 6) AS accuracy,
+       round(sum(support * precision) / sum(support), 6) AS weighted_precision,
+       round(sum(support * recall) / sum(support), 6) AS weighted_recall,
+       round(sum(support * f1) / sum(support), 6) AS f1
+FROM sc2"""
