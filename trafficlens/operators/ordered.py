@@ -111,13 +111,16 @@ def counter_delta(prev: str, cur: str):
 
 
 def counter_increase(df: DataFrame, by: list[str], order: list[str], value: str = "value",
-                     out: str = "increase", partitions: int | None = None) -> DataFrame:
+                     out: str = "increase", partitions: int | None = None,
+                     carry: list[str] | None = None) -> DataFrame:
     """Sum of counter deltas between consecutive samples of each ``by`` group,
     resets counted as a restart from zero. One row per group, with the number
-    of samples as ``samples``. Skew-safe: partial sums per (task, key), then
+    of samples as ``samples``; ``carry`` columns (constant within a group)
+    are passed through. Skew-safe: partial sums per (task, key), then
     the deltas across task boundaries are added on the small summary."""
     scanned = local_scan(df, by, order, value, partitions)
-    scanned = scanned.withColumn("_tl_d", F.when(F.isnan(F.col(PREV)), F.lit(0.0))
+    no_prev = F.col(PREV).isNull() | F.isnan(F.col(PREV))  # NaN becomes null through Arrow
+    scanned = scanned.withColumn("_tl_d", F.when(no_prev, F.lit(0.0))
                                  .when(F.col(value) >= F.col(PREV), F.col(value) - F.col(PREV))
                                  .otherwise(F.col(value)))
     okey = F.struct(*[F.col(c) for c in order])
@@ -126,6 +129,7 @@ def counter_increase(df: DataFrame, by: list[str], order: list[str], value: str
         F.min_by(F.col(value), okey).alias("_tl_first"),
         F.max_by(F.col(value), okey).alias("_tl_last"),
         F.count(F.lit(1)).alias("_tl_n"),
+        *[F.any_value(c).alias(c) for c in carry or []],
     )
     w = Window.partitionBy(*by).orderBy(PID)
     part = part.withColumn("_tl_before", F.lag("_tl_last").over(w))
@@ -133,4 +137,5 @@ def counter_increase(df: DataFrame, by: list[str], order: list[str], value: str
                            .when(F.col("_tl_first") >= F.col("_tl_before"), F.col("_tl_first") - F.col("_tl_before"))
                            .otherwise(F.col("_tl_first")))
     return part.groupBy(*by).agg((F.sum("_tl_inner") + F.sum("_tl_edge")).alias(out),
-                                 F.sum("_tl_n").alias("samples"))
+                                 F.sum("_tl_n").alias("samples"),
+                                 *[F.any_value(c).alias(c) for c in carry or []])

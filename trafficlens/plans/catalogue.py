@@ -273,3 +273,86 @@ def q_class_scores(spark, sf_dir):
 def q_weighted_scores(spark, sf_dir):
     return round6(EV.weighted_scores(_confusion(spark, sf_dir)),
                   ["accuracy", "weighted_precision", "weighted_recall", "f1"])
+
+
+# ---- X1-X9, S9, S12, X11: training, report, model store, scoring ----------------
+
+from . import model as M  # noqa: E402
+from ..session import scratch_path  # noqa: E402
+
+
+def training_table(spark, sf_dir) -> DataFrame:
+    """Packet features keyed by (path, ordinal), the capture row key."""
+    pos = packets_with_positions(spark, sf_dir)
+    return fields.packet_features(pos, keep=["path", "ordinal"])
+
+
+def _train(kind, **params):
+    def q(spark, sf_dir):
+        _, report = M.train_and_report(training_table(spark, sf_dir), kind, key_cols=["path", "ordinal"],
+                                       null_policy="skip", **params)
+        return report
+    return q
+
+
+register("train_decision_tree")(_train("decision_tree"))
+register("train_random_forest")(_train("random_forest"))
+register("train_perceptron")(_train("perceptron"))
+
+
+@register("model_round_trip")
+def q_model_round_trip(spark, sf_dir):
+    """Fit, save to the shared checkpoint folder, load back, and count test
+    rows on which the loaded model agrees with the fitted one."""
+    data = PR.apply_null_policy(training_table(spark, sf_dir), "skip") \
+        .withColumn("CLASS", F.col("CLASS").cast("double"))
+    train, test = PR.hash_split(data, ["path", "ordinal"])
+    model = M.build_pipeline("decision_tree").fit(train)
+    path = scratch_path(spark, "model")
+    model.write().overwrite().save(path)
+    loaded = M.load_model(path)
+    a = model.transform(test).select("path", "ordinal", F.col("prediction").alias("p1"))
+    b = loaded.transform(test).select("path", "ordinal", F.col("prediction").alias("p2"))
+    return a.join(b, ["path", "ordinal"]).agg(
+        F.count(F.lit(1)).alias("rows"), F.count_if(F.col("p1") == F.col("p2")).alias("agree"))
+
+
+@register("score_new_traffic")
+def q_score_new_traffic(spark, sf_dir):
+    """Score every packet (nulls zero-filled) with a tree fitted on the
+    training share; predicted class counts."""
+    data = PR.apply_null_policy(training_table(spark, sf_dir), "zero") \
+        .withColumn("CLASS", F.col("CLASS").cast("double"))
+    train, _ = PR.hash_split(data, ["path", "ordinal"])
+    model = M.build_pipeline("decision_tree").fit(train)
+    return M.score(model, data).groupBy("prediction").agg(F.count(F.lit(1)).alias("packets"))
+
+
+# ---- M1-M13: metric questions over the samples projection -----------------------
+
+from ..operators import metrics as MX  # noqa: E402
+
+
+def samples_table(spark, sf_dir) -> DataFrame:
+    return P.samples(events(spark, sf_dir))
+
+
+def _metric(fn, *args):
+    def q(spark, sf_dir):
+        return MX.round_value(fn(samples_table(spark, sf_dir), *args))
+    return q
+
+
+register("metric_completed_share")(_metric(MX.completed_task_share))
+register("metric_cpu_rate")(_metric(MX.cpu_rate_by_pod))
+register("metric_memory_by_pod")(_metric(MX.memory_by_pod))
+register("metric_heap_avg_1m")(_metric(MX.driver_heap_avg_1m))
+register("metric_heap")(_metric(MX.gauge_by_executor, "metrics_executor_JVMHeapMemory_bytes"))
+register("metric_storage_heap")(_metric(MX.gauge_by_executor, "metrics_executor_usedOnHeapStorageMemory_bytes"))
+register("metric_task_balance")(_metric(MX.task_balance))
+register("metric_gc_total")(_metric(MX.gauge_by_executor, "metrics_executor_totalGCTime_seconds_total"))
+register("metric_duration_total")(_metric(MX.gauge_by_executor, "metrics_executor_totalDuration_seconds_total"))
+register("metric_tasks_total")(_metric(MX.gauge_by_executor, "metrics_executor_totalTasks_total"))
+register("metric_gc_share")(_metric(MX.gc_share))
+register("metric_ram_share")(_metric(MX.ram_share))
+register("metric_cpu_share")(_metric(MX.cpu_share))

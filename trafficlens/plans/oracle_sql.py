@@ -197,3 +197,105 @@ SELECT sum(support)::BIGINT AS n, round(sum(tp) / sum(support), 6) AS accuracy,
        round(sum(support * recall) / sum(support), 6) AS weighted_recall,
        round(sum(support * f1) / sum(support), 6) AS f1
 FROM sc2"""
+
+
+# ---- metric questions over the samples projection ---------------------------------
+
+CTE_SM = CTE_EV + """,
+b AS (
+  SELECT ts, event_id, event_type, floor(value * 100)::DOUBLE AS value, user_id % 10 AS ex,
+    CASE WHEN user_id % 10 = 9 THEN 'driver' ELSE (user_id % 10)::VARCHAR END AS exl,
+    ((floor(epoch_us(ts) / 60000000)::BIGINT * (user_id % 10 + 1)) % 1000)::DOUBLE AS counter,
+    CASE WHEN user_id % 10 < 8 THEN 'spark-exec-' || (user_id % 10)::VARCHAR
+         ELSE 'web-' || (user_id % 10)::VARCHAR END AS pod,
+    CASE WHEN user_id % 10 = 9 THEN 'kube' ELSE 'default' END AS ns
+  FROM ev
+),
+sm AS (
+  SELECT ts, 'metrics_executor_completedTasks_total' AS metric, exl AS executor_id, NULL AS pod, NULL AS namespace, NULL AS type, NULL AS node, counter AS value, event_id * 16 + 0 AS sample_id FROM b WHERE event_type = 'view'
+  UNION ALL SELECT ts, 'metrics_executor_totalTasks_total', exl, NULL, NULL, NULL, NULL, counter * 2, event_id * 16 + 1 FROM b WHERE event_type = 'click'
+  UNION ALL SELECT ts, 'metrics_executor_totalGCTime_seconds_total', exl, NULL, NULL, NULL, NULL, counter, event_id * 16 + 2 FROM b WHERE event_type = 'purchase'
+  UNION ALL SELECT ts, 'metrics_executor_totalDuration_seconds_total', exl, NULL, NULL, NULL, NULL, counter * 10, event_id * 16 + 3 FROM b WHERE event_type = 'signup'
+  UNION ALL SELECT ts, 'metrics_executor_JVMHeapMemory_bytes', exl, NULL, NULL, NULL, NULL, value, event_id * 16 + 4 FROM b WHERE event_type = 'error'
+  UNION ALL SELECT ts, 'metrics_executor_JVMOffHeapMemory_bytes', exl, NULL, NULL, NULL, NULL, floor(value / 2), event_id * 16 + 5 FROM b WHERE event_type IN ('error', 'view')
+  UNION ALL SELECT ts, 'metrics_executor_usedOnHeapStorageMemory_bytes', exl, NULL, NULL, NULL, NULL, value, event_id * 16 + 6 FROM b WHERE event_type = 'click'
+  UNION ALL SELECT ts, 'container_cpu_usage_seconds_total', NULL, pod, ns, NULL, NULL, counter, event_id * 16 + 7 FROM b
+  UNION ALL SELECT ts, 'container_memory_usage_bytes', NULL, pod, ns, NULL, NULL, value, event_id * 16 + 8 FROM b
+  UNION ALL SELECT ts, 'metrics_spark_app_driver_jvm_heap_used_Value', NULL, NULL, NULL, 'gauges', NULL, value, event_id * 16 + 9 FROM b WHERE ex = 9 AND event_id % 2 = 0
+  UNION ALL SELECT ts, 'metrics_spark_job_driver_jvm_heap_used_Value', NULL, NULL, NULL, 'gauges', NULL, value, event_id * 16 + 10 FROM b WHERE ex = 9 AND event_id % 2 = 1
+  UNION ALL SELECT ts, 'metrics_spark_app_driver_jvm_heap_used_Value', NULL, NULL, NULL, 'counters', NULL, value, event_id * 16 + 11 FROM b WHERE ex = 9 AND event_id % 3 = 0
+  UNION ALL SELECT ts, 'machine_memory_bytes', NULL, NULL, NULL, NULL, (event_id % 2)::VARCHAR, (event_id % 2 + 1) * 1000.0, event_id * 16 + 12 FROM b
+  UNION ALL SELECT ts, 'machine_cpu_cores', NULL, NULL, NULL, NULL, (event_id % 2)::VARCHAR, (event_id % 2 + 1) * 4.0, event_id * 16 + 13 FROM b
+),
+s5 AS (SELECT *, floor(epoch_us(ts) / 300000000)::BIGINT AS step FROM sm),
+s1 AS (SELECT *, floor(epoch_us(ts) / 60000000)::BIGINT AS step FROM sm),
+last5 AS (
+  SELECT step, metric, executor_id, pod, namespace, type, node,
+         arg_max(value, (ts, sample_id)) AS value
+  FROM s5 GROUP BY ALL
+),
+inc5 AS (
+  SELECT step, metric, executor_id, pod, namespace, type, node,
+         sum(CASE WHEN prev IS NULL THEN 0 WHEN value >= prev THEN value - prev ELSE value END) AS value
+  FROM (SELECT *, lag(value) OVER (PARTITION BY metric, executor_id, pod, namespace, type, node, step
+                                   ORDER BY ts, sample_id) AS prev FROM s5)
+  GROUP BY ALL
+)"""
+
+
+def _sm(body: str) -> str:
+    return "WITH " + CTE_SM + "\n" + body
+
+
+def _by_exec_last(metric: str) -> str:
+    return _sm(f"SELECT step, executor_id, round(sum(value), 6) AS value FROM last5 "
+               f"WHERE metric = '{metric}' GROUP BY step, executor_id")
+
+
+SQL["metric_completed_share"] = _sm("""
+SELECT n.step, n.executor_id, round(CASE WHEN d.value = 0 THEN NULL ELSE n.value / d.value END, 6) AS value
+FROM (SELECT step, executor_id, sum(value) AS value FROM inc5
+      WHERE metric = 'metrics_executor_completedTasks_total' AND executor_id <> 'driver' GROUP BY ALL) n
+JOIN (SELECT step, executor_id, sum(value) AS value FROM last5
+      WHERE metric = 'metrics_executor_totalTasks_total' AND executor_id <> 'driver' GROUP BY ALL) d
+USING (step, executor_id)""")
+SQL["metric_cpu_rate"] = _sm("""
+SELECT step, pod, round(sum(value / 300.0), 6) AS value FROM inc5
+WHERE metric = 'container_cpu_usage_seconds_total' AND namespace = 'default' GROUP BY step, pod""")
+SQL["metric_memory_by_pod"] = _sm("""
+SELECT step, pod, round(sum(value), 6) AS value FROM last5
+WHERE metric = 'container_memory_usage_bytes' AND namespace = 'default' GROUP BY step, pod""")
+SQL["metric_heap_avg_1m"] = _sm("""
+SELECT step, metric, round(avg(value), 6) AS value FROM s1
+WHERE regexp_full_match(metric, 'metrics_spark_.*_driver_jvm_heap_used_Value') AND type = 'gauges'
+GROUP BY step, metric""")
+SQL["metric_heap"] = _by_exec_last("metrics_executor_JVMHeapMemory_bytes")
+SQL["metric_storage_heap"] = _by_exec_last("metrics_executor_usedOnHeapStorageMemory_bytes")
+SQL["metric_task_balance"] = _sm("""
+SELECT step, executor_id, round(sum(value), 6) AS value FROM inc5
+WHERE metric = 'metrics_executor_completedTasks_total' GROUP BY step, executor_id""")
+SQL["metric_gc_total"] = _by_exec_last("metrics_executor_totalGCTime_seconds_total")
+SQL["metric_duration_total"] = _by_exec_last("metrics_executor_totalDuration_seconds_total")
+SQL["metric_tasks_total"] = _by_exec_last("metrics_executor_totalTasks_total")
+SQL["metric_gc_share"] = _sm("""
+SELECT g.step, g.executor_id, round(CASE WHEN d.value = 0 THEN NULL ELSE g.value / d.value END * 100.0, 6) AS value
+FROM (SELECT step, executor_id, sum(value) AS value FROM last5
+      WHERE metric = 'metrics_executor_totalGCTime_seconds_total' GROUP BY ALL) g
+JOIN (SELECT step, executor_id, sum(value) AS value FROM last5
+      WHERE metric = 'metrics_executor_totalDuration_seconds_total' GROUP BY ALL) d
+USING (step, executor_id)""")
+SQL["metric_ram_share"] = _sm("""
+SELECT h.step, round(CASE WHEN m.value = 0 THEN NULL ELSE h.value / m.value END, 6) AS value
+FROM (SELECT a.step, sum(a.value + o.value) AS value
+      FROM (SELECT * FROM last5 WHERE metric = 'metrics_executor_JVMHeapMemory_bytes') a
+      JOIN (SELECT * FROM last5 WHERE metric = 'metrics_executor_JVMOffHeapMemory_bytes') o
+      USING (step, executor_id) GROUP BY a.step) h
+JOIN (SELECT step, sum(value) AS value FROM last5 WHERE metric = 'machine_memory_bytes' GROUP BY step) m
+USING (step)""")
+SQL["metric_cpu_share"] = _sm("""
+SELECT c.step, round(CASE WHEN k.value = 0 THEN NULL ELSE c.value / k.value END, 6) AS value
+FROM (SELECT step, sum(value / 300.0) AS value FROM inc5
+      WHERE metric = 'container_cpu_usage_seconds_total' AND namespace = 'default'
+        AND regexp_full_match(pod, 'spark.*') GROUP BY step) c
+JOIN (SELECT step, sum(value) AS value FROM last5 WHERE metric = 'machine_cpu_cores' GROUP BY step) k
+USING (step)""")

@@ -100,7 +100,8 @@ def samples(events: DataFrame) -> DataFrame:
     ex_label = F.when(ex == 9, F.lit("driver")).otherwise(ex.cast("string"))
     minute = F.floor(F.unix_micros(F.col("ts").cast("timestamp")) / 60000000)
     counter = ((minute * (ex + 1)) % 1000).cast("double")
-    val = F.col("value")
+    # gauges are whole byte counts (exact sums in any order)
+    val = F.floor(F.col("value") * 100).cast("double")
     pod = F.when(ex < 8, F.concat(F.lit("spark-exec-"), ex.cast("string"))) \
         .otherwise(F.concat(F.lit("web-"), ex.cast("string")))
     ns = F.when(ex == 9, F.lit("kube")).otherwise(F.lit("default"))
@@ -121,7 +122,7 @@ def samples(events: DataFrame) -> DataFrame:
         s("metrics_executor_totalDuration_seconds_total", exl, counter * 10, et == "signup", 3),
         # Executor gauges.
         s("metrics_executor_JVMHeapMemory_bytes", exl, val, et == "error", 4),
-        s("metrics_executor_JVMOffHeapMemory_bytes", exl, val / 2, et.isin("error", "view"), 5),
+        s("metrics_executor_JVMOffHeapMemory_bytes", exl, F.floor(val / 2), et.isin("error", "view"), 5),
         s("metrics_executor_usedOnHeapStorageMemory_bytes", exl, val, et == "click", 6),
         # container counters / gauges by pod
         s("container_cpu_usage_seconds_total", {"namespace": ns, "pod": pod}, counter, None, 7),
