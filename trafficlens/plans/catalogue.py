@@ -356,3 +356,75 @@ register("metric_tasks_total")(_metric(MX.gauge_by_executor, "metrics_executor_t
 register("metric_gc_share")(_metric(MX.gc_share))
 register("metric_ram_share")(_metric(MX.ram_share))
 register("metric_cpu_share")(_metric(MX.cpu_share))
+
+
+# ---- S1/S2/S5-S8/S11: captures, parquet tables, inventory, event log --------------
+
+from ..sources import capture as CAP  # noqa: E402
+from ..sources import dataset as DS  # noqa: E402
+
+
+def captures_from_events(spark, sf_dir) -> str:
+    """Write the packets projection as pcap files (one folder per class) in
+    the shared checkpoint folder and return the root."""
+    root = scratch_path(spark, "captures")
+    frames = P.packets(events(spark, sf_dir))
+    CAP.write_captures(frames, root, "class_name", order=["ts_us", "event_id"]).count()
+    return root
+
+
+@register("capture_scan")
+def q_capture_scan(spark, sf_dir):
+    """Events → pcap files → index + framing passes → the 20 features."""
+    root = captures_from_events(spark, sf_dir)
+    return fields.packet_features(CAP.read_captures(spark, root))
+
+
+@register("capture_discovery")
+def q_capture_discovery(spark, sf_dir):
+    root = captures_from_events(spark, sf_dir)
+    return CAP.list_captures(spark, root).groupBy("class_name").agg(
+        F.count(F.lit(1)).alias("files"), F.sum("length").alias("bytes"))
+
+
+@register("file_inventory")
+def q_file_inventory(spark, sf_dir):
+    root = captures_from_events(spark, sf_dir)
+    return DS.directory_inventory(spark, root)
+
+
+@register("parquet_round_trip")
+def q_parquet_round_trip(spark, sf_dir):
+    """Packet table → class-partitioned parquet → one pruned scan."""
+    path = scratch_path(spark, "packets")
+    DS.write_packets(fields.packet_features(P.packets(events(spark, sf_dir)), keep=["class_name"]), path)
+    return DS.read_packets(spark, path)
+
+
+@register("parquet_normalise")
+def q_parquet_normalise(spark, sf_dir):
+    """Two writes into one folder with drifting types (BIGINT features in
+    one, DOUBLE in the other), read back through the normaliser."""
+    path = scratch_path(spark, "foreign")
+    pk = packet_table(spark, sf_dir, keep=())
+    even = pk.where(F.col("CLASS") % 2 == 0)
+    odd = pk.where(F.col("CLASS") % 2 == 1)
+    even.select("CLASS", *[F.col(c).cast("bigint").alias(c) for c in FEATURE_COLUMNS]) \
+        .write.mode("overwrite").parquet(path)
+    odd.select("CLASS", *[F.col(c).cast("double").alias(c) for c in FEATURE_COLUMNS]) \
+        .write.mode("append").parquet(path)
+    files = [r["path"] for r in spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet")
+             .load(path).select("path").collect()]
+    return DS.normalise_foreign(spark, files)
+
+
+@register("event_log_report")
+def q_event_log_report(spark, sf_dir):
+    """Executor report from this session's event log (empty when the session
+    writes none): reruns a profile so the log has task rows."""
+    PF.profile(packet_table(spark, sf_dir)).collect()
+    conf = spark.sparkContext.getConf()
+    if conf.get("spark.eventLog.enabled", "false") != "true":
+        return spark.createDataFrame([], "executor_id string, tasks bigint, failed bigint, "
+                                         "run_ms bigint, gc_ms bigint, wall_ms bigint")
+    return DS.event_log_report(spark, conf.get("spark.eventLog.dir"))

@@ -299,3 +299,7 @@ FROM (SELECT step, sum(value / 300.0) AS value FROM inc5
         AND regexp_full_match(pod, 'spark.*') GROUP BY step) c
 JOIN (SELECT step, sum(value) AS value FROM last5 WHERE metric = 'machine_cpu_cores' GROUP BY step) k
 USING (step)""")
+
+SQL["capture_scan"] = with_pk(f"SELECT {PACKET_COLS} FROM pk")
+SQL["parquet_round_trip"] = with_pk(f"SELECT {PACKET_COLS}, class_name FROM pk")
+SQL["parquet_normalise"] = with_pk(f"SELECT {PACKET_COLS} FROM pk")
