@@ -428,3 +428,57 @@ def q_event_log_report(spark, sf_dir):
         return spark.createDataFrame([], "executor_id string, tasks bigint, failed bigint, "
                                          "run_ms bigint, gc_ms bigint, wall_ms bigint")
     return DS.event_log_report(spark, conf.get("spark.eventLog.dir"))
+
+
+# ---- T1-T3: streaming ---------------------------------------------------------------
+
+from ..streaming import jobs as SJ  # noqa: E402
+from ..streaming import metrics as SM  # noqa: E402
+
+
+def event_classes(spark, sf_dir) -> list[str]:
+    """Sorted class names (one small aggregate) for streams, whose indices
+    must not depend on a micro-batch."""
+    return [r["class_name"] for r in class_dimension(events(spark, sf_dir), "event_type").collect()]
+
+
+@register("stream_metric_windows")
+def q_stream_metric_windows(spark, sf_dir):
+    """1-minute driver-heap averages from the events stream, complete mode."""
+    heap = MX.select_series(P.samples(SJ.events_stream(spark, sf_dir)), None,
+                            [(MX.NAME, "=~", "metrics_spark_.*_driver_jvm_heap_used_Value"),
+                             ("type", "=", "gauges")])
+    path = SJ.run_to_table(SM.windowed_average(heap, 60), scratch_path(spark, "stream-avg"), "complete")
+    return MX.round_value(spark.read.parquet(path).select("step", "metric", "value"))
+
+
+@register("stream_counter_deltas")
+def q_stream_counter_deltas(spark, sf_dir):
+    """Per-series completed-task increases per 5-minute step, stateful."""
+    done = MX.select_series(P.samples(SJ.events_stream(spark, sf_dir)), "metrics_executor_completedTasks_total")
+    path = SJ.run_to_table(SM.counter_increase_stream(done, 300), scratch_path(spark, "stream-inc"), "append")
+    return spark.read.parquet(path)
+
+
+@register("stream_scoring")
+def q_stream_scoring(spark, sf_dir):
+    """Fit a tree on the batch training share, score the packet stream."""
+    classes = event_classes(spark, sf_dir)
+    data = PR.apply_null_policy(training_table(spark, sf_dir), "zero") \
+        .withColumn("CLASS", F.col("CLASS").cast("double"))
+    train, _ = PR.hash_split(data, ["path", "ordinal"])
+    model = M.build_pipeline("decision_tree").fit(train)
+    stream = PR.apply_null_policy(SJ.packets_stream(spark, sf_dir, classes), "zero")
+    scored = SJ.score_stream(model, stream).select("event_id", "CLASS", "prediction")
+    path = SJ.run_to_table(scored, scratch_path(spark, "stream-score"), "append")
+    return spark.read.parquet(path).groupBy("prediction").agg(F.count(F.lit(1)).alias("packets"))
+
+
+@register("stream_ingest")
+def q_stream_ingest(spark, sf_dir):
+    """New capture files → path-only file stream → index + framing per
+    micro-batch → packet features table."""
+    classes = event_classes(spark, sf_dir)
+    root = captures_from_events(spark, sf_dir)
+    path = SJ.ingest_captures(spark, root, scratch_path(spark, "stream-ingest"), classes)
+    return spark.read.parquet(path).select(*PACKET_COLUMNS)

@@ -303,3 +303,5 @@ USING (step)""")
 SQL["capture_scan"] = with_pk(f"SELECT {PACKET_COLS} FROM pk")
 SQL["parquet_round_trip"] = with_pk(f"SELECT {PACKET_COLS}, class_name FROM pk")
 SQL["parquet_normalise"] = with_pk(f"SELECT {PACKET_COLS} FROM pk")
+SQL["stream_metric_windows"] = SQL["metric_heap_avg_1m"]
+SQL["stream_ingest"] = with_pk(f"SELECT {PACKET_COLS} FROM pk")

@@ -24,8 +24,8 @@ def _hx(x: Column, width: int) -> Column:
     return F.lpad(F.hex(x.cast("bigint")), width, "0")
 
 
-def events_with_class(events: DataFrame) -> DataFrame:
-    return attach_class_index(events, "event_type", out="CLASS")
+def events_with_class(events: DataFrame, classes: list[str] | None = None) -> DataFrame:
+    return attach_class_index(events, "event_type", out="CLASS", classes=classes)
 
 
 def packet_rule_columns(e: Column, u: Column, c: Column, v: Column) -> dict[str, Column]:
@@ -47,11 +47,11 @@ def packet_rule_columns(e: Column, u: Column, c: Column, v: Column) -> dict[str,
     }
 
 
-def packets(events: DataFrame) -> DataFrame:
+def packets(events: DataFrame, classes: list[str] | None = None) -> DataFrame:
     """Framed records ``(path, ts, linktype, orig_len, frame, event_id,
     user_id, class_name, CLASS)`` built from events; no shuffle beyond the
     class dimension."""
-    ev = events_with_class(events)
+    ev = events_with_class(events, classes)
     e, u, c, v = F.col("event_id"), F.col("user_id"), F.col("CLASS"), F.col("value")
     r = packet_rule_columns(e, u, c, v)
     l4_len = F.when(r["tcp"], F.lit(20)).otherwise(F.lit(8))

@@ -246,6 +246,15 @@ def read_captures(spark: SparkSession, root: str, classes: list[str] | None = No
     listing = list_captures(spark, root, glob)
     if classes is not None:
         listing = listing.where(F.col("class_name").isin(*classes))
+    return frames_from_listing(listing, classes, chunk_bytes, partitions)
+
+
+def frames_from_listing(listing: DataFrame, classes: list[str] | None = None,
+                        chunk_bytes: int = DEFAULT_CHUNK_BYTES,
+                        partitions: int | None = None) -> DataFrame:
+    """Index + framing passes over a listing ``(path, class_name)``. Pass
+    ``classes`` for stable class indices across separate runs (streams)."""
+    spark = listing.sparkSession
     chunks = index_captures(listing, chunk_bytes, partitions)
     # chunk table: a few rows per 32 MB of capture; checkpointed so the
     # index pass runs once although the table is used twice.
