@@ -58,7 +58,7 @@ def _h(name: str) -> Column:
 
 
 def with_layers(df: DataFrame, frame: str = "frame", linktype: str = "linktype") -> DataFrame:
-    """Add the layer helper columns ``_tl_*`` in a few small projections.
+    """Add the layer helper columns ``_tl_*`` in five small projections.
 
     Every later layer is a *sub-frame* (``_tl_ip`` starts at the IP header,
     ``_tl_l4`` at the transport header), so each field is a read at a fixed
@@ -66,59 +66,65 @@ def with_layers(df: DataFrame, frame: str = "frame", linktype: str = "linktype")
     keeps them apart (their outputs are expensive and used many times), so
     the plan stays small and every expression is computed once per row."""
     fr, lt = F.col(frame), F.col(linktype)
+    ethernet = lt == LINKTYPE_ETHERNET
+    raw = lt.isin(*RAW_LINKTYPES)
     t0 = uint16(fr, 13)
     nvlan = F.when(t0.isin(*ETH_VLAN),
                    F.when(uint16(fr, 17).isin(*ETH_VLAN), F.lit(2)).otherwise(F.lit(1))).otherwise(F.lit(0))
-    ethernet = lt == LINKTYPE_ETHERNET
-    df = df.withColumn(_H + "nvlan", F.when(ethernet, nvlan))
+    df = df.withColumns({_H + "nvlan": F.when(ethernet, nvlan)})
+
     l3pos = (F.when(ethernet, _h("nvlan") * 4 + 15)
              .when(lt == LINKTYPE_NULL, F.lit(5))
-             .when(lt.isin(*RAW_LINKTYPES), F.lit(1))
+             .when(raw, F.lit(1))
              .when(lt == LINKTYPE_LINUX_SLL, F.lit(17))
              .when(lt == LINKTYPE_LINUX_SLL2, F.lit(21)))
     ethertype = (F.when(ethernet, uint16(fr, _h("nvlan") * 4 + 13))
                  .when(lt == LINKTYPE_LINUX_SLL, uint16(fr, 15))
                  .when(lt == LINKTYPE_LINUX_SLL2, uint16(fr, 1)))
-    df = df.withColumn(_H + "ip", _rest(fr, l3pos)).withColumn(_H + "eth", ethertype)
+    df = df.withColumns({_H + "ip": _rest(fr, l3pos), _H + "eth": ethertype})
 
     ip = _h("ip")
-    raw = lt.isin(*RAW_LINKTYPES)
-    df = df.withColumn(_H + "b0", uint8(ip, 1))
-    version = F.shiftright(_h("b0"), 4)
-    ihl = _h("b0").bitwiseAND(15)
-    v4 = F.coalesce((raw | (_h("eth") == ETH_IPV4)) & (version == 4) & (ihl >= 5)
-                    & (F.length(ip) >= 20), F.lit(False))
-    v6 = F.coalesce((raw | (_h("eth") == ETH_IPV6)) & (version == 6) & (F.length(ip) >= 40), F.lit(False))
-    df = df.withColumn(_H + "v4", v4).withColumn(_H + "v6", v6) \
-           .withColumn(_H + "ver", version).withColumn(_H + "ihl", ihl) \
-           .withColumn(_H + "nh", uint8(ip, 7)).withColumn(_H + "frag", uint16(ip, 7).bitwiseAND(0x1FFF))
-
+    b0 = uint8(ip, 1)
+    version = F.shiftright(b0, 4)
+    ihl = b0.bitwiseAND(15)
+    df = df.withColumns({
+        _H + "v4": F.coalesce((raw | (_h("eth") == ETH_IPV4)) & (version == 4) & (ihl >= 5)
+                              & (F.length(ip) >= 20), F.lit(False)),
+        _H + "v6": F.coalesce((raw | (_h("eth") == ETH_IPV6)) & (version == 6)
+                              & (F.length(ip) >= 40), F.lit(False)),
+        _H + "ver": version, _H + "ihl": ihl,
+        _H + "nh": uint8(ip, 7), _H + "frag": uint16(ip, 7).bitwiseAND(0x1FFF),
+    })
+
+    v4, v6 = _h("v4"), _h("v6")
     ext = _h("nh").isin(*IPV6_EXT_HEADERS)
-    proto = (F.when(_h("v4"), uint8(ip, 10))
-             .when(_h("v6"), F.when(ext, uint8(ip, 41)).otherwise(_h("nh"))))
+    proto = F.when(v4, uint8(ip, 10)).when(v6, F.when(ext, uint8(ip, 41)).otherwise(_h("nh")))
     # 1-based start of the transport header inside the IP sub-frame
-    l4start = (F.when(_h("v4"), _h("ihl") * 4 + 1)
-               .when(_h("v6"), F.when(ext, (uint8(ip, 42) + 1) * 8 + 41).otherwise(F.lit(41))))
+    l4start = (F.when(v4, _h("ihl") * 4 + 1)
+               .when(v6, F.when(ext, (uint8(ip, 42) + 1) * 8 + 41).otherwise(F.lit(41))))
     total4, plen6 = uint16(ip, 3), uint16(ip, 5)
     # IP length from layer 3 on; a zero length field (segmentation offload)
     # falls back to the captured bytes.
-    iplen = (F.when(_h("v4"), F.when(total4 > 0, total4).otherwise(F.length(ip)))
-             .when(_h("v6"), F.when(plen6 > 0, plen6 + 40).otherwise(F.length(ip))))
-    df = df.withColumn(_H + "proto", proto).withColumn(_H + "l4start", l4start).withColumn(_H + "iplen", iplen)
-
-    df = df.withColumn(_H + "l4", _rest(ip, _h("l4start")))
-    l4 = _h("l4")
-    first = F.when(_h("v4"), _h("frag") == 0).when(_h("v6"), F.lit(True))
-    df = df.withColumn(_H + "tcp", F.coalesce(first & (_h("proto") == 6) & (F.length(l4) >= 20), F.lit(False))) \
-           .withColumn(_H + "udp", F.coalesce(first & (_h("proto") == 17) & (F.length(l4) >= 8), F.lit(False))) \
-           .withColumn(_H + "later", _h("v4") & (_h("frag") > 0))
-    dataofs = F.shiftright(uint8(l4, 13), 4)
-    l4hdr = F.when(_h("tcp"), dataofs * 4).when(_h("udp"), F.lit(8)).otherwise(F.lit(0))
-    df = df.withColumn(_H + "l4hdr", l4hdr)
+    iplen = (F.when(v4, F.when(total4 > 0, total4).otherwise(F.length(ip)))
+             .when(v6, F.when(plen6 > 0, plen6 + 40).otherwise(F.length(ip))))
+    df = df.withColumns({_H + "proto": proto, _H + "l4start": l4start, _H + "iplen": iplen})
+
+    l4 = _rest(ip, _h("l4start"))
+    first = F.when(v4, _h("frag") == 0).when(v6, F.lit(True))
+    df = df.withColumns({
+        _H + "l4": l4,
+        _H + "tcp": F.coalesce(first & (_h("proto") == 6) & (F.length(l4) >= 20), F.lit(False)),
+        _H + "udp": F.coalesce(first & (_h("proto") == 17) & (F.length(l4) >= 8), F.lit(False)),
+        _H + "later": v4 & (_h("frag") > 0),
+    })
+
+    tcp, udp = _h("tcp"), _h("udp")
+    l4hdr = (F.when(tcp, F.shiftright(uint8(_h("l4"), 13), 4) * 4)
+             .when(udp, F.lit(8)).otherwise(F.lit(0)))
+    df = df.withColumns({_H + "l4hdr": l4hdr})
     # payload bytes after the transport header (all of a later fragment)
-    paylen = F.when(_h("tcp") | _h("udp") | _h("later"),
-                    _h("iplen") - _h("l4start") + 1 - _h("l4hdr"))
-    return df.withColumn(_H + "paylen", paylen)
+    paylen = F.when(tcp | udp | _h("later"), _h("iplen") - _h("l4start") + 1 - _h("l4hdr"))
+    return df.withColumns({_H + "paylen": paylen})
 
 
 def drop_layers(df: DataFrame) -> DataFrame:

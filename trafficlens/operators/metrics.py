@@ -73,12 +73,10 @@ def with_series_id(samples: DataFrame) -> DataFrame:
 
 
 def last_sample(samples: DataFrame, step_seconds: int = 300) -> DataFrame:
-    s = with_series_id(with_step(samples, step_seconds))
-    return s.groupBy("step", "series").agg(
-        F.any_value("metric").alias("metric"),
-        F.any_value("labels").alias("labels"),
-        F.max_by(F.col("value"), F.struct("ts", "sample_id")).alias("value"),
-    ).drop("series")
+    # a series is (metric, labels); maps group order-insensitively
+    s = with_step(samples, step_seconds)
+    return s.groupBy("step", "metric", "labels").agg(
+        F.max_by(F.col("value"), F.struct("ts", "sample_id")).alias("value"))
 
 
 def increase(samples: DataFrame, range_seconds: int = 300, partitions: int | None = None) -> DataFrame:
@@ -97,12 +95,8 @@ def rate(samples: DataFrame, range_seconds: int = 300, partitions: int | None =
 
 
 def avg_over_time(samples: DataFrame, range_seconds: int = 60) -> DataFrame:
-    s = with_series_id(with_step(samples, range_seconds))
-    return s.groupBy("step", "series").agg(
-        F.any_value("metric").alias("metric"),
-        F.any_value("labels").alias("labels"),
-        F.avg("value").alias("value"),
-    ).drop("series")
+    s = with_step(samples, range_seconds)
+    return s.groupBy("step", "metric", "labels").agg(F.avg("value").alias("value"))
 
 
 def sum_by(vec: DataFrame, by: list[str]) -> DataFrame:

@@ -30,8 +30,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Give a small input (fewer scan splits than cores, e.g. one row group)
+    all cores; a large input already has enough splits and is left alone."""
+    n = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(n) if df.rdd.getNumPartitions() < n else df
+
+
 def events(spark, sf_dir) -> DataFrame:
-    return table(spark, sf_dir, "events")
+    return spread(table(spark, sf_dir, "events"))
 
 
 def packet_table(spark, sf_dir, keep=("event_id",)) -> DataFrame:
