@@ -80,13 +80,27 @@ def directory_inventory(spark: SparkSession, root: str, folders: DataFrame | Non
     return counts
 
 
+# Only the fields used: an explicit schema skips inference over every line
+# (event kinds disagree, e.g. "timestamp" vs "Timestamp").
+EVENT_LOG_SCHEMA = T.StructType([
+    T.StructField("Event", T.StringType()),
+    T.StructField("Task Info", T.StructType([
+        T.StructField("Executor ID", T.StringType()),
+        T.StructField("Launch Time", T.LongType()),
+        T.StructField("Finish Time", T.LongType()),
+        T.StructField("Failed", T.BooleanType()),
+    ])),
+    T.StructField("Task Metrics", T.StructType([
+        T.StructField("Executor Run Time", T.LongType()),
+        T.StructField("JVM GC Time", T.LongType()),
+    ])),
+])
+
+
 def event_log_report(spark: SparkSession, log_dir: str) -> DataFrame:
     """Per executor, from Spark's JSON event log: tasks, failed tasks, total
     run time, GC time and task wall time (ms)."""
-    ev = spark.read.json(log_dir)
-    if "Task Info" not in ev.columns:
-        return spark.createDataFrame([], "executor_id string, tasks bigint, failed bigint, "
-                                         "run_ms bigint, gc_ms bigint, wall_ms bigint")
+    ev = spark.read.schema(EVENT_LOG_SCHEMA).json(log_dir)
     t = ev.where(F.col("Event") == "SparkListenerTaskEnd")
     info, m = F.col("`Task Info`"), F.col("`Task Metrics`")
     return t.groupBy(info.getField("Executor ID").alias("executor_id")).agg(
