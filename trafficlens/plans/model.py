@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.evaluate import evaluate
-from ..operators.prepare import apply_null_policy, hash_split
+from ..operators.prepare import apply_null_policy, with_split_flag
 from ..schema import FEATURE_COLUMNS, LABEL_COLUMN
 
 MODEL_KINDS = ("decision_tree", "random_forest", "perceptron")
@@ -65,9 +65,10 @@ def train_and_report(packets: DataFrame, kind: str = "decision_tree", key_cols:
     label = LABEL_COLUMN
     data = apply_null_policy(packets, null_policy).withColumn(label, F.col(label).cast("double"))
     keys = key_cols or ["path", "ordinal"]
-    train, test = hash_split(data, keys, train_percent, seed)
-    train = train.persist(StorageLevel.MEMORY_AND_DISK)
-    test = test.persist(StorageLevel.MEMORY_AND_DISK)
+    # one pass computes features and the split flag; both shares read it
+    flagged = with_split_flag(data, keys, train_percent, seed).persist(StorageLevel.MEMORY_AND_DISK)
+    train = flagged.where(F.col("is_train"))
+    test = flagged.where(~F.col("is_train"))
     if kind == "perceptron" and not num_classes:
         num_classes = int(train.agg(F.max(label)).first()[0]) + 1
     handle = "keep" if null_policy == "keep" else "error"
