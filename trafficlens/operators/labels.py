@@ -1,9 +1,9 @@
 """Label dimension: class names → dense indices 0..k-1 in ascending name order.
 
-The dimension is tiny (one entry per class), so it is never joined: with an
-explicit class list the index is an ``array_position`` expression; otherwise
-Spark ML's ``StringIndexer`` learns the sorted names in one distributed
-distinct pass and applies them as an in-task lookup."""
+The dimension is tiny (one entry per class), so it is never joined: the
+index is an ``array_position`` expression over the sorted names, given
+explicitly or learnt by Spark ML's ``StringIndexer`` in one distributed
+distinct pass."""
 
 from __future__ import annotations
 
@@ -21,15 +21,22 @@ def normalise_class_name(col):
 
 def attach_class_index(df: DataFrame, name_col: str, out: str = "CLASS",
                        classes: list[str] | None = None) -> DataFrame:
-    if classes is not None:
-        ordered = sorted(set(classes))
-        idx = F.array_position(F.array(*[F.lit(c) for c in ordered]), F.col(name_col)) - 1
-        return df.withColumn(out, F.when(idx >= 0, idx.cast("int")))
-    model = StringIndexer(inputCol=name_col, outputCol=out + "_tl_d",
-                          stringOrderType="alphabetAsc", handleInvalid="keep").fit(df)
+    if classes is None:
+        classes = learn_classes(df, name_col)
+    ordered = sorted(set(classes))
+    # a plain expression (not a UDF): filters on other columns still push down
+    idx = F.array_position(F.array(*[F.lit(c) for c in ordered]), F.col(name_col)) - 1
+    return df.withColumn(out, F.when(idx >= 0, idx.cast("int")))
+
+
+def learn_classes(df: DataFrame, name_col: str) -> list[str]:
+    """Sorted distinct class names, learnt by one distributed distinct pass
+    (Spark ML's StringIndexer fit); a class column has few values."""
+    model = StringIndexer(inputCol=name_col, outputCol=name_col + "_tl_idx",
+                          stringOrderType="alphabetAsc").fit(df.select(name_col).where(F.col(name_col).isNotNull()))
     if len(model.labels) > MAX_CLASSES:
         raise ValueError(f"{len(model.labels)} distinct values in {name_col}: not a class column")
-    return model.transform(df).withColumn(out, F.col(out + "_tl_d").cast("int")).drop(out + "_tl_d")
+    return list(model.labels)
 
 
 def class_dimension(df: DataFrame, name_col: str) -> DataFrame:

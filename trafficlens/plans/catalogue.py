@@ -420,9 +420,7 @@ def q_parquet_normalise(spark, sf_dir):
         .write.mode("overwrite").parquet(path)
     odd.select("CLASS", *[F.col(c).cast("double").alias(c) for c in FEATURE_COLUMNS]) \
         .write.mode("append").parquet(path)
-    files = [r["path"] for r in spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet")
-             .load(path).select("path").collect()]
-    return DS.normalise_foreign(spark, files)
+    return DS.normalise_foreign(spark, path)
 
 
 @register("event_log_report")

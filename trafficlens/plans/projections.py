@@ -73,9 +73,11 @@ def packets(events: DataFrame, classes: list[str] | None = None) -> DataFrame:
                    F.lit("000000000000"), F.lit("0A000002"))
     body = F.when(r["has_ip"], F.concat(F.lit("0800"), ip, F.when(r["tcp"], tcp).otherwise(udp), payload)) \
         .otherwise(F.concat(F.lit("0806"), arp))
-    hexframe = F.concat(mac, vlan, body)
-    hexframe = F.when(F.length(hexframe) < 120, F.rpad(hexframe, 120, "0")).otherwise(hexframe)
-    frame = F.unhex(hexframe)
+    # Ethernet minimum of 60 bytes: pad short frames with zeros
+    size = F.when(r["vlan"], F.lit(18)).otherwise(F.lit(14)) + \
+        F.when(r["has_ip"], ip_total).otherwise(F.lit(28))
+    pad = F.repeat(F.lit("00"), F.greatest(F.lit(60) - size, F.lit(0)).cast("int"))
+    frame = F.unhex(F.concat(mac, vlan, body, pad))
     return ev.select(
         F.concat(F.lit("capture-"), u.cast("string"), F.lit(".pcap")).alias("path"),
         F.col("ts").cast("timestamp").alias("ts"),

@@ -45,22 +45,31 @@ def union_all(frames: list[DataFrame], by_name: bool = True) -> DataFrame:
     return reduce(lambda a, b: a.union(b), frames)
 
 
-def normalise_foreign(spark: SparkSession, files: list[str]) -> DataFrame:
-    """Read parquet files whose column types drift between files (an integer
-    column written as int64 in one file and double-with-nulls in another,
-    as pandas does). Spark cannot read such a folder in one scan, so files
-    are grouped by footer schema — one scan per distinct schema, not per
-    file — cast to the fixed schema and unioned by name."""
+def _footer_schemas(batches):
+    import pandas as pd
     import pyarrow.parquet as pq
+    for pdf in batches:
+        keys = []
+        for f in pdf["path"]:
+            local = f[5:] if f.startswith("file:") else f
+            keys.append(str(pq.read_schema(local)))
+        yield pd.DataFrame({"path": pdf["path"], "schema_key": keys})
+
 
-    groups: dict[str, list[str]] = {}
-    for f in files:
-        local = f[5:] if f.startswith("file:") else f
-        key = str(pq.read_schema(local))
-        groups.setdefault(key, []).append(f)
+def normalise_foreign(spark: SparkSession, root: str) -> DataFrame:
+    """Read parquet files whose column types drift between files (an integer
+    column written as int64 in one file and double-with-nulls in another,
+    as pandas does). Spark cannot read such a folder in one scan, so the
+    footers are read by executors, files are grouped by footer schema — one
+    scan per distinct schema, not per file — cast to the fixed schema and
+    unioned by name."""
+    listing = (spark.read.format("binaryFile").option("recursiveFileLookup", "true")
+               .option("pathGlobFilter", "*.parquet").load(root).select("path"))
+    keyed = listing.mapInPandas(_footer_schemas, "path string, schema_key string")
+    groups = keyed.groupBy("schema_key").agg(F.collect_list("path").alias("paths")).collect()
     parts = []
-    for paths in groups.values():
-        df = spark.read.parquet(*paths)
+    for g in groups:
+        df = spark.read.parquet(*g["paths"])
         cols = [F.col(fl.name).cast(fl.dataType).alias(fl.name) if fl.name in df.columns
                 else F.lit(None).cast(fl.dataType).alias(fl.name) for fl in PACKET_SCHEMA.fields]
         parts.append(df.select(*cols))
