@@ -22,16 +22,17 @@ def confusion_long(pred: DataFrame, label: str = "label", prediction: str = "pre
 
 def class_scores(confusion: DataFrame) -> DataFrame:
     """One row per class (actual or predicted): support, predicted, tp,
-    precision, recall, f1."""
-    actual = confusion.groupBy(F.col("label").alias("class")).agg(F.sum("n").alias("support"))
-    predicted = confusion.groupBy(F.col("prediction").alias("class")).agg(F.sum("n").alias("predicted"))
-    tp = confusion.where(F.col("label") == F.col("prediction")) \
-        .select(F.col("label").alias("class"), F.col("n").alias("tp"))
-    s = actual.join(predicted, "class", "full").join(tp, "class", "left")
-    s = s.select("class",
-                 F.coalesce("support", F.lit(0)).alias("support"),
-                 F.coalesce("predicted", F.lit(0)).alias("predicted"),
-                 F.coalesce("tp", F.lit(0)).alias("tp"))
+    precision, recall, f1 — one aggregate: each confusion cell adds to its
+    actual class and to its predicted class."""
+    n, lab, pre = F.col("n"), F.col("label"), F.col("prediction")
+    cells = F.array(
+        F.struct(lab.alias("class"), n.alias("support"), F.lit(0).cast("bigint").alias("predicted"),
+                 F.when(lab == pre, n).otherwise(F.lit(0)).cast("bigint").alias("tp")),
+        F.struct(pre.alias("class"), F.lit(0).cast("bigint").alias("support"), n.alias("predicted"),
+                 F.lit(0).cast("bigint").alias("tp")),
+    )
+    s = confusion.select(F.inline(cells)).groupBy("class").agg(
+        F.sum("support").alias("support"), F.sum("predicted").alias("predicted"), F.sum("tp").alias("tp"))
     p = F.when(F.col("predicted") > 0, F.col("tp") / F.col("predicted")).otherwise(F.lit(0.0))
     r = F.when(F.col("support") > 0, F.col("tp") / F.col("support")).otherwise(F.lit(0.0))
     s = s.withColumn("precision", p).withColumn("recall", r)
