@@ -288,9 +288,13 @@ from . import model as M  # noqa: E402
 from ..session import scratch_path  # noqa: E402
 
 
-def training_table(spark, sf_dir) -> DataFrame:
-    """Packet features keyed by (path, ordinal), the capture row key."""
+def training_table(spark, sf_dir, percent: int = 100, compat: bool = False) -> DataFrame:
+    """Packet features keyed by (path, ordinal), the capture row key; a
+    ``percent`` below 100 keeps that prefix of every capture (the 1 / 20 /
+    100 % data variants)."""
     pos = packets_with_positions(spark, sf_dir)
+    if percent < 100:
+        pos = SA.prefix_sample(pos, percent, compat=compat)
     return fields.packet_features(pos, keep=["path", "ordinal"])
 
 
