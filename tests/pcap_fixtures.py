@@ -68,3 +68,32 @@ def write_pcap(path: str, frames: list[tuple[float, bytes]], big_endian=False, n
             if truncate_last and i == len(frames) - 1:
                 rec = rec[: 16 + len(body) // 2]
             f.write(rec)
+
+
+def _ng_block(btype: int, body: bytes) -> bytes:
+    body += b"\x00" * ((4 - len(body) % 4) % 4)
+    n = 12 + len(body)
+    return struct.pack("<II", btype, n) + body + struct.pack("<I", n)
+
+
+def write_pcapng(path: str, frames: list[tuple[float, bytes]], tsresol: int | None = 9,
+                 simple_last: bool = False) -> None:
+    """One section, one Ethernet interface (nanosecond stamps by default),
+    enhanced packet blocks (the last one a simple packet block if asked)."""
+    os.makedirs(os.path.dirname(path), exist_ok=True)
+    shb = _ng_block(0x0A0D0D0A, struct.pack("<IHHq", 0x1A2B3C4D, 1, 0, -1))
+    opts = b""
+    if tsresol is not None:
+        opts = struct.pack("<HHB3x", 9, 1, tsresol) + struct.pack("<HH", 0, 0)
+    idb = _ng_block(1, struct.pack("<HHI", 1, 0, 65535) + opts)
+    res = 10 ** (tsresol if tsresol is not None else 6)
+    out = [shb, idb]
+    for i, (ts, body) in enumerate(frames):
+        if simple_last and i == len(frames) - 1:
+            out.append(_ng_block(3, struct.pack("<I", len(body)) + body))
+            continue
+        sec = int(ts)
+        ticks = sec * res + int(round((ts - sec) * res))
+        out.append(_ng_block(6, struct.pack("<IIIII", 0, ticks >> 32, ticks & 0xFFFFFFFF, len(body), len(body)) + body))
+    with open(path, "wb") as f:
+        f.write(b"".join(out))

@@ -132,3 +132,25 @@ def test_layer_flags_and_extended(spark, tmp_path):
     assert (e["VERSION"], e["IHL"], e["PROTO"], e["TTL"], e["DATAOFS"], e["TCP_FLAGS"]) == (4, 5, 6, 64, 5, 0x18)
     assert bytes(e["MESSAGE_RAW"]) == b"0123456789" and e["NAME"] == "Ethernet"
     assert e["TYPE"] == 0x0800 and e["SRC_6"] == 2 and e["DST_6"] == 1
+
+
+def test_pcapng_equals_classic(spark, tmp_path):
+    from pcap_fixtures import write_pcapng
+    frames = [(T0 + i * 0.25, FRAMES[n]) for i, n in enumerate(["tcp_payload", "udp", "vlan", "arp"] * 5)]
+    write_pcap(str(tmp_path / "a" / "Shopping" / "x.pcap"), frames)
+    write_pcapng(str(tmp_path / "b" / "Shopping" / "x.pcapng"), frames)
+    write_pcapng(str(tmp_path / "c" / "Shopping" / "x.pcapng"), frames, tsresol=None, simple_last=True)
+
+    def rows(root, **kw):
+        df = CAP.read_captures(spark, root, **kw)
+        feats = fields.packet_features(df, keep=["ordinal", "ts"])
+        return sorted(tuple(r) for r in feats.drop("ts").collect()), \
+            {r["ordinal"]: r["ts"] for r in feats.collect()}
+
+    a, ta = rows(str(tmp_path / "a"))
+    b, tb = rows(str(tmp_path / "b"), chunk_bytes=200, partitions=5)
+    c, tc = rows(str(tmp_path / "c"))
+    assert a == b and len(a) == 20
+    assert ta == tb
+    assert tc[19] is None and tc[3] == ta[3]
+    assert [x[1:] for x in c[:19]] == [x[1:] for x in a[:19]]

@@ -15,12 +15,13 @@ per-row results (ordinals) join the summary back on (task, key).
 from __future__ import annotations
 
 import numpy as np
-import pandas as pd
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..session import ensure_checkpoint_dir
+
 PID = "_tl_pid"
 IDX = "_tl_idx"
 PREV = "_tl_prev"
@@ -91,6 +92,7 @@ def position_in_group(df: DataFrame, by: list[str], order: list[str], out: str =
                       total: str | None = None, partitions: int | None = None) -> DataFrame:
     """0-based position of each row inside its ``by`` group in ``order``
     (``row_number() - 1``) and optionally the group size, skew-safe."""
+    ensure_checkpoint_dir(df.sparkSession)
     scanned = local_scan(df, by, order, None, partitions).checkpoint(eager=True)
     summary = scanned.groupBy(PID, *by).agg(F.count(F.lit(1)).alias("_tl_n"))
     w = Window.partitionBy(*by).orderBy(PID)

@@ -15,7 +15,10 @@ tasks and no task holds a whole file:
 
 All field work afterwards is Column expressions (``functions.fields``).
 A last record cut short by the end of the file is dropped and counted in
-``broken_records``. pcapng block files are not read.
+``broken_records``. Both classic pcap (either byte order, micro- or
+nanosecond stamps) and pcapng (sections, interfaces with their own link
+type and timestamp resolution; enhanced, simple and obsolete packet blocks)
+are read; pcapng chunks carry the interface table in force at their start.
 """
 
 from __future__ import annotations
@@ -30,6 +33,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators.labels import attach_class_index, normalise_class_name
+from ..session import ensure_checkpoint_dir
 
 # Classic pcap magic numbers (as read little-endian) and
 # their (byte order, nanosecond resolution).
@@ -39,6 +43,9 @@ MAGIC = {
     0xA1B23C4D: ("<", True),
     0x4D3CB2A1: (">", True),
 }
+# Pcapng block types used.
+NG_SHB, NG_IDB, NG_OPB, NG_SPB, NG_EPB = 0x0A0D0D0A, 1, 2, 3, 6
+NG_BYTE_ORDER_MAGIC = 0x1A2B3C4D
 GLOBAL_HEADER = 24
 RECORD_HEADER = 16
 DEFAULT_CHUNK_BYTES = 32 << 20
@@ -54,6 +61,10 @@ CHUNK_SCHEMA = T.StructType([
     T.StructField("big_endian", T.BooleanType(), False),
     T.StructField("nanos", T.BooleanType(), False),
     T.StructField("broken", T.LongType(), False),
+    # pcapng: interface table (link type, ticks per second) in force at start
+    T.StructField("ng", T.BooleanType(), False),
+    T.StructField("if_link", T.ArrayType(T.IntegerType()), True),
+    T.StructField("if_res", T.ArrayType(T.LongType()), True),
 ])
 
 FRAMED_SCHEMA = T.StructType([
@@ -102,10 +113,74 @@ def read_header(f) -> tuple[str, bool, int] | None:
     return order, nanos, linktype
 
 
+def _ng_tsres(options: bytes, order: str) -> int:
+    """Ticks per second from an interface block's options (if_tsresol)."""
+    off = 0
+    while off + 4 <= len(options):
+        code, length = struct.unpack_from(order + "HH", options, off)
+        if code == 0:
+            break
+        if code == 9 and length >= 1:
+            v = options[off + 4]
+            return 2 ** (v & 0x7F) if v & 0x80 else 10 ** v
+        off += 4 + ((length + 3) // 4) * 4
+    return 1_000_000
+
+
+def _ng_block_head(hdr: bytes, order: str | None) -> tuple[str, int, int]:
+    """(byte order, block type, block length) of the block starting at hdr."""
+    if struct.unpack("<I", hdr[:4])[0] == NG_SHB:
+        order = "<" if struct.unpack("<I", hdr[8:12])[0] == NG_BYTE_ORDER_MAGIC else ">"
+    btype, blen = struct.unpack(order + "II", hdr[:8])
+    return order, btype, blen
+
+
+def _index_ng(f, path: str, size: int, chunk_bytes: int):
+    """Walk pcapng blocks by their lengths; packets are EPB, SPB and OPB."""
+    pos, order, ifaces = 0, None, []
+    start, first, n, ordinal, broken = 0, 0, 0, 0, 0
+    state = (order, [])
+    while pos + 12 <= size:
+        f.seek(pos)
+        hdr = f.read(12)
+        order, btype, blen = _ng_block_head(hdr, order)
+        if blen < 12 or pos + blen > size:
+            broken += 1
+            break
+        if btype == NG_SHB:
+            ifaces = []
+        elif btype == NG_IDB:
+            f.seek(pos + 8)
+            body = f.read(blen - 12)
+            ifaces.append((struct.unpack_from(order + "H", body, 0)[0], _ng_tsres(body[8:], order)))
+        elif btype in (NG_EPB, NG_SPB, NG_OPB):
+            n += 1
+            ordinal += 1
+        pos += blen
+        if pos - start >= chunk_bytes:
+            yield _ng_chunk(path, start, pos, first, n, state, 0)
+            start, first, n, state = pos, ordinal, 0, (order, list(ifaces))
+    if pos < size and not broken:
+        broken += 1
+    if n > 0 or broken or ordinal == 0:
+        yield _ng_chunk(path, start, pos, first, n, state, broken)
+
+
+def _ng_chunk(path, start, end, first, n, state, broken):
+    order, ifaces = state
+    return (path, start, end, first, n, ifaces[0][0] if ifaces else 1, order == ">", False, broken,
+            True, [lt for lt, _ in ifaces], [r for _, r in ifaces])
+
+
 def _index_file(path: str, chunk_bytes: int):
     """Yield chunk tuples for one file by walking record headers only."""
     with _open(path) as raw:
         f = raw if hasattr(raw, "seek") else raw
+        magic = f.read(4)
+        f.seek(0)
+        if len(magic) == 4 and struct.unpack("<I", magic)[0] == NG_SHB:
+            yield from _index_ng(f, path, _size(f, path), chunk_bytes)
+            return
         head = read_header(f)
         if head is None:
             return
@@ -134,10 +209,10 @@ def _index_file(path: str, chunk_bytes: int):
             n += 1
             ordinal += 1
             if pos - start >= chunk_bytes:
-                yield (path, start, pos, first, n, linktype, order == ">", nanos, 0)
+                yield (path, start, pos, first, n, linktype, order == ">", nanos, 0, False, None, None)
                 start, first, n = pos, ordinal, 0
         if n > 0 or broken or ordinal == 0:
-            yield (path, start, pos, first, n, linktype, order == ">", nanos, broken)
+            yield (path, start, pos, first, n, linktype, order == ">", nanos, broken, False, None, None)
 
 
 def _size(f, path: str) -> int:
@@ -175,10 +250,62 @@ def _frame_fn(batch_rows: int = 4096):
             pa.array([meta[0]] * n, pa.string()), pa.array([meta[1]] * n, pa.int32()),
             pa.array([meta[2]] * n, pa.int64())], schema=out_schema)
 
+    def frame_ng(d, i):
+        """Packets of one pcapng chunk (blocks replayed from its start state)."""
+        path, start, end = d["path"][i], d["start"][i], d["end"][i]
+        order = ">" if d["big_endian"][i] else "<"
+        ifaces = list(zip(d["if_link"][i] or [], d["if_res"][i] or []))
+        ordinal = d["first_ordinal"][i]
+        meta = (d["class_name"][i], d["CLASS"][i], d["n_in_capture"][i])
+        cols = ([], [], [], [], [], [])
+        with _open(path) as f:
+            f.seek(start)
+            buf = f.read(end - start)
+        off = 0
+        while off + 12 <= len(buf):
+            order, btype, blen = _ng_block_head(buf[off:off + 12], order)
+            body = buf[off + 8: off + blen - 4]
+            if btype == NG_SHB:
+                ifaces = []
+            elif btype == NG_IDB:
+                ifaces.append((struct.unpack_from(order + "H", body, 0)[0], _ng_tsres(body[8:], order)))
+            elif btype in (NG_EPB, NG_OPB):
+                if btype == NG_EPB:
+                    iface, hi, lo, cap, orig = struct.unpack_from(order + "IIIII", body, 0)
+                else:
+                    iface, _drops, hi, lo, cap, orig = struct.unpack_from(order + "HHIIII", body, 0)
+                lt, res = ifaces[iface] if iface < len(ifaces) else (1, 1_000_000)
+                cols[0].append(path)
+                cols[1].append(ordinal)
+                cols[2].append(((hi << 32) | lo) * 1_000_000 // res)
+                cols[3].append(lt)
+                cols[4].append(orig)
+                cols[5].append(body[20:20 + cap])
+                ordinal += 1
+            elif btype == NG_SPB:
+                orig = struct.unpack_from(order + "I", body, 0)[0]
+                lt = ifaces[0][0] if ifaces else 1
+                cols[0].append(path)
+                cols[1].append(ordinal)
+                cols[2].append(None)
+                cols[3].append(lt)
+                cols[4].append(orig)
+                cols[5].append(body[4:4 + min(orig, len(body) - 4)])
+                ordinal += 1
+            off += blen
+            if len(cols[0]) >= batch_rows:
+                yield flush(cols, meta)
+                cols = ([], [], [], [], [], [])
+        if cols[0]:
+            yield flush(cols, meta)
+
     def frame(batches):
         for rb in batches:
             d = rb.to_pydict()
             for i in range(rb.num_rows):
+                if d["ng"][i]:
+                    yield from frame_ng(d, i)
+                    continue
                 path, start, end = d["path"][i], d["start"][i], d["end"][i]
                 order = ">" if d["big_endian"][i] else "<"
                 div = 1000 if d["nanos"][i] else 1
@@ -255,6 +382,7 @@ def frames_from_listing(listing: DataFrame, classes: list[str] | None = None,
     """Index + framing passes over a listing ``(path, class_name)``. Pass
     ``classes`` for stable class indices across separate runs (streams)."""
     spark = listing.sparkSession
+    ensure_checkpoint_dir(spark)
     chunks = index_captures(listing, chunk_bytes, partitions)
     # chunk table: a few rows per 32 MB of capture; checkpointed so the
     # index pass runs once although the table is used twice.
