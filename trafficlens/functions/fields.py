@@ -83,26 +83,33 @@ def with_layers(df: DataFrame, frame: str = "frame", linktype: str = "linktype")
                  .when(lt == LINKTYPE_LINUX_SLL2, uint16(fr, 1)))
     df = df.withColumns({_H + "ip": _rest(fr, l3pos), _H + "eth": ethertype})
 
+    # the first three 32-bit words of the IP header, each read once:
+    # w0 = version|ihl, tos, total length (v6: version, class, flow)
+    # w1 = id, flags|fragment (v6: payload length, next header, hop limit)
+    # w2 = ttl, protocol, checksum
     ip = _h("ip")
-    b0 = uint8(ip, 1)
-    version = F.shiftright(b0, 4)
-    ihl = b0.bitwiseAND(15)
+    df = df.withColumns({_H + "w0": uint32(ip, 1), _H + "w1": uint32(ip, 5), _H + "w2": uint32(ip, 9)})
+    w0, w1 = _h("w0"), _h("w1")
+    version = F.shiftright(w0, 28)
+    ihl = F.shiftright(w0, 24).bitwiseAND(15)
     df = df.withColumns({
         _H + "v4": F.coalesce((raw | (_h("eth") == ETH_IPV4)) & (version == 4) & (ihl >= 5)
                               & (F.length(ip) >= 20), F.lit(False)),
         _H + "v6": F.coalesce((raw | (_h("eth") == ETH_IPV6)) & (version == 6)
                               & (F.length(ip) >= 40), F.lit(False)),
-        _H + "ver": version, _H + "ihl": ihl,
-        _H + "nh": uint8(ip, 7), _H + "frag": uint16(ip, 7).bitwiseAND(0x1FFF),
+        _H + "ver": version.cast("int"), _H + "ihl": ihl.cast("int"),
+        _H + "nh": F.shiftright(w1, 8).bitwiseAND(255).cast("int"),
+        _H + "frag": w1.bitwiseAND(0x1FFF).cast("int"),
     })
 
     v4, v6 = _h("v4"), _h("v6")
     ext = _h("nh").isin(*IPV6_EXT_HEADERS)
-    proto = F.when(v4, uint8(ip, 10)).when(v6, F.when(ext, uint8(ip, 41)).otherwise(_h("nh")))
+    proto = (F.when(v4, F.shiftright(_h("w2"), 16).bitwiseAND(255).cast("int"))
+             .when(v6, F.when(ext, uint8(ip, 41)).otherwise(_h("nh"))))
     # 1-based start of the transport header inside the IP sub-frame
     l4start = (F.when(v4, _h("ihl") * 4 + 1)
                .when(v6, F.when(ext, (uint8(ip, 42) + 1) * 8 + 41).otherwise(F.lit(41))))
-    total4, plen6 = uint16(ip, 3), uint16(ip, 5)
+    total4, plen6 = _h("w0").bitwiseAND(0xFFFF), F.shiftright(_h("w1"), 16)
     # IP length from layer 3 on; a zero length field (segmentation offload)
     # falls back to the captured bytes.
     iplen = (F.when(v4, F.when(total4 > 0, total4).otherwise(F.length(ip)))
@@ -124,16 +131,26 @@ def with_layers(df: DataFrame, frame: str = "frame", linktype: str = "linktype")
     df = df.withColumns({_H + "l4hdr": l4hdr})
     # payload bytes after the transport header (all of a later fragment)
     paylen = F.when(tcp | udp | _h("later"), _h("iplen") - _h("l4start") + 1 - _h("l4hdr"))
-    return df.withColumns({_H + "paylen": paylen})
+    # packed words read once here: the sealed output below does not share
+    # subexpressions, so each is computed in this stage
+    return df.withColumns({_H + "paylen": paylen, _H + "src": uint32(ip, 13), _H + "dst": uint32(ip, 17),
+                           _H + "ports": uint32(_h("l4"), 1)})
 
 
 def drop_layers(df: DataFrame) -> DataFrame:
     return df.drop(*[c for c in df.columns if c.startswith(_H)])
 
 
+def _octets(word: Column) -> list[Column]:
+    """The four bytes of a 32-bit word, most significant first."""
+    return [F.shiftright(word, 24 - 8 * i).bitwiseAND(255) for i in range(4)]
+
+
 def dotted_length(o1: Column, o2: Column, o3: Column, o4: Column) -> Column:
-    """Length of the dotted-quad text of four octets (7..15)."""
-    return F.length(F.concat_ws(".", *[o.cast("string") for o in (o1, o2, o3, o4)]))
+    """Length of the dotted-quad text of four octets (7..15): three dots plus
+    the decimal digits of each octet, by arithmetic (no strings built)."""
+    digits = [F.lit(1) + (o >= 10).cast("int") + (o >= 100).cast("int") for o in (o1, o2, o3, o4)]
+    return digits[0] + digits[1] + digits[2] + digits[3] + 3
 
 
 def ip_text_octets(text: Column) -> list[Column]:
@@ -155,18 +172,19 @@ def ip_text_octets(text: Column) -> list[Column]:
 def packet_feature_columns(ts: str = "ts") -> dict[str, Column]:
     """The 19 feature columns (CLASS excluded), over ``with_layers`` output."""
     t = F.col(ts)
-    ip, l4, v4, tcp = _h("ip"), _h("l4"), _h("v4"), _h("tcp")
+    v4, tcp = _h("v4"), _h("tcp")
     cols: dict[str, Column] = {}
-    src = [uint8(ip, 13 + i) for i in range(4)]
-    dst = [uint8(ip, 17 + i) for i in range(4)]
+    src = _octets(_h("src"))
+    dst = _octets(_h("dst"))
     cols["LEN_SRC_IP"] = F.when(v4, dotted_length(*src))
     cols["LEN_DEST_IP"] = F.when(v4, dotted_length(*dst))
     for i in range(4):
         cols[f"Source_IP{i + 1}"] = F.when(v4, src[i])
     for i in range(4):
         cols[f"Destination_IP{i + 1}"] = F.when(v4, dst[i])
-    cols["TCP_SPORT"] = F.when(tcp, uint16(l4, 1))
-    cols["TCP_DPORT"] = F.when(tcp, uint16(l4, 3))
+    ports = _h("ports")
+    cols["TCP_SPORT"] = F.when(tcp, F.shiftright(ports, 16))
+    cols["TCP_DPORT"] = F.when(tcp, ports.bitwiseAND(0xFFFF))
     # hex length of the payload = 2 x bytes; null when there is none
     cols["LEN_RAW"] = F.when(_h("paylen") > 0, _h("paylen") * 2)
     ip_tcp = v4 & tcp
@@ -179,36 +197,51 @@ def packet_feature_columns(ts: str = "ts") -> dict[str, Column]:
     return {k: v.cast("int") for k, v in cols.items()}
 
 
+def with_extended_words(df: DataFrame, frame: str = "frame") -> DataFrame:
+    """Words the extended table slices, read once per row (after
+    ``with_layers``): the 12 MAC bytes as three words, the ethertype, and
+    the four TCP words after the ports."""
+    fr, l4 = F.col(frame), _h("l4")
+    return df.withColumns({
+        _H + "m0": uint32(fr, 1), _H + "m1": uint32(fr, 5), _H + "m2": uint32(fr, 9),
+        _H + "type": uint16(fr, 13),
+        _H + "t0": uint32(l4, 5), _H + "t1": uint32(l4, 9), _H + "t2": uint32(l4, 13), _H + "t3": uint32(l4, 17),
+    })
+
+
 def extended_columns(frame: str = "frame", ts: str = "ts", linktype: str = "linktype") -> dict[str, Column]:
-    fr, ip, l4 = F.col(frame), _h("ip"), _h("l4")
+    """Extended header fields over ``with_layers`` + ``with_extended_words``."""
     v4, tcp = _h("v4"), _h("tcp")
     eth = F.col(linktype) == LINKTYPE_ETHERNET
+    mac = _octets(_h("m0")) + _octets(_h("m1")) + _octets(_h("m2"))
     cols: dict[str, Column] = {}
     cols["VERSION"] = F.when(v4, _h("ver"))
     cols["IHL"] = F.when(v4, _h("ihl"))
     for i in range(6):
-        cols[f"DST_{i + 1}"] = F.when(eth, uint8(fr, 1 + i))
+        cols[f"DST_{i + 1}"] = F.when(eth, mac[i])
     for i in range(6):
-        cols[f"SRC_{i + 1}"] = F.when(eth, uint8(fr, 7 + i))
-    cols["TYPE"] = F.when(eth, uint16(fr, 13))
-    cols["LEN"] = F.when(v4, uint16(ip, 3))
-    cols["ID"] = F.when(v4, uint16(ip, 5))
-    cols["IP_FLAGS"] = F.when(v4, F.shiftright(uint16(ip, 7), 13))
+        cols[f"SRC_{i + 1}"] = F.when(eth, mac[6 + i])
+    cols["TYPE"] = F.when(eth, _h("type"))
+    w0, w1, w2 = _h("w0"), _h("w1"), _h("w2")
+    cols["LEN"] = F.when(v4, w0.bitwiseAND(0xFFFF))
+    cols["ID"] = F.when(v4, F.shiftright(w1, 16))
+    cols["IP_FLAGS"] = F.when(v4, F.shiftright(w1, 13).bitwiseAND(7))
     cols["FRAG"] = F.when(v4, _h("frag"))
-    cols["TTL"] = F.when(v4, uint8(ip, 9))
-    cols["PROTO"] = F.when(v4, uint8(ip, 10))
-    cols["CHKSUM"] = F.when(v4, uint16(ip, 11))
-    cols["DATAOFS"] = F.when(tcp, F.shiftright(uint8(l4, 13), 4))
-    cols["RESERVED"] = F.when(tcp, F.shiftright(uint8(l4, 13), 1).bitwiseAND(7))
-    cols["TCP_FLAGS"] = F.when(tcp, uint16(l4, 13).bitwiseAND(511))
-    cols["WINDOW"] = F.when(tcp, uint16(l4, 15))
-    cols["CHKSUM_"] = F.when(tcp, uint16(l4, 17))
-    cols["URGPTR"] = F.when(tcp, uint16(l4, 19))
+    cols["TTL"] = F.when(v4, F.shiftright(w2, 24))
+    cols["PROTO"] = F.when(v4, F.shiftright(w2, 16).bitwiseAND(255))
+    cols["CHKSUM"] = F.when(v4, w2.bitwiseAND(0xFFFF))
+    t2, t3 = _h("t2"), _h("t3")
+    cols["DATAOFS"] = F.when(tcp, F.shiftright(t2, 28))
+    cols["RESERVED"] = F.when(tcp, F.shiftright(t2, 25).bitwiseAND(7))
+    cols["TCP_FLAGS"] = F.when(tcp, F.shiftright(t2, 16).bitwiseAND(511))
+    cols["WINDOW"] = F.when(tcp, t2.bitwiseAND(0xFFFF))
+    cols["CHKSUM_"] = F.when(tcp, F.shiftright(t3, 16))
+    cols["URGPTR"] = F.when(tcp, t3.bitwiseAND(0xFFFF))
     out = {k: v.cast("int") for k, v in cols.items()}
     assert list(out) == EXTENDED_INT_COLUMNS
-    out["SEQ"] = F.when(tcp, uint32(l4, 5))
-    out["ACK"] = F.when(tcp, uint32(l4, 9))
-    out["MESSAGE_RAW"] = F.when(_h("paylen") > 0, F.substring(l4, _h("l4hdr") + 1, _h("paylen")))
+    out["SEQ"] = F.when(tcp, _h("t0"))
+    out["ACK"] = F.when(tcp, _h("t1"))
+    out["MESSAGE_RAW"] = F.when(_h("paylen") > 0, F.substring(_h("l4"), _h("l4hdr") + 1, _h("paylen")))
     out["TIME_TCP"] = F.when(v4 & tcp, F.date_trunc("second", F.col(ts)))
     name = None
     for code, text in LINKTYPE_NAMES.items():
@@ -250,10 +283,18 @@ def packet_features(df: DataFrame, class_col: str = "CLASS", frame: str = "frame
 def extended_features(df: DataFrame, class_col: str = "CLASS", frame: str = "frame",
                       ts: str = "ts", linktype: str = "linktype", keep: list[str] | None = None) -> DataFrame:
     feats = packet_feature_columns(ts)
-    cols = {"CLASS": F.col(class_col).cast("int")}
-    cols.update((c, feats[c]) for c in PACKET_COLUMNS[1:])
-    cols.update(extended_columns(frame, ts, linktype))
-    return sealed(with_layers(df, frame, linktype), list(keep or []), cols)
+    ext = extended_columns(frame, ts, linktype)
+    base = {"CLASS": F.col(class_col).cast("int")}
+    base.update((c, feats[c]) for c in PACKET_COLUMNS[1:])
+    staged = with_extended_words(with_layers(df, frame, linktype), frame)
+    helpers = [c for c in staged.columns if c.startswith(_H)] + [frame, ts, linktype]
+    keep = list(keep or [])
+    # three smaller seals instead of one: each generated method stays small
+    # enough for the JIT
+    out = sealed(staged, keep + helpers, base)
+    out = sealed(out, keep + helpers + PACKET_COLUMNS, {k: ext[k] for k in EXTENDED_INT_COLUMNS})
+    rest = {k: v for k, v in ext.items() if k not in EXTENDED_INT_COLUMNS}
+    return sealed(out, keep + PACKET_COLUMNS + EXTENDED_INT_COLUMNS, rest)
 
 
 def layer_flags(df: DataFrame, frame: str = "frame", linktype: str = "linktype",
