@@ -29,10 +29,14 @@ def events_stream(spark: SparkSession, sf_dir: str, files_per_trigger: int = 1)
 
 
 def run_to_table(stream: DataFrame, path: str, mode: str = "append", checkpoint: str | None = None,
-                 transform=None) -> str:
+                 transform=None, stats: dict | None = None) -> str:
     """Run ``stream`` until all available input is processed; each
     micro-batch is written (optionally transformed) to parquet ``path``.
-    In complete mode every batch overwrites the table."""
+    In complete mode every batch overwrites the table. ``stats`` (a dict)
+    receives the input rows, micro-batches and the rows that stateful
+    operators dropped as later than the watermark (counted after partial
+    aggregation: late samples of one group count once per task). Late data
+    is judged against the watermark of the previous micro-batch."""
     spark = stream.sparkSession
     ckpt = checkpoint or scratch_path(spark, "stream-ckpt")
 
@@ -43,9 +47,27 @@ def run_to_table(stream: DataFrame, path: str, mode: str = "append", checkpoint:
     q = (stream.writeStream.outputMode(mode).foreachBatch(sink)
          .option("checkpointLocation", ckpt).trigger(availableNow=True).start())
     q.awaitTermination()
+    if stats is not None:
+        stats.update(progress_totals(q.recentProgress))
     return path
 
 
+def progress_totals(progress) -> dict:
+    """Input rows, batches and watermark-dropped rows over query progress."""
+    def get(obj, key, default=0):
+        try:
+            return obj[key]
+        except (KeyError, TypeError, IndexError):
+            return getattr(obj, key, default)
+    late = 0
+    rows = 0
+    for p in progress:
+        rows += get(p, "numInputRows") or 0
+        for op in get(p, "stateOperators", []) or []:
+            late += get(op, "numRowsDroppedByWatermark") or 0
+    return {"input_rows": int(rows), "batches": len(progress), "late_rows": int(late)}
+
+
 def score_stream(model: PipelineModel, packets: DataFrame) -> DataFrame:
     """Scoring is a stateless projection: the fitted pipeline applies to a
     streaming DataFrame unchanged."""
