@@ -33,8 +33,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def spread(df: DataFrame) -> DataFrame:
     """Give a small input (fewer scan splits than cores, e.g. one row group)
     all cores; a large input already has enough splits and is left alone."""
-    n = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(n) if df.rdd.getNumPartitions() < n else df
+    try:
+        n = df.sparkSession.sparkContext.defaultParallelism
+        parts = df.rdd.getNumPartitions()
+    except Exception:  # noqa: BLE001 - no RDD view (e.g. a remote session): leave as scanned
+        return df
+    return df.repartition(n) if parts < n else df
 
 
 def events(spark, sf_dir) -> DataFrame:
