@@ -12,7 +12,19 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import fields
-from ..schema import EXTENDED_INT_COLUMNS, PACKET_COLUMNS
+from ..operators import evaluate as EV
+from ..operators import metrics as MX
+from ..operators import prepare as PR
+from ..operators import profile as PF
+from ..operators import sample as SA
+from ..operators.labels import class_dimension
+from ..schema import EXTENDED_INT_COLUMNS, FEATURE_COLUMNS, PACKET_COLUMNS
+from ..session import scratch_path
+from ..sources import capture as CAP
+from ..sources import dataset as DS
+from ..streaming import jobs as SJ
+from ..streaming import metrics as SM
+from . import model as M
 from . import projections as P
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -119,12 +131,6 @@ def q_ip_text_parse(spark, sf_dir):
 
 # ---- S3 / P / U / S4: labels, subsets, unions, prefix samples -----------------
 
-from ..operators import evaluate as EV  # noqa: E402
-from ..operators import prepare as PR  # noqa: E402
-from ..operators import profile as PF  # noqa: E402
-from ..operators import sample as SA  # noqa: E402
-from ..operators.labels import class_dimension  # noqa: E402
-from ..schema import FEATURE_COLUMNS  # noqa: E402
 
 SUBSET_CLASSES = ["click", "purchase", "view"]
 
@@ -288,8 +294,6 @@ def q_weighted_scores(spark, sf_dir):
 
 # ---- X1-X9, S9, S12, X11: training, report, model store, scoring ----------------
 
-from . import model as M  # noqa: E402
-from ..session import scratch_path  # noqa: E402
 
 
 def training_table(spark, sf_dir, percent: int = 100, compat: bool = False) -> DataFrame:
@@ -345,7 +349,6 @@ def q_score_new_traffic(spark, sf_dir):
 
 # ---- M1-M13: metric questions over the samples projection -----------------------
 
-from ..operators import metrics as MX  # noqa: E402
 
 
 def samples_table(spark, sf_dir) -> DataFrame:
@@ -375,8 +378,6 @@ register("metric_cpu_share")(_metric(MX.cpu_share))
 
 # ---- S1/S2/S5-S8/S11: captures, parquet tables, inventory, event log --------------
 
-from ..sources import capture as CAP  # noqa: E402
-from ..sources import dataset as DS  # noqa: E402
 
 
 def captures_from_events(spark, sf_dir) -> str:
@@ -445,8 +446,6 @@ def q_event_log_report(spark, sf_dir):
 
 # ---- T1-T3: streaming ---------------------------------------------------------------
 
-from ..streaming import jobs as SJ  # noqa: E402
-from ..streaming import metrics as SM  # noqa: E402
 
 
 def event_classes(spark, sf_dir) -> list[str]:
