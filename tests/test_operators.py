@@ -128,3 +128,13 @@ def test_null_policy(spark):
     assert counts == {"a": 0, "b": 1}
     with pytest.raises(ValueError):
         PR.apply_null_policy(df, "drop-everything")
+
+
+def test_hot_key_is_split_over_tasks_and_summary_is_small(spark):
+    df = _skewed(spark)  # 40 % of rows on one key
+    scanned = OR.local_scan(df, ["key"], ["t", "id"], "v", partitions=8)
+    per_key = {r["key"]: r["tasks"] for r in
+               scanned.groupBy("key").agg(F.countDistinct(OR.PID).alias("tasks")).collect()}
+    assert per_key["hot"] >= 3
+    summary_rows = scanned.select(OR.PID, "key").distinct().count()
+    assert summary_rows <= len(per_key) + 8

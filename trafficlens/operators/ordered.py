@@ -3,13 +3,15 @@ without putting a whole group in one task.
 
 A plain ``Window.partitionBy(key).orderBy(t)`` sends every row of a key to one
 task, so a key holding a third of the data runs in one task. Here rows are
-range-partitioned on the *ordering* columns instead (a time slice of every key
-per task, balanced by Spark's sampled range bounds), sorted inside each task,
-and scanned once by an Arrow-batched pandas pass that emits the local position
-and local previous value per (task, key). Only a per-(task, key) summary — at
-most one row per key per task — is combined across tasks, by a window over
-that small table. Aggregates (counter increases) finish on the summary alone;
-per-row results (ordinals) join the summary back on (task, key).
+range-partitioned on (key, ordering columns): Spark's sampled range bounds cut
+the globally sorted sequence into equal slices, so a hot key is split over
+many tasks while every other key stays in one. Each task is sorted and
+scanned once by an Arrow-batched pandas pass that emits the local position
+and local previous value per (task, key). Only a per-(task, key) summary is
+combined across tasks — about one row per key plus one per task, since only
+keys at slice borders span tasks — by a window over that small table.
+Aggregates (counter increases) finish on the summary alone; per-row results
+(ordinals) join the summary back on (task, key).
 """
 
 from __future__ import annotations
@@ -74,13 +76,14 @@ def _local_scan_fn(by: list[str], value: str | None):
 
 def local_scan(df: DataFrame, by: list[str], order: list[str], value: str | None = None,
                partitions: int | None = None) -> DataFrame:
-    """Range-partition on ``order`` (which must be a total order, e.g. end in
-    a unique id), sort each task by (by, order) and add ``_tl_pid`` (task),
+    """Range-partition on (by, order) (``order`` must make a total order
+    within a key, e.g. end in a unique id), sort each task the same way and
+    add ``_tl_pid`` (task),
     ``_tl_idx`` (0-based position inside the (task, key) run) and, if
     ``value`` is given, ``_tl_prev`` (previous value in that run, NaN at the
     run start)."""
     n = _partitions(df, partitions)
-    ranged = df.repartitionByRange(n, *order).sortWithinPartitions(*by, *order)
+    ranged = df.repartitionByRange(n, *by, *order).sortWithinPartitions(*by, *order)
     fields = list(df.schema.fields) + [T.StructField(PID, T.IntegerType(), False),
                                        T.StructField(IDX, T.LongType(), False)]
     if value is not None:
