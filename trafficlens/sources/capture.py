@@ -357,10 +357,18 @@ def list_captures(spark: SparkSession, root: str, glob: str = "*") -> DataFrame:
         F.regexp_extract("path", r"([^/]+)/[^/]+$", 1)))
 
 
+FILES_PER_INDEX_TASK = 64
+
+
 def index_captures(listing: DataFrame, chunk_bytes: int = DEFAULT_CHUNK_BYTES,
                    partitions: int | None = None) -> DataFrame:
+    """Index pass: files spread over tasks (at least one task per
+    ``FILES_PER_INDEX_TASK`` files, never fewer than the shuffle width)."""
     spark = listing.sparkSession
-    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
+    n = partitions
+    if not n:
+        base = int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
+        n = max(base, -(-listing.count() // FILES_PER_INDEX_TASK))
     spread = listing.select("path").repartition(n, "path")
     return spread.mapInPandas(_index_fn(chunk_bytes), CHUNK_SCHEMA)
 
@@ -391,7 +399,10 @@ def frames_from_listing(listing: DataFrame, classes: list[str] | None = None,
     labelled = attach_class_index(listing.select("path", "class_name"), "class_name", "CLASS", classes)
     # per-file facts ride on the (small) chunk rows, so frames never join
     work = chunks.where(F.col("records") > 0).join(totals, "path").join(labelled, "path")
-    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
+    # about one framing task per chunk (~chunk_bytes each): the task count
+    # grows with the data; the chunk table is materialised, so counting it
+    # is cheap
+    n = partitions or max(int(spark.conf.get("spark.sql.shuffle.partitions", "200")), chunks.count())
     work = work.repartition(n, "path", "start")
     return work.mapInArrow(_frame_fn(), FRAMED_SCHEMA)
 
