@@ -108,10 +108,11 @@ def position_in_group(df: DataFrame, by: list[str], order: list[str], out: str =
     return joined.withColumn(out, F.col("_tl_off") + F.col(IDX)).drop(PID, IDX, "_tl_off")
 
 
-def counter_delta(prev: str, cur: str):
+def counter_delta(prev, cur):
     """Increase between two consecutive counter samples: the difference, or
-    the new value itself after a reset."""
-    p, c = F.col(prev), F.col(cur)
+    the new value itself after a reset; 0 without a previous sample (NaN
+    becomes null through Arrow, so both count as missing)."""
+    p, c = F.col(prev) if isinstance(prev, str) else prev, F.col(cur) if isinstance(cur, str) else cur
     return F.when(p.isNull() | F.isnan(p), F.lit(0.0)).when(c >= p, c - p).otherwise(c)
 
 
@@ -124,10 +125,7 @@ def counter_increase(df: DataFrame, by: list[str], order: list[str], value: str
     are passed through. Skew-safe: partial sums per (task, key), then
     the deltas across task boundaries are added on the small summary."""
     scanned = local_scan(df, by, order, value, partitions)
-    no_prev = F.col(PREV).isNull() | F.isnan(F.col(PREV))  # NaN becomes null through Arrow
-    scanned = scanned.withColumn("_tl_d", F.when(no_prev, F.lit(0.0))
-                                 .when(F.col(value) >= F.col(PREV), F.col(value) - F.col(PREV))
-                                 .otherwise(F.col(value)))
+    scanned = scanned.withColumn("_tl_d", counter_delta(PREV, value))
     okey = F.struct(*[F.col(c) for c in order])
     part = scanned.groupBy(PID, *by).agg(
         F.sum("_tl_d").alias("_tl_inner"),
@@ -138,9 +136,7 @@ def counter_increase(df: DataFrame, by: list[str], order: list[str], value: str
     )
     w = Window.partitionBy(*by).orderBy(PID)
     part = part.withColumn("_tl_before", F.lag("_tl_last").over(w))
-    part = part.withColumn("_tl_edge", F.when(F.col("_tl_before").isNull(), F.lit(0.0))
-                           .when(F.col("_tl_first") >= F.col("_tl_before"), F.col("_tl_first") - F.col("_tl_before"))
-                           .otherwise(F.col("_tl_first")))
+    part = part.withColumn("_tl_edge", counter_delta("_tl_before", "_tl_first"))
     return part.groupBy(*by).agg((F.sum("_tl_inner") + F.sum("_tl_edge")).alias(out),
                                  F.sum("_tl_n").alias("samples"),
                                  *[F.any_value(c).alias(c) for c in carry or []])

@@ -403,6 +403,16 @@ def q_capture_discovery(spark, sf_dir):
         F.count(F.lit(1)).alias("files"), F.sum("length").alias("bytes"))
 
 
+@register("capture_records_per_class")
+def q_capture_records_per_class(spark, sf_dir):
+    """Records per class folder from the index pass alone (no frame read)."""
+    root = captures_from_events(spark, sf_dir)
+    listing = CAP.list_captures(spark, root)
+    per_file = CAP.index_captures(listing).groupBy("path").agg(F.sum("records").alias("records"))
+    return per_file.join(listing.select("path", "class_name"), "path") \
+        .groupBy("class_name").agg(F.sum("records").cast("bigint").alias("records"))
+
+
 @register("file_inventory")
 def q_file_inventory(spark, sf_dir):
     root = captures_from_events(spark, sf_dir)
