@@ -111,9 +111,11 @@ def with_layers(df: DataFrame, frame: str = "frame", linktype: str = "linktype")
                .when(v6, F.when(ext, (uint8(ip, 42) + 1) * 8 + 41).otherwise(F.lit(41))))
     total4, plen6 = _h("w0").bitwiseAND(0xFFFF), F.shiftright(_h("w1"), 16)
     # IP length from layer 3 on; a zero length field (segmentation offload)
-    # falls back to the captured bytes.
-    iplen = (F.when(v4, F.when(total4 > 0, total4).otherwise(F.length(ip)))
-             .when(v6, F.when(plen6 > 0, plen6 + 40).otherwise(F.length(ip))))
+    # falls back to the captured bytes;
+    # a captured frame can be shorter (snap length) or longer (Ethernet
+    # padding) than the IP packet: the payload is what both allow
+    iplen = (F.when(v4, F.when(total4 > 0, F.least(total4, F.length(ip))).otherwise(F.length(ip)))
+             .when(v6, F.when(plen6 > 0, F.least(plen6 + 40, F.length(ip))).otherwise(F.length(ip))))
     df = df.withColumns({_H + "proto": proto, _H + "l4start": l4start, _H + "iplen": iplen})
 
     l4 = _rest(ip, _h("l4start"))
