@@ -28,7 +28,7 @@ import struct
 import uuid
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -358,40 +358,175 @@ def list_captures(spark: SparkSession, root: str, glob: str = "*") -> DataFrame:
 
 
 FILES_PER_INDEX_TASK = 64
+SPLIT_BYTES = 1 << 30  # classic pcap files above this are indexed by several tasks
+SYNC_CHAIN = 8         # consecutive plausible record headers needed to sync
+_SYNC_WINDOW = 16 << 20
+
+RANGE_SCHEMA = T.StructType(list(CHUNK_SCHEMA.fields) + [
+    T.StructField("range_idx", T.IntegerType(), False),
+    T.StructField("sync_start", T.LongType(), False),
+    T.StructField("next_start", T.LongType(), False),
+])
+
+
+def _plausible_chain(buf: bytes, off: int, rec: struct.Struct, frac_max: int, incl_max: int,
+                     file_left: int, chain: int) -> bool:
+    """True when ``chain`` record headers starting at ``off`` of ``buf`` are
+    plausible and link up (or the chain reaches the end of the file)."""
+    prev = None
+    for _ in range(chain):
+        if off == len(buf) and file_left == 0:
+            return True
+        if off + RECORD_HEADER > len(buf):
+            return prev is not None and file_left > 0  # ran past the window: accept
+        sec, frac, incl, orig = rec.unpack_from(buf, off)
+        if frac >= frac_max or incl > incl_max or orig < incl or orig > (1 << 24):
+            return False
+        if prev is not None and abs(sec - prev) > 86400:
+            return False
+        prev = sec
+        off += RECORD_HEADER + incl
+        if off > len(buf) and file_left == 0:
+            return False
+    return True
+
+
+def _index_range(path: str, idx: int, lo: int, hi: int, chunk_bytes: int):
+    """Chunks of the records that *start* in [lo, hi) of one classic pcap
+    file, plus where the first record starts (sync) and where the walk left
+    the range (next), for checking against the neighbouring ranges."""
+    with _open(path) as f:
+        magic = f.read(4)
+        f.seek(0)
+        size = _size(f, path)
+        if len(magic) == 4 and struct.unpack("<I", magic)[0] == NG_SHB:
+            if idx == 0:  # block files are walked whole by the first range
+                for row in _index_ng(f, path, size, chunk_bytes):
+                    yield row + (0, 0, size)
+            return
+        head = read_header(f)
+        if head is None:
+            if idx == 0:
+                yield (path, 0, 0, 0, 0, 1, False, False, 0, False, None, None, 0, 0, 0)
+            return
+        order, nanos, linktype = head
+        f.seek(16)
+        snaplen = struct.unpack(order + "I", f.read(4))[0]
+        rec = struct.Struct(order + "IIII")
+        if idx == 0:
+            pos = GLOBAL_HEADER
+        else:
+            f.seek(lo)
+            buf = f.read(min(_SYNC_WINDOW, size - lo))
+            frac_max = 1_000_000_000 if nanos else 1_000_000
+            incl_max = max(snaplen, 65535)
+            pos = None
+            limit = min(len(buf), hi - lo)
+            for o in range(0, limit):
+                if _plausible_chain(buf, o, rec, frac_max, incl_max, size - lo - len(buf), SYNC_CHAIN):
+                    pos = lo + o
+                    break
+            if pos is None:  # no record start found: the check below sends the file to the fallback
+                yield (path, lo, lo, 0, 0, linktype, order == ">", nanos, 0, False, None, None, idx, -1, -1)
+                return
+        sync = pos
+        start, first, n, count, broken = pos, 0, 0, 0, 0
+        while pos < hi:
+            if pos + RECORD_HEADER > size:
+                if pos < size:
+                    broken += 1
+                break
+            f.seek(pos)
+            incl = rec.unpack(f.read(RECORD_HEADER))[2]
+            nxt = pos + RECORD_HEADER + incl
+            if nxt > size:
+                broken += 1
+                break
+            pos = nxt
+            n += 1
+            count += 1
+            if pos - start >= chunk_bytes:
+                yield (path, start, pos, first, n, linktype, order == ">", nanos, 0, False, None, None,
+                       idx, sync, -2)
+                start, first, n = pos, count, 0
+        yield (path, start, pos, first, n, linktype, order == ">", nanos, broken, False, None, None,
+               idx, sync, pos)
+
+
+def _range_fn(chunk_bytes: int):
+    def index(batches):
+        import pandas as pd
+        cols = [f.name for f in RANGE_SCHEMA.fields]
+        for pdf in batches:
+            rows = []
+            for p, i, lo, hi in zip(pdf["path"], pdf["range_idx"], pdf["lo"], pdf["hi"]):
+                rows.extend(_index_range(p, int(i), int(lo), int(hi), chunk_bytes))
+            yield pd.DataFrame(rows, columns=cols) if rows else pd.DataFrame({c: [] for c in cols})
+    return index
 
 
 def index_captures(listing: DataFrame, chunk_bytes: int = DEFAULT_CHUNK_BYTES,
-                   partitions: int | None = None) -> DataFrame:
-    """Index pass: files spread over tasks (at least one task per
-    ``FILES_PER_INDEX_TASK`` files, never fewer than the shuffle width)."""
+                   partitions: int | None = None, split_bytes: int = SPLIT_BYTES) -> DataFrame:
+    """Index pass. Files up to ``split_bytes`` are walked whole, spread over
+    tasks (at least one task per ``FILES_PER_INDEX_TASK`` files); larger
+    classic pcap files are cut into ``split_bytes`` ranges indexed by
+    separate tasks, each syncing on a chain of plausible record headers.
+    Range results are checked against each other (every range must start
+    where the previous one's walk ended); a file that fails the check is
+    walked again whole, so the index is exact either way."""
     spark = listing.sparkSession
     n = partitions
     if not n:
         base = int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
         n = max(base, -(-listing.count() // FILES_PER_INDEX_TASK))
-    spread = listing.select("path").repartition(n, "path")
-    return spread.mapInPandas(_index_fn(chunk_bytes), CHUNK_SCHEMA)
+    small = listing.where(F.col("length") <= split_bytes).select("path")
+    whole = small.repartition(n, "path").mapInPandas(_index_fn(chunk_bytes), CHUNK_SCHEMA)
+
+    big = listing.where(F.col("length") > split_bytes)
+    ranges = big.select("path", F.posexplode(F.sequence(F.lit(0), F.ceil(F.col("length") / split_bytes) - 1))
+                        .alias("range_idx", "k")) \
+        .select("path", F.col("range_idx").cast("int"), (F.col("k") * split_bytes).alias("lo"),
+                ((F.col("k") + 1) * split_bytes).alias("hi"))
+    parts = ranges.repartition(n, "path", "range_idx").mapInPandas(_range_fn(chunk_bytes), RANGE_SCHEMA)
+    ensure_checkpoint_dir(spark)
+    parts = parts.checkpoint(eager=True)  # small chunk rows, read twice below
+    # per (file, range): records, sync point and exit point; one row per
+    # range, so the window over a file's ranges is small
+    per_range = parts.groupBy("path", "range_idx").agg(
+        F.sum("records").alias("rn"), F.max("sync_start").alias("sync"), F.max("next_start").alias("nxt"))
+    w = Window.partitionBy("path").orderBy("range_idx")
+    per_range = per_range.withColumn(
+        "offset", F.coalesce(F.sum("rn").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))) \
+        .withColumn("ok", F.coalesce(F.lag("nxt").over(w) == F.col("sync"), F.col("range_idx") == 0)
+                    & (F.col("sync") >= 0))
+    bad = per_range.where(~F.col("ok")).select("path").distinct()
+    good = parts.join(per_range.select("path", "range_idx", "offset"), ["path", "range_idx"]) \
+        .join(bad, "path", "left_anti") \
+        .withColumn("first_ordinal", F.col("first_ordinal") + F.col("offset")) \
+        .select(*[f.name for f in CHUNK_SCHEMA.fields])
+    redo = bad.repartition(n, "path").mapInPandas(_index_fn(chunk_bytes), CHUNK_SCHEMA)
+    return whole.unionByName(good).unionByName(redo)
 
 
 def read_captures(spark: SparkSession, root: str, classes: list[str] | None = None,
                   chunk_bytes: int = DEFAULT_CHUNK_BYTES, glob: str = "*",
-                  partitions: int | None = None) -> DataFrame:
+                  partitions: int | None = None, split_bytes: int = SPLIT_BYTES) -> DataFrame:
     """Framed records of every capture under ``root/<class>/``, with
     ``class_name``, ``CLASS`` (sorted class index) and ``n_in_capture``."""
     listing = list_captures(spark, root, glob)
     if classes is not None:
         listing = listing.where(F.col("class_name").isin(*classes))
-    return frames_from_listing(listing, classes, chunk_bytes, partitions)
+    return frames_from_listing(listing, classes, chunk_bytes, partitions, split_bytes)
 
 
 def frames_from_listing(listing: DataFrame, classes: list[str] | None = None,
                         chunk_bytes: int = DEFAULT_CHUNK_BYTES,
-                        partitions: int | None = None) -> DataFrame:
+                        partitions: int | None = None, split_bytes: int = SPLIT_BYTES) -> DataFrame:
     """Index + framing passes over a listing ``(path, class_name)``. Pass
     ``classes`` for stable class indices across separate runs (streams)."""
     spark = listing.sparkSession
     ensure_checkpoint_dir(spark)
-    chunks = index_captures(listing, chunk_bytes, partitions)
+    chunks = index_captures(listing, chunk_bytes, partitions, split_bytes)
     # chunk table: a few rows per 32 MB of capture; checkpointed so the
     # index pass runs once although the table is used twice.
     chunks = chunks.checkpoint(eager=True)
@@ -407,9 +542,9 @@ def frames_from_listing(listing: DataFrame, classes: list[str] | None = None,
     return work.mapInArrow(_frame_fn(), FRAMED_SCHEMA)
 
 
-def capture_report(spark: SparkSession, root: str, glob: str = "*") -> DataFrame:
+def capture_report(spark: SparkSession, root: str, glob: str = "*", split_bytes: int = SPLIT_BYTES) -> DataFrame:
     """Per capture: records and broken trailing records (index pass only)."""
-    chunks = index_captures(list_captures(spark, root, glob))
+    chunks = index_captures(list_captures(spark, root, glob), split_bytes=split_bytes)
     return chunks.groupBy("path").agg(F.sum("records").alias("records"),
                                       F.sum("broken").alias("broken_records"))
 
