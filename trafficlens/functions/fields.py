@@ -58,7 +58,7 @@ def _h(name: str) -> Column:
 
 
 def with_layers(df: DataFrame, frame: str = "frame", linktype: str = "linktype") -> DataFrame:
-    """Add the layer helper columns ``_tl_*`` in five small projections.
+    """Add the layer helper columns ``_tl_*`` in a few small projections.
 
     Every later layer is a *sub-frame* (``_tl_ip`` starts at the IP header,
     ``_tl_l4`` at the transport header), so each field is a read at a fixed
@@ -110,10 +110,10 @@ def with_layers(df: DataFrame, frame: str = "frame", linktype: str = "linktype")
     l4start = (F.when(v4, _h("ihl") * 4 + 1)
                .when(v6, F.when(ext, (uint8(ip, 42) + 1) * 8 + 41).otherwise(F.lit(41))))
     total4, plen6 = _h("w0").bitwiseAND(0xFFFF), F.shiftright(_h("w1"), 16)
-    # IP length from layer 3 on; a zero length field (segmentation offload)
-    # falls back to the captured bytes;
-    # a captured frame can be shorter (snap length) or longer (Ethernet
-    # padding) than the IP packet: the payload is what both allow
+    # IP length from layer 3 on: a captured frame can be shorter (snap
+    # length) or longer (Ethernet padding) than the IP packet, so the payload
+    # is what both allow; a zero length field (segmentation offload) falls
+    # back to the captured bytes
     iplen = (F.when(v4, F.when(total4 > 0, F.least(total4, F.length(ip))).otherwise(F.length(ip)))
              .when(v6, F.when(plen6 > 0, F.least(plen6 + 40, F.length(ip))).otherwise(F.length(ip))))
     df = df.withColumns({_H + "proto": proto, _H + "l4start": l4start, _H + "iplen": iplen})
