@@ -141,8 +141,11 @@ def round6(df: DataFrame, cols: list[str]) -> DataFrame:
     return df
 
 
-def packets_with_positions(spark, sf_dir) -> DataFrame:
-    frames = P.packets(events(spark, sf_dir))
+def packets_with_positions(spark, sf_dir, cols=("path", "ts", "event_id", "CLASS")) -> DataFrame:
+    """Capture positions over only the columns needed: the ordered scan runs
+    in Python and checkpoints its input, and Catalyst cannot prune columns
+    through it, so frames are never carried along."""
+    frames = P.packets(events(spark, sf_dir)).select(*cols)
     return SA.with_capture_positions(frames, "path", ["ts", "event_id"])
 
 
@@ -299,11 +302,13 @@ def q_weighted_scores(spark, sf_dir):
 def training_table(spark, sf_dir, percent: int = 100, compat: bool = False) -> DataFrame:
     """Packet features keyed by (path, ordinal), the capture row key; a
     ``percent`` below 100 keeps that prefix of every capture (the 1 / 20 /
-    100 % data variants)."""
-    pos = packets_with_positions(spark, sf_dir)
-    if percent < 100:
+    100 % data variants). Frames are decoded first, so the ordered scan
+    carries ~80-byte feature rows, not frames."""
+    feats = fields.packet_features(P.packets(events(spark, sf_dir)), keep=["path", "ts", "event_id"])
+    pos = SA.with_capture_positions(feats, "path", ["ts", "event_id"])
+    if percent < 100 or compat:
         pos = SA.prefix_sample(pos, percent, compat=compat)
-    return fields.packet_features(pos, keep=["path", "ordinal"])
+    return pos.select("path", "ordinal", *PACKET_COLUMNS)
 
 
 def _train(kind, **params):
