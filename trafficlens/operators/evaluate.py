@@ -14,6 +14,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
+MAX_GRID_CLASSES = 10_000  # columns of the dense grid
+
+
 def confusion_long(pred: DataFrame, label: str = "label", prediction: str = "prediction") -> DataFrame:
     return (pred.groupBy(F.col(label).cast("double").alias("label"),
                          F.col(prediction).cast("double").alias("prediction"))
@@ -75,5 +78,8 @@ def grid_classes(confusion: DataFrame) -> list[float]:
     """Axis values of the grid: every label or prediction seen (k values)."""
     vals = (confusion.select(F.col("label").alias("c"))
             .union(confusion.select(F.col("prediction").alias("c"))).distinct())
-    return [r["c"] for r in vals.orderBy("c").collect()]
+    out = [r["c"] for r in vals.orderBy("c").limit(MAX_GRID_CLASSES + 1).collect()]
+    if len(out) > MAX_GRID_CLASSES:
+        raise ValueError(f"more than {MAX_GRID_CLASSES} classes: use the long confusion table")
+    return out
 
