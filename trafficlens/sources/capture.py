@@ -555,45 +555,65 @@ def _pcap_header(linktype: int, snaplen: int = 262144) -> bytes:
     return struct.pack("<IHHiIII", 0xA1B2C3D4, 2, 4, 0, 0, snaplen, linktype)
 
 
+class _Output:
+    """Write-then-rename output on a local or remote (pyarrow.fs) path, so a
+    retried task replaces its file atomically."""
+
+    def __init__(self, final: str):
+        self.final = final
+        self.tmp = f"{final}.{uuid.uuid4().hex}.tmp"
+        local = _local(final)
+        if local is not None:
+            os.makedirs(os.path.dirname(local), exist_ok=True)
+            self.fs, self.f = None, open(_local(self.tmp), "wb")
+        else:
+            from pyarrow import fs as pafs
+            self.fs, inner = pafs.FileSystem.from_uri(self.tmp)
+            self._tmp_inner = inner
+            self._final_inner = pafs.FileSystem.from_uri(final)[1]
+            self.f = self.fs.open_output_stream(inner)
+
+    def write(self, b: bytes) -> None:
+        self.f.write(b)
+
+    def close(self) -> None:
+        self.f.close()
+        if self.fs is None:
+            os.replace(_local(self.tmp), _local(self.final))
+        else:
+            self.fs.move(self._tmp_inner, self._final_inner)
+
+
 def _write_fn(root: str, class_col: str):
     def write(batches):
         from pyspark import TaskContext
-        ctx = TaskContext.get()
-        pid = ctx.partitionId()
-        handles: dict[str, tuple] = {}
-        written = []
+        pid = TaskContext.get().partitionId()
+        outs: dict[str, _Output] = {}
         try:
             for rb in batches:
                 d = rb.to_pydict()
                 for i in range(rb.num_rows):
                     cls = d[class_col][i]
-                    if cls not in handles:
-                        folder = os.path.join(root, cls)
-                        os.makedirs(folder, exist_ok=True)
-                        final = os.path.join(folder, f"part-{pid:05d}.pcap")
-                        tmp = final + f".{uuid.uuid4().hex}.tmp"
-                        fh = open(tmp, "wb")
-                        fh.write(_pcap_header(d["linktype"][i]))
-                        handles[cls] = (fh, tmp, final)
-                    fh = handles[cls][0]
+                    if cls not in outs:
+                        outs[cls] = _Output(f"{root.rstrip('/')}/{cls}/part-{pid:05d}.pcap")
+                        outs[cls].write(_pcap_header(d["linktype"][i]))
                     us = d["ts_us"][i]
                     body = d["frame"][i]
-                    fh.write(struct.pack("<IIII", us // 1_000_000, us % 1_000_000, len(body), d["orig_len"][i]))
-                    fh.write(body)
+                    outs[cls].write(struct.pack("<IIII", us // 1_000_000, us % 1_000_000, len(body),
+                                                d["orig_len"][i]) + body)
         finally:
-            for fh, tmp, final in handles.values():
-                fh.close()
-                os.replace(tmp, final)  # atomic: a retried task overwrites
-                written.append(final)
-        yield pa.RecordBatch.from_arrays([pa.array(written, pa.string())], names=["file"])
+            for o in outs.values():
+                o.close()
+        yield pa.RecordBatch.from_arrays([pa.array([o.final for o in outs.values()], pa.string())],
+                                         names=["file"])
     return write
 
 
 def write_captures(frames: DataFrame, root: str, class_col: str = "class_name",
                    order: list[str] | None = None, partitions: int | None = None) -> DataFrame:
     """Write framed records as classic pcap files ``root/<class>/part-N.pcap``
-    (one file per class and task, records in ``order`` inside a file).
-    Local or mounted shared paths only. Returns the written file list."""
+    (one file per class and task, records in ``order`` inside a file), on
+    local or remote storage. Returns the written file list."""
     n = partitions or int(frames.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
     order = order or ["ts_us"]
     rows = frames.select(class_col, "linktype", "orig_len", "frame",

@@ -48,11 +48,13 @@ def union_all(frames: list[DataFrame], by_name: bool = True) -> DataFrame:
 def _footer_schemas(batches):
     import pandas as pd
     import pyarrow.parquet as pq
+
+    from .capture import _open
     for pdf in batches:
         keys = []
         for f in pdf["path"]:
-            local = f[5:] if f.startswith("file:") else f
-            keys.append(str(pq.read_schema(local)))
+            with _open(f) as fh:
+                keys.append(str(pq.read_schema(fh)))
         yield pd.DataFrame({"path": pdf["path"], "schema_key": keys})
 
 
