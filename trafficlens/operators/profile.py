@@ -6,7 +6,7 @@ results."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -33,11 +33,42 @@ def stack_features(df: DataFrame, features: list[str], keep: list[str] | None =
             .where(F.col("value").isNotNull()))
 
 
-def _quartiles(value: Column, exact: bool, accuracy: int) -> Column:
-    qs = F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))
-    if exact:
-        return F.percentile(value, qs)
-    return F.percentile_approx(value, qs, accuracy)
+def _quartiles(value: Column, accuracy: int) -> Column:
+    return F.percentile_approx(value, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)), accuracy)
+
+
+def value_histogram(df: DataFrame, features: list[str]) -> DataFrame:
+    """``(feature, value, n)``: one partial-aggregated pass over the data.
+    Its size is bounded by the distinct values per feature (at most 65 536
+    for the 8/16-bit header fields), not by the row count."""
+    return stack_features(df, features).groupBy("feature", "value").agg(F.count(F.lit(1)).alias("n"))
+
+
+def _stats_from_histogram(hist: DataFrame) -> DataFrame:
+    """Exact quartiles (linear interpolation between closest ranks, as
+    ``percentile`` does), fences, whiskers and flier counts per feature,
+    computed on the histogram alone."""
+    w = Window.partitionBy("feature")
+    run = w.orderBy("value").rowsBetween(Window.unboundedPreceding, 0)
+    h = (hist.withColumn("cum", F.sum("n").over(run))
+         .withColumn("total", F.sum("n").over(w))
+         .withColumn("first_rank", F.col("cum") - F.col("n")))
+    aggs = [F.first("total").alias("n"), F.min("value").alias("min"), F.max("value").alias("max")]
+    for name, p in (("q1", 0.25), ("median", 0.5), ("q3", 0.75)):
+        pos = (F.col("total") - 1) * p
+        for side, rank in (("lo", F.floor(pos)), ("hi", F.ceil(pos))):
+            covers = (F.col("first_rank") <= rank) & (rank < F.col("cum"))
+            aggs.append(F.min(F.when(covers, F.col("value"))).alias(f"_{name}_{side}"))
+        aggs.append(F.first(pos).alias(f"_{name}_pos"))
+    st = h.groupBy("feature").agg(*aggs)
+    for name in ("q1", "median", "q3"):
+        pos, lo, hi = F.col(f"_{name}_pos"), F.col(f"_{name}_lo"), F.col(f"_{name}_hi")
+        st = st.withColumn(name, F.when(F.ceil(pos) == F.floor(pos), lo)
+                           .otherwise((F.ceil(pos) - pos) * lo + (pos - F.floor(pos)) * hi))
+    st = st.drop(*[c for c in st.columns if c.startswith("_")])
+    return st.withColumn("iqr", F.col("q3") - F.col("q1")) \
+             .withColumn("lo_fence", F.col("q1") - F.col("iqr") * 1.5) \
+             .withColumn("hi_fence", F.col("q3") + F.col("iqr") * 1.5)
 
 
 def box_statistics(df: DataFrame, features: list[str], exact: bool = True,
@@ -45,17 +76,26 @@ def box_statistics(df: DataFrame, features: list[str], exact: bool = True,
     """Per feature: n, min, q1, median, q3, iqr, whiskers (most extreme data
     inside 1.5·IQR of the box) and flier count.
 
-    ``exact`` uses ``percentile`` (linear interpolation, buffer = distinct
-    values per feature: bounded for header fields, which are at most 16-bit);
-    ``exact=False`` uses ``percentile_approx`` with constant memory for
-    unbounded columns."""
+    ``exact`` reads the data once into a value histogram (bounded by the
+    distinct values per feature) and derives everything from it;
+    ``exact=False`` uses ``percentile_approx`` (constant memory, for columns
+    with unbounded distinct values) and a second pass for the whiskers."""
+    out_cols = ["feature", "n", "min", "q1", "median", "q3", "max", "iqr", "whisker_lo", "whisker_hi", "fliers"]
+    if exact:
+        hist = value_histogram(df, features)
+        st = _stats_from_histogram(hist)
+        v, lo, hi = F.col("value"), F.col("lo_fence"), F.col("hi_fence")
+        # the joined side is the per-feature summary (one row per feature)
+        wk = hist.join(F.broadcast(st.select("feature", "lo_fence", "hi_fence")), "feature") \
+            .groupBy("feature").agg(
+                F.min(F.when(v >= lo, v)).alias("whisker_lo"),
+                F.max(F.when(v <= hi, v)).alias("whisker_hi"),
+                F.sum(F.when((v < lo) | (v > hi), F.col("n")).otherwise(F.lit(0))).alias("fliers"))
+        return st.join(wk, "feature").select(*out_cols)
     long = stack_features(df, features)
     q = long.groupBy("feature").agg(
-        F.count(F.lit(1)).alias("n"),
-        F.min("value").alias("min"),
-        F.max("value").alias("max"),
-        _quartiles(F.col("value"), exact, accuracy).alias("_q"),
-    )
+        F.count(F.lit(1)).alias("n"), F.min("value").alias("min"), F.max("value").alias("max"),
+        _quartiles(F.col("value"), accuracy).alias("_q"))
     q = q.select("feature", "n", "min", "max",
                  F.col("_q")[0].alias("q1"), F.col("_q")[1].alias("median"), F.col("_q")[2].alias("q3"))
     q = q.withColumn("iqr", F.col("q3") - F.col("q1")) \
@@ -71,18 +111,23 @@ def box_statistics(df: DataFrame, features: list[str], exact: bool = True,
         F.max(F.when(v <= hi, v)).alias("whisker_hi"),
         F.count_if((v < lo) | (v > hi)).alias("fliers"),
     )
-    return q.join(w, "feature").select("feature", "n", "min", "q1", "median", "q3", "max", "iqr",
-                                       "whisker_lo", "whisker_hi", "fliers")
+    return q.join(w, "feature").select(*out_cols)
 
 
 def box_fliers(df: DataFrame, features: list[str], exact: bool = True) -> DataFrame:
     """Every value drawn as a flier: ``(feature, value, n)`` — distinct flier
     values with their multiplicity (no cap)."""
+    v = F.col("value")
+    if exact:
+        hist = value_histogram(df, features)
+        st = _stats_from_histogram(hist)
+        return (hist.join(F.broadcast(st.select("feature", "lo_fence", "hi_fence")), "feature")
+                .where((v < F.col("lo_fence")) | (v > F.col("hi_fence")))
+                .select("feature", "value", "n"))
     long = stack_features(df, features)
-    q = long.groupBy("feature").agg(_quartiles(F.col("value"), exact, 10000).alias("_q"))
+    q = long.groupBy("feature").agg(_quartiles(v, 10000).alias("_q"))
     q = q.select("feature", (F.col("_q")[0] - (F.col("_q")[2] - F.col("_q")[0]) * 1.5).alias("lo_fence"),
                  (F.col("_q")[2] + (F.col("_q")[2] - F.col("_q")[0]) * 1.5).alias("hi_fence"))
-    v = F.col("value")
     return (long.join(F.broadcast(q), "feature")
             .where((v < F.col("lo_fence")) | (v > F.col("hi_fence")))
             .groupBy("feature", "value").agg(F.count(F.lit(1)).alias("n")))
