@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..schema import EXTENDED_INT_COLUMNS, PACKET_COLUMNS
-from .bytes import uint, uint8, uint16, uint32
+from .bytes import uint8, uint16, uint32
 
 # Capture link types understood by the decoder.
 LINKTYPE_NULL = 0
