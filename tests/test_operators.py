@@ -138,3 +138,12 @@ def test_hot_key_is_split_over_tasks_and_summary_is_small(spark):
     assert per_key["hot"] >= 3
     summary_rows = scanned.select(OR.PID, "key").distinct().count()
     assert summary_rows <= len(per_key) + 8
+
+
+def test_confusion_grid_mllib_axes(spark):
+    df = spark.createDataFrame([(0.0, 0.0), (0.0, 1.0), (0.0, 2.0), (1.0, 1.0)], "label double, prediction double")
+    conf = EV.confusion_long(df)
+    axes = EV.grid_classes(conf, actual_only=True)
+    assert axes == [0.0, 1.0]
+    grid = EV.confusion_grid(conf, axes, actual_only=True).orderBy("label").collect()
+    assert [list(r)[1:] for r in grid] == [[1, 1], [0, 1]]  # mllib: [[1,1],[0,1]]

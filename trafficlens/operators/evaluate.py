@@ -62,10 +62,11 @@ def evaluate(pred: DataFrame, label: str = "label", prediction: str = "predictio
     return weighted_scores(confusion_long(pred, label, prediction))
 
 
-def confusion_grid(confusion: DataFrame, classes: list[float]) -> DataFrame:
+def confusion_grid(confusion: DataFrame, classes: list[float], actual_only: bool = False) -> DataFrame:
     """Dense matrix: one row per actual label, one column ``p_<k>`` per class
-    in ``classes`` (ascending), zeros filled. Unlike mllib, a class that is
-    predicted but never actual keeps its column."""
+    in ``classes`` (ascending), zeros filled. By default a class that is
+    predicted but never actual keeps its column; ``actual_only=True`` drops
+    those columns, as mllib's matrix does (pass the actual labels)."""
     cls = sorted(set(float(c) for c in classes))
     return (confusion.groupBy("label")
             .pivot("prediction", cls)
@@ -74,10 +75,13 @@ def confusion_grid(confusion: DataFrame, classes: list[float]) -> DataFrame:
             .select("label", *[F.col(f"`{c}`").cast("bigint").alias(f"p_{int(c)}") for c in cls]))
 
 
-def grid_classes(confusion: DataFrame) -> list[float]:
-    """Axis values of the grid: every label or prediction seen (k values)."""
-    vals = (confusion.select(F.col("label").alias("c"))
-            .union(confusion.select(F.col("prediction").alias("c"))).distinct())
+def grid_classes(confusion: DataFrame, actual_only: bool = False) -> list[float]:
+    """Axis values of the grid: every label or prediction seen (k values),
+    or only the actual labels (mllib's axes)."""
+    vals = confusion.select(F.col("label").alias("c"))
+    if not actual_only:
+        vals = vals.union(confusion.select(F.col("prediction").alias("c")))
+    vals = vals.distinct()
     out = [r["c"] for r in vals.orderBy("c").limit(MAX_GRID_CLASSES + 1).collect()]
     if len(out) > MAX_GRID_CLASSES:
         raise ValueError(f"more than {MAX_GRID_CLASSES} classes: use the long confusion table")

@@ -60,7 +60,7 @@ def build_pipeline(kind: str, features: list[str] | None = None, label: str = LA
 def train_and_report(packets: DataFrame, kind: str = "decision_tree", key_cols: list[str] | None = None,
                      null_policy: str = "skip", train_percent: int = 80, seed: int = 42,
                      num_classes: int | None = None, save_to: str | None = None,
-                     **params) -> tuple[PipelineModel, DataFrame]:
+                     split: str = "hash", **params) -> tuple[PipelineModel, DataFrame]:
     """Fit on the training share, score the test share and return
     ``(model, report)``; the report is one row with sizes, the four
     weighted scores and the timings (fit, and the whole job including the
@@ -71,7 +71,13 @@ def train_and_report(packets: DataFrame, kind: str = "decision_tree", key_cols:
     data = apply_null_policy(packets, null_policy).withColumn(label, F.col(label).cast("double"))
     keys = key_cols or ["path", "ordinal"]
     # one pass computes features and the split flag; both shares read it
-    flagged = with_split_flag(data, keys, train_percent, seed).persist(StorageLevel.MEMORY_AND_DISK)
+    if split == "hash":
+        flagged = with_split_flag(data, keys, train_percent, seed)
+    elif split == "random":  # compatibility: randomSplit (depends on partitioning)
+        flagged = data.withColumn("is_train", F.rand(seed) < train_percent / 100.0)
+    else:
+        raise ValueError(f"split {split!r} not in ('hash', 'random')")
+    flagged = flagged.persist(StorageLevel.MEMORY_AND_DISK)
     train = flagged.where(F.col("is_train"))
     test = flagged.where(~F.col("is_train"))
     if kind == "perceptron" and not num_classes:
