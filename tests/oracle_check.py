@@ -2,7 +2,10 @@
 and its DuckDB SQL on the same parquet tables and compare row count, column
 names and an order-insensitive hash of the values.
 
-    python tests/oracle_check.py [sf_dir] [name ...]
+    python tests/oracle_check.py [sf_dir] [--plain] [name ...]
+
+``--plain`` uses a session with Spark's defaults (only the UI off), as an
+outside caller would build it.
 """
 
 from __future__ import annotations
@@ -49,9 +52,16 @@ def main():
     from trafficlens.session import build_session
 
     args = sys.argv[1:]
+    plain = "--plain" in args
+    args = [a for a in args if a != "--plain"]
     sf_dir = args[0] if args and os.path.isdir(args[0]) else "/root/testdata/sf0.01"
     names = [a for a in args if not os.path.isdir(a)]
-    spark = build_session("local[8]", shuffle_partitions=8)
+    if plain:
+        from pyspark.sql import SparkSession
+        spark = SparkSession.builder.master("local[8]").config("spark.ui.enabled", "false").getOrCreate()
+        spark.sparkContext.setLogLevel("ERROR")
+    else:
+        spark = build_session("local[8]", shuffle_partitions=8)
     con = duckdb.connect()
     for t in TABLES:
         p = f"{sf_dir}/{t}.parquet"
