@@ -101,6 +101,26 @@ def _open(path: str):
     return filesystem.open_input_file(inner)
 
 
+class _Window:
+    """Reads small pieces at increasing offsets out of large windows, so
+    walking record headers costs one read per ``size`` bytes, not one per
+    record (which matters on remote storage)."""
+
+    def __init__(self, f, size: int = _BUF):
+        self.f, self.size, self.base, self.buf = f, size, 0, b""
+
+    def get(self, pos: int, n: int) -> bytes:
+        end = self.base + len(self.buf)
+        if pos < self.base or pos + n > end:
+            if self.base <= pos < end:  # keep the tail, read on from there
+                self.buf = self.buf[pos - self.base:] + self.f.read(max(self.size, n))
+            else:
+                self.f.seek(pos)
+                self.buf = self.f.read(max(self.size, n))
+            self.base = pos
+        return self.buf[pos - self.base: pos - self.base + n]
+
+
 def read_header(f) -> tuple[str, bool, int] | None:
     hdr = f.read(GLOBAL_HEADER)
     if len(hdr) < GLOBAL_HEADER:
@@ -140,9 +160,9 @@ def _index_ng(f, path: str, size: int, chunk_bytes: int):
     pos, order, ifaces = 0, None, []
     start, first, n, ordinal, broken = 0, 0, 0, 0, 0
     state = (order, [])
+    win = _Window(f)
     while pos + 12 <= size:
-        f.seek(pos)
-        hdr = f.read(12)
+        hdr = win.get(pos, 12)
         order, btype, blen = _ng_block_head(hdr, order)
         if blen < 12 or pos + blen > size:
             broken += 1
@@ -150,8 +170,7 @@ def _index_ng(f, path: str, size: int, chunk_bytes: int):
         if btype == NG_SHB:
             ifaces = []
         elif btype == NG_IDB:
-            f.seek(pos + 8)
-            body = f.read(blen - 12)
+            body = win.get(pos + 8, blen - 12)
             ifaces.append((struct.unpack_from(order + "H", body, 0)[0], _ng_tsres(body[8:], order)))
         elif btype in (NG_EPB, NG_SPB, NG_OPB):
             n += 1
@@ -190,13 +209,13 @@ def _index_file(path: str, chunk_bytes: int):
         start, first, n, ordinal = pos, 0, 0, 0
         size = _size(f, path)
         broken = 0
+        win = _Window(f)
         while True:
             if pos + RECORD_HEADER > size:
                 if pos < size:
                     broken += 1
                 break
-            f.seek(pos)
-            hb = f.read(RECORD_HEADER)
+            hb = win.get(pos, RECORD_HEADER)
             if len(hb) < RECORD_HEADER:
                 broken += 1
                 break
@@ -358,7 +377,7 @@ def list_captures(spark: SparkSession, root: str, glob: str = "*") -> DataFrame:
 
 
 FILES_PER_INDEX_TASK = 64
-SPLIT_BYTES = 1 << 30  # classic pcap files above this are indexed by several tasks
+SPLIT_BYTES = 256 << 20  # classic pcap files above this are indexed by several tasks
 SYNC_CHAIN = 8         # consecutive plausible record headers needed to sync
 _SYNC_WINDOW = 16 << 20
 
@@ -431,13 +450,13 @@ def _index_range(path: str, idx: int, lo: int, hi: int, chunk_bytes: int):
                 return
         sync = pos
         start, first, n, count, broken = pos, 0, 0, 0, 0
+        win = _Window(f)
         while pos < hi:
             if pos + RECORD_HEADER > size:
                 if pos < size:
                     broken += 1
                 break
-            f.seek(pos)
-            incl = rec.unpack(f.read(RECORD_HEADER))[2]
+            incl = rec.unpack(win.get(pos, RECORD_HEADER))[2]
             nxt = pos + RECORD_HEADER + incl
             if nxt > size:
                 broken += 1
