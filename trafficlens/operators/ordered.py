@@ -30,9 +30,17 @@ PREV = "_tl_prev"
 
 
 def _partitions(df: DataFrame, partitions: int | None) -> int:
+    """Range tasks: the shuffle width, or more when the input has more scan
+    splits (each about ``spark.sql.files.maxPartitionBytes``), so the task
+    size stays bounded as the data grows."""
     if partitions:
         return partitions
-    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
+    try:
+        n = max(n, df.rdd.getNumPartitions())
+    except Exception:  # noqa: BLE001 - no RDD view (remote session): keep the shuffle width
+        pass
+    return n
 
 
 def _local_scan_fn(by: list[str], value: str | None):
