@@ -15,6 +15,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -49,20 +50,53 @@ def _increase_fn(step_us: int):
             step, last, last_us, inc, n, late = state.get
         else:
             step, last, last_us, inc, n, late = None, None, None, 0.0, 0, 0
-        out = []
         pdf = pd.concat(list(pdfs), ignore_index=True).sort_values(["ts_us", "sample_id"])
-        for ts_us, v in zip(pdf["ts_us"].to_numpy(), pdf["value"].to_numpy()):
-            if last_us is not None and ts_us < last_us:
-                late += 1
-                continue
-            s = ts_us // step_us
-            if step is None or s != step:
-                if step is not None:
-                    out.append((series, int(step), float(inc), int(n), int(late)))
-                step, inc, n, late, last = int(s), 0.0, 0, 0, None
-            if last is not None:
-                inc += (v - last) if v >= last else v
-            last, last_us, n = float(v), int(ts_us), n + 1
+        ts = pdf["ts_us"].to_numpy(dtype=np.int64)
+        v = pdf["value"].to_numpy(dtype=np.float64)
+        if last_us is not None:  # older than the series' last sample: late
+            keep = ts >= last_us
+            late += int((~keep).sum())
+            ts, v = ts[keep], v[keep]
+        if len(ts) == 0:
+            if step is not None:
+                state.update((step, last, last_us, inc, n, late))
+                state.setTimeoutTimestamp(int((step + 1) * step_us // 1000))
+            return
+        steps = ts // step_us
+        prev = np.empty_like(v)
+        prev[1:] = v[:-1]
+        prev[0] = last if (last is not None and steps[0] == step) else np.nan
+        new_step = np.ones(len(v), dtype=bool)
+        new_step[1:] = steps[1:] != steps[:-1]
+        new_step[0] = not (step is not None and steps[0] == step)
+        prev[new_step] = np.nan
+        d = np.where(np.isnan(prev), 0.0, np.where(v >= prev, v - prev, v))
+        starts = np.flatnonzero(new_step)
+        sums = np.add.reduceat(d, starts) if len(starts) else np.zeros(0)
+        counts = np.diff(np.append(starts, len(v)))
+        out = []
+        if new_step[0]:
+            if step is not None:  # the open step closes
+                out.append((series, int(step), float(inc), int(n), int(late)))
+                late = 0
+            grp_steps, grp_sums, grp_counts = steps[starts], sums, counts
+            acc_inc, acc_n = 0.0, 0
+        else:  # the first rows continue the open step
+            grp_steps, grp_sums, grp_counts = steps[starts], sums, counts
+            acc_inc, acc_n = float(inc), int(n)
+            first_end = starts[0] if len(starts) else len(v)
+            acc_inc += float(d[:first_end].sum())
+            acc_n += int(first_end)
+            if len(starts):
+                out.append((series, int(step), acc_inc, acc_n, int(late)))
+                late, acc_inc, acc_n = 0, 0.0, 0
+        for k in range(len(grp_steps) - 1):  # every step but the last is complete
+            out.append((series, int(grp_steps[k]), float(grp_sums[k]), int(grp_counts[k]), 0))
+        if len(grp_steps):
+            step, inc, n = int(grp_steps[-1]), float(grp_sums[-1]), int(grp_counts[-1])
+        else:
+            step, inc, n = int(step), acc_inc, acc_n
+        last, last_us = float(v[-1]), int(ts[-1])
         state.update((step, last, last_us, inc, n, late))
         # close the open step when the watermark passes its end
         state.setTimeoutTimestamp(int((step + 1) * step_us // 1000))
