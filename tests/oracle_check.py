@@ -5,7 +5,8 @@ names and an order-insensitive hash of the values.
     python tests/oracle_check.py [sf_dir] [--plain] [name ...]
 
 ``--plain`` uses a session with Spark's defaults (only the UI off), as an
-outside caller would build it.
+outside caller would build it; ``--tz ZONE`` sets the session time zone
+(results must not depend on it).
 """
 
 from __future__ import annotations
@@ -53,6 +54,10 @@ def main():
 
     args = sys.argv[1:]
     plain = "--plain" in args
+    tz = None
+    if "--tz" in args:
+        tz = args[args.index("--tz") + 1]
+        args = [a for a in args if a not in ("--tz", tz)]
     args = [a for a in args if a != "--plain"]
     sf_dir = args[0] if args and os.path.isdir(args[0]) else "/root/testdata/sf0.01"
     names = [a for a in args if not os.path.isdir(a)]
@@ -62,6 +67,8 @@ def main():
         spark.sparkContext.setLogLevel("ERROR")
     else:
         spark = build_session("local[8]", shuffle_partitions=8)
+    if tz:
+        spark.conf.set("spark.sql.session.timeZone", tz)
     con = duckdb.connect()
     for t in TABLES:
         p = f"{sf_dir}/{t}.parquet"

@@ -171,6 +171,22 @@ def ip_text_octets(text: Column) -> list[Column]:
     return [F.when(ok, o) for o in octs]
 
 
+_DAY_US = 86_400_000_000
+
+
+def utc_parts(t: Column) -> tuple[Column, ...]:
+    """(day, year, month, day of month, hour, minute, second) of a timestamp
+    in UTC, floored to the second, from epoch microseconds — independent of
+    the session time zone (the original used the machine's zone)."""
+    us = F.unix_micros(t)
+    sod_us = F.pmod(us, F.lit(_DAY_US))
+    day = ((us - sod_us) / F.lit(_DAY_US)).cast("bigint")
+    date = F.date_from_unix_date(day.cast("int"))
+    sod = F.floor(sod_us / F.lit(1_000_000)).cast("int")
+    return (day, F.year(date), F.month(date), F.dayofmonth(date),
+            (sod / 3600).cast("int"), (F.pmod(sod, F.lit(3600)) / 60).cast("int"), F.pmod(sod, F.lit(60)))
+
+
 def packet_feature_columns(ts: str = "ts") -> dict[str, Column]:
     """The 19 feature columns (CLASS excluded), over ``with_layers`` output."""
     t = F.col(ts)
@@ -190,12 +206,13 @@ def packet_feature_columns(ts: str = "ts") -> dict[str, Column]:
     # hex length of the payload = 2 x bytes; null when there is none
     cols["LEN_RAW"] = F.when(_h("paylen") > 0, _h("paylen") * 2)
     ip_tcp = v4 & tcp
-    cols["Send_Year"] = F.when(ip_tcp, F.year(t))
-    cols["Send_Month"] = F.when(ip_tcp, F.month(t))
-    cols["Send_Day"] = F.when(ip_tcp, F.dayofmonth(t))
-    cols["Send_Hour"] = F.when(ip_tcp, F.hour(t))
-    cols["Send_Minute"] = F.when(ip_tcp, F.minute(t))
-    cols["Send_Second"] = F.when(ip_tcp, F.second(t))
+    day, year, month, dom, hour, minute, second = utc_parts(t)
+    cols["Send_Year"] = F.when(ip_tcp, year)
+    cols["Send_Month"] = F.when(ip_tcp, month)
+    cols["Send_Day"] = F.when(ip_tcp, dom)
+    cols["Send_Hour"] = F.when(ip_tcp, hour)
+    cols["Send_Minute"] = F.when(ip_tcp, minute)
+    cols["Send_Second"] = F.when(ip_tcp, second)
     return {k: v.cast("int") for k, v in cols.items()}
 
 

@@ -24,6 +24,15 @@ def _hx(x: Column, width: int) -> Column:
     return F.lpad(F.hex(x.cast("bigint")), width, "0")
 
 
+def utc_instant(ntz: Column) -> Column:
+    """A TIMESTAMP_NTZ wall clock read as UTC, as a TIMESTAMP — by calendar
+    arithmetic, so the result does not depend on the session time zone."""
+    day_us = F.unix_date(F.to_date(ntz)).cast("bigint") * 86_400_000_000
+    tod_us = (F.hour(ntz) * 3600 + F.minute(ntz) * 60).cast("bigint") * 1_000_000 \
+        + (F.date_part(F.lit("SECOND"), ntz) * 1_000_000).cast("bigint")
+    return F.timestamp_micros(day_us + tod_us)
+
+
 def events_with_class(events: DataFrame, classes: list[str] | None = None) -> DataFrame:
     return attach_class_index(events, "event_type", out="CLASS", classes=classes)
 
@@ -80,7 +89,7 @@ def packets(events: DataFrame, classes: list[str] | None = None) -> DataFrame:
     frame = F.unhex(F.concat(mac, vlan, body, pad))
     return ev.select(
         F.concat(F.lit("capture-"), u.cast("string"), F.lit(".pcap")).alias("path"),
-        F.col("ts").cast("timestamp").alias("ts"),
+        utc_instant(F.col("ts")).alias("ts"),
         F.lit(1).alias("linktype"),
         F.length(frame).alias("orig_len"),
         frame.alias("frame"),
@@ -100,7 +109,7 @@ def samples(events: DataFrame) -> DataFrame:
     et = F.col("event_type")
     ex = u % 10
     ex_label = F.when(ex == 9, F.lit("driver")).otherwise(ex.cast("string"))
-    minute = F.floor(F.unix_micros(F.col("ts").cast("timestamp")) / 60000000)
+    minute = F.floor(F.unix_micros(utc_instant(F.col("ts"))) / 60000000)
     counter = ((minute * (ex + 1)) % 1000).cast("double")
     # gauges are whole byte counts (exact sums in any order)
     val = F.floor(F.col("value") * 100).cast("double")
@@ -137,7 +146,7 @@ def samples(events: DataFrame) -> DataFrame:
         s("machine_memory_bytes", {"node": node}, (e % 2 + 1) * 1000.0, None, 12),
         s("machine_cpu_cores", {"node": node}, (e % 2 + 1) * 4.0, None, 13),
     )
-    return (events.select(F.col("ts").cast("timestamp").alias("ts"), F.explode(gen).alias("s"))
+    return (events.select(utc_instant(F.col("ts")).alias("ts"), F.explode(gen).alias("s"))
             .where(F.col("s").isNotNull())
             .select("ts", "s.metric", "s.labels", "s.value", "s.sample_id"))
 
