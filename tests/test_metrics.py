@@ -71,3 +71,17 @@ def test_avg_over_time(spark):
     s = samples(spark, [(1, "g", {"type": "gauges"}, 2), (30, "g", {"type": "gauges"}, 4), (61, "g", {"type": "gauges"}, 9)])
     got = sorted((r["step"], r["value"]) for r in MX.avg_over_time(s, 60).collect())
     assert [(st - got[0][0], v) for st, v in got] == [(0, 3.0), (1, 9.0)]
+
+
+def test_increase_extrapolated_like_the_query_language(spark):
+    """Samples at 30 s, 60 s, 90 s (values 10, 20, 30) in the step [0, 300):
+    raw increase 20 over 60 s; average gap 30 s, threshold 33 s. Start: the
+    counter reaches zero 30 s before the first sample (60·10/20 = 30 < 30 s to
+    the edge → 30); end: 210 s to the edge ≥ threshold → half a gap (15).
+    Span 60 + 30 + 15 = 105 → 20 · 105 / 60 = 35."""
+    e = {"executor_id": "1"}
+    s = samples(spark, [(30, "c", e, 10), (60, "c", e, 20), (90, "c", e, 30), (400, "c", e, 5)])
+    rows = MX.increase(s, 300, extrapolate=True).collect()
+    assert len(rows) == 1  # the single-sample step gives no value
+    assert rows[0]["value"] == pytest.approx(35.0)
+    assert MX.increase(s, 300).where("value > 0").first()["value"] == pytest.approx(20.0)

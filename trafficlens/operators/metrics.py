@@ -79,18 +79,49 @@ def last_sample(samples: DataFrame, step_seconds: int = 300) -> DataFrame:
         F.max_by(F.col("value"), F.struct("ts", "sample_id")).alias("value"))
 
 
-def increase(samples: DataFrame, range_seconds: int = 300, partitions: int | None = None) -> DataFrame:
+def increase(samples: DataFrame, range_seconds: int = 300, partitions: int | None = None,
+             extrapolate: bool = False) -> DataFrame:
+    """Counter increase per series and step. ``extrapolate=True`` follows
+    the query language's rule: the raw increase is scaled from the span
+    between the first and last sample towards the step edges (by at most
+    half an average sample interval past a sample, and not below zero at
+    the start), and series with fewer than two samples in a step give no
+    value."""
     s = with_series_id(with_step(samples, range_seconds))
     # labels travel as JSON text through the Arrow-batched scan
     s = s.select("ts", "sample_id", "step", "series", "metric", "value",
                  F.to_json("labels").alias("_tl_labels"))
     inc = counter_increase(s, ["series", "step"], ["ts", "sample_id"], "value", "value",
                            partitions=partitions, carry=["metric", "_tl_labels"])
+    if extrapolate:
+        inc = _extrapolated(inc, range_seconds)
     return inc.select("step", "metric", F.from_json("_tl_labels", "map<string,string>").alias("labels"), "value")
 
 
-def rate(samples: DataFrame, range_seconds: int = 300, partitions: int | None = None) -> DataFrame:
-    inc = increase(samples, range_seconds, partitions)
+def _extrapolated(inc: DataFrame, range_seconds: int) -> DataFrame:
+    sec = lambda c: F.unix_micros(c) / F.lit(1e6)
+    first_t, last_t = sec(F.col("first_key.ts")), sec(F.col("last_key.ts"))
+    start = F.col("step") * range_seconds
+    end = start + range_seconds
+    raw, n, first_v = F.col("value"), F.col("samples"), F.col("first_value")
+    sampled = last_t - first_t
+    avg_gap = sampled / (n - 1)
+    to_start = first_t - start
+    # a counter cannot have been below zero before the first sample
+    to_zero = F.when((raw > 0) & (first_v >= 0), sampled * (first_v / raw))
+    to_start = F.when(to_zero.isNotNull() & (to_zero < to_start), to_zero).otherwise(to_start)
+    to_end = end - last_t
+    threshold = avg_gap * 1.1
+    span = (sampled
+            + F.when(to_start < threshold, to_start).otherwise(avg_gap / 2)
+            + F.when(to_end < threshold, to_end).otherwise(avg_gap / 2))
+    return (inc.where((n >= 2) & (sampled > 0))
+            .withColumn("value", raw * (span / sampled)))
+
+
+def rate(samples: DataFrame, range_seconds: int = 300, partitions: int | None = None,
+         extrapolate: bool = False) -> DataFrame:
+    inc = increase(samples, range_seconds, partitions, extrapolate)
     return inc.withColumn("value", F.col("value") / F.lit(float(range_seconds)))
 
 

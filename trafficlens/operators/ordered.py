@@ -129,7 +129,8 @@ def counter_increase(df: DataFrame, by: list[str], order: list[str], value: str
                      carry: list[str] | None = None) -> DataFrame:
     """Sum of counter deltas between consecutive samples of each ``by`` group,
     resets counted as a restart from zero. One row per group, with the number
-    of samples as ``samples``; ``carry`` columns (constant within a group)
+    of samples as ``samples``, the first value and the first / last ordering
+    keys (structs of ``order``); ``carry`` columns (constant within a group)
     are passed through. Skew-safe: partial sums per (task, key), then
     the deltas across task boundaries are added on the small summary."""
     scanned = local_scan(df, by, order, value, partitions)
@@ -139,12 +140,18 @@ def counter_increase(df: DataFrame, by: list[str], order: list[str], value: str
         F.sum("_tl_d").alias("_tl_inner"),
         F.min_by(F.col(value), okey).alias("_tl_first"),
         F.max_by(F.col(value), okey).alias("_tl_last"),
+        F.min(okey).alias("_tl_okey_min"),
+        F.max(okey).alias("_tl_okey_max"),
         F.count(F.lit(1)).alias("_tl_n"),
         *[F.any_value(c).alias(c) for c in carry or []],
     )
     w = Window.partitionBy(*by).orderBy(PID)
     part = part.withColumn("_tl_before", F.lag("_tl_last").over(w))
     part = part.withColumn("_tl_edge", counter_delta("_tl_before", "_tl_first"))
+    # first / last sample of the whole group: from the first / last task
     return part.groupBy(*by).agg((F.sum("_tl_inner") + F.sum("_tl_edge")).alias(out),
                                  F.sum("_tl_n").alias("samples"),
+                                 F.min_by("_tl_first", PID).alias("first_value"),
+                                 F.min("_tl_okey_min").alias("first_key"),
+                                 F.max("_tl_okey_max").alias("last_key"),
                                  *[F.any_value(c).alias(c) for c in carry or []])
