@@ -368,6 +368,14 @@ def _metric(fn, *args):
 
 register("metric_completed_share")(_metric(MX.completed_task_share))
 register("metric_cpu_rate")(_metric(MX.cpu_rate_by_pod))
+
+
+@register("metric_cpu_rate_extrapolated")
+def q_metric_cpu_rate_extrapolated(spark, sf_dir):
+    """M2 with the query language's edge extrapolation."""
+    sel = MX.select_series(samples_table(spark, sf_dir), "container_cpu_usage_seconds_total",
+                           [("namespace", "=", "default")])
+    return MX.round_value(MX.sum_by(MX.rate(sel, 300, extrapolate=True), ["pod"]))
 register("metric_memory_by_pod")(_metric(MX.memory_by_pod))
 register("metric_heap_avg_1m")(_metric(MX.driver_heap_avg_1m))
 register("metric_heap")(_metric(MX.gauge_by_executor, "metrics_executor_JVMHeapMemory_bytes"))

@@ -306,3 +306,26 @@ SQL["parquet_normalise"] = with_pk(f"SELECT {PACKET_COLS} FROM pk")
 SQL["stream_metric_windows"] = SQL["metric_heap_avg_1m"]
 SQL["stream_ingest"] = with_pk(f"SELECT {PACKET_COLS} FROM pk")
 SQL["capture_records_per_class"] = "SELECT event_type AS class_name, count(*) AS records FROM events GROUP BY event_type"
+
+SQL["metric_cpu_rate_extrapolated"] = _sm("""
+, g AS (
+  SELECT step, pod,
+    sum(CASE WHEN prev IS NULL THEN 0 WHEN value >= prev THEN value - prev ELSE value END) AS raw,
+    count(*) AS n, arg_min(value, (ts, sample_id)) AS first_v,
+    epoch_us(min(ts)) / 1e6 AS first_t, epoch_us(max(ts)) / 1e6 AS last_t
+  FROM (SELECT *, lag(value) OVER (PARTITION BY metric, namespace, pod, step ORDER BY ts, sample_id) AS prev
+        FROM s5 WHERE metric = 'container_cpu_usage_seconds_total' AND namespace = 'default')
+  GROUP BY step, pod
+), e AS (
+  SELECT *, last_t - first_t AS sampled, (last_t - first_t) / (n - 1) AS avg_gap,
+    CASE WHEN raw > 0 AND first_v >= 0 THEN (last_t - first_t) * (first_v / raw) END AS to_zero,
+    first_t - step * 300 AS to_start0, (step * 300 + 300) - last_t AS to_end
+  FROM g WHERE n >= 2 AND last_t - first_t > 0
+), f AS (
+  SELECT *, CASE WHEN to_zero IS NOT NULL AND to_zero < to_start0 THEN to_zero ELSE to_start0 END AS to_start
+  FROM e
+)
+SELECT step, pod, round(sum(raw * ((sampled
+    + CASE WHEN to_start < avg_gap * 1.1 THEN to_start ELSE avg_gap / 2 END
+    + CASE WHEN to_end < avg_gap * 1.1 THEN to_end ELSE avg_gap / 2 END) / sampled) / 300.0), 6) AS value
+FROM f GROUP BY step, pod""")
