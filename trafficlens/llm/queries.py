@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers as tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import byte_bpe, exact_dedup, packing, repetition, token_counts
+from . import byte_bpe, exact_dedup, near_dedup, packing, repetition, token_counts, toxicity
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -48,3 +48,13 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("op10_token_counts")
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(table(spark, sf_dir, "documents"), tokenizers.path("word_bpe_49k.json"))
+
+
+@register("op2_weighted_minhash")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.near_duplicate_classes(table(spark, sf_dir, "documents"))
+
+
+@register("op7_toxicity")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))

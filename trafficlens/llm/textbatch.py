@@ -56,13 +56,15 @@ def buffers(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return raw[offsets[0]:offsets[-1]], offsets - offsets[0]
 
 
-def blocks(offsets: np.ndarray, limit: int = BLOCK_BYTES) -> Iterator[tuple[int, int]]:
-    """Runs of documents [a, b) of at most ``limit`` bytes (or one document)."""
+def blocks(offsets: np.ndarray, limit: int = BLOCK_BYTES, rows: int = 1 << 16) -> Iterator[tuple[int, int]]:
+    """Runs of documents [a, b) of at most ``limit`` bytes (or one document) and
+    at most ``rows`` documents."""
     a, n = 0, len(offsets) - 1
     while a < n:
         b = max(a + 1, int(np.searchsorted(offsets, offsets[a] + limit, "right")) - 1)
-        yield a, min(b, n)
-        a = min(b, n)
+        b = min(b, n, a + rows)
+        yield a, b
+        a = b
 
 
 def span_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
