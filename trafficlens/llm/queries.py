@@ -7,7 +7,8 @@ from collections.abc import Callable
 import public_tokenizers as tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import byte_bpe, exact_dedup, near_dedup, packing, repetition, token_counts, toxicity
+from . import (byte_bpe, exact_dedup, licenses, near_dedup, packing, repetition, sanitise, templates, token_counts,
+               toxicity)
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -58,3 +59,18 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("op7_toxicity")
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@register("op5_sanitise")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sanitise.personal_data(table(spark, sf_dir, "documents"))
+
+
+@register("op3_license_scan")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.license_matches(table(spark, sf_dir, "documents"))
+
+
+@register("op8_template_lines")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return templates.template_report(table(spark, sf_dir, "documents"))
