@@ -33,7 +33,7 @@ from .arrow import slices
 from .textbatch import _WS, buffers
 
 SALTS = 32
-LOCAL_BYTES = 32 << 20
+LOCAL_BYTES = 8 << 20
 
 
 def normalised(data: np.ndarray, offsets: np.ndarray) -> tuple[bytes, np.ndarray]:
@@ -42,8 +42,10 @@ def normalised(data: np.ndarray, offsets: np.ndarray) -> tuple[bytes, np.ndarray
     again = np.zeros(len(data), dtype=bool)
     again[1:] = space[1:] & space[:-1]
     again[offsets[:-1][offsets[:-1] < len(data)]] = False
-    kept = np.concatenate([[0], np.cumsum(~again)])
-    return np.where(space, np.uint8(32), data)[~again].tobytes(), kept[offsets]
+    stays = ~again
+    size = np.add.reduceat(stays, np.minimum(offsets[:-1], len(data) - 1), dtype=np.int64) if len(data) else np.zeros(len(offsets) - 1, np.int64)
+    size[np.diff(offsets) == 0] = 0
+    return np.where(space, np.uint8(32), data)[stays].tobytes(), np.concatenate([[0], np.cumsum(size)])
 
 
 def _local(batch: pa.RecordBatch, at: int):
