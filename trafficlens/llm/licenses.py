@@ -20,7 +20,8 @@ template's pairs, so it holds one of the template's ``anchor_words``; texts with
 none of any template's leave at the scan, before any window is made, and texts
 without a common band key right after. Nothing but hits is shuffled.
 
-Result: one row per (doc_id, text, template): the first best place, its
+Result: one row per (doc_id, text, template): the first best place (where the
+first of the template's pairs stands), its
 containment and the number of places. Rows that repeat id and text count once,
 null texts have no match, null ids stay null, extra columns are ignored, texts
 of any length are scanned whole; empty in, empty out."""
@@ -133,8 +134,10 @@ def license_matches(docs: DataFrame, templates: dict[str, str] | None = None, co
     slack = F.ceil(F.col("n") / 4).cast("int")
     low = F.greatest(F.lit(0), F.col("at") - F.col("offset") - slack)
     stretch = F.slice("pairs", low + 1, F.col("at") - F.col("offset") + F.col("n") - 1 + slack - low)
-    found = (starts.withColumn("share", F.size(F.array_intersect("asked", stretch)) / F.size("asked")).where(F.col("share") >= containment)
-             .select("doc_id", "text_key", "template", F.greatest(F.lit(0), F.col("at") - F.col("offset")).alias("start"), "share"))
+    found = (starts.withColumns({"low": low, "stretch": stretch})
+             .withColumn("share", F.size(F.array_intersect("asked", "stretch")) / F.size("asked")).where(F.col("share") >= containment))
+    place = F.array_min(F.filter(F.transform("asked", lambda p: F.array_position("stretch", p)), lambda at: at > 0))
+    found = found.select("doc_id", "text_key", "template", (F.col("low") + place - 1).alias("start"), "share")
     best = F.min(F.struct((-F.col("share")).alias("less"), "start"))
     return (found.groupBy("doc_id", "text_key", "template").agg(best.alias("best"), F.count_distinct("start").alias("places"))
             .select("doc_id", "template", F.col("best.start").cast("long").alias("start_word"),

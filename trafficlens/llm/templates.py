@@ -9,7 +9,8 @@ every other place, with at most ``VARIABLE`` of its places variable, has the
 leaf's template; any other line is its own template. Templates of at least
 ``LEAST_TOKENS`` tokens found in ``RECURS`` distinct texts or more recur, and
 their lines are dropped from every text. Exact copies of a text count as one
-text; lines of fewer tokens stay.
+text; lines of fewer tokens stay, and so do lines with a digit in more than
+``VARIABLE`` of their tokens, whose template would say nothing.
 
 Only DataFrame functions. Lines travel as hashes; words of lines move only for
 leaves that hold several distinct lines. All counts are sums with map-side
@@ -45,7 +46,8 @@ def _lines(docs: DataFrame) -> DataFrame:
     rows = docs.select(F.xxhash64(text, F.length(text)).alias("text_key"), F.split(plain, "\n", -1).alias("lines"))
     rows = rows.select("text_key", F.posexplode("lines").alias("place", "line")).select("text_key", "place", F.btrim("line").alias("masked"))
     n = F.length("masked") - F.length(F.replace("masked", F.lit(" "), F.lit(""))) + 1
-    return (rows.withColumn("n", n).where(F.col("n") >= LEAST_TOKENS)
+    masks = (F.length("masked") - F.length(F.replace("masked", F.lit("<*>"), F.lit("")))) / 3
+    return (rows.withColumn("n", n).where((F.col("n") >= LEAST_TOKENS) & (masks <= VARIABLE * F.col("n")))
             .select("text_key", "place", "masked", F.xxhash64("n", F.substring_index("masked", " ", LEADING)).alias("leaf"), F.xxhash64("masked", "n").alias("line")))
 
 
