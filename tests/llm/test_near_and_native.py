@@ -27,7 +27,7 @@ def test_near_classes_against_brute_force(spark):
     texts = []
     for f in range(6):
         base = prose(f, 120, 5000).split(" ")
-        for c in range(8):
+        for c in range(12):
             words = list(base)
             for _ in range(c % 4):
                 words[r.randrange(len(words))] = f"edit{r.randrange(10**6)}"
