@@ -33,28 +33,52 @@ RECURS = 4
 FIXED = 0.6
 VARIABLE = 0.4
 
-_BLANK = r"[\x20\x09\x0B-\x0D]++"
+_BLANK = r"[\x20\x09\x0B-\x0D]{2,}+|[\x09\x0B-\x0D]"
 _VARIABLE = r"(?<![^ \n])[^ \n0-9]*+[0-9][^ \n]*+"
 _TRIM = " \t\x0b\x0c\r"
 
 
+def _text_key(text: Column) -> Column:
+    return F.xxhash64(text, F.length(text))
+
+
+def _masked_lines(text: Column) -> Column:
+    """The lines of a text: tokens parted by one space, variable ones masked."""
+    plain = F.regexp_replace(F.regexp_replace(text, _BLANK, " "), _VARIABLE, "<*>")
+    plain = F.replace(F.replace(plain, F.lit(" \n"), F.lit("\n")), F.lit("\n "), F.lit("\n"))
+    return F.split(F.btrim(plain), "\n", -1)
+
+
+def _occurrences(line: Column, part: str) -> Column:
+    return (F.octet_length(line) - F.octet_length(F.replace(line, F.lit(part), F.lit("")))) / len(part)
+
+
 def _lines(docs: DataFrame) -> DataFrame:
-    """text_key, place, leaf, line (hashes), masked for lines of enough tokens."""
+    """text_key, place, leaf, line (hashes) of lines of enough fixed tokens."""
     text = F.coalesce("text", F.lit(""))
-    plain = F.regexp_replace(F.regexp_replace(text, _BLANK, " "), _VARIABLE, "<*>")
     # key and masks before the explode: beside it they would be made for each line
-    rows = docs.select(F.xxhash64(text, F.length(text)).alias("text_key"), F.split(plain, "\n", -1).alias("lines"))
-    rows = rows.select("text_key", F.posexplode("lines").alias("place", "line")).select("text_key", "place", F.btrim("line").alias("masked"))
-    n = F.length("masked") - F.length(F.replace("masked", F.lit(" "), F.lit(""))) + 1
-    masks = (F.length("masked") - F.length(F.replace("masked", F.lit("<*>"), F.lit("")))) / 3
-    return (rows.withColumn("n", n).where((F.col("n") >= LEAST_TOKENS) & (masks <= VARIABLE * F.col("n")))
-            .select("text_key", "place", "masked", F.xxhash64("n", F.substring_index("masked", " ", LEADING)).alias("leaf"), F.xxhash64("masked", "n").alias("line")))
-
-
-def _general(docs: DataFrame, distinct: DataFrame) -> DataFrame:
-    """(leaf, line) pairs that have their leaf's template. ``distinct``: leaf, line."""
-    shared = distinct.groupBy("leaf").agg(F.count("*").alias("lines")).where("lines >= 2")
-    words = (_lines(docs).select("leaf", "line", "masked").join(shared, "leaf").dropDuplicates(["leaf", "line"])
+    rows = docs.select(_text_key(text).alias("text_key"), _masked_lines(text).alias("lines"))
+    rows = rows.select("text_key", F.posexplode("lines").alias("place", "masked"))
+    n = _occurrences(F.col("masked"), " ").cast("int") + 1
+    rows = rows.withColumn("n", n).where((F.col("n") >= LEAST_TOKENS) & (_occurrences(F.col("masked"), "<*>") <= VARIABLE * F.col("n")))
+    return rows.select("text_key", "place", F.xxhash64("n", F.substring_index("masked", " ", LEADING)).alias("leaf"),
+                       F.xxhash64("masked", "n").alias("line"))
+
+
+def _general(docs: DataFrame, lines: DataFrame) -> DataFrame:
+    """(leaf, line) pairs that have their leaf's template. ``lines``: text_key,
+    place, leaf, line. Each distinct line of a leaf that holds several is read
+    from one text."""
+    distinct = lines.groupBy("leaf", "line").agg(F.min(F.struct("text_key", "place")).alias("at"))
+    shared = lines.select("leaf", "line").distinct().groupBy("leaf").agg(F.count("*").alias("lines")).where("lines >= 2")
+    wanted = (distinct.join(shared, "leaf").groupBy(F.col("at.text_key").alias("text_key"))
+              .agg(F.collect_list(F.struct("at.place", "leaf", "line", "lines")).alias("wanted")))
+    text = F.coalesce("text", F.lit(""))
+    read = (docs.select(_text_key(text).alias("text_key"), text.alias("text")).join(wanted, "text_key")
+            .select(_masked_lines(F.col("text")).alias("masked"), "wanted")
+            .select(F.explode(F.transform("wanted", lambda w: F.struct(w["leaf"].alias("leaf"), w["line"].alias("line"), w["lines"].alias("lines"),
+                                                                       F.get("masked", w["place"]).alias("masked")))).alias("x")).select("x.*"))
+    words = (read.dropDuplicates(["leaf", "line"])
              .select("leaf", "line", "lines", F.posexplode(F.split("masked", " ")).alias("at", "token")))
     tokens = words.groupBy("leaf", "at", "token").agg(F.count("*").alias("n"), F.first("lines").alias("lines"))
     places = (tokens.groupBy("leaf", "at").agg(F.max(F.struct("n", "token")).alias("top"), F.first("lines").alias("lines"))
@@ -68,9 +92,9 @@ def _general(docs: DataFrame, distinct: DataFrame) -> DataFrame:
 def recurring_lines(docs: DataFrame, recurs: int = RECURS) -> tuple[DataFrame, DataFrame]:
     """(lines: text_key, place, leaf, line), (leaf, line) pairs to drop."""
     ensure_checkpoint_dir(docs.sparkSession)
-    lines = _lines(docs).select("text_key", "place", "leaf", "line").checkpoint()
+    lines = _lines(docs).checkpoint()
     held = lines.select("leaf", "line", "text_key").distinct()
-    general = _general(docs, lines.select("leaf", "line").distinct()).withColumn("general", F.lit(True))
+    general = _general(docs, lines).withColumn("general", F.lit(True))
     template = F.when(F.col("general"), F.xxhash64("leaf", F.lit("leaf"))).otherwise(F.xxhash64("leaf", "line"))
     known = held.join(general, ["leaf", "line"], "left").select("leaf", "line", "text_key", template.alias("template")).checkpoint()
     often = (known.select("template", "text_key").distinct().groupBy("template").agg(F.count("*").alias("texts"))
@@ -85,7 +109,7 @@ def _with_dropped(docs: DataFrame, recurs: int) -> DataFrame:
                .groupBy("text_key").agg(F.collect_set("place").alias("dropped")))
     names = [f"c{i}" for i in range(len(docs.columns))]
     text = F.coalesce(F.col(names[docs.columns.index("text")]), F.lit(""))
-    return docs.toDF(*names).withColumn("text_key", F.xxhash64(text, F.length(text))).join(dropped, "text_key", "left")
+    return docs.toDF(*names).withColumn("text_key", _text_key(text)).join(dropped, "text_key", "left")
 
 
 def _rest(text: Column) -> Column:
