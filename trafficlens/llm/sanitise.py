@@ -167,7 +167,8 @@ def disclosing_terms(docs: DataFrame, near: DataFrame, support: int = SUPPORT, d
              .agg(F.count("*").alias("both")).where(F.col("both") >= support))
     entities = contexts.select("entity", "text_key").distinct().groupBy("entity").agg(F.count("*").alias("n_entity"))
     words = F.array_distinct(F.split(F.lower("text"), r"[^\p{L}\p{N}]+"))
-    terms = docs.select(F.explode(words).alias("term")).where(F.length("term") >= 3).groupBy("term").agg(F.count("*").alias("n_term"))
+    # outer: without, a filter on the array would make it twice; null terms fall out by length
+    terms = docs.select(F.explode_outer(words).alias("term")).where(F.length("term") >= 3).groupBy("term").agg(F.count("*").alias("n_term"))
     total = docs.agg(F.count("*").alias("total"))  # one row
     scored = (joint.join(entities, "entity").join(terms, "term").join(F.broadcast(total))
               .withColumn("pmi", F.log2(F.col("both") * F.col("total") / (F.col("n_entity") * F.col("n_term"))))

@@ -33,7 +33,7 @@ RECURS = 4
 FIXED = 0.6
 VARIABLE = 0.4
 
-_BLANK = r"[\x20\x09\x0B-\x0D]{2,}+|[\x09\x0B-\x0D]"
+_BLANK = r"[\x20\x09\x0B-\x0D]++"
 _VARIABLE = r"(?<![^ \n])[^ \n0-9]*+[0-9][^ \n]*+"
 _TRIM = " \t\x0b\x0c\r"
 
@@ -58,7 +58,8 @@ def _lines(docs: DataFrame) -> DataFrame:
     text = F.coalesce("text", F.lit(""))
     # key and masks before the explode: beside it they would be made for each line
     rows = docs.select(_text_key(text).alias("text_key"), _masked_lines(text).alias("lines"))
-    rows = rows.select("text_key", F.posexplode("lines").alias("place", "masked"))
+    # outer: the others get a filter on the array, which would mask each text twice
+    rows = rows.select("text_key", F.posexplode_outer("lines").alias("place", "masked"))
     n = _occurrences(F.col("masked"), " ").cast("int") + 1
     rows = rows.withColumn("n", n).where((F.col("n") >= LEAST_TOKENS) & (_occurrences(F.col("masked"), "<*>") <= VARIABLE * F.col("n")))
     return rows.select("text_key", "place", F.xxhash64("n", F.substring_index("masked", " ", LEADING)).alias("leaf"),
@@ -75,11 +76,12 @@ def _general(docs: DataFrame, lines: DataFrame) -> DataFrame:
               .agg(F.collect_list(F.struct("at.place", "leaf", "line", "lines")).alias("wanted")))
     text = F.coalesce("text", F.lit(""))
     read = (docs.select(_text_key(text).alias("text_key"), text.alias("text")).join(wanted, "text_key")
-            .select(_masked_lines(F.col("text")).alias("masked"), "wanted")
-            .select(F.explode(F.transform("wanted", lambda w: F.struct(w["leaf"].alias("leaf"), w["line"].alias("line"), w["lines"].alias("lines"),
-                                                                       F.get("masked", w["place"]).alias("masked")))).alias("x")).select("x.*"))
+            .select("wanted", F.explode_outer(F.array(_masked_lines(F.col("text")))).alias("masked"))  # made once
+            .select(F.explode_outer(F.transform("wanted", lambda w: F.struct(
+                w["leaf"].alias("leaf"), w["line"].alias("line"), w["lines"].alias("lines"), F.get("masked", w["place"]).alias("masked")))).alias("x"))
+            .select("x.*"))
     words = (read.dropDuplicates(["leaf", "line"])
-             .select("leaf", "line", "lines", F.posexplode(F.split("masked", " ")).alias("at", "token")))
+             .select("leaf", "line", "lines", F.posexplode_outer(F.split("masked", " ")).alias("at", "token")))
     tokens = words.groupBy("leaf", "at", "token").agg(F.count("*").alias("n"), F.first("lines").alias("lines"))
     places = (tokens.groupBy("leaf", "at").agg(F.max(F.struct("n", "token")).alias("top"), F.first("lines").alias("lines"))
               .select("leaf", "at", F.when(F.col("top.n") >= FIXED * F.col("lines"), F.col("top.token")).alias("fixed")))
