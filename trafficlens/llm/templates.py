@@ -32,6 +32,7 @@ LEAST_TOKENS = 4
 RECURS = 4
 FIXED = 0.6
 VARIABLE = 0.4
+BROADCAST_ROWS = 2_000_000  # of one long each
 
 _BLANK = r"[\x20\x09\x0B-\x0D]++"
 _VARIABLE = r"(?<![^ \n])[^ \n0-9]*+[0-9][^ \n]*+"
@@ -66,6 +67,13 @@ def _lines(docs: DataFrame) -> DataFrame:
                        F.xxhash64("masked", "n").alias("line"))
 
 
+def _checked(keys: DataFrame) -> DataFrame:
+    """Checkpointed ``keys``, broadcast if they are few enough; joined by a
+    shuffle otherwise."""
+    keys = keys.checkpoint()
+    return F.broadcast(keys) if keys.count() <= BROADCAST_ROWS else keys
+
+
 def _general(docs: DataFrame, lines: DataFrame) -> DataFrame:
     """(leaf, line) pairs that have their leaf's template. ``lines``: text_key,
     place, leaf, line. Each distinct line of a leaf that holds several is read
@@ -73,9 +81,10 @@ def _general(docs: DataFrame, lines: DataFrame) -> DataFrame:
     distinct = lines.groupBy("leaf", "line").agg(F.min(F.struct("text_key", "place")).alias("at"))
     shared = lines.select("leaf", "line").distinct().groupBy("leaf").agg(F.count("*").alias("lines")).where("lines >= 2")
     wanted = (distinct.join(shared, "leaf").groupBy(F.col("at.text_key").alias("text_key"))
-              .agg(F.collect_list(F.struct("at.place", "leaf", "line", "lines")).alias("wanted")))
+              .agg(F.collect_list(F.struct("at.place", "leaf", "line", "lines")).alias("wanted"))).checkpoint()
     text = F.coalesce("text", F.lit(""))
-    read = (docs.select(_text_key(text).alias("text_key"), text.alias("text")).join(wanted, "text_key")
+    texts = docs.select(_text_key(text).alias("text_key"), text.alias("text")).join(_checked(wanted.select("text_key")), "text_key", "left_semi")
+    read = (texts.join(wanted, "text_key")
             .select("wanted", F.explode_outer(F.array(_masked_lines(F.col("text")))).alias("masked"))  # made once
             .select(F.explode_outer(F.transform("wanted", lambda w: F.struct(
                 w["leaf"].alias("leaf"), w["line"].alias("line"), w["lines"].alias("lines"), F.get("masked", w["place"]).alias("masked")))).alias("x"))
@@ -92,9 +101,13 @@ def _general(docs: DataFrame, lines: DataFrame) -> DataFrame:
 
 
 def recurring_lines(docs: DataFrame, recurs: int = RECURS) -> tuple[DataFrame, DataFrame]:
-    """(lines: text_key, place, leaf, line), (leaf, line) pairs to drop."""
+    """(lines of leaves that can recur: text_key, place, leaf, line), (leaf, line)
+    pairs to drop. A leaf with fewer lines than ``recurs`` holds no template that
+    recurs."""
     ensure_checkpoint_dir(docs.sparkSession)
     lines = _lines(docs).checkpoint()
+    leaves = lines.groupBy("leaf").agg(F.count("*").alias("n")).where(F.col("n") >= recurs).select("leaf")
+    lines = lines.join(_checked(leaves), "leaf", "left_semi").checkpoint()
     held = lines.select("leaf", "line", "text_key").distinct()
     general = _general(docs, lines).withColumn("general", F.lit(True))
     template = F.when(F.col("general"), F.xxhash64("leaf", F.lit("leaf"))).otherwise(F.xxhash64("leaf", "line"))
