@@ -49,6 +49,28 @@ def test_near_classes_against_brute_force(spark):
     assert sure > 50 and never == 0
 
 
+def test_large_family_equals_components_of_all_pairs(spark, monkeypatch):
+    """Every pair that reaches the similarity is linked, however large its buckets."""
+    r = random.Random(7)
+    base, texts = prose(3, 110, 5000).split(" "), []
+    for c in range(160):
+        words = list(base)
+        for at in r.sample(range(len(words)), c % 6):
+            words[at] = f"edit{r.randrange(10**6)}"
+        texts.append(" ".join(words))
+    docs = frame(spark, [(i, t, "en", "s", 1) for i, t in enumerate(texts)])
+    monkeypatch.setattr(near_dedup, "BLOCK_ROWS", 16)
+    got = {x.doc_id: x.class_id for x in near_dedup.near_duplicate_classes(docs).collect()}
+    frequent, low = near_dedup.frequent_shingles(docs), list(range(len(texts)))
+    pairs = [(i, j) for i in range(len(texts)) for j in range(i)]
+    near = near_dedup.weighted_jaccard([texts[x].encode() for p in pairs for x in p], frequent) >= 0.8 - 1e-9
+    for i, j in (p for p, hit in zip(pairs, near) if hit):
+        a, b = sorted((low[i], low[j]))
+        low = [a if x == b else x for x in low]
+    assert 1 < len(set(low)) < len(texts)
+    assert [got[i] for i in range(len(texts))] == low
+
+
 def test_weighted_jaccard():
     a, b = prose(1, 60), prose(1, 60).replace("w1", "x", 1)
     x, y = bag(a), bag(b)
