@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from conftest import SF_SMALL
 from trafficlens.operators import evaluate as EV
+from trafficlens.operators import metrics as MX
 from trafficlens.operators import ordered as OR
 from trafficlens.operators import prepare as PR
 from trafficlens.operators import profile as PF
@@ -80,16 +81,24 @@ def test_position_in_group_equals_row_number(spark):
     assert a == b
 
 
+def test_position_in_group_keeps_null_keys(spark):
+    df = spark.createDataFrame([(None, 1, 1), ("a", 1, 2), (None, 2, 3), ("a", 0, 4)], "key string, t long, id long")
+    got = {r["id"]: (r["pos"], r["n"]) for r in
+           OR.position_in_group(df, ["key"], ["t", "id"], out="pos", total="n", partitions=3).collect()}
+    assert got == {1: (0, 2), 3: (1, 2), 4: (0, 2), 2: (1, 2)}
+
+
 def test_counter_increase_matches_brute_force(spark):
-    df = _skewed(spark)
-    got = {r["key"]: (r["inc"], r["samples"]) for r in
-           OR.counter_increase(df, ["key"], ["t", "id"], "v", "inc", partitions=5).collect()}
-    pdf = df.toPandas().sort_values(["key", "t", "id"])
+    df = _skewed(spark).select(F.timestamp_seconds("t").alias("ts"), F.lit("m").alias("metric"),
+                               F.create_map(F.lit("k"), "key").alias("labels"), F.col("v").alias("value"), F.col("id").alias("sample_id"))
+    inc = MX.increase(df, 10_000)
+    assert "Python" not in inc._jdf.queryExecution().executedPlan().toString()
+    got = {r["labels"]["k"]: r["value"] for r in inc.collect()}
+    pdf = _skewed(spark).toPandas().sort_values(["key", "t", "id"])
     for key, g in pdf.groupby("key"):
         v = g["v"].to_numpy()
-        inc = sum((b - a) if b >= a else b for a, b in zip(v[:-1], v[1:]))
-        assert got[key][0] == pytest.approx(inc)
-        assert got[key][1] == len(v)
+        want = sum((b - a) if b >= a else b for a, b in zip(v[:-1], v[1:]))
+        assert got[key] == pytest.approx(want)
 
 
 # ---- profile, box statistics, min-max -------------------------------------------
@@ -132,7 +141,7 @@ def test_null_policy(spark):
 
 def test_hot_key_is_split_over_tasks_and_summary_is_small(spark):
     df = _skewed(spark)  # 40 % of rows on one key
-    scanned = OR.local_scan(df, ["key"], ["t", "id"], "v", partitions=8)
+    scanned = OR.local_scan(df, ["key"], ["t", "id"], partitions=8)
     per_key = {r["key"]: r["tasks"] for r in
                scanned.groupBy("key").agg(F.countDistinct(OR.PID).alias("tasks")).collect()}
     assert per_key["hot"] >= 3

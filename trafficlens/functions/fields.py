@@ -234,8 +234,8 @@ def extended_columns(frame: str = "frame", ts: str = "ts", linktype: str = "link
     eth = F.col(linktype) == LINKTYPE_ETHERNET
     mac = _octets(_h("m0")) + _octets(_h("m1")) + _octets(_h("m2"))
     cols: dict[str, Column] = {}
-    cols["VERSION"] = F.when(v4, _h("ver"))
-    cols["IHL"] = F.when(v4, _h("ihl"))
+    cols["VERSION"] = F.when(v4 & tcp, _h("ver"))  # like IHL, read with a TCP header only
+    cols["IHL"] = F.when(v4 & tcp, _h("ihl"))
     for i in range(6):
         cols[f"DST_{i + 1}"] = F.when(eth, mac[i])
     for i in range(6):

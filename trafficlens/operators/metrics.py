@@ -10,8 +10,8 @@ covers [s·r, (s+1)·r). Building blocks:
   step (``max_by`` on (ts, sample_id)).
 * ``increase`` / ``rate`` — sum of counter deltas between consecutive
   samples inside the step, a drop counted as a reset (the new value is the
-  increase). No extrapolation to the step edges. Skew-safe (see
-  ``ordered.counter_increase``).
+  increase). No extrapolation to the step edges. ``lag`` over (series, step):
+  such a group holds the samples of one series in one step only.
 * ``avg_over_time`` — mean per series and step.
 * ``sum_by`` / ``sum_all`` — aggregation by label values.
 * ``divide`` / ``add`` — one-to-one vector matching: inner join on step and
@@ -23,11 +23,9 @@ All aggregates are partial-first (map-side combine); vectors carry
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .ordered import counter_increase
-
 NAME = "__name__"
 
 
@@ -79,8 +77,13 @@ def last_sample(samples: DataFrame, step_seconds: int = 300) -> DataFrame:
         F.max_by(F.col("value"), F.struct("ts", "sample_id")).alias("value"))
 
 
-def increase(samples: DataFrame, range_seconds: int = 300, partitions: int | None = None,
-             extrapolate: bool = False) -> DataFrame:
+def counter_delta(prev: Column, cur: Column) -> Column:
+    """Increase between two consecutive counter samples: the difference, or
+    the new value itself after a reset; 0 without a previous sample."""
+    return F.when(prev.isNull() | F.isnan(prev), F.lit(0.0)).when(cur >= prev, cur - prev).otherwise(cur)
+
+
+def increase(samples: DataFrame, range_seconds: int = 300, extrapolate: bool = False) -> DataFrame:
     """Counter increase per series and step. ``extrapolate=True`` follows
     the query language's rule: the raw increase is scaled from the span
     between the first and last sample towards the step edges (by at most
@@ -88,14 +91,15 @@ def increase(samples: DataFrame, range_seconds: int = 300, partitions: int | Non
     the start), and series with fewer than two samples in a step give no
     value."""
     s = with_series_id(with_step(samples, range_seconds))
-    # labels travel as JSON text through the Arrow-batched scan
-    s = s.select("ts", "sample_id", "step", "series", "metric", "value",
-                 F.to_json("labels").alias("_tl_labels"))
-    inc = counter_increase(s, ["series", "step"], ["ts", "sample_id"], "value", "value",
-                           partitions=partitions, carry=["metric", "_tl_labels"])
+    w = Window.partitionBy("series", "step").orderBy("ts", "sample_id")
+    at, value = F.struct("ts", "sample_id"), F.col("value")
+    inc = (s.withColumn("_tl_d", counter_delta(F.lag("value").over(w), value)).groupBy("series", "step")
+           .agg(F.sum("_tl_d").alias("value"), F.count(F.lit(1)).alias("samples"), F.min_by(value, at).alias("first_value"),
+                F.min(at).alias("first_key"), F.max(at).alias("last_key"),
+                F.first("metric").alias("metric"), F.first("labels").alias("labels")))
     if extrapolate:
         inc = _extrapolated(inc, range_seconds)
-    return inc.select("step", "metric", F.from_json("_tl_labels", "map<string,string>").alias("labels"), "value")
+    return inc.select("step", "metric", "labels", "value")
 
 
 def _extrapolated(inc: DataFrame, range_seconds: int) -> DataFrame:
@@ -119,9 +123,8 @@ def _extrapolated(inc: DataFrame, range_seconds: int) -> DataFrame:
             .withColumn("value", raw * (span / sampled)))
 
 
-def rate(samples: DataFrame, range_seconds: int = 300, partitions: int | None = None,
-         extrapolate: bool = False) -> DataFrame:
-    inc = increase(samples, range_seconds, partitions, extrapolate)
+def rate(samples: DataFrame, range_seconds: int = 300, extrapolate: bool = False) -> DataFrame:
+    inc = increase(samples, range_seconds, extrapolate)
     return inc.withColumn("value", F.col("value") / F.lit(float(range_seconds)))
 
 

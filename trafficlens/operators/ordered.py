@@ -1,32 +1,26 @@
-"""Order-dependent work (position in a group, previous value in a group)
-without putting a whole group in one task.
+"""Position of a row in its group without putting a whole group in one task.
 
 A plain ``Window.partitionBy(key).orderBy(t)`` sends every row of a key to one
 task, so a key holding a third of the data runs in one task. Here rows are
 range-partitioned on (key, ordering columns): Spark's sampled range bounds cut
 the globally sorted sequence into equal slices, so a hot key is split over
-many tasks while every other key stays in one. Each task is sorted and
-scanned once by an Arrow-batched pandas pass that emits the local position
-and local previous value per (task, key). Only a per-(task, key) summary is
-combined across tasks — about one row per key plus one per task, since only
-keys at slice borders span tasks — by a window over that small table.
-Aggregates (counter increases) finish on the summary alone; per-row results
-(ordinals) join the summary back on (task, key).
+many tasks while every other key stays in one. Inside a task the running row
+id less the smallest of the (task, key) run is the local position; only a
+per-(task, key) summary — about one row per key plus one per task, since only
+keys at slice borders span tasks — goes through a window, and joins back on
+(task, key). Null keys are a group of their own. All of it is built-in
+functions.
 """
 
 from __future__ import annotations
 
-import numpy as np
-from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ..session import ensure_checkpoint_dir
 
 PID = "_tl_pid"
 IDX = "_tl_idx"
-PREV = "_tl_prev"
 
 
 def _partitions(df: DataFrame, partitions: int | None) -> int:
@@ -43,115 +37,32 @@ def _partitions(df: DataFrame, partitions: int | None) -> int:
     return n
 
 
-def _local_scan_fn(by: list[str], value: str | None):
-    def scan(batches):
-        pid = TaskContext.get().partitionId()
-        carry_key = None
-        carry_idx = -1
-        carry_val = np.nan
-        for pdf in batches:
-            n = len(pdf)
-            if n == 0:
-                continue
-            pos = np.arange(n, dtype=np.int64)
-            same = np.ones(n, dtype=bool)
-            for k in by:
-                col = pdf[k].to_numpy()
-                s = np.zeros(n, dtype=bool)
-                if n > 1:
-                    s[1:] = col[1:] == col[:-1]
-                s[0] = carry_key is not None and col[0] == carry_key[k]
-                same &= s
-            start = ~same
-            last_start = np.maximum.accumulate(np.where(start, pos, -1))
-            idx = np.where(last_start >= 0, pos - last_start, carry_idx + 1 + pos)
-            out = pdf.copy()
-            out[PID] = np.int32(pid)
-            out[IDX] = idx.astype(np.int64)
-            if value is not None:
-                v = pdf[value].to_numpy(dtype=np.float64, na_value=np.nan)
-                prev = np.empty(n, dtype=np.float64)
-                prev[1:] = v[:-1]
-                prev[0] = carry_val
-                prev[start] = np.nan
-                out[PREV] = prev
-                carry_val = v[-1]
-            carry_idx = int(idx[-1])
-            carry_key = {k: pdf[k].iloc[-1] for k in by}
-            yield out
-    return scan
-
-
-def local_scan(df: DataFrame, by: list[str], order: list[str], value: str | None = None,
-               partitions: int | None = None) -> DataFrame:
+def local_scan(df: DataFrame, by: list[str], order: list[str], partitions: int | None = None) -> DataFrame:
     """Range-partition on (by, order) (``order`` must make a total order
     within a key, e.g. end in a unique id), sort each task the same way and
-    add ``_tl_pid`` (task),
-    ``_tl_idx`` (0-based position inside the (task, key) run) and, if
-    ``value`` is given, ``_tl_prev`` (previous value in that run, NaN at the
-    run start)."""
-    n = _partitions(df, partitions)
-    ranged = df.repartitionByRange(n, *by, *order).sortWithinPartitions(*by, *order)
-    fields = list(df.schema.fields) + [T.StructField(PID, T.IntegerType(), False),
-                                       T.StructField(IDX, T.LongType(), False)]
-    if value is not None:
-        fields.append(T.StructField(PREV, T.DoubleType(), True))
-    return ranged.mapInPandas(_local_scan_fn(by, value), T.StructType(fields))
+    add ``_tl_pid`` (task) and ``_tl_idx`` (ascending row id in the task)."""
+    ranged = df.repartitionByRange(_partitions(df, partitions), *by, *order).sortWithinPartitions(*by, *order)
+    return ranged.withColumns({PID: F.spark_partition_id(), IDX: F.monotonically_increasing_id()})
 
 
 def position_in_group(df: DataFrame, by: list[str], order: list[str], out: str = "ordinal",
                       total: str | None = None, partitions: int | None = None) -> DataFrame:
     """0-based position of each row inside its ``by`` group in ``order``
-    (``row_number() - 1``) and optionally the group size, skew-safe."""
+    (``row_number() - 1``) and optionally the group size, skew-safe. Rows
+    whose key is null are kept and numbered among themselves."""
     ensure_checkpoint_dir(df.sparkSession)
-    scanned = local_scan(df, by, order, None, partitions).checkpoint(eager=True)
-    summary = scanned.groupBy(PID, *by).agg(F.count(F.lit(1)).alias("_tl_n"))
+    scanned = local_scan(df, by, order, partitions).checkpoint(eager=True)
+    summary = scanned.groupBy(PID, *by).agg(F.count(F.lit(1)).alias("_tl_n"), F.min(IDX).alias("_tl_low"))
     w = Window.partitionBy(*by).orderBy(PID)
-    summary = summary.withColumn(
-        "_tl_off", F.coalesce(F.sum("_tl_n").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+    before = F.coalesce(F.sum("_tl_n").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    summary = summary.withColumn("_tl_off", before - F.col("_tl_low"))
     if total:
         summary = summary.withColumn(total, F.sum("_tl_n").over(Window.partitionBy(*by)))
-    keep = ["_tl_off"] + ([total] if total else [])
-    joined = scanned.join(summary.select(PID, *by, *keep), [PID, *by])
-    return joined.withColumn(out, F.col("_tl_off") + F.col(IDX)).drop(PID, IDX, "_tl_off")
-
-
-def counter_delta(prev, cur):
-    """Increase between two consecutive counter samples: the difference, or
-    the new value itself after a reset; 0 without a previous sample (NaN
-    becomes null through Arrow, so both count as missing)."""
-    p, c = F.col(prev) if isinstance(prev, str) else prev, F.col(cur) if isinstance(cur, str) else cur
-    return F.when(p.isNull() | F.isnan(p), F.lit(0.0)).when(c >= p, c - p).otherwise(c)
-
-
-def counter_increase(df: DataFrame, by: list[str], order: list[str], value: str = "value",
-                     out: str = "increase", partitions: int | None = None,
-                     carry: list[str] | None = None) -> DataFrame:
-    """Sum of counter deltas between consecutive samples of each ``by`` group,
-    resets counted as a restart from zero. One row per group, with the number
-    of samples as ``samples``, the first value and the first / last ordering
-    keys (structs of ``order``); ``carry`` columns (constant within a group)
-    are passed through. Skew-safe: partial sums per (task, key), then
-    the deltas across task boundaries are added on the small summary."""
-    scanned = local_scan(df, by, order, value, partitions)
-    scanned = scanned.withColumn("_tl_d", counter_delta(PREV, value))
-    okey = F.struct(*[F.col(c) for c in order])
-    part = scanned.groupBy(PID, *by).agg(
-        F.sum("_tl_d").alias("_tl_inner"),
-        F.min_by(F.col(value), okey).alias("_tl_first"),
-        F.max_by(F.col(value), okey).alias("_tl_last"),
-        F.min(okey).alias("_tl_okey_min"),
-        F.max(okey).alias("_tl_okey_max"),
-        F.count(F.lit(1)).alias("_tl_n"),
-        *[F.any_value(c).alias(c) for c in carry or []],
-    )
-    w = Window.partitionBy(*by).orderBy(PID)
-    part = part.withColumn("_tl_before", F.lag("_tl_last").over(w))
-    part = part.withColumn("_tl_edge", counter_delta("_tl_before", "_tl_first"))
-    # first / last sample of the whole group: from the first / last task
-    return part.groupBy(*by).agg((F.sum("_tl_inner") + F.sum("_tl_edge")).alias(out),
-                                 F.sum("_tl_n").alias("samples"),
-                                 F.min_by("_tl_first", PID).alias("first_value"),
-                                 F.min("_tl_okey_min").alias("first_key"),
-                                 F.max("_tl_okey_max").alias("last_key"),
-                                 *[F.any_value(c).alias(c) for c in carry or []])
+    names = [PID, *by]
+    keys = [f"_tl_k{i}" for i in range(len(names))]
+    right = summary.select(*[F.col(n).alias(k) for n, k in zip(names, keys)], "_tl_off", *([total] if total else []))
+    same = F.lit(True)
+    for n, k in zip(names, keys):
+        same = same & F.col(n).eqNullSafe(F.col(k))
+    joined = scanned.join(right, same)
+    return joined.withColumn(out, F.col("_tl_off") + F.col(IDX)).drop(PID, IDX, "_tl_off", *keys)

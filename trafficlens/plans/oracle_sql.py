@@ -46,8 +46,8 @@ _MAC = """
   (event_id % 256)::INTEGER AS SRC_6,
   (CASE WHEN event_id % 11 = 5 THEN 33024 WHEN has_ip THEN 2048 ELSE 2054 END)::INTEGER AS TYPE"""
 _VER = """
-  (CASE WHEN has_ip THEN 4 END)::INTEGER AS VERSION,
-  (CASE WHEN has_ip THEN ihl END)::INTEGER AS IHL"""
+  (CASE WHEN is_tcp THEN 4 END)::INTEGER AS VERSION,
+  (CASE WHEN is_tcp THEN ihl END)::INTEGER AS IHL"""
 
 SQL["packet_ip_header"] = _pk_select(_IP_HDR)
 SQL["packet_tcp_header"] = _pk_select(_TCP_HDR)

@@ -4,6 +4,7 @@ that are already present."""
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -43,11 +44,14 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
     On a cluster this setting names shared storage and is used as is. Only
-    when it is unset (local tests) a fresh scratch folder is created."""
+    when it is unset in local mode (tests) a fresh scratch folder is created;
+    on a cluster a missing setting is an error."""
     conf_dir = spark.conf.get("spark.checkpoint.dir", None)
     if not conf_dir:
         conf_dir = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
     if not conf_dir:
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         conf_dir = tempfile.mkdtemp(prefix="tl-ckpt-")
         spark.conf.set("spark.checkpoint.dir", conf_dir)
     spark.sparkContext.setCheckpointDir(conf_dir)

@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import fields
+from ..operators.labels import normalise_class_name
 from ..plans import projections as P
 from ..session import scratch_path
 from ..sources import capture as CAP
@@ -93,7 +94,7 @@ def ingest_captures(spark: SparkSession, root: str, out: str, classes: list[str]
                .select("path", "length"))
 
     def ingest(batch: DataFrame) -> DataFrame:
-        lst = batch.withColumn("class_name", F.regexp_extract("path", r"([^/]+)/[^/]+$", 1))
+        lst = batch.withColumn("class_name", normalise_class_name(F.regexp_extract("path", r"([^/]+)/[^/]+$", 1)))
         frames = CAP.frames_from_listing(lst, classes)
         return fields.packet_features(frames, keep=["path", "ordinal"])
 
