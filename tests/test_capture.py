@@ -6,7 +6,7 @@ import struct
 import pytest
 from pyspark.sql import functions as F
 
-from pcap_fixtures import FRAMES, write_pcap
+from pcap_fixtures import FRAMES, ether, tcp, write_pcap
 from trafficlens.functions import fields
 from trafficlens.operators import sample as SA
 from trafficlens.sources import capture as CAP
@@ -56,6 +56,26 @@ def test_ipv6_tcp(fixture_rows):
     assert r["LEN_RAW"] == 4
 
 
+def test_ipv6_extension_header_chains(spark):
+    seg = tcp(4000, 443, b"xyz")
+    options = lambda nh, units=0: bytes([nh, units]) + bytes(6 + 8 * units)
+    auth = lambda nh: bytes([nh, 4]) + bytes(22)
+    cut = lambda nh, offset: struct.pack("!BBHI", nh, 0, offset << 3, 9)
+    chains = [(0, options(60) + options(6, 2)), (0, options(43) + options(60, 1) + options(51) + auth(6)),
+              (51, auth(6)), (44, cut(6, 0)), (0, options(44) + cut(6, 0)), (44, cut(6, 5)), (60, b"\x3c")]
+    rows = []
+    for i, (nh, headers) in enumerate(chains):
+        body = headers + (seg if i != 6 else b"")
+        ip = struct.pack("!IHBB16s16s", 6 << 28, len(body), nh, 64, bytes(16), bytes(16)) + body
+        rows.append((i, bytearray(ether(ip, ethertype=0x86DD, pad=False)), 1))
+    got = fields.with_layers(spark.createDataFrame(rows, "i int, frame binary, linktype int"))
+    got = {r["i"]: r for r in got.select("i", "_tl_tcp", "_tl_ports", "_tl_paylen").collect()}
+    for i in range(5):
+        assert (got[i]["_tl_tcp"], got[i]["_tl_ports"], got[i]["_tl_paylen"]) == (True, 4000 << 16 | 443, 3)
+    assert (got[5]["_tl_tcp"], got[5]["_tl_paylen"]) == (False, len(seg))
+    assert got[6]["_tl_tcp"] is False
+
+
 def test_arp_all_null_but_class(fixture_rows):
     r = fixture_rows["arp"]
     assert r["CLASS"] == 0

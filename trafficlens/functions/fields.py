@@ -41,7 +41,11 @@ LINKTYPE_NAMES = {
 ETH_IPV4 = 0x0800
 ETH_IPV6 = 0x86DD
 ETH_VLAN = (0x8100, 0x88A8)
-IPV6_EXT_HEADERS = (0, 43, 60)  # hop-by-hop, routing, destination options
+# IPv6 extension headers counted in 8-byte units (hop-by-hop,
+# routing, destination options, mobility), fragment and authentication header.
+IPV6_OPTIONS = (0, 43, 60, 135)
+IPV6_FRAGMENT = 44
+IPV6_AUTH = 51
 RAW_LINKTYPES = (LINKTYPE_NULL, LINKTYPE_RAW, LINKTYPE_IPV4, LINKTYPE_IPV6)
 _REST = 1 << 30  # "to the end of the frame" for binary substring
 
@@ -57,6 +61,29 @@ def _h(name: str) -> Column:
     return F.col(_H + name)
 
 
+def _ipv6_chain(ip: Column) -> Column:
+    """(nh, pos, later) behind all IPv6 extension headers: protocol, 1-based
+    start of its header, and whether this is a later fragment (nothing behind
+    its fragment header is one). A header takes 8 bytes at least, so the steps
+    are bounded by the packet's own length."""
+
+    def step(s: Column, _: Column) -> Column:
+        nh, pos, later = s["nh"], s["pos"], s["later"]
+
+        def to(size: Column, fragment: Column) -> Column:
+            return F.struct(uint8(ip, pos).alias("nh"), (pos + size).cast("int").alias("pos"), fragment.alias("later"))
+
+        units = uint8(ip, pos + 1)
+        cut = F.coalesce(F.shiftright(uint16(ip, pos + 2), 3) > 0, F.lit(False))
+        return (F.when(later, s).when(nh.isin(*IPV6_OPTIONS), to((units + 1) * 8, later))
+                .when(nh == IPV6_AUTH, to((units + 2) * 4, later))
+                .when(nh == IPV6_FRAGMENT, to(F.lit(8), cut)).otherwise(s))
+
+    start = F.struct(_h("nh").alias("nh"), F.lit(41).alias("pos"), F.lit(False).alias("later"))
+    steps = F.sequence(F.lit(1), F.greatest(F.lit(1), F.floor((F.length(ip) - 40) / 8).cast("int")))
+    return F.aggregate(steps, start, step)
+
+
 def with_layers(df: DataFrame, frame: str = "frame", linktype: str = "linktype") -> DataFrame:
     """Add the layer helper columns ``_tl_*`` in a few small projections.
 
@@ -103,12 +130,15 @@ def with_layers(df: DataFrame, frame: str = "frame", linktype: str = "linktype")
     })
 
     v4, v6 = _h("v4"), _h("v6")
-    ext = _h("nh").isin(*IPV6_EXT_HEADERS)
+    ext = v6 & _h("nh").isin(*IPV6_OPTIONS, IPV6_FRAGMENT, IPV6_AUTH)
+    df = df.withColumns({_H + "chain": F.when(ext, _ipv6_chain(ip))})
+    chain = _h("chain")
+    v6later = F.coalesce(chain["later"], F.lit(False))
     proto = (F.when(v4, F.shiftright(_h("w2"), 16).bitwiseAND(255).cast("int"))
-             .when(v6, F.when(ext, uint8(ip, 41)).otherwise(_h("nh"))))
+             .when(v6, F.when(ext, chain["nh"]).otherwise(_h("nh"))))
     # 1-based start of the transport header inside the IP sub-frame
     l4start = (F.when(v4, _h("ihl") * 4 + 1)
-               .when(v6, F.when(ext, (uint8(ip, 42) + 1) * 8 + 41).otherwise(F.lit(41))))
+               .when(v6, F.when(ext, chain["pos"]).otherwise(F.lit(41))))
     total4, plen6 = _h("w0").bitwiseAND(0xFFFF), F.shiftright(_h("w1"), 16)
     # IP length from layer 3 on: a captured frame can be shorter (snap
     # length) or longer (Ethernet padding) than the IP packet, so the payload
@@ -119,12 +149,12 @@ def with_layers(df: DataFrame, frame: str = "frame", linktype: str = "linktype")
     df = df.withColumns({_H + "proto": proto, _H + "l4start": l4start, _H + "iplen": iplen})
 
     l4 = _rest(ip, _h("l4start"))
-    first = F.when(v4, _h("frag") == 0).when(v6, F.lit(True))
+    first = F.when(v4, _h("frag") == 0).when(v6, ~v6later)
     df = df.withColumns({
         _H + "l4": l4,
         _H + "tcp": F.coalesce(first & (_h("proto") == 6) & (F.length(l4) >= 20), F.lit(False)),
         _H + "udp": F.coalesce(first & (_h("proto") == 17) & (F.length(l4) >= 8), F.lit(False)),
-        _H + "later": v4 & (_h("frag") > 0),
+        _H + "later": (v4 & (_h("frag") > 0)) | v6later,
     })
 
     tcp, udp = _h("tcp"), _h("udp")
