@@ -120,6 +120,15 @@ def test_templates(spark):
     assert got[0] == (4, 2) and got[51] == (0, 0)
 
 
+def test_lines_that_only_open_alike_stay(spark):
+    words = "amber birch cedar delta ember frost grove heath".split()
+    rows = [(i, f"This is the {w}\nHe said that {w} {w}s\nThor the haan {w} of {w}s\nkeep", "", "", 1) for i, w in enumerate(words)]
+    rows += [(100 + i, f"please contact the {w} desk before you open a case", "", "", 1) for i, w in enumerate(words)]
+    new = {r.doc_id: r.text for r in templates.drop_template_lines(frame(spark, rows)).collect()}
+    assert all(new[i] == rows[i][1] for i in range(len(words)))
+    assert all(new[100 + i] == "" for i in range(len(words)))
+
+
 @pytest.fixture(scope="module")
 def learned(spark):
     docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")

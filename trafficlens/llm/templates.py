@@ -5,8 +5,10 @@ are variable from the start (``<*>``). The tree has the token count first, then
 the ``LEADING`` first tokens; a leaf holds the lines that agree in these. In
 each leaf a place whose most frequent token covers less than ``FIXED`` of the
 leaf's distinct lines is a variable field. A line that agrees with the leaf in
-every other place, with at most ``VARIABLE`` of its places variable, has the
-leaf's template; any other line is its own template. Templates of at least
+every other place has the leaf's template if at most ``VARIABLE`` of its places
+are variable and it is fixed enough: ``LEAST_FIXED`` tokens or more agree, and
+more than half of the places after the leading ones. So lines that merely open
+alike have no template in common. Any other line is its own template. Templates of at least
 ``LEAST_TOKENS`` tokens found in ``RECURS`` distinct texts or more recur, and
 their lines are dropped from every text. Exact copies of a text count as one
 text; lines of fewer tokens stay, and so do lines with a digit in more than
@@ -30,6 +32,7 @@ from ..session import ensure_checkpoint_dir
 LEADING = 3
 LEAST_TOKENS = 4
 RECURS = 4
+LEAST_FIXED = 6
 FIXED = 0.6
 VARIABLE = 0.4
 BROADCAST_ROWS = 2_000_000  # of one long each
@@ -96,8 +99,11 @@ def _general(docs: DataFrame, lines: DataFrame) -> DataFrame:
               .select("leaf", "at", F.when(F.col("top.n") >= FIXED * F.col("lines"), F.col("top.token")).alias("fixed")))
     agree = (words.join(places, ["leaf", "at"]).groupBy("leaf", "line")
              .agg(F.count("*").alias("n"), F.sum(F.col("fixed").isNull().cast("int")).alias("variable"),
-                  F.sum((F.col("fixed") != F.col("token")).cast("int")).alias("other")))
-    return agree.where((F.col("variable") <= VARIABLE * F.col("n")) & (F.coalesce("other", F.lit(0)) == 0)).select("leaf", "line")
+                  F.sum((F.col("fixed") != F.col("token")).cast("int")).alias("other"),
+                  F.sum((F.col("fixed") != "<*>").cast("int")).alias("all_fixed"),
+                  F.sum(((F.col("at") >= LEADING) & (F.col("fixed") != "<*>")).cast("int")).alias("later_fixed")))
+    enough = (F.col("all_fixed") >= LEAST_FIXED) & (2 * F.col("later_fixed") > F.col("n") - LEADING)
+    return agree.where((F.col("variable") <= VARIABLE * F.col("n")) & (F.coalesce("other", F.lit(0)) == 0) & enough).select("leaf", "line")
 
 
 def recurring_lines(docs: DataFrame, recurs: int = RECURS) -> tuple[DataFrame, DataFrame]:
