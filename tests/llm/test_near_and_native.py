@@ -129,6 +129,32 @@ def test_lines_that_only_open_alike_stay(spark):
     assert all(new[100 + i] == "" for i in range(len(words)))
 
 
+def test_templates_recur_whatever_else_their_leaf_holds(spark):
+    """Against all sets of open places of each line, in plain Python."""
+    from itertools import combinations
+    r = random.Random(5)
+    name = lambda: "".join(r.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(6))
+    lines = [f"please write to {name()} for help with orders" for _ in range(6)]
+    lines += [f"please write to our {name()} desk for {name()}" for _ in range(6)]
+    lines += [f"please write to support about your {name()} {name()}" for _ in range(3)]  # too few texts
+    lines += ["please write to " + " ".join(name() for _ in range(5)) for _ in range(120)]
+    lines += ["please write to " + " ".join(r.choice("xyz") for _ in range(5)) for _ in range(30)]
+    lines = list(dict.fromkeys(lines))  # copies of a text count as one
+    found, holds = set(), {}
+    for i, line in enumerate(lines):
+        words = line.split(" ")
+        for k in range(3):
+            for wild in combinations(range(3, 8), k):
+                holds.setdefault(tuple("*" if at in wild else w for at, w in enumerate(words)), set()).add(i)
+    for texts in holds.values():
+        if len(texts) >= templates.RECURS:
+            found.update(texts)
+    docs = frame(spark, [(i, line, "", "", 1) for i, line in enumerate(lines)])
+    new = {x.doc_id: x.text for x in templates.drop_template_lines(docs).collect()}
+    assert {i for i, t in new.items() if t == ""} == found
+    assert set(range(12)) <= found and not found & set(range(12, 135))
+
+
 @pytest.fixture(scope="module")
 def learned(spark):
     docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
