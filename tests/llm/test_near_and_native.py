@@ -108,6 +108,19 @@ def test_sanitise(spark):
     assert all(new[10 + i] == text[10 + i] for i in range(200))
 
 
+def _marked_terms(docs, texts):
+    return {r.doc_id: [texts[r.doc_id][int(a):int(b)] for k, a, b in (x.split(":") for x in r.spans.split(",") if x) if k == "term"]
+            for r in sanitise.personal_data(docs).where("doc_id < 100").collect()}
+
+
+def test_terms_are_counted_over_distinct_texts(spark):
+    texts = {i: f"{prose(i, 12)} Zebulon wrote to ann.lee@example.org {prose(50 + i, 12)}" for i in range(3)}
+    rows = [(i, t, "", "", 1) for i, t in texts.items()] + [(100 + i, texts[0], "", "", 1) for i in range(60)]
+    rows += [(200 + i, prose(200 + i, 20), "", "", 1) for i in range(120)]
+    got = _marked_terms(frame(spark, rows), texts)
+    assert all("Zebulon" in got[i] for i in range(3))
+
+
 def test_templates(spark):
     rows = [(i, f"{prose(i, 9).replace(chr(10), ' ')}\nuser {i} logged in from host{i}\nsame footer on every page\nshort", "", "", 1) for i in range(8)]
     rows += [(50, "a line of its own", "", "", 1), (51, None, "", "", 1)]

@@ -8,14 +8,14 @@ Terms: each base span is an occurrence of a protected entity (its kind and
 normalised value). The ``NEAR`` words (runs of letters and digits) on either
 side of it, as far as they stand wholly within ``REACH`` characters and in no
 base span, co-occur with it; words of three characters and more are terms. Over
-the whole corpus of N rows
+the N distinct texts of the corpus
 
     PMI(entity, term) = log2( n(entity, term) * N / (n(entity) * n(term)) )
 
 estimates how many bits a term tells about the entity, whose own information is
 IC(entity) = log2( N / n(entity) ). n(entity) and n(entity, term) count texts,
 where surroundings that repeat word for word count once in all; n(term) counts
-the rows that hold the term. A term that was seen with the entity in at least ``SUPPORT``
+the distinct texts that hold the term. A term that was seen with the entity in at least ``SUPPORT``
 such texts and whose PMI reaches ``DISCLOSURE`` of IC discloses it;
 its occurrences near that entity become spans of kind ``term``. In the cleaned
 text terms are generalised ([NUMBER] where they have a digit, [NAME] where they
@@ -40,6 +40,7 @@ NEAR = 6
 SUPPORT = 3
 DISCLOSURE = 0.8
 REACH = 256
+BROADCAST_ROWS = 2_000_000  # of one key each
 SPANS = "array<struct<start:int,rank:int,end:int,value:string>>"
 KINDS = ("email", "ip", "card", "phone", "term")
 
@@ -158,6 +159,26 @@ def _marked(docs: DataFrame) -> DataFrame:
     return rows.select("doc_id", key.alias("text_key"), "spans", near.alias("near"))
 
 
+def _checked(keys: DataFrame) -> DataFrame:
+    """Checkpointed ``keys``, broadcast if they are few enough; joined by a
+    shuffle otherwise."""
+    keys = keys.checkpoint()
+    return F.broadcast(keys) if keys.count() <= BROADCAST_ROWS else keys
+
+
+def _term_counts(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(term, n_term) and total, both of distinct texts: each of n copies of a
+    text weighs 1/n."""
+    key = F.xxhash64(F.coalesce("text", F.lit("")), F.length(F.coalesce("text", F.lit(""))))
+    texts = docs.select(key.alias("copy_key")).groupBy("copy_key").agg(F.count("*").alias("copies")).checkpoint()
+    copied = _checked(texts.where("copies > 1"))
+    # outer: without, a filter on the array would make it twice; null terms fall out by length
+    terms = (docs.select(key.alias("copy_key"), "text").join(copied, "copy_key", "left")
+             .select("copies", F.explode_outer(F.array_distinct(F.split(F.lower("text"), r"[^\p{L}\p{N}]+"))).alias("term")).where(F.length("term") >= 3)
+             .groupBy("term").agg(F.round(F.sum(1 / F.coalesce("copies", F.lit(1)))).alias("n_term")))
+    return terms, texts.agg(F.count("*").alias("total"))  # one row
+
+
 def disclosing_terms(docs: DataFrame, near: DataFrame, support: int = SUPPORT, disclosure: float = DISCLOSURE) -> DataFrame:
     """(entity, term) pairs where the term discloses the entity. ``near``: entity,
     context, words."""
@@ -166,10 +187,7 @@ def disclosing_terms(docs: DataFrame, near: DataFrame, support: int = SUPPORT, d
     joint = (contexts.select("entity", "text_key", F.explode("words").alias("term")).distinct().groupBy("entity", "term")
              .agg(F.count("*").alias("both")).where(F.col("both") >= support))
     entities = contexts.select("entity", "text_key").distinct().groupBy("entity").agg(F.count("*").alias("n_entity"))
-    words = F.array_distinct(F.split(F.lower("text"), r"[^\p{L}\p{N}]+"))
-    # outer: without, a filter on the array would make it twice; null terms fall out by length
-    terms = docs.select(F.explode_outer(words).alias("term")).where(F.length("term") >= 3).groupBy("term").agg(F.count("*").alias("n_term"))
-    total = docs.agg(F.count("*").alias("total"))  # one row
+    terms, total = _term_counts(docs)
     scored = (joint.join(entities, "entity").join(terms, "term").join(F.broadcast(total))
               .withColumn("pmi", F.log2(F.col("both") * F.col("total") / (F.col("n_entity") * F.col("n_term"))))
               .withColumn("ic", F.log2(F.col("total") / F.col("n_entity"))))
