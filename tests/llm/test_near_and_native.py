@@ -121,6 +121,17 @@ def test_terms_are_counted_over_distinct_texts(spark):
     assert all("Zebulon" in got[i] for i in range(3))
 
 
+def test_terms_far_from_their_entity(spark):
+    texts = {i: f"Zebulon\n{prose(i, 90)} mail ann.lee@example.org {prose(50 + i, 90)} Zebulon, again ZEBULON." for i in range(4)}
+    texts[4] = f"from {prose(9, 20)} zebulon"  # without the entity
+    rows = [(i, t, "", "", 1) for i, t in texts.items()] + [(200 + i, prose(200 + i, 60), "", "", 1) for i in range(200)]
+    docs = frame(spark, rows)
+    got = _marked_terms(docs, texts)
+    assert all([w for w in got[i] if w.lower() == "zebulon"] == ["Zebulon", "Zebulon", "ZEBULON"] for i in range(4)) and got[4] == []
+    new = {r.doc_id: r.text for r in sanitise.sanitise(docs).collect()}
+    assert all("zebulon" not in new[i].lower() and "[EMAIL]" in new[i] for i in range(4)) and new[4] == texts[4]
+
+
 def test_templates(spark):
     rows = [(i, f"{prose(i, 9).replace(chr(10), ' ')}\nuser {i} logged in from host{i}\nsame footer on every page\nshort", "", "", 1) for i in range(8)]
     rows += [(50, "a line of its own", "", "", 1), (51, None, "", "", 1)]

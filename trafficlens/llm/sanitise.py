@@ -5,25 +5,28 @@ are dropped, without retries): email, ip (parts at most 255), card (12 to 19
 digits that pass Luhn) and phone (9 to 15 digits).
 
 Terms: each base span is an occurrence of a protected entity (its kind and
-normalised value). The ``NEAR`` words (runs of letters and digits) on either
-side of it, as far as they stand wholly within ``REACH`` characters and in no
-base span, co-occur with it; words of three characters and more are terms. Over
-the N distinct texts of the corpus
+normalised value). Words (runs of letters and digits, lower case) of three
+characters and more are terms; those that touch a base span are not looked at.
+All terms of a text co-occur with each of its entities, however far they stand.
+Over the N distinct texts of the corpus
 
     PMI(entity, term) = log2( n(entity, term) * N / (n(entity) * n(term)) )
 
 estimates how many bits a term tells about the entity, whose own information is
-IC(entity) = log2( N / n(entity) ). n(entity) and n(entity, term) count texts,
-where surroundings that repeat word for word count once in all; n(term) counts
-the distinct texts that hold the term. A term that was seen with the entity in at least ``SUPPORT``
-such texts and whose PMI reaches ``DISCLOSURE`` of IC discloses it;
-its occurrences near that entity become spans of kind ``term``. In the cleaned
+IC(entity) = log2( N / n(entity) ). All counts are of distinct texts, so copies
+count once; n(entity) and n(entity, term) take only one text of those where the
+``REACH`` characters on either side of the entity repeat word for word. A term
+that was seen with the entity in at least ``SUPPORT`` such texts and whose PMI
+reaches ``DISCLOSURE`` of IC discloses it; every occurrence in the texts that
+hold the entity becomes a span of kind ``term``. In the cleaned
 text terms are generalised ([NUMBER] where they have a digit, [NAME] where they
 are capitalised) or else removed, and base spans become [EMAIL] and so on.
 
 Only DataFrame functions. Everything is counted by shuffled aggregations with
-map-side sums; nothing is collected. Texts meet the terms found by the digest of
-the text, so only narrow rows move for the spans.
+map-side sums; nothing is collected. Only entities of ``SUPPORT`` texts or more
+are paired with terms. Texts meet the terms found by the digest of the text, so
+texts move only where they hold such entities. Copies are told by 64-bit hashes
+when terms are counted.
 
 Null text counts as empty: no spans. Rows may repeat ids or have none: spans
 depend on the text alone. Extra columns are kept by ``sanitise``. Empty in,
@@ -36,11 +39,11 @@ from pyspark.sql import functions as F
 
 from ..session import ensure_checkpoint_dir
 
-NEAR = 6
 SUPPORT = 3
 DISCLOSURE = 0.8
 REACH = 256
 BROADCAST_ROWS = 2_000_000  # of one key each
+_HOLE = "\ua66e"  # a letter
 SPANS = "array<struct<start:int,rank:int,end:int,value:string>>"
 KINDS = ("email", "ip", "card", "phone", "term")
 
@@ -131,22 +134,22 @@ def _label(kind: str) -> str:
     return f"[{kind.upper()}]"
 
 
-def _words_near(text: Column, s: Column, spans: Column) -> Column:
-    """Words near span ``s``: array<(start, end, value)>."""
-    low = F.greatest(F.lit(0), s["start"] - REACH)
-    before = F.substring(text, low + 1, s["start"] - low)
-    after = F.substring(text, s["end"] + 1, F.lit(REACH))
-    # a word that touches the far edge may go on beyond it
-    left = F.filter(_matches(before, WORD), lambda w: (w["start"] > 0) | (low == 0))
-    right = F.filter(_matches(after, WORD), lambda w: w["end"] < REACH)
-    shift = lambda words, by: F.transform(words, lambda w: F.struct((w["start"] + by).alias("start"), (w["end"] + by).alias("end"), F.lower(w["value"]).alias("value")))
-    near = F.concat(shift(F.slice(F.reverse(left), 1, NEAR), low), shift(F.slice(right, 1, NEAR), s["end"]))
-    return F.filter(near, lambda w: (F.length(w["value"]) >= 3) & ~F.exists(spans, lambda b: (b["start"] < w["end"]) & (w["start"] < b["end"])))
+def _terms(text: Column) -> Column:
+    """The distinct words of a text, lower case."""
+    return F.array_distinct(F.transform(F.split(text, r"[^\p{L}\p{N}]+"), lambda w: F.lower(w)))
+
+
+def _outside(text: Column, spans: Column) -> Column:
+    """The text with a letter for each span, so that words that touch one show."""
+    step = lambda acc, s: F.struct(F.greatest(acc["at"], s["end"]).alias("at"), F.when(s["start"] >= acc["at"], F.concat(
+        acc["out"], F.substring(text, acc["at"] + 1, s["start"] - acc["at"]), F.lit(_HOLE))).otherwise(acc["out"]).alias("out"))
+    done = F.aggregate(spans, F.struct(F.lit(0).alias("at"), F.lit("").alias("out")), step)
+    return F.concat(done["out"], F.substring(text, done["at"] + 1, F.length(text)))
 
 
 def _marked(docs: DataFrame) -> DataFrame:
-    """doc_id, text_key, spans, and near: for each span its entity, a hash of its
-    surroundings and the words near it."""
+    """doc_id, text_key, spans, and near: for each span its entity and a hash of
+    its surroundings."""
     rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).withColumn("spans", base_spans(F.col("text")))
     # rows without spans get keys of their own, so that they don't gather
     key = F.when(F.size("spans") > 0, F.sha2("text", 256)).otherwise(F.concat(F.lit("-"), F.xxhash64("doc_id", "text").cast("string")))
@@ -154,8 +157,7 @@ def _marked(docs: DataFrame) -> DataFrame:
     near = F.transform(spans, lambda s: F.struct(
         _entity(s["rank"], s["value"]).alias("entity"),
         F.xxhash64(F.substring(text, F.greatest(F.lit(0), s["start"] - REACH) + 1, F.least(s["start"], F.lit(REACH))),
-                   F.substring(text, s["end"] + 1, F.lit(REACH))).alias("context"),
-        _words_near(text, s, spans).alias("words")))
+                   F.substring(text, s["end"] + 1, F.lit(REACH))).alias("context")))
     return rows.select("doc_id", key.alias("text_key"), "spans", near.alias("near"))
 
 
@@ -166,6 +168,13 @@ def _checked(keys: DataFrame) -> DataFrame:
     return F.broadcast(keys) if keys.count() <= BROADCAST_ROWS else keys
 
 
+def _texts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+    """``wanted`` (text_key, ...) with the text of each key."""
+    wanted = wanted.checkpoint()
+    keyed = docs.select(F.sha2("text", 256).alias("text_key"), "text")
+    return keyed.join(_checked(wanted.select("text_key")), "text_key", "left_semi").dropDuplicates(["text_key"]).join(wanted, "text_key")
+
+
 def _term_counts(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(term, n_term) and total, both of distinct texts: each of n copies of a
     text weighs 1/n."""
@@ -174,19 +183,21 @@ def _term_counts(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     copied = _checked(texts.where("copies > 1"))
     # outer: without, a filter on the array would make it twice; null terms fall out by length
     terms = (docs.select(key.alias("copy_key"), "text").join(copied, "copy_key", "left")
-             .select("copies", F.explode_outer(F.array_distinct(F.split(F.lower("text"), r"[^\p{L}\p{N}]+"))).alias("term")).where(F.length("term") >= 3)
+             .select("copies", F.explode_outer(_terms(F.col("text"))).alias("term")).where(F.length("term") >= 3)
              .groupBy("term").agg(F.round(F.sum(1 / F.coalesce("copies", F.lit(1)))).alias("n_term")))
     return terms, texts.agg(F.count("*").alias("total"))  # one row
 
 
-def disclosing_terms(docs: DataFrame, near: DataFrame, support: int = SUPPORT, disclosure: float = DISCLOSURE) -> DataFrame:
-    """(entity, term) pairs where the term discloses the entity. ``near``: entity,
-    context, words."""
-    values = F.array_distinct(F.transform("words", lambda w: w["value"]))
-    contexts = near.groupBy("entity", "context").agg(F.min("text_key").alias("text_key"), F.min(values).alias("words"))
-    joint = (contexts.select("entity", "text_key", F.explode("words").alias("term")).distinct().groupBy("entity", "term")
-             .agg(F.count("*").alias("both")).where(F.col("both") >= support))
-    entities = contexts.select("entity", "text_key").distinct().groupBy("entity").agg(F.count("*").alias("n_entity"))
+def disclosing_terms(docs: DataFrame, near: DataFrame, spans: DataFrame, support: int = SUPPORT, disclosure: float = DISCLOSURE) -> DataFrame:
+    """(entity, term) pairs where the term discloses the entity. ``near``:
+    text_key, entity, context; ``spans``: text_key, spans, once a text."""
+    held = near.groupBy("entity", "context").agg(F.min("text_key").alias("text_key")).select("entity", "text_key").distinct()
+    entities = held.groupBy("entity").agg(F.count("*").alias("n_entity")).where(F.col("n_entity") >= support).checkpoint()
+    wanted = held.join(entities, "entity", "left_semi").groupBy("text_key").agg(F.collect_list("entity").alias("entities")).join(spans, "text_key")
+    words = F.explode_outer(F.array(_terms(_outside(F.col("text"), F.col("spans")))))
+    pairs = (_texts(docs, wanted).select("entities", words.alias("words")).select("entities", F.explode_outer("words").alias("term"))
+             .where((F.length("term") >= 3) & ~F.contains("term", F.lit(_HOLE))).select(F.explode_outer("entities").alias("entity"), "term"))
+    joint = pairs.groupBy("entity", "term").agg(F.count("*").alias("both")).where(F.col("both") >= support)
     terms, total = _term_counts(docs)
     scored = (joint.join(entities, "entity").join(terms, "term").join(F.broadcast(total))
               .withColumn("pmi", F.log2(F.col("both") * F.col("total") / (F.col("n_entity") * F.col("n_term"))))
@@ -194,14 +205,32 @@ def disclosing_terms(docs: DataFrame, near: DataFrame, support: int = SUPPORT, d
     return scored.where((F.col("pmi") > 0) & (F.col("pmi") >= disclosure * F.col("ic"))).select("entity", "term")
 
 
+def _places(text: Column, spans: Column, terms: Column) -> Column:
+    """array<(start, rank, end, value)> of the words of a text that are among
+    ``terms`` and touch none of ``spans``."""
+    found = F.regexp_extract_all(text, F.lit(WORD), F.lit(0))
+    pairs = F.arrays_zip(F.slice(F.split(text, WORD, -1), 1, F.size(found)).alias("gap"), found.alias("hit"))
+
+    def step(acc, pair):
+        a = acc["at"] + F.length(pair["gap"])
+        b = a + F.length(pair["hit"])
+        value = F.lower(pair["hit"])
+        span = F.struct(a.alias("start"), F.lit(len(PATTERNS)).alias("rank"), b.alias("end"), value.alias("value"))
+        return F.struct(b.alias("at"), F.when(F.array_contains(terms, value), F.concat(acc["spans"], F.array(span))).otherwise(acc["spans"]).alias("spans"))
+
+    marked = F.aggregate(pairs, F.struct(F.lit(0).alias("at"), F.array().cast(SPANS).alias("spans")), step)["spans"]
+    return F.filter(marked, lambda w: ~F.exists(spans, lambda b: (b["start"] < w["end"]) & (w["start"] < b["end"])))
+
+
 def _term_spans(docs: DataFrame, marked: DataFrame, support: int, disclosure: float) -> DataFrame:
     """text_key, terms: array<(start, rank, end, value)> of the disclosing terms
-    near their entities, once for each distinct text."""
-    near = marked.where(F.size("near") > 0).dropDuplicates(["text_key"]).select("text_key", F.explode("near").alias("x")).select("text_key", "x.*")
-    found = disclosing_terms(docs, near, support, disclosure)
-    words = near.select("text_key", "entity", F.explode("words").alias("w")).withColumn("term", F.col("w.value"))
-    span = F.struct(F.col("w.start").alias("start"), F.lit(len(PATTERNS)).alias("rank"), F.col("w.end").alias("end"), F.col("w.value").alias("value"))
-    return words.join(found, ["entity", "term"]).groupBy("text_key").agg(F.array_sort(F.collect_set(span)).alias("terms"))
+    in the texts of their entities, once for each distinct text."""
+    once = marked.where(F.size("near") > 0).dropDuplicates(["text_key"])
+    near = once.select("text_key", F.explode("near").alias("x")).select("text_key", "x.*")
+    spans = once.select("text_key", "spans")
+    found = disclosing_terms(docs, near, spans, support, disclosure)
+    wanted = near.select("text_key", "entity").distinct().join(found, "entity").groupBy("text_key").agg(F.collect_set("term").alias("wanted"))
+    return _texts(docs, wanted.join(spans, "text_key")).select("text_key", _places(F.col("text"), F.col("spans"), F.col("wanted")).alias("terms"))
 
 
 def _listed(spans: Column) -> Column:
