@@ -108,6 +108,20 @@ def test_sanitise(spark):
     assert all(new[10 + i] == text[10 + i] for i in range(200))
 
 
+def test_short_and_added_license_templates(spark):
+    rows = [(1, "one two. ALL RIGHTS\nreserved. three all rights reserved", "", "", 1), (2, "all rights are reserved", "", "", 1),
+            (2, "all rights", "", "", 1), (None, "All rights reserved.", "", "", 1), (None, "All rights reserved.", "", "", 1), (4, None, "", "", 1)]
+    names = ["isc-grant", "mit-disclaimer", "bsd-disclaimer", "gpl-warranty", "lgpl-notice", "cc-by-sa-4.0-line", "cc0-line", "unlicense-line"]
+    rows += [(10 + i, f"alpha beta {licenses.TEMPLATES[n]} gamma", "", "", 1) for i, n in enumerate(names)]
+    docs = clashing(frame(spark, rows))
+    got = [(r.doc_id, r.template, r.start_word, r.places) for r in licenses.license_matches(docs).collect()]
+    assert sorted(x[1:] for x in got if x[1] == "all-rights-reserved" and x[0] is None) == [("all-rights-reserved", 0, 1)]
+    assert (1, "all-rights-reserved", 2, 2) in got and not any(x[0] in (2, 4) for x in got)
+    assert all((10 + i, n, 2) in {x[:3] for x in got} for i, n in enumerate(names))
+    alone = licenses.license_matches(docs, {"arr": "All rights reserved."}).collect()
+    assert sorted(r.doc_id or 0 for r in alone) == [0, 1]
+
+
 def _marked_terms(docs, texts):
     return {r.doc_id: [texts[r.doc_id][int(a):int(b)] for k, a, b in (x.split(":") for x in r.spans.split(",") if x) if k == "term"]
             for r in sanitise.personal_data(docs).where("doc_id < 100").collect()}

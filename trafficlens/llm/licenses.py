@@ -9,6 +9,9 @@ window of the same words at once and shares all keys: retrieval is certain for
 templates of ``WINDOW + STRIDE - 1`` unchanged words or more, and has chance
 1 - (1 - J^ROWS)^BANDS per window of similarity J beyond that.
 
+Templates of fewer than ``WINDOW + STRIDE - 1`` words are matched as they are:
+all their words, one after the other.
+
 A hit at template offset o says where the template would start. There the
 template's word pairs are matched exactly: containment is the share of them that
 the stretch of the template's length, and a quarter more at both sides, holds.
@@ -55,6 +58,22 @@ TEMPLATES = {
                   "Public License as published by the Free Software Foundation",
     "mpl-2.0-notice": "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.",
     "cc-by-4.0-line": "This work is licensed under a Creative Commons Attribution 4.0 International License.",
+    "all-rights-reserved": "All rights reserved.",
+    "cc-by-sa-4.0-line": "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License.",
+    "cc0-line": "To the extent possible under law, the author has waived all copyright and related or neighboring rights to this work.",
+    "unlicense-line": "This is free and unencumbered software released into the public domain.",
+    "isc-grant": "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby "
+                 "granted, provided that the above copyright notice and this permission notice appear in all copies.",
+    "mit-disclaimer": "THE SOFTWARE IS PROVIDED \"AS IS\", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED "
+                      "TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT.",
+    "bsd-disclaimer": "THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS \"AS IS\" AND ANY EXPRESS OR IMPLIED "
+                      "WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A "
+                      "PARTICULAR PURPOSE ARE DISCLAIMED.",
+    "gpl-warranty": "This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the "
+                    "implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU General Public License "
+                    "for more details.",
+    "lgpl-notice": "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser "
+                   "General Public License as published by the Free Software Foundation",
 }
 _CONSTANTS = [int.from_bytes(bytes((37 * k + 101 * i + 11 * k * i + 59) % 256 for i in range(8)), "little", signed=True)
               for k in range(1, BANDS * ROWS + 1)]
@@ -86,9 +105,6 @@ def _window_keys(stride: int) -> Column:
 
 def _template_table(spark, templates: dict[str, str]) -> DataFrame:
     """template, n (words), pairs (distinct), offset, keys."""
-    for name, text in templates.items():
-        if len(re.findall(r"[^\W_]+", text)) < WINDOW + STRIDE - 1:
-            raise ValueError(f"template {name} is shorter than {WINDOW + STRIDE - 1} words")
     t = spark.createDataFrame(sorted(templates.items()), "template string, text string").withColumn("words", _words(F.col("text")))
     t = t.withColumn("pairs", _pairs())
     return t.select("template", F.size("words").alias("n"), F.array_distinct("pairs").alias("asked"),
@@ -111,23 +127,67 @@ def anchor_words(templates: dict[str, str], containment: float) -> list[str]:
     return sorted(out)
 
 
+def _plain_words(text: str) -> list[str]:
+    return re.findall(r"[^\W_]+", text.lower())
+
+
+def _at(asked: list[str]):
+    """The index of a word of ``words`` where ``asked`` starts, null elsewhere."""
+    def start(word, i):
+        here = word == asked[0]
+        for j in range(1, len(asked)):
+            here = here & (F.get("words", i + j) == asked[j])
+        return F.when(here, i)
+    return start
+
+
+def _short_matches(docs: DataFrame, templates: dict[str, str]) -> DataFrame:
+    """Matches of templates that are too short for windows: their words in a row."""
+    likely, found = F.lit(False), []
+    for name, text in sorted(templates.items()):
+        asked = _plain_words(text)
+        if not asked:
+            raise ValueError(f"template {name} has no word")
+        likely = likely | F.contains("lower", F.lit(max(asked, key=len)))
+        found.append(F.struct(F.lit(name).alias("template"), F.filter(F.transform("words", _at(asked)), lambda i: i.isNotNull()).alias("starts")))
+    once = lambda c: F.explode(F.array(c))
+    rows = (docs.select("doc_id", "text", once(F.lower("text")).alias("lower")).where(likely)
+            .select("doc_id", F.sha2("text", 256).alias("text_key"), once(_words(F.col("text"))).alias("words"))
+            .select("doc_id", "text_key", F.explode(F.array(*found)).alias("m")).where(F.size("m.starts") > 0)
+            .select("doc_id", "text_key", "m.template", F.get("m.starts", F.lit(0)).cast("long").alias("start_word"),
+                    F.size("m.starts").cast("long").alias("places")))
+    return (rows.dropDuplicates(["doc_id", "text_key", "template"])
+            .select("doc_id", "template", "start_word", F.lit(1.0).alias("containment"), "places"))
+
+
 def license_matches(docs: DataFrame, templates: dict[str, str] | None = None, containment: float = CONTAINMENT) -> DataFrame:
     """doc_id, template, start_word, containment, places."""
-    table = _template_table(docs.sparkSession, TEMPLATES if templates is None else templates)
+    templates = TEMPLATES if templates is None else templates
+    short = {k: v for k, v in templates.items() if len(_plain_words(v)) < WINDOW + STRIDE - 1}
+    long = {k: v for k, v in templates.items() if k not in short}
+    if not long:
+        return _short_matches(docs, short)
+    found = _window_matches(docs, long, containment)
+    return found.union(_short_matches(docs, short)) if short else found
+
+
+def _window_matches(docs: DataFrame, templates: dict[str, str], containment: float) -> DataFrame:
+    table = _template_table(docs.sparkSession, templates)
     known = table.select(F.explode("keys").alias("key")).distinct()
     literal = F.array(*(F.lit(r.key) for r in known.collect()))  # as many as the templates have windows and bands
     # exploding an array of one keeps the optimizer from folding each step into
     # the next, where it would be evaluated anew for every place
     once = lambda c: F.explode(F.array(c))
     anchored = F.lit(False)
-    for word in anchor_words(TEMPLATES if templates is None else templates, containment):
+    for word in anchor_words(templates, containment):
         anchored = anchored | F.contains("lower", F.lit(word))
     worded = docs.select("doc_id", "text", once(F.lower("text")).alias("lower")).where(anchored).select("doc_id", "text", once(_words(F.col("text"))).alias("words"))
     keyed = worded.select("doc_id", "text", once(_pairs()).alias("pairs")).select("*", once(_window_keys(STRIDE)).alias("window_keys"))
-    hits = (keyed.where(F.arrays_overlap(F.flatten("window_keys"), literal))
+    keyed = keyed.select("*", once(F.array_intersect(F.flatten("window_keys"), literal)).alias("known"))
+    hits = (keyed.where(F.size("known") > 0)
             .select("doc_id", F.sha2("text", 256).alias("text_key"), "pairs",
                     F.filter(F.transform("window_keys", lambda k, i: F.struct(i.alias("window"), k.alias("keys"))),
-                             lambda w: F.arrays_overlap(w["keys"], literal)).alias("windows")))
+                             lambda w: F.arrays_overlap(w["keys"], F.col("known"))).alias("windows")))
     starts = (hits.withColumn("w", F.explode("windows")).select("doc_id", "text_key", "pairs", (F.col("w.window") * STRIDE).alias("at"),
                                                                  F.explode("w.keys").alias("key"))
               .join(F.broadcast(table.select("template", "n", "asked", "offset", F.explode("keys").alias("key"))), "key"))
