@@ -48,7 +48,7 @@ from .vectors import finite, lists, matrix, usual_length
 SCALE = 256
 REFERENCES = 16
 ANCHOR_BLOCK = 16_384
-ROW_BLOCK = 65_536
+ROW_BLOCK = 8_192
 FIRST_SCORED = 64
 SLACK = 1e-7
 _NO_ID = np.iinfo(np.int64).max
@@ -253,7 +253,7 @@ def _against_all(anchors: DataFrame, rows: DataFrame, width: int, search, k: int
     spark = rows.sparkSession
     wide = int(spark.conf.get("spark.sql.shuffle.partitions"))
     anchor_blocks = -(-anchors.count() // ANCHOR_BLOCK) or 1
-    row_blocks = max(-(-rows.count() // ROW_BLOCK), wide)
+    row_blocks = -(-rows.count() // ROW_BLOCK) or 1
     place = F.xxhash64("row")
 
     def block(n, seed):
