@@ -24,6 +24,7 @@ from pyspark.sql import DataFrame
 
 from .arrow import slices
 from .chunktable import ChunkTable
+from .slot import held
 from .textbatch import _WS as _SPACE
 from .textbatch import blocks, buffers
 
@@ -183,14 +184,9 @@ class ByteCodec:
         return self.bytes[np.repeat(self.at[ids] - (total - size), size) + np.arange(total[-1])]
 
 
-_CODECS: dict[tuple[str, str], ByteCodec] = {}
-
-
 def codec(path: str, pattern: str) -> ByteCodec:
     """The codec of these files, built once in each worker."""
-    if (path, pattern) not in _CODECS:
-        _CODECS[(path, pattern)] = ByteCodec(path, pattern)
-    return _CODECS[(path, pattern)]
+    return held(("byte ids", path, pattern), lambda: ByteCodec(path, pattern))
 
 
 def _blocks(c: ByteCodec, batches: Iterator[pa.RecordBatch]):

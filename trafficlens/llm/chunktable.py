@@ -1,7 +1,8 @@
 """A bounded memory of short byte strings and what they encode to.
 
 Keys are 64-bit hashes of the strings in an open-addressing numpy table, so a
-block of text is looked up with a few array operations. What the table lacks is
+block of text is looked up with a few array operations; a second, independent
+hash of 64 bits must agree too. What the table lacks is
 computed once per block; while there is room it is kept for later blocks."""
 
 from __future__ import annotations
@@ -25,29 +26,29 @@ class ChunkTable:
         self.key = np.zeros(1 << bits, dtype=np.uint64)
         self.value = np.zeros(1 << bits, dtype=np.int32)
         self.start, self.size = np.zeros(entries, np.int64), np.zeros(entries, np.int32)
+        self.check = np.zeros(entries, np.uint64)
         self.flat, self.used, self.n = np.zeros(1 << 20, np.uint32), 0, 0
 
-    def _find(self, h: np.ndarray) -> np.ndarray:
-        """Entry of each hash, -1 if it has none."""
+    def _find(self, h: np.ndarray, check: np.ndarray) -> np.ndarray:
+        """Entry of each pair of hashes, -1 if it has none."""
         out = np.full(len(h), -1, dtype=np.int32)
         slot = (h >> self.shift).astype(np.int64)
         left = np.arange(len(h))
         while len(left):
-            k = self.key[slot]
-            hit = k == h
-            out[left[hit]] = self.value[slot[hit]]
+            k, entry = self.key[slot], self.value[slot]
+            hit = (k == h) & (self.check[entry] == check)
+            out[left[hit]] = entry[hit]
             go = ~hit & (k != 0)
-            left, h, slot = left[go], h[go], (slot[go] + 1) & self.mask
+            left, h, check, slot = left[go], h[go], check[go], (slot[go] + 1) & self.mask
         return out
 
     def _put(self, h: np.ndarray, entry: np.ndarray) -> None:
         slot = (h >> self.shift).astype(np.int64)
         while len(h):
             free = self.key[slot] == 0
-            self.key[slot[free]] = h[free]
-            mine = self.key[slot] == h
-            self.value[slot[mine]] = entry[mine]
-            h, entry, slot = h[~mine], entry[~mine], (slot[~mine] + 1) & self.mask
+            self.key[slot[free]], self.value[slot[free]] = h[free], entry[free]
+            left = ~free | (self.value[slot] != entry)
+            h, entry, slot = h[left], entry[left], (slot[left] + 1) & self.mask
 
     def _append(self, values: np.ndarray) -> None:
         if self.used + len(values) > len(self.flat):
@@ -58,13 +59,19 @@ class ChunkTable:
     def lookup(self, data: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(first, size, values): the uint32 values of span i are
         ``values[first[i]:first[i] + size[i]]``."""
-        h = span_hashes(data, start, end) | np.uint64(1)
-        entry = self._find(h)
+        h, check = span_hashes(data, start, end, 2)
+        h = h | np.uint64(1)
+        entry = self._find(h, check)
         first, size = self.start[entry], self.size[entry].astype(np.int64)
         values = self.flat
         lacking = np.flatnonzero(entry < 0)
         if len(lacking):
-            keys, at, which = np.unique(h[lacking], return_index=True, return_inverse=True)
+            order = np.lexsort((check[lacking], h[lacking]))
+            keys, checks = h[lacking[order]], check[lacking[order]]
+            new_key = np.concatenate([[True], (keys[1:] != keys[:-1]) | (checks[1:] != checks[:-1])])
+            which = np.empty(len(order), np.int64)
+            which[order] = np.cumsum(new_key) - 1
+            at, keys, checks = order[new_key], keys[new_key], checks[new_key]
             s, e = start[lacking[at]], end[lacking[at]]
             raw = data.tobytes()
             got = self.compute([raw[a:b] for a, b in zip(s.tolist(), e.tolist())])
@@ -78,6 +85,7 @@ class ChunkTable:
                 self.start[entries] = self.used + np.concatenate([[0], np.cumsum(sizes[keep])[:-1]])
                 self.size[entries] = sizes[keep]
                 self._append(kept)
+                self.check[entries] = checks[keep]
                 self._put(keys[keep], entries.astype(np.int32))
                 self.n += len(keep)
             values = np.concatenate([self.flat[:self.used], new])

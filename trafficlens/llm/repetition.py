@@ -99,7 +99,7 @@ def profile(data: np.ndarray, offsets: np.ndarray, min_words: int, max_covered:
     """The result columns (without doc_id) of a block of texts."""
     words = Words(data, offsets)
     n, first = words.counts, words.first
-    longest = repeat_lengths(words.hashes(), first)
+    longest = repeat_lengths(words.ids(), first)
     windows = np.flatnonzero(longest >= WINDOW)
     spans = np.flatnonzero(longest >= min_words)
     repeat_words = _per_text(covered(windows, np.full(len(windows), WINDOW), len(longest)), first)

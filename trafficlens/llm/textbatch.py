@@ -1,7 +1,7 @@
 """Numpy views of Arrow text batches, shared by the operators that look at words.
 
-A word is a maximal run of bytes outside ``[\\x20\\x09-\\x0D]``. Words are
-compared by a 64-bit hash. Work goes in blocks of documents of bounded size, so
+A word is a maximal run of bytes outside ``[\\x20\\x09-\\x0D]``. Words have
+64-bit hashes of two kinds (``span_hashes``) and exact ids (``exact_ids``). Work goes in blocks of documents of bounded size, so
 memory follows the block (or one very long document), never the partition."""
 
 from __future__ import annotations
@@ -12,7 +12,7 @@ import numpy as np
 import pyarrow as pa
 
 BLOCK_BYTES = 2 << 20
-_HASH_BYTES = 1 << 19
+_HASH_PARTS = 1 << 17
 
 _WS = np.zeros(256, dtype=bool)
 _WS[[32, *range(9, 14)]] = True
@@ -20,8 +20,8 @@ _SYMBOL = np.zeros(256, dtype=bool)
 _SYMBOL[list(b"#*$%&|<>")] = True
 _M1, _M2 = np.uint64(0xFF51AFD7ED558CCD), np.uint64(0xC4CEB9FE1A85EC53)
 _S33 = np.uint64(33)
-_BASE = 0x9E3779B97F4A7C15
-_INVERSE = pow(_BASE, -1, 1 << 64)
+_STEP = np.uint64(0x9E3779B97F4A7C15)
+_SEEDS = (np.uint64(0x243F6A8885A308D3), np.uint64(0x452821E638D01377))
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -31,16 +31,6 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> _S33)
 
 
-def _powers(base: int, n: int) -> np.ndarray:
-    p = np.full(n, base, dtype=np.uint64)
-    p[0] = 1
-    return np.multiply.accumulate(p)
-
-
-_BYTE = mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
-_POW, _INV = _powers(_BASE, _HASH_BYTES + 1), _powers(_INVERSE, _HASH_BYTES + 1)
-
-
 def buffers(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """(bytes, offsets) of a text or binary column; nulls are empty."""
     if isinstance(column, pa.ChunkedArray):
@@ -67,25 +57,64 @@ def blocks(offsets: np.ndarray, limit: int = BLOCK_BYTES, rows: int = 1 << 16) -
         a = b
 
 
-def span_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-    """64-bit hash of each span of bytes (ordered, not overlapping): a polynomial
-    over its bytes, then mixed."""
-    out = np.empty(len(start), dtype=np.uint64)
-    i = 0
-    while i < len(start):
-        s0 = start[i]
-        j = int(np.searchsorted(end, s0 + _HASH_BYTES, "right"))
-        if j <= i:  # one span longer than a block
-            out[i] = _long_hash(data[s0:end[i]])
-            i += 1
-            continue
-        part = _BYTE[data[s0:end[j - 1]]] * _POW[:end[j - 1] - s0]
-        total = np.zeros(len(part) + 1, dtype=np.uint64)
-        np.cumsum(part, out=total[1:])
-        a, b = start[i:j] - s0, end[i:j] - s0
-        out[i:j] = (total[b] - total[a]) * _INV[a]
-        i = j
-    return mix(out + (end - start).astype(np.uint64))
+_KEEP = np.array([(1 << 8 * k) - 1 for k in range(8)] + [2**64 - 1], dtype=np.uint64)
+
+
+def _eights(data: np.ndarray, at: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """The up to eight bytes from each position as one number."""
+    near = at < len(data) - 7
+    out = np.zeros(len(at), dtype=np.uint64)
+    if near.any():
+        windows = np.lib.stride_tricks.as_strided(data, (len(data) - 7, 8), (data.strides[0], data.strides[0]))
+        out[near] = np.ascontiguousarray(windows[at[near]]).view("<u8").ravel()
+    for i in np.flatnonzero(~near):
+        out[i] = int.from_bytes(data[at[i]:at[i] + 8].tobytes(), "little")
+    return out & _KEEP[np.minimum(size, 8)]
+
+
+def _parts(start: np.ndarray, end: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+    """(span, place, position, bytes) of the eight-byte parts of all spans, some at a time."""
+    ends = np.cumsum(np.maximum((end - start + 7) >> 3, 1))
+    total = int(ends[-1]) if len(ends) else 0
+    for a in range(0, total, _HASH_PARTS):
+        part = np.arange(a, min(a + _HASH_PARTS, total))
+        span = np.searchsorted(ends, part, "right")
+        place = part - np.where(span > 0, ends[span - 1], 0)
+        at = start[span] + 8 * place
+        yield span, place, at, end[span] - at
+
+
+def span_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray, seeds: int = 1) -> np.ndarray:
+    """(seeds, spans): independent 64-bit hashes of each span of bytes. Every eight
+    bytes are mixed with their place before they are added up, so the sum is no
+    polynomial of the bytes and has none of its known collisions."""
+    out = np.zeros((seeds, len(start)), dtype=np.uint64)
+    for span, place, at, size in _parts(start, end):
+        eight = _eights(data, at, size)
+        where = (place.astype(np.uint64) + np.uint64(1)) * _STEP
+        first = np.flatnonzero(np.concatenate([[True], span[1:] != span[:-1]]))
+        for k in range(seeds):
+            out[k, span[first]] += np.add.reduceat(mix(mix(eight + _SEEDS[k]) ^ where), first)
+    size = (end - start).astype(np.uint64)
+    return np.stack([mix(out[k] ^ mix(size + _SEEDS[k])) for k in range(seeds)])
+
+
+def exact_ids(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """A number for each span, the same for two spans if and only if their bytes are
+    equal: spans of one hash are compared with the first of them."""
+    _, first, same = np.unique(span_hashes(data, start, end)[0], return_index=True, return_inverse=True)
+    model = first[same]
+    equal = end - start == end[model] - start[model]
+    for span, place, at, size in _parts(start, end):
+        check = np.flatnonzero(equal[span])
+        there = start[model[span[check]]] + 8 * place[check]
+        differs = _eights(data, at[check], size[check]) != _eights(data, there, size[check])
+        equal[span[check[differs]]] = False
+    if not equal.all():
+        names: dict[bytes, int] = {}
+        for i in np.flatnonzero(~equal).tolist():
+            same[i] = len(first) + names.setdefault(data[start[i]:end[i]].tobytes(), len(names))
+    return same
 
 
 class Words:
@@ -114,8 +143,11 @@ class Words:
     def document(self) -> np.ndarray:
         return np.repeat(np.arange(len(self.offsets) - 1, dtype=np.int32), self.counts)
 
-    def hashes(self) -> np.ndarray:
-        return span_hashes(self.data, self.start, self.end)
+    def hashes(self, seeds: int = 1) -> np.ndarray:
+        return span_hashes(self.data, self.start, self.end, seeds)
+
+    def ids(self) -> np.ndarray:
+        return exact_ids(self.data, self.start, self.end)
 
     def count_in_documents(self, mask: np.ndarray) -> np.ndarray:
         """Number of bytes of each document for which ``mask`` holds."""
@@ -133,20 +165,11 @@ class Words:
         return self.count_in_documents(_SYMBOL[self.data])
 
 
-def _long_hash(word: np.ndarray) -> np.uint64:
-    total, shift = 0, 1
-    for a in range(0, len(word), _HASH_BYTES):
-        part = _BYTE[word[a:a + _HASH_BYTES]]
-        total = (total + int((part * _POW[:len(part)]).sum(dtype=np.uint64)) * shift) & (2**64 - 1)
-        shift = shift * pow(_BASE, _HASH_BYTES, 1 << 64) & (2**64 - 1)
-    return np.uint64(total)
-
-
 def shingles(words: Words, size: int) -> tuple[np.ndarray, np.ndarray]:
     """(hash, first) of the word shingles of each document of a block: windows of
     ``size`` words; a document of fewer words has one shingle, of all of them;
     one without words has none. ``first`` delimits the documents."""
-    h = words.hashes()
+    h = words.hashes()[0]
     n = words.counts
     out_n = np.where(n == 0, 0, np.maximum(1, n - size + 1))
     first = np.concatenate([[0], np.cumsum(out_n)])

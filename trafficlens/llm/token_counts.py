@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 
 from .chunktable import ChunkTable
 from .textbatch import Words, blocks, buffers
+from .slot import held
 from .wordbpe import Pieces, library
 
 LIMIT = 2048
@@ -71,17 +72,12 @@ class TokenCounter:
         return np.diff(total[words.first])
 
 
-_COUNTERS: dict[str, TokenCounter] = {}
-
-
 def token_counts(docs: DataFrame, path: str, limit: int = LIMIT) -> DataFrame:
     """One row per row of ``docs``: doc_id, n_bytes, n_tokens, over_limit."""
     whole = docs.sparkSession.sparkContext.broadcast(prove_whole_tokens(path))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        if path not in _COUNTERS:
-            _COUNTERS[path] = TokenCounter(path, whole.value)
-        counter = _COUNTERS[path]
+        counter = held(("word counts", path), lambda: TokenCounter(path, whole.value))
         for batch in batches:
             data, offsets = buffers(batch.column(1))
             for a, b in blocks(offsets, BLOCK_BYTES):

@@ -38,6 +38,7 @@ from pyspark.sql import types as T
 from ..session import ensure_checkpoint_dir
 from .arrow import slices
 from .chunktable import ChunkTable
+from .slot import held
 from .textbatch import Words, blocks, buffers
 
 SAMPLE = 24_000
@@ -128,21 +129,11 @@ class Featurizer:
 
 _ALNUM = np.zeros(256, dtype=bool)
 _ALNUM[[b for b in range(128) if chr(b).isalnum()]] = True
-_CURRENT: list = [None, None]
-
-
-def _featurizer(lexicon) -> Featurizer:
-    """The featurizer of this lexicon, kept while the worker has no newer one."""
-    if _CURRENT[0] != lexicon.id:
-        _CURRENT[:] = [lexicon.id, Featurizer(lexicon.value)]
-    return _CURRENT[1]
-
-
 class _Lexicon:
     """A broadcast lexicon with a name of its own."""
 
     def __init__(self, spark, value: dict[str, float]):
-        self.broadcast, self.id = spark.sparkContext.broadcast(value), hash(tuple(sorted(value.items())))
+        self.broadcast, self.id = spark.sparkContext.broadcast(value), ("lexicon", hash(tuple(sorted(value.items()))))
 
     @property
     def value(self):
@@ -155,7 +146,7 @@ def with_features(docs: DataFrame, lexicon: _Lexicon) -> tuple[DataFrame, list[s
     plain, at = docs.toDF(*names), docs.columns.index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        f = _featurizer(lexicon)
+        f = held(lexicon.id, lambda: Featurizer(lexicon.value))
         for batch in batches:
             data, offsets = buffers(batch.column(at))
             for a, b in blocks(offsets):

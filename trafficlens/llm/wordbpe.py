@@ -19,6 +19,7 @@ from collections.abc import Callable
 import numpy as np
 
 from .chunktable import ChunkTable
+from .slot import held
 from .textbatch import Words
 
 MEMORY_PIECES = 300_000
@@ -119,10 +120,5 @@ class WordEncoder:
         return self.table.expand(first, size, values), ends[words.first]
 
 
-_ENCODERS: dict[str, WordEncoder] = {}
-
-
 def encoder(path: str) -> WordEncoder:
-    if path not in _ENCODERS:
-        _ENCODERS[path] = WordEncoder(path)
-    return _ENCODERS[path]
+    return held(("word ids", path), lambda: WordEncoder(path))
