@@ -10,7 +10,7 @@ from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from conftest import SF_SMALL
+from constants import SF_SMALL
 from trafficlens.operators import evaluate as EV
 from trafficlens.operators import metrics as MX
 from trafficlens.operators import ordered as OR

@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
-from conftest import SF_SMALL
+from constants import SF_SMALL
 from oracle_check import TABLES, digest
 from pcap_fixtures import FRAMES, write_pcap
 from trafficlens.plans.catalogue import REGISTRY, training_table
