@@ -19,7 +19,7 @@ LONGEST = 64
 class ChunkTable:
     """``compute(list of byte strings)`` gives a list of bytes (uint32 values)."""
 
-    def __init__(self, compute: Callable[[list[bytes]], list[bytes]], entries: int = 1_200_000):
+    def __init__(self, compute: Callable[[list[bytes]], list[bytes]], entries: int = 600_000):
         self.compute, self.entries = compute, entries
         bits = (2 * entries - 1).bit_length()
         self.shift, self.mask = np.uint64(64 - bits), (1 << bits) - 1

@@ -30,6 +30,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .arrow import slices
+from .slot import free
 from .textbatch import _WS, buffers
 
 SALTS = 32
@@ -66,6 +67,7 @@ def _members(docs: DataFrame) -> DataFrame:
     """Per row: doc_id, sha, local (its local winner's doc_id), first, ordinal."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        free()
         for batch in slices(batches, 1, LOCAL_BYTES):
             ids, _, digests, winner = _local(batch, 1)
             yield pa.RecordBatch.from_arrays(
@@ -136,6 +138,7 @@ def drop_copies(docs: DataFrame, salts: int = SALTS) -> DataFrame:
     id_at, text_at = names.index(doc_id), names.index(text)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        free()
         for batch in slices(batches, text_at, LOCAL_BYTES):
             _, _, digests, winner = _local(pa.RecordBatch.from_arrays([batch.column(id_at), batch.column(text_at)], names=["doc_id", "text"]), 1)
             rows = pa.array([i for i, w in enumerate(winner) if w == i], pa.int64())

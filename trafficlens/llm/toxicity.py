@@ -76,7 +76,7 @@ class Featurizer:
     def __init__(self, lexicon: dict[str, float]):
         self.lexicon = lexicon
         self.fixed, self.person = set(INSULTS), set(SECOND_PERSON)
-        self.table = ChunkTable(self._compute)
+        self.table = ChunkTable(self._compute, 300_000)
 
     def _weight(self, word: str) -> float:
         return max((self.lexicon.get(t, 0.0) for t in terms(word)), default=0.0)
