@@ -70,6 +70,11 @@ def with_series_id(samples: DataFrame) -> DataFrame:
         "series", F.concat(F.col("metric"), F.to_json(F.array_sort(F.map_entries(F.col("labels"))))))
 
 
+def labels_json() -> Column:
+    """The labels as JSON text, names in order."""
+    return F.to_json(F.map_from_entries(F.array_sort(F.map_entries(F.col("labels")))))
+
+
 def last_sample(samples: DataFrame, step_seconds: int = 300) -> DataFrame:
     # a series is (metric, labels); maps group order-insensitively
     s = with_step(samples, step_seconds)
@@ -189,7 +194,7 @@ def memory_by_pod(s: DataFrame) -> DataFrame:
 def driver_heap_avg_1m(s: DataFrame) -> DataFrame:
     sel = select_series(s, None, [(NAME, "=~", "metrics_spark_.*_driver_jvm_heap_used_Value"),
                                   ("type", "=", "gauges")])
-    return avg_over_time(sel, 60).select("step", "metric", "value")
+    return avg_over_time(sel, 60).select("step", "metric", labels_json().alias("labels_json"), "value")
 
 
 def gauge_by_executor(s: DataFrame, metric: str) -> DataFrame:

@@ -16,6 +16,7 @@ from ..operators import evaluate as EV
 from ..operators import metrics as MX
 from ..operators import prepare as PR
 from ..operators import profile as PF
+from ..operators import ranges as RG
 from ..operators import sample as SA
 from ..operators.labels import class_dimension
 from ..schema import EXTENDED_INT_COLUMNS, FEATURE_COLUMNS, PACKET_COLUMNS
@@ -388,6 +389,20 @@ register("metric_gc_share")(_metric(MX.gc_share))
 register("metric_ram_share")(_metric(MX.ram_share))
 register("metric_cpu_share")(_metric(MX.cpu_share))
 
+# ranges every 15 seconds, instant values every minute with a look-back of five
+register("metric_completed_share_sliding")(_metric(RG.completed_task_share_at))
+register("metric_cpu_rate_sliding")(_metric(RG.cpu_rate_by_pod_at))
+register("metric_cpu_rate_sliding_extrapolated")(_metric(RG.cpu_rate_by_pod_at, 15, True))
+register("metric_heap_avg_sliding")(_metric(RG.driver_heap_average_at))
+register("metric_task_balance_sliding")(_metric(RG.task_balance_at))
+register("metric_cpu_share_sliding")(_metric(RG.cpu_share_at))
+register("metric_memory_by_pod_lookback")(_metric(RG.memory_by_pod_at))
+for _name, _of in (("heap", "JVMHeapMemory_bytes"), ("storage_heap", "usedOnHeapStorageMemory_bytes"), ("gc_total", "totalGCTime_seconds_total"),
+                   ("duration_total", "totalDuration_seconds_total"), ("tasks_total", "totalTasks_total")):
+    register(f"metric_{_name}_lookback")(_metric(RG.gauge_by_executor_at, f"metrics_executor_{_of}"))
+register("metric_gc_share_lookback")(_metric(RG.gc_share_at))
+register("metric_ram_share_lookback")(_metric(RG.ram_share_at))
+
 
 # ---- S1/S2/S5-S8/S11: captures, parquet tables, inventory, event log --------------
 
@@ -484,7 +499,7 @@ def q_stream_metric_windows(spark, sf_dir):
                             [(MX.NAME, "=~", "metrics_spark_.*_driver_jvm_heap_used_Value"),
                              ("type", "=", "gauges")])
     path = SJ.run_to_table(SM.windowed_average(heap, 60), scratch_path(spark, "stream-avg"), "complete")
-    return MX.round_value(spark.read.parquet(path).select("step", "metric", "value"))
+    return MX.round_value(spark.read.parquet(path).select("step", "metric", "labels_json", "value"))
 
 
 @register("stream_counter_deltas")

@@ -266,9 +266,9 @@ SQL["metric_memory_by_pod"] = _sm("""
 SELECT step, pod, round(sum(value), 6) AS value FROM last5
 WHERE metric = 'container_memory_usage_bytes' AND namespace = 'default' GROUP BY step, pod""")
 SQL["metric_heap_avg_1m"] = _sm("""
-SELECT step, metric, round(avg(value), 6) AS value FROM s1
+SELECT step, metric, '{"type":"' || type || '"}' AS labels_json, round(avg(value), 6) AS value FROM s1
 WHERE regexp_full_match(metric, 'metrics_spark_.*_driver_jvm_heap_used_Value') AND type = 'gauges'
-GROUP BY step, metric""")
+GROUP BY step, metric, type""")
 SQL["metric_heap"] = _by_exec_last("metrics_executor_JVMHeapMemory_bytes")
 SQL["metric_storage_heap"] = _by_exec_last("metrics_executor_usedOnHeapStorageMemory_bytes")
 SQL["metric_task_balance"] = _sm("""
@@ -329,3 +329,76 @@ SELECT step, pod, round(sum(raw * ((sampled
     + CASE WHEN to_start < avg_gap * 1.1 THEN to_start ELSE avg_gap / 2 END
     + CASE WHEN to_end < avg_gap * 1.1 THEN to_end ELSE avg_gap / 2 END) / sampled) / 300.0), 6) AS value
 FROM f GROUP BY step, pod""")
+
+# ---- ranges at a free step: every window holds its own copy of its samples here -----
+
+_SERIES = "metric, executor_id, pod, namespace, type, node"
+
+
+def _windows(name: str, where: str, reach: int, every: int) -> str:
+    """CTEs ``name``_inc, ``name``_avg and ``name``_last: one row per series and step
+    whose window (step * every - reach, step * every] holds a sample."""
+    us = 1_000_000
+    return f""",
+{name} AS (
+  SELECT *, unnest(generate_series((epoch_us(ts) + {every * us} - 1) // {every * us}, (epoch_us(ts) + {reach * us} - 1) // {every * us})) AS step
+  FROM sm WHERE {where}
+),
+{name}_inc AS (
+  SELECT step, {_SERIES}, sum(CASE WHEN prev IS NULL THEN 0 WHEN value >= prev THEN value - prev ELSE value END) AS value,
+    count(*) AS n, arg_min(value, (ts, sample_id)) AS first_v, epoch_us(min(ts)) AS first_us, epoch_us(max(ts)) AS last_us
+  FROM (SELECT *, lag(value) OVER (PARTITION BY {_SERIES}, step ORDER BY ts, sample_id) AS prev FROM {name})
+  GROUP BY ALL
+),
+{name}_avg AS (SELECT step, {_SERIES}, avg(value) AS value FROM {name} GROUP BY ALL),
+{name}_last AS (SELECT step, {_SERIES}, arg_max(value, (ts, sample_id)) AS value FROM {name} GROUP BY ALL)"""
+
+
+_CPU = "metric = 'container_cpu_usage_seconds_total' AND namespace = 'default'"
+_DONE = "metric = 'metrics_executor_completedTasks_total'"
+_NO_DRIVER = " AND executor_id <> 'driver'"
+
+SQL["metric_completed_share_sliding"] = _sm(
+    _windows("d", _DONE + _NO_DRIVER, 300, 15) + _windows("t", "metric = 'metrics_executor_totalTasks_total'" + _NO_DRIVER, 300, 15) + """
+SELECT n.step, n.executor_id, round(CASE WHEN d.value = 0 THEN NULL ELSE n.value / d.value END, 6) AS value
+FROM (SELECT step, executor_id, sum(value) AS value FROM d_inc GROUP BY ALL) n
+JOIN (SELECT step, executor_id, sum(value) AS value FROM t_last GROUP BY ALL) d USING (step, executor_id)""")
+SQL["metric_cpu_rate_sliding"] = _sm(_windows("c", _CPU, 300, 15) + """
+SELECT step, pod, round(sum(value / 300.0), 6) AS value FROM c_inc GROUP BY step, pod""")
+SQL["metric_cpu_rate_sliding_extrapolated"] = _sm(_windows("c", _CPU, 300, 15) + """,
+e AS (
+  SELECT *, (last_us - first_us) / 1e6 AS sampled, (last_us - first_us) / 1e6 / (n - 1) AS gap, (step * 15000000 - last_us) / 1e6 AS to_end,
+    least((first_us - (step * 15000000 - 300000000)) / 1e6,
+          CASE WHEN value > 0 AND first_v >= 0 THEN (last_us - first_us) / 1e6 * (first_v / value) END) AS to_start
+  FROM c_inc WHERE n >= 2 AND last_us > first_us
+)
+SELECT step, pod, round(sum(value * ((sampled + CASE WHEN to_start < gap * 1.1 THEN to_start ELSE gap / 2 END
+  + CASE WHEN to_end < gap * 1.1 THEN to_end ELSE gap / 2 END) / sampled) / 300.0), 6) AS value
+FROM e GROUP BY step, pod""")
+SQL["metric_heap_avg_sliding"] = _sm(_windows("h", "regexp_full_match(metric, 'metrics_spark_.*_driver_jvm_heap_used_Value') AND type = 'gauges'", 60, 15) + """
+SELECT step, metric, '{"type":"' || type || '"}' AS labels_json, round(value, 6) AS value FROM h_avg""")
+SQL["metric_task_balance_sliding"] = _sm(_windows("d", _DONE, 300, 15) + """
+SELECT step, executor_id, round(sum(value), 6) AS value FROM d_inc GROUP BY step, executor_id""")
+SQL["metric_cpu_share_sliding"] = _sm(
+    _windows("c", _CPU + " AND regexp_full_match(pod, 'spark.*')", 300, 15) + _windows("k", "metric = 'machine_cpu_cores'", 300, 15) + """
+SELECT c.step, round(CASE WHEN k.value = 0 THEN NULL ELSE c.value / k.value END, 6) AS value
+FROM (SELECT step, sum(value / 300.0) AS value FROM c_inc GROUP BY step) c
+JOIN (SELECT step, sum(value) AS value FROM k_last GROUP BY step) k USING (step)""")
+SQL["metric_memory_by_pod_lookback"] = _sm(_windows("m", "metric = 'container_memory_usage_bytes' AND namespace = 'default'", 300, 60) + """
+SELECT step, pod, round(sum(value), 6) AS value FROM m_last GROUP BY step, pod""")
+for _name, _of in (("heap", "JVMHeapMemory_bytes"), ("storage_heap", "usedOnHeapStorageMemory_bytes"), ("gc_total", "totalGCTime_seconds_total"),
+                   ("duration_total", "totalDuration_seconds_total"), ("tasks_total", "totalTasks_total")):
+    SQL[f"metric_{_name}_lookback"] = _sm(_windows("m", f"metric = 'metrics_executor_{_of}'", 300, 60) + """
+SELECT step, executor_id, round(sum(value), 6) AS value FROM m_last GROUP BY step, executor_id""")
+SQL["metric_gc_share_lookback"] = _sm(
+    _windows("g", "metric = 'metrics_executor_totalGCTime_seconds_total'", 300, 60)
+    + _windows("d", "metric = 'metrics_executor_totalDuration_seconds_total'", 300, 60) + """
+SELECT g.step, g.executor_id, round(CASE WHEN d.value = 0 THEN NULL ELSE g.value / d.value END * 100.0, 6) AS value
+FROM (SELECT step, executor_id, sum(value) AS value FROM g_last GROUP BY ALL) g
+JOIN (SELECT step, executor_id, sum(value) AS value FROM d_last GROUP BY ALL) d USING (step, executor_id)""")
+SQL["metric_ram_share_lookback"] = _sm(
+    _windows("h", "metric = 'metrics_executor_JVMHeapMemory_bytes'", 300, 60)
+    + _windows("o", "metric = 'metrics_executor_JVMOffHeapMemory_bytes'", 300, 60) + _windows("m", "metric = 'machine_memory_bytes'", 300, 60) + """
+SELECT h.step, round(CASE WHEN m.value = 0 THEN NULL ELSE h.value / m.value END, 6) AS value
+FROM (SELECT step, sum(h_last.value + o_last.value) AS value FROM h_last JOIN o_last USING (step, executor_id) GROUP BY step) h
+JOIN (SELECT step, sum(value) AS value FROM m_last GROUP BY step) m USING (step)""")

@@ -21,14 +21,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
-from ..operators.metrics import with_series_id
+from ..operators.metrics import labels_json, with_series_id
 
 
 def windowed_average(samples: DataFrame, seconds: int = 60, watermark: str = "10 minutes") -> DataFrame:
     """``(step, metric, labels_json, value)`` — mean per series per window."""
     s = samples.withWatermark("ts", watermark)
     g = s.groupBy(F.window("ts", f"{seconds} seconds"), "metric",
-                  F.to_json(F.map_from_entries(F.array_sort(F.map_entries("labels")))).alias("labels_json"))
+                  labels_json().alias("labels_json"))
     out = g.agg(F.avg("value").alias("value"))
     return out.select((F.unix_seconds(F.col("window.start")) / seconds).cast("bigint").alias("step"),
                       "metric", "labels_json", "value")
