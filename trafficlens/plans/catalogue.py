@@ -25,6 +25,7 @@ from ..sources import capture as CAP
 from ..sources import dataset as DS
 from ..streaming import jobs as SJ
 from ..streaming import metrics as SM
+from ..streaming import sink as SK
 from . import model as M
 from . import projections as P
 
@@ -499,20 +500,26 @@ def q_stream_metric_windows(spark, sf_dir):
                             [(MX.NAME, "=~", "metrics_spark_.*_driver_jvm_heap_used_Value"),
                              ("type", "=", "gauges")])
     path = SJ.run_to_table(SM.windowed_average(heap, 60), scratch_path(spark, "stream-avg"), "complete")
-    return MX.round_value(spark.read.parquet(path).select("step", "metric", "labels_json", "value"))
+    return MX.round_value(SK.read_last(spark, path).select("step", "metric", "labels_json", "value"))
 
 
 @register("stream_counter_deltas")
 def q_stream_counter_deltas(spark, sf_dir):
-    """Per-series completed-task increases per 5-minute step, stateful."""
-    done = MX.select_series(P.samples(SJ.events_stream(spark, sf_dir)), "metrics_executor_completedTasks_total")
-    path = SJ.run_to_table(SM.counter_increase_stream(done, 300), scratch_path(spark, "stream-inc"), "append")
-    return spark.read.parquet(path)
+    """Completed tasks by executor and 5-minute step from events that arrive up to
+    eight minutes late, by a stream that is started again for each slice of them."""
+    def done(arriving):
+        s = MX.select_series(P.samples(arriving), "metrics_executor_completedTasks_total")
+        return SM.counter_increase_stream(s, 300)
+
+    path = SJ.run_in_arrivals(spark, P.arrivals(events(spark, sf_dir)), done, scratch_path(spark, "stream-inc"), "update")
+    totals = SK.read_latest(spark, path, SM.INC_KEYS, SM.INC_OUTPUT)
+    return MX.round_value(MX.sum_by(SM.increase_vector(totals), ["executor_id"]))
 
 
 @register("stream_scoring")
 def q_stream_scoring(spark, sf_dir):
-    """Fit a tree on the batch training share, score the packet stream."""
+    """Fit a tree on the batch training share and score the packet stream: packets and
+    scored packets (those with a prediction) per actual class."""
     classes = event_classes(spark, sf_dir)
     data = PR.apply_null_policy(training_table(spark, sf_dir), "zero") \
         .withColumn("CLASS", F.col("CLASS").cast("double"))
@@ -521,7 +528,9 @@ def q_stream_scoring(spark, sf_dir):
     stream = PR.apply_null_policy(SJ.packets_stream(spark, sf_dir, classes), "zero")
     scored = SJ.score_stream(model, stream).select("event_id", "CLASS", "prediction")
     path = SJ.run_to_table(scored, scratch_path(spark, "stream-score"), "append")
-    return spark.read.parquet(path).groupBy("prediction").agg(F.count(F.lit(1)).alias("packets"))
+    known = F.col("prediction").between(0, len(classes) - 1)
+    return SK.read_table(spark, path, scored.schema).groupBy(F.col("CLASS").cast("int").alias("CLASS")).agg(
+        F.count(F.lit(1)).alias("packets"), F.count_if(known).alias("scored"), F.count_distinct("event_id").alias("events"))
 
 
 @register("stream_ingest")
@@ -531,4 +540,4 @@ def q_stream_ingest(spark, sf_dir):
     classes = event_classes(spark, sf_dir)
     root = captures_from_events(spark, sf_dir)
     path = SJ.ingest_captures(spark, root, scratch_path(spark, "stream-ingest"), classes)
-    return spark.read.parquet(path).select(*PACKET_COLUMNS)
+    return SK.read_table(spark, path).select(*PACKET_COLUMNS)

@@ -304,6 +304,8 @@ SQL["capture_scan"] = with_pk(f"SELECT {PACKET_COLS} FROM pk")
 SQL["parquet_round_trip"] = with_pk(f"SELECT {PACKET_COLS}, class_name FROM pk")
 SQL["parquet_normalise"] = with_pk(f"SELECT {PACKET_COLS} FROM pk")
 SQL["stream_metric_windows"] = SQL["metric_heap_avg_1m"]
+SQL["stream_counter_deltas"] = SQL["metric_task_balance"]
+SQL["stream_scoring"] = "WITH " + CTE_EV + "\nSELECT CLASS, count(*) AS packets, count(*) AS scored, count(DISTINCT event_id) AS events FROM ev GROUP BY CLASS"
 SQL["stream_ingest"] = with_pk(f"SELECT {PACKET_COLS} FROM pk")
 SQL["capture_records_per_class"] = "SELECT event_type AS class_name, count(*) AS records FROM events GROUP BY event_type"
 

@@ -160,3 +160,19 @@ def predictions(events: DataFrame) -> DataFrame:
     pred = (F.when(b < 6, c).when(b < 8, (c + 1) % 5).when(b < 9, F.lit(0))
             .otherwise(F.lit(9)))
     return ev.select(F.col("event_id"), c.cast("double").alias("label"), pred.cast("double").alias("prediction"))
+
+
+def arrivals(events: DataFrame, slices: int = 4, most_delay: int = 480) -> list[DataFrame]:
+    """The events in the order in which they arrive, each up to ``most_delay`` seconds
+    after its time, cut into ``slices`` spans of equal length."""
+    at = F.unix_micros(utc_instant(F.col("ts"))) + (F.col("event_id") * 7919 % most_delay) * 1_000_000
+    low, high = events.agg(F.min(at), F.max(at)).first()
+    if low is None:
+        return [events]
+    cuts = [low + (high - low) * k // slices for k in range(1, slices)]
+    limits = [None, *cuts, None]
+    out = []
+    for a, b in zip(limits, limits[1:]):
+        inside = F.lit(True) if a is None else at >= a
+        out.append(events.where(inside if b is None else inside & (at < b)))
+    return out

@@ -1,8 +1,9 @@
 """Stream runners: sources, the foreachBatch sink, scoring and ingest.
 
-Every stream writes through ``foreachBatch`` into a parquet table and keeps
-its offsets in a checkpoint location under the shared checkpoint folder, so
-a restarted job (or a lost executor) resumes exactly where it stopped.
+Every stream writes through ``foreachBatch`` into a table of committed epochs
+(``sink.py``: a replayed micro-batch leaves it unchanged) and keeps its offsets
+in a checkpoint location under the shared checkpoint folder, so a restarted job
+(or a lost executor) resumes exactly where it stopped.
 ``trigger(availableNow=True)`` processes everything present and stops,
 which is how batch-equivalence is tested."""
 
@@ -17,6 +18,7 @@ from ..operators.labels import normalise_class_name
 from ..plans import projections as P
 from ..session import scratch_path
 from ..sources import capture as CAP
+from . import sink as SK
 
 BINARY_FILE_SCHEMA = "path string, modificationTime timestamp, length long, content binary"
 
@@ -32,18 +34,19 @@ def events_stream(spark: SparkSession, sf_dir: str, files_per_trigger: int = 1)
 def run_to_table(stream: DataFrame, path: str, mode: str = "append", checkpoint: str | None = None,
                  transform=None, stats: dict | None = None) -> str:
     """Run ``stream`` until all available input is processed; each
-    micro-batch is written (optionally transformed) to parquet ``path``.
-    In complete mode every batch overwrites the table. ``stats`` (a dict)
+    micro-batch is written (optionally transformed) as an epoch of the table at
+    ``path``: read it with ``sink.read_table`` (append), ``sink.read_last``
+    (complete) or ``sink.read_latest`` (update). ``stats`` (a dict)
     receives the input rows, micro-batches and the rows that stateful
     operators dropped as later than the watermark (counted after partial
     aggregation: late samples of one group count once per task). Late data
     is judged against the watermark of the previous micro-batch."""
     spark = stream.sparkSession
     ckpt = checkpoint or scratch_path(spark, "stream-ckpt")
+    run = SK.run_name(ckpt)
 
     def sink(batch: DataFrame, epoch_id: int):
-        out = transform(batch) if transform else batch
-        out.write.mode("overwrite" if mode == "complete" else "append").parquet(path)
+        SK.write_epoch(transform(batch) if transform else batch, path, run, epoch_id)
 
     q = (stream.writeStream.outputMode(mode).foreachBatch(sink)
          .option("checkpointLocation", ckpt).trigger(availableNow=True).start())
@@ -69,6 +72,17 @@ def progress_totals(progress) -> dict:
     return {"input_rows": int(rows), "batches": len(progress), "late_rows": int(late)}
 
 
+def run_in_arrivals(spark: SparkSession, slices: list[DataFrame], start, path: str, mode: str) -> str:
+    """Rows that arrive in slices, as from a job that is started again for each:
+    every slice is added to a folder, and the stream ``start(source)`` goes on from
+    its checkpoint. ``slices`` have one schema."""
+    source, ckpt = scratch_path(spark, "arrivals"), scratch_path(spark, "stream-ckpt")
+    for part in slices:
+        part.write.mode("append").parquet(source)
+        run_to_table(start(spark.readStream.schema(part.schema).parquet(source)), path, mode, ckpt)
+    return path
+
+
 def score_stream(model: PipelineModel, packets: DataFrame) -> DataFrame:
     """Scoring is a stateless projection: the fitted pipeline applies to a
     streaming DataFrame unchanged."""

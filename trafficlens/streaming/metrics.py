@@ -2,14 +2,20 @@
 
 * ``windowed_average`` — ``avg_over_time`` as an event-time tumbling window
   with a watermark (late samples beyond it are dropped by Spark).
-* ``counter_increase_stream`` — per-series counter increases per step with
-  ``applyInPandasWithState``: the state keeps (step, last sample, running
-  increase) for a series; a sample of a later step closes the open step and
-  emits it, an event-time timeout closes the last open step once the
-  watermark passes its end. Samples older than the series' last sample are
-  counted as late and ignored, so deltas stay in-window like the batch
-  operator.
-"""
+* ``counter_increase_stream`` — counter increases per (series, step) with
+  ``applyInPandasWithState``. The state of a (series, step) is the buffer of its
+  samples in the order of (ts, sample_id): a sample that arrives late, but within
+  the watermark, takes its place in the buffer, so the increase is that of the
+  batch operator whatever the order of arrival. Each micro-batch emits the
+  present total of the steps it touched (``closed`` false); an event-time timer at
+  the step's end emits the last total (``closed`` true) and drops the buffer once
+  the watermark has passed. Samples later than the watermark are dropped and
+  counted by Spark. Written through ``sink.read_latest``, the table always shows
+  the newest total of every step, open steps included, so nothing is lost at the
+  end of a run.
+
+A buffer holds one series' samples of one step. A sample without a value or a time
+is none."""
 
 from __future__ import annotations
 
@@ -21,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
-from ..operators.metrics import labels_json, with_series_id
+from ..operators.metrics import labels_json
 
 
 def windowed_average(samples: DataFrame, seconds: int = 60, watermark: str = "10 minutes") -> DataFrame:
@@ -34,81 +40,56 @@ def windowed_average(samples: DataFrame, seconds: int = 60, watermark: str = "10
                       "metric", "labels_json", "value")
 
 
-INC_OUTPUT = "series string, step long, value double, samples long, late long"
-INC_STATE = "step long, last double, last_us long, inc double, n long, late long"
+INC_OUTPUT = "metric string, labels_json string, step long, value double, samples long, closed boolean"
+INC_STATE = "us array<long>, id array<long>, value array<double>"
+INC_KEYS = ["metric", "labels_json", "step"]
+
+
+def _total(value: np.ndarray) -> float:
+    """Sum of the increases between consecutive samples; a drop is a reset."""
+    before, now = value[:-1], value[1:]
+    return float(np.where(np.isnan(before), 0.0, np.where(now < before, now, now - before)).sum())
 
 
 def _increase_fn(step_us: int):
     def fn(key, pdfs: Iterator[pd.DataFrame], state: GroupState):
-        series = key[0]
+        metric, labels, step = key[0], key[1], int(key[2])
+
+        def row(value, closed):
+            return pd.DataFrame({"metric": [metric], "labels_json": [labels], "step": [step], "value": [_total(value)],
+                                 "samples": [len(value)], "closed": [closed]})
+
         if state.hasTimedOut:
-            step, last, last_us, inc, n, late = state.get
+            value = np.asarray(state.get[2], dtype=np.float64)
             state.remove()
-            yield pd.DataFrame({"series": [series], "step": [step], "value": [inc],
-                                "samples": [n], "late": [late]})
-            return
-        if state.exists:
-            step, last, last_us, inc, n, late = state.get
-        else:
-            step, last, last_us, inc, n, late = None, None, None, 0.0, 0, 0
-        pdf = pd.concat(list(pdfs), ignore_index=True).sort_values(["ts_us", "sample_id"])
-        ts = pdf["ts_us"].to_numpy(dtype=np.int64)
-        v = pdf["value"].to_numpy(dtype=np.float64)
-        if last_us is not None:  # older than the series' last sample: late
-            keep = ts >= last_us
-            late += int((~keep).sum())
-            ts, v = ts[keep], v[keep]
-        if len(ts) == 0:
-            if step is not None:
-                state.update((step, last, last_us, inc, n, late))
-                state.setTimeoutTimestamp(int((step + 1) * step_us // 1000))
+            yield row(value, True)
             return
-        steps = ts // step_us
-        prev = np.empty_like(v)
-        prev[1:] = v[:-1]
-        prev[0] = last if (last is not None and steps[0] == step) else np.nan
-        new_step = np.ones(len(v), dtype=bool)
-        new_step[1:] = steps[1:] != steps[:-1]
-        new_step[0] = not (step is not None and steps[0] == step)
-        prev[new_step] = np.nan
-        d = np.where(np.isnan(prev), 0.0, np.where(v >= prev, v - prev, v))
-        starts = np.flatnonzero(new_step)
-        sums = np.add.reduceat(d, starts) if len(starts) else np.zeros(0)
-        counts = np.diff(np.append(starts, len(v)))
-        out = []
-        if new_step[0]:
-            if step is not None:  # the open step closes
-                out.append((series, int(step), float(inc), int(n), int(late)))
-                late = 0
-            grp_steps, grp_sums, grp_counts = steps[starts], sums, counts
-            acc_inc, acc_n = 0.0, 0
-        else:  # the first rows continue the open step
-            grp_steps, grp_sums, grp_counts = steps[starts], sums, counts
-            acc_inc, acc_n = float(inc), int(n)
-            first_end = starts[0] if len(starts) else len(v)
-            acc_inc += float(d[:first_end].sum())
-            acc_n += int(first_end)
-            if len(starts):
-                out.append((series, int(step), acc_inc, acc_n, int(late)))
-                late, acc_inc, acc_n = 0, 0.0, 0
-        for k in range(len(grp_steps) - 1):  # every step but the last is complete
-            out.append((series, int(grp_steps[k]), float(grp_sums[k]), int(grp_counts[k]), 0))
-        if len(grp_steps):
-            step, inc, n = int(grp_steps[-1]), float(grp_sums[-1]), int(grp_counts[-1])
-        else:
-            step, inc, n = int(step), acc_inc, acc_n
-        last, last_us = float(v[-1]), int(ts[-1])
-        state.update((step, last, last_us, inc, n, late))
-        # close the open step when the watermark passes its end
-        state.setTimeoutTimestamp(int((step + 1) * step_us // 1000))
-        if out:
-            yield pd.DataFrame(out, columns=["series", "step", "value", "samples", "late"])
+        us, id_, value = (list(x) for x in state.get) if state.exists else ([], [], [])
+        for pdf in pdfs:
+            us += pdf["us"].tolist()
+            id_ += pdf["sample_id"].tolist()
+            value += pdf["value"].tolist()
+        order = np.lexsort((id_, us))
+        us, id_, value = np.asarray(us, dtype=np.int64)[order], np.asarray(id_, dtype=np.int64)[order], np.asarray(value, dtype=np.float64)[order]
+        state.update((us.tolist(), id_.tolist(), value.tolist()))
+        # the step closes when the watermark passes its end (a timer can't lie in the past)
+        state.setTimeoutTimestamp(max((step + 1) * step_us // 1000, state.getCurrentWatermarkMs() + 1))
+        yield row(value, False)
     return fn
 
 
 def counter_increase_stream(samples: DataFrame, seconds: int = 300, watermark: str = "10 minutes") -> DataFrame:
-    s = with_series_id(samples).select("series", "ts", F.unix_micros("ts").alias("ts_us"), "sample_id", "value")
-    return (s.withWatermark("ts", watermark)
-            .groupBy("series")
+    """Counter increases per series and step, in update mode (see ``INC_KEYS``)."""
+    s = samples.where(F.col("value").isNotNull() & F.col("ts").isNotNull())
+    us = F.unix_micros("ts")
+    s = s.select("metric", labels_json().alias("labels_json"), "ts", us.alias("us"), "sample_id", "value",
+                 F.floor(us / F.lit(seconds * 1_000_000)).cast("bigint").alias("step"))
+    return (s.withWatermark("ts", watermark).groupBy(*INC_KEYS)
             .applyInPandasWithState(_increase_fn(seconds * 1_000_000), INC_OUTPUT, INC_STATE,
-                                    "append", GroupStateTimeout.EventTimeTimeout))
+                                    "update", GroupStateTimeout.EventTimeTimeout))
+
+
+def increase_vector(totals: DataFrame) -> DataFrame:
+    """The totals as a vector (step, metric, labels, value) like those of the batch operators."""
+    labels = F.from_json("labels_json", "map<string,string>")
+    return totals.select("step", "metric", labels.alias("labels"), "value")
