@@ -124,7 +124,7 @@ def test_chunked_framing_keeps_order_and_prefix_sample(spark, tmp_path):
     """100 packets read in many small chunks; p = 0.2 keeps 20 (21 compat)."""
     root = str(tmp_path)
     write_pcap(os.path.join(root, "Video", "h.pcap"), [(T0 + i, FRAMES["tcp_payload"]) for i in range(100)])
-    frames = CAP.read_captures(spark, root, chunk_bytes=500, partitions=7)
+    frames = CAP.read_captures(spark, root, batch_bytes=500, range_bytes=3000, partitions=7)
     rows = frames.select("ordinal", F.unix_micros("ts").alias("us"), "n_in_capture").collect()
     assert sorted(r["ordinal"] for r in rows) == list(range(100))
     assert all(r["us"] == int((T0 + r["ordinal"]) * 1e6) for r in rows)
@@ -169,7 +169,7 @@ def test_pcapng_equals_classic(spark, tmp_path):
             {r["ordinal"]: r["ts"] for r in feats.collect()}
 
     a, ta = rows(str(tmp_path / "a"))
-    b, tb = rows(str(tmp_path / "b"), chunk_bytes=200, partitions=5)
+    b, tb = rows(str(tmp_path / "b"), batch_bytes=200, range_bytes=600, partitions=5)
     c, tc = rows(str(tmp_path / "c"))
     assert a == b and len(a) == 20
     assert ta == tb
@@ -193,7 +193,7 @@ def test_split_index_of_large_files_equals_whole_file_index(spark, tmp_path):
     write_pcap(os.path.join(tmp_path, "Music", "f.pcap"), tempt)
 
     def snapshot(split):
-        df = CAP.read_captures(spark, str(tmp_path), split_bytes=split, chunk_bytes=700, partitions=6)
+        df = CAP.read_captures(spark, str(tmp_path), range_bytes=split, batch_bytes=700, partitions=6)
         return sorted((r["path"], r["ordinal"], bytes(r["frame"]), r["n_in_capture"]) for r in df.collect())
 
     whole = snapshot(1 << 40)
@@ -202,5 +202,95 @@ def test_split_index_of_large_files_equals_whole_file_index(spark, tmp_path):
     assert len(whole) == 300 + 119 + 60
     rep_whole = {r["path"]: (r["records"], r["broken_records"]) for r in CAP.capture_report(spark, str(tmp_path)).collect()}
     rep_split = {r["path"]: (r["records"], r["broken_records"])
-                 for r in CAP.capture_report(spark, str(tmp_path), split_bytes=997).collect()}
+                 for r in CAP.capture_report(spark, str(tmp_path), range_bytes=997).collect()}
     assert rep_whole == rep_split
+
+
+def framed(spark, root, **kw):
+    df = CAP.read_captures(spark, str(root), **kw)
+    return sorted((r["path"], r["ordinal"], r["ts"], r["linktype"], r["orig_len"], bytes(r["frame"]), r["n_in_capture"]) for r in df.collect())
+
+
+def test_records_larger_than_any_buffer(spark, tmp_path):
+    big = bytes(9 << 20)
+    write_pcap(str(tmp_path / "Music" / "a.pcap"), [(T0, FRAMES["udp"]), (T0 + 1, big), (T0 + 2, FRAMES["arp"])])
+    rows = framed(spark, tmp_path)
+    assert [len(r[5]) for r in rows] == [len(FRAMES["udp"]), 9 << 20, len(FRAMES["arp"])]
+    assert framed(spark, tmp_path, range_bytes=1 << 20) == rows  # whole ranges lie inside the record
+
+
+def test_bytes_are_read_once(spark, tmp_path):
+    from pcap_fixtures import write_pcapng
+    import random as _r
+    r = _r.Random(8)
+    frames = [(T0 + i * 0.001, FRAMES["udp"][:42] + r.randbytes(r.randrange(20, 1400))) for i in range(6000)]
+    write_pcap(str(tmp_path / "Music" / "a.pcap"), frames)
+    write_pcapng(str(tmp_path / "Music" / "b.pcapng"), frames)
+    report = {x["path"].rsplit("/", 1)[-1]: x for x in CAP.capture_report(spark, str(tmp_path), range_bytes=1 << 20, batch_bytes=1 << 18).collect()}
+    for name in ("a.pcap", "b.pcapng"):
+        size = os.path.getsize(tmp_path / "Music" / name)
+        assert size > 4 << 20 and report[name]["records"] == 6000 and report[name]["broken_records"] == 0
+        assert report[name]["bytes_read"] <= 1.1 * size
+    rows = framed(spark, tmp_path, range_bytes=1 << 20, batch_bytes=1 << 18)
+    assert [x[5] for x in rows] == [f for _, f in frames] * 2
+    assert [x[1] for x in rows] == [*range(6000)] * 2
+
+
+def test_block_files_in_ranges_equal_whole_files(spark, tmp_path):
+    """Interfaces declared between packets, a second section of the other byte order
+    and a truncated end: framed in ranges or at once, the rows are the same."""
+    from pcap_fixtures import _ng_block, write_pcapng
+    frames = [(T0 + i * 0.25, FRAMES[n]) for i, n in enumerate(["tcp_payload", "udp", "vlan", "arp"] * 40)]
+    for name in ("a", "b", "c", "d"):
+        write_pcapng(str(tmp_path / "News" / f"{name}.pcapng"), frames, tsresol=6 if name == "b" else 9, simple_last=name == "c")
+    plain = (tmp_path / "News" / "a.pcapng").read_bytes()
+    late = _ng_block(1, struct.pack("<HHI", 101, 0, 65535) + struct.pack("<HHB3x", 9, 1, 3) + struct.pack("<HH", 0, 0))
+    raw = _ng_block(6, struct.pack("<IIIII", 1, 0, 5_000, 20, 20) + FRAMES["udp"][14:34])
+    def block(kind, body):  # big-endian
+        n = 12 + len(body)
+        return struct.pack(">II", kind, n) + body + struct.pack(">I", n)
+    other = (block(0x0A0D0D0A, struct.pack(">IHHq", 0x1A2B3C4D, 1, 0, -1)) + block(1, struct.pack(">HHI", 1, 0, 65535))
+             + block(6, struct.pack(">IIIII", 0, 0, 7_000_000, 60, 60) + FRAMES["arp"]) * 3)
+    (tmp_path / "News" / "e.pcapng").write_bytes(plain + late + raw * 30 + other + plain)
+    (tmp_path / "News" / "f.pcapng").write_bytes(plain[:-20])
+    whole = framed(spark, tmp_path, range_bytes=1 << 40)
+    assert len(whole) == 160 * 4 + (160 + 30 + 3 + 160) + 159
+    e = [x for x in whole if x[0].endswith("e.pcapng")]
+    assert e[160][3] == 101 and e[160][2].timestamp() == 5.0 and e[190][2].timestamp() == 7.0 and e[190][5] == FRAMES["arp"]
+    for size in (997, 4096, 20_000):
+        assert framed(spark, tmp_path, range_bytes=size, batch_bytes=700) == whole
+
+
+def test_stacked_vlan_tags(spark, tmp_path):
+    inner = FRAMES["tcp_payload"]
+    frames = [inner[:12] + b"".join(struct.pack("!HH", 0x8100 if i % 2 else 0x88A8, i) for i in range(n)) + inner[12:] for n in range(7)]
+    write_pcap(str(tmp_path / "Tools" / "x.pcap"), [(T0 + i, f) for i, f in enumerate(frames)])
+    rows = decode(spark, str(tmp_path))
+    assert {(r["TCP_SPORT"], r["TCP_DPORT"], r["LEN_RAW"], r["Source_IP1"]) for r in rows.values()} == {(1234, 80, 20, 10)} and len(rows) == 7
+
+
+def test_decoding_while_framing(spark, tmp_path):
+    write_pcap(str(tmp_path / "Tools" / "x.pcap"), [(T0 + i, FRAMES[n]) for i, n in enumerate(list(FRAMES) * 20)])
+    plain = fields.packet_features(CAP.read_captures(spark, str(tmp_path)), keep=["path", "ordinal"])
+    once = CAP.read_captures(spark, str(tmp_path), range_bytes=2000, decode=fields.packet_features_of)
+    assert sorted(map(str, plain.collect())) == sorted(map(str, once.select(plain.columns).collect()))
+    assert {r["n_in_capture"] for r in once.collect()} == {20 * len(FRAMES)}
+
+
+def test_extract_keeps_the_row_key(spark, tmp_path):
+    from trafficlens.plans import jobs
+    for cls in ("Games", "Music"):
+        write_pcap(str(tmp_path / "in" / cls / "x.pcap"), [(T0 + i, FRAMES["tcp_payload"]) for i in range(10)])
+    out = jobs.extract(spark, str(tmp_path / "in"), str(tmp_path / "out"), percent=50)
+    assert sorted((r["class_name"], r["CLASS"], r["ordinal"]) for r in out.collect()) == [(c, k, i) for k, c in enumerate(("Games", "Music")) for i in range(5)]
+    assert out.select("path").distinct().count() == 2
+    counts, _ = jobs.profile(spark, str(tmp_path / "out"))
+    assert counts.first()["columns"] == 20
+
+
+def test_a_failing_writer_publishes_nothing(spark, tmp_path):
+    bad = spark.createDataFrame([("A", 1, 60, bytearray(60), T0), ("A", 1, -1, bytearray(60), T0 + 1)],
+                                "class_name string, linktype int, orig_len int, frame binary, t double").withColumn("ts", F.col("t").cast("timestamp"))
+    with pytest.raises(Exception):
+        CAP.write_captures(bad, str(tmp_path / "w"), partitions=1).count()
+    assert not list((tmp_path / "w").rglob("*.pcap"))

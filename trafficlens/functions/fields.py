@@ -95,9 +95,13 @@ def with_layers(df: DataFrame, frame: str = "frame", linktype: str = "linktype")
     fr, lt = F.col(frame), F.col(linktype)
     ethernet = lt == LINKTYPE_ETHERNET
     raw = lt.isin(*RAW_LINKTYPES)
-    t0 = uint16(fr, 13)
-    nvlan = F.when(t0.isin(*ETH_VLAN),
-                   F.when(uint16(fr, 17).isin(*ETH_VLAN), F.lit(2)).otherwise(F.lit(1))).otherwise(F.lit(0))
+    # tags beyond the third are counted one by one, to the frame's end
+    deep = F.aggregate(F.sequence(F.lit(3), F.greatest(F.lit(3), F.floor((F.length(fr) - 14) / 4).cast("int"))), F.lit(3),
+                       lambda n, k: F.when((n == k) & F.coalesce(uint16(fr, k * 4 + 13).isin(*ETH_VLAN), F.lit(False)), n + 1).otherwise(n))
+    nvlan = F.lit(0)
+    for tags, more in ((2, deep), (1, None), (0, None)):
+        inner = more if more is not None else nvlan
+        nvlan = F.when(uint16(fr, tags * 4 + 13).isin(*ETH_VLAN), inner).otherwise(F.lit(tags))
     df = df.withColumns({_H + "nvlan": F.when(ethernet, nvlan)})
 
     l3pos = (F.when(ethernet, _h("nvlan") * 4 + 15)
@@ -329,6 +333,15 @@ def packet_features(df: DataFrame, class_col: str = "CLASS", frame: str = "frame
     return sealed(with_layers(df, frame, linktype), list(keep or []), cols)
 
 
+def packet_features_of(frames: DataFrame, keep: list[str]) -> DataFrame:
+    """``packet_features`` for readers that decode while they frame."""
+    return packet_features(frames, keep=keep)
+
+
+def extended_features_of(frames: DataFrame, keep: list[str]) -> DataFrame:
+    return extended_features(frames, keep=keep)
+
+
 def extended_features(df: DataFrame, class_col: str = "CLASS", frame: str = "frame",
                       ts: str = "ts", linktype: str = "linktype", keep: list[str] | None = None) -> DataFrame:
     feats = packet_feature_columns(ts)

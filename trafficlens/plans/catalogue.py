@@ -420,9 +420,22 @@ def captures_from_events(spark, sf_dir) -> str:
 
 @register("capture_scan")
 def q_capture_scan(spark, sf_dir):
-    """Events → pcap files → index + framing passes → the 20 features."""
+    """Events → pcap files → framed by byte ranges and decoded in one read → the 20 features."""
     root = captures_from_events(spark, sf_dir)
-    return fields.packet_features(CAP.read_captures(spark, root))
+    return CAP.read_captures(spark, root, decode=fields.packet_features_of).select(*PACKET_COLUMNS)
+
+
+@register("capture_ordinals")
+def q_capture_ordinals(spark, sf_dir):
+    """Records per capture folder with the sum of their places and of their lengths,
+    read in ranges of 64 KB."""
+    root = captures_from_events(spark, sf_dir)
+    frames = CAP.read_captures(spark, root, range_bytes=64 << 10)
+    per_file = frames.groupBy("class_name", "path", "n_in_capture").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("ordinal").alias("places"), F.sum(F.length("frame")).alias("bytes"))
+    right = (F.col("n") == F.col("n_in_capture")) & (F.col("places") * 2 == F.col("n") * (F.col("n") - 1))
+    return per_file.groupBy("class_name").agg(F.sum("n").alias("records"), F.sum("bytes").cast("long").alias("bytes"),
+                                              F.bool_and(right).alias("gapless"))
 
 
 @register("capture_discovery")
@@ -434,12 +447,10 @@ def q_capture_discovery(spark, sf_dir):
 
 @register("capture_records_per_class")
 def q_capture_records_per_class(spark, sf_dir):
-    """Records per class folder from the index pass alone (no frame read)."""
+    """Records and broken records per class folder; no frame is kept."""
     root = captures_from_events(spark, sf_dir)
-    listing = CAP.list_captures(spark, root)
-    per_file = CAP.index_captures(listing).groupBy("path").agg(F.sum("records").alias("records"))
-    return per_file.join(listing.select("path", "class_name"), "path") \
-        .groupBy("class_name").agg(F.sum("records").cast("bigint").alias("records"))
+    return CAP.capture_report(spark, root).groupBy("class_name").agg(
+        F.sum("records").cast("bigint").alias("records"), F.sum("broken_records").cast("bigint").alias("broken_records"))
 
 
 @register("file_inventory")

@@ -28,20 +28,20 @@ def extract(spark: SparkSession, capture_root: str, out: str, percent: int = 100
             classes: list[str] | None = None, extended: bool = False) -> DataFrame:
     """Decode every capture into the packet table and write it partitioned by
     class; returns the written table (read back)."""
-    frames = CAP.read_captures(spark, capture_root, classes)
+    decode = fields.extended_features_of if extended else fields.packet_features_of
+    table = CAP.read_captures(spark, capture_root, classes, decode=decode)
     if percent < 100 or compat:
-        frames = SA.prefix_sample(frames, percent, compat=compat)
-    keep = ["class_name"]
+        table = SA.prefix_sample(table, percent, compat=compat)
+    table = table.drop("n_in_capture")
     if extended:
-        table = fields.extended_features(frames, keep=keep + ["path", "ordinal"])
         table.write.mode("overwrite").partitionBy("class_name").parquet(out)
         return spark.read.parquet(out)
-    DS.write_packets(fields.packet_features(frames, keep=keep + ["path", "ordinal"]), out)
+    DS.write_packets(table, out)
     return DS.read_packets(spark, out, classes)
 
 
 def profile(spark: SparkSession, table: str, classes: list[str] | None = None) -> tuple[DataFrame, DataFrame]:
-    df = DS.read_packets(spark, table, classes).drop("class_name")
+    df = DS.read_packets(spark, table, classes).drop("class_name", "path", "ordinal")
     return PF.profile(df), PF.box_statistics(df, FEATURE_COLUMNS)
 
 

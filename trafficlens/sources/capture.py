@@ -1,370 +1,50 @@
-"""Packet-capture (classic pcap) source and sink.
-
-Reading is two distributed passes, so one huge capture is spread over many
-tasks and no task holds a whole file:
-
-1. **index** — the file listing (``binaryFile`` with only ``path``/``length``
-   read, content never loaded) is spread over tasks; each task reads one
-   file's 24-byte header and then only the 16-byte record headers, seeking
-   over the frames, and emits a chunk row about every ``chunk_bytes``:
-   ``(path, start, end, first_ordinal, records, linktype, byte order,
-   resolution)``. Record counts per capture come out of this pass for free.
-2. **framing** — chunk rows are spread over tasks; each task reads its byte
-   range once and yields Arrow batches of framed records
-   ``(path, ordinal, ts, linktype, orig_len, frame)``.
-
-All field work afterwards is Column expressions (``functions.fields``).
-A last record cut short by the end of the file is dropped and counted in
-``broken_records``. Both classic pcap (either byte order, micro- or
-nanosecond stamps) and pcapng (sections, interfaces with their own link
-type and timestamp resolution; enhanced, simple and obsolete packet blocks)
-are read; pcapng chunks carry the interface table in force at their start.
-"""
+"""Packet captures (classic pcap and pcapng): source and sink.
+
+Capture bytes are read once. Every file is cut into byte ranges of
+``range_bytes``; a task takes a range, finds its first record, frames what begins
+in it (``framing.py``) and numbers the records from 0. What comes out is staged as
+Parquet in the shared checkpoint folder, frames or (``decode``) the much
+narrower features made of them in the same job, with one border row per range. A
+window over the border rows of each file then
+
+* checks that every range begins where the one before it ended (a range in which
+  no record begins must lie inside a record), and that no block file declares
+  interfaces behind its first packet; a file that fails is framed again as one
+  range, so the rows are exact either way;
+* gives the ordinal of each range's first record and the file's total.
+
+Rows meet their range's facts by a broadcast of the border table while its size
+is below ``BORDER_BYTES`` (estimated from its rows and paths), by a shuffle beyond.
+
+A last record cut short by the end of the file is dropped and counted as broken,
+as is everything behind a record whose length can't be (``capture_report``). Empty
+files give no rows; a file that is no capture is an error."""
 
 from __future__ import annotations
 
 import os
 import struct
 import uuid
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ..operators.labels import attach_class_index, normalise_class_name
-from ..session import ensure_checkpoint_dir
-
-# Classic pcap magic numbers (as read little-endian) and
-# their (byte order, nanosecond resolution).
-MAGIC = {
-    0xA1B2C3D4: ("<", False),
-    0xD4C3B2A1: (">", False),
-    0xA1B23C4D: ("<", True),
-    0x4D3CB2A1: (">", True),
-}
-# Pcapng block types used.
-NG_SHB, NG_IDB, NG_OPB, NG_SPB, NG_EPB = 0x0A0D0D0A, 1, 2, 3, 6
-NG_BYTE_ORDER_MAGIC = 0x1A2B3C4D
-GLOBAL_HEADER = 24
-RECORD_HEADER = 16
-DEFAULT_CHUNK_BYTES = 32 << 20
-_BUF = 8 << 20
-
-CHUNK_SCHEMA = T.StructType([
-    T.StructField("path", T.StringType(), False),
-    T.StructField("start", T.LongType(), False),
-    T.StructField("end", T.LongType(), False),
-    T.StructField("first_ordinal", T.LongType(), False),
-    T.StructField("records", T.LongType(), False),
-    T.StructField("linktype", T.IntegerType(), False),
-    T.StructField("big_endian", T.BooleanType(), False),
-    T.StructField("nanos", T.BooleanType(), False),
-    T.StructField("broken", T.LongType(), False),
-    # pcapng: interface table (link type, ticks per second) in force at start
-    T.StructField("ng", T.BooleanType(), False),
-    T.StructField("if_link", T.ArrayType(T.IntegerType()), True),
-    T.StructField("if_res", T.ArrayType(T.LongType()), True),
-])
-
-FRAMED_SCHEMA = T.StructType([
-    T.StructField("path", T.StringType(), False),
-    T.StructField("ordinal", T.LongType(), False),
-    T.StructField("ts", T.TimestampType(), True),
-    T.StructField("linktype", T.IntegerType(), False),
-    T.StructField("orig_len", T.IntegerType(), False),
-    T.StructField("frame", T.BinaryType(), False),
-    T.StructField("class_name", T.StringType(), True),
-    T.StructField("CLASS", T.IntegerType(), True),
-    T.StructField("n_in_capture", T.LongType(), True),
-])
-
-
-def _local(path: str) -> str | None:
-    if path.startswith("file:"):
-        p = path[5:]
-        while p.startswith("//"):
-            p = p[1:]
-        return p
-    if "://" not in path:
-        return path
-    return None
-
-
-def _open(path: str):
-    """Binary input for a local or remote (HDFS, S3, ...) path."""
-    local = _local(path)
-    if local is not None:
-        return open(local, "rb", buffering=1 << 20)
-    from pyarrow import fs as pafs
-    filesystem, inner = pafs.FileSystem.from_uri(path)
-    return filesystem.open_input_file(inner)
-
-
-class _Window:
-    """Reads small pieces at increasing offsets out of large windows, so
-    walking record headers costs one read per ``size`` bytes, not one per
-    record (which matters on remote storage)."""
-
-    def __init__(self, f, size: int = _BUF):
-        self.f, self.size, self.base, self.buf = f, size, 0, b""
-
-    def get(self, pos: int, n: int) -> bytes:
-        end = self.base + len(self.buf)
-        if pos < self.base or pos + n > end:
-            if self.base <= pos < end:  # keep the tail, read on from there
-                self.buf = self.buf[pos - self.base:] + self.f.read(max(self.size, n))
-            else:
-                self.f.seek(pos)
-                self.buf = self.f.read(max(self.size, n))
-            self.base = pos
-        return self.buf[pos - self.base: pos - self.base + n]
-
-
-def read_header(f) -> tuple[str, bool, int] | None:
-    hdr = f.read(GLOBAL_HEADER)
-    if len(hdr) < GLOBAL_HEADER:
-        return None
-    magic = struct.unpack("<I", hdr[:4])[0]
-    if magic not in MAGIC:
-        raise ValueError(f"not a classic pcap file (magic {magic:#x})")
-    order, nanos = MAGIC[magic]
-    linktype = struct.unpack(order + "I", hdr[20:24])[0] & 0x0FFFFFFF
-    return order, nanos, linktype
-
-
-def _ng_tsres(options: bytes, order: str) -> int:
-    """Ticks per second from an interface block's options (if_tsresol)."""
-    off = 0
-    while off + 4 <= len(options):
-        code, length = struct.unpack_from(order + "HH", options, off)
-        if code == 0:
-            break
-        if code == 9 and length >= 1:
-            v = options[off + 4]
-            return 2 ** (v & 0x7F) if v & 0x80 else 10 ** v
-        off += 4 + ((length + 3) // 4) * 4
-    return 1_000_000
-
-
-def _ng_block_head(hdr: bytes, order: str | None) -> tuple[str, int, int]:
-    """(byte order, block type, block length) of the block starting at hdr."""
-    if struct.unpack("<I", hdr[:4])[0] == NG_SHB:
-        order = "<" if struct.unpack("<I", hdr[8:12])[0] == NG_BYTE_ORDER_MAGIC else ">"
-    btype, blen = struct.unpack(order + "II", hdr[:8])
-    return order, btype, blen
-
-
-def _index_ng(f, path: str, size: int, chunk_bytes: int):
-    """Walk pcapng blocks by their lengths; packets are EPB, SPB and OPB."""
-    pos, order, ifaces = 0, None, []
-    start, first, n, ordinal, broken = 0, 0, 0, 0, 0
-    state = (order, [])
-    win = _Window(f)
-    while pos + 12 <= size:
-        hdr = win.get(pos, 12)
-        order, btype, blen = _ng_block_head(hdr, order)
-        if blen < 12 or pos + blen > size:
-            broken += 1
-            break
-        if btype == NG_SHB:
-            ifaces = []
-        elif btype == NG_IDB:
-            body = win.get(pos + 8, blen - 12)
-            ifaces.append((struct.unpack_from(order + "H", body, 0)[0], _ng_tsres(body[8:], order)))
-        elif btype in (NG_EPB, NG_SPB, NG_OPB):
-            n += 1
-            ordinal += 1
-        pos += blen
-        if pos - start >= chunk_bytes:
-            yield _ng_chunk(path, start, pos, first, n, state, 0)
-            start, first, n, state = pos, ordinal, 0, (order, list(ifaces))
-    if pos < size and not broken:
-        broken += 1
-    if n > 0 or broken or ordinal == 0:
-        yield _ng_chunk(path, start, pos, first, n, state, broken)
-
-
-def _ng_chunk(path, start, end, first, n, state, broken):
-    order, ifaces = state
-    return (path, start, end, first, n, ifaces[0][0] if ifaces else 1, order == ">", False, broken,
-            True, [lt for lt, _ in ifaces], [r for _, r in ifaces])
-
-
-def _index_file(path: str, chunk_bytes: int):
-    """Yield chunk tuples for one file by walking record headers only."""
-    with _open(path) as raw:
-        f = raw if hasattr(raw, "seek") else raw
-        magic = f.read(4)
-        f.seek(0)
-        if len(magic) == 4 and struct.unpack("<I", magic)[0] == NG_SHB:
-            yield from _index_ng(f, path, _size(f, path), chunk_bytes)
-            return
-        head = read_header(f)
-        if head is None:
-            return
-        order, nanos, linktype = head
-        rec = struct.Struct(order + "IIII")
-        pos = GLOBAL_HEADER
-        start, first, n, ordinal = pos, 0, 0, 0
-        size = _size(f, path)
-        broken = 0
-        win = _Window(f)
-        while True:
-            if pos + RECORD_HEADER > size:
-                if pos < size:
-                    broken += 1
-                break
-            hb = win.get(pos, RECORD_HEADER)
-            if len(hb) < RECORD_HEADER:
-                broken += 1
-                break
-            incl = rec.unpack(hb)[2]
-            nxt = pos + RECORD_HEADER + incl
-            if nxt > size:
-                broken += 1
-                break
-            pos = nxt
-            n += 1
-            ordinal += 1
-            if pos - start >= chunk_bytes:
-                yield (path, start, pos, first, n, linktype, order == ">", nanos, 0, False, None, None)
-                start, first, n = pos, ordinal, 0
-        if n > 0 or broken or ordinal == 0:
-            yield (path, start, pos, first, n, linktype, order == ">", nanos, broken, False, None, None)
-
-
-def _size(f, path: str) -> int:
-    local = _local(path)
-    if local is not None:
-        return os.path.getsize(local)
-    return f.size()
-
-
-def _index_fn(chunk_bytes: int):
-    def index(batches):
-        for pdf in batches:
-            rows = []
-            for p in pdf["path"]:
-                rows.extend(_index_file(p, chunk_bytes))
-            import pandas as pd
-            yield pd.DataFrame(rows, columns=[f.name for f in CHUNK_SCHEMA.fields]) if rows else \
-                pd.DataFrame({f.name: [] for f in CHUNK_SCHEMA.fields})
-    return index
-
-
-def _frame_fn(batch_rows: int = 4096):
-    out_schema = pa.schema([
-        ("path", pa.string()), ("ordinal", pa.int64()), ("ts", pa.timestamp("us", tz="UTC")),
-        ("linktype", pa.int32()), ("orig_len", pa.int32()), ("frame", pa.binary()),
-        ("class_name", pa.string()), ("CLASS", pa.int32()), ("n_in_capture", pa.int64()),
-    ])
-
-    def flush(cols, meta):
-        n = len(cols[0])
-        return pa.RecordBatch.from_arrays([
-            pa.array(cols[0], pa.string()), pa.array(cols[1], pa.int64()),
-            pa.array(cols[2], pa.timestamp("us", tz="UTC")), pa.array(cols[3], pa.int32()),
-            pa.array(cols[4], pa.int32()), pa.array(cols[5], pa.binary()),
-            pa.array([meta[0]] * n, pa.string()), pa.array([meta[1]] * n, pa.int32()),
-            pa.array([meta[2]] * n, pa.int64())], schema=out_schema)
-
-    def frame_ng(d, i):
-        """Packets of one pcapng chunk (blocks replayed from its start state)."""
-        path, start, end = d["path"][i], d["start"][i], d["end"][i]
-        order = ">" if d["big_endian"][i] else "<"
-        ifaces = list(zip(d["if_link"][i] or [], d["if_res"][i] or []))
-        ordinal = d["first_ordinal"][i]
-        meta = (d["class_name"][i], d["CLASS"][i], d["n_in_capture"][i])
-        cols = ([], [], [], [], [], [])
-        with _open(path) as f:
-            f.seek(start)
-            buf = f.read(end - start)
-        off = 0
-        while off + 12 <= len(buf):
-            order, btype, blen = _ng_block_head(buf[off:off + 12], order)
-            body = buf[off + 8: off + blen - 4]
-            if btype == NG_SHB:
-                ifaces = []
-            elif btype == NG_IDB:
-                ifaces.append((struct.unpack_from(order + "H", body, 0)[0], _ng_tsres(body[8:], order)))
-            elif btype in (NG_EPB, NG_OPB):
-                if btype == NG_EPB:
-                    iface, hi, lo, cap, orig = struct.unpack_from(order + "IIIII", body, 0)
-                else:
-                    iface, _drops, hi, lo, cap, orig = struct.unpack_from(order + "HHIIII", body, 0)
-                lt, res = ifaces[iface] if iface < len(ifaces) else (1, 1_000_000)
-                cols[0].append(path)
-                cols[1].append(ordinal)
-                cols[2].append(((hi << 32) | lo) * 1_000_000 // res)
-                cols[3].append(lt)
-                cols[4].append(orig)
-                cols[5].append(body[20:20 + cap])
-                ordinal += 1
-            elif btype == NG_SPB:
-                orig = struct.unpack_from(order + "I", body, 0)[0]
-                lt = ifaces[0][0] if ifaces else 1
-                cols[0].append(path)
-                cols[1].append(ordinal)
-                cols[2].append(None)
-                cols[3].append(lt)
-                cols[4].append(orig)
-                cols[5].append(body[4:4 + min(orig, len(body) - 4)])
-                ordinal += 1
-            off += blen
-            if len(cols[0]) >= batch_rows:
-                yield flush(cols, meta)
-                cols = ([], [], [], [], [], [])
-        if cols[0]:
-            yield flush(cols, meta)
-
-    def frame(batches):
-        for rb in batches:
-            d = rb.to_pydict()
-            for i in range(rb.num_rows):
-                if d["ng"][i]:
-                    yield from frame_ng(d, i)
-                    continue
-                path, start, end = d["path"][i], d["start"][i], d["end"][i]
-                order = ">" if d["big_endian"][i] else "<"
-                div = 1000 if d["nanos"][i] else 1
-                lt = d["linktype"][i]
-                ordinal = d["first_ordinal"][i]
-                rec = struct.Struct(order + "IIII")
-                meta = (d["class_name"][i], d["CLASS"][i], d["n_in_capture"][i])
-                cols = ([], [], [], [], [], [])
-                with _open(path) as f:
-                    f.seek(start)
-                    remaining = end - start
-                    buf = b""
-                    while remaining > 0 or buf:
-                        if remaining > 0 and len(buf) < _BUF:
-                            take = min(_BUF, remaining)
-                            buf += f.read(take)
-                            remaining -= take
-                        off = 0
-                        while off + RECORD_HEADER <= len(buf):
-                            sec, frac, incl, orig = rec.unpack_from(buf, off)
-                            if off + RECORD_HEADER + incl > len(buf):
-                                break
-                            body = buf[off + RECORD_HEADER: off + RECORD_HEADER + incl]
-                            cols[0].append(path)
-                            cols[1].append(ordinal)
-                            cols[2].append(sec * 1_000_000 + frac // div)
-                            cols[3].append(lt)
-                            cols[4].append(orig)
-                            cols[5].append(body)
-                            ordinal += 1
-                            off += RECORD_HEADER + incl
-                            if len(cols[0]) >= batch_rows:
-                                yield flush(cols, meta)
-                                cols = ([], [], [], [], [], [])
-                        buf = buf[off:]
-                        if remaining == 0 and off == 0:
-                            break
-                if cols[0]:
-                    yield flush(cols, meta)
-    return frame
+from ..session import scratch_path
+from .framing import BORDER, FIELDS, frame_range, local_path
+
+RANGE_BYTES = 256 << 20
+BATCH_BYTES = 8 << 20
+BORDER_BYTES = 32 << 20
+FILES_PER_TASK = 64
+
+_RANGE = "path string, class_name string, CLASS int, range_idx int, low long, high long, length long"
+_STAGED = ("path string, class_name string, CLASS int, range_idx int, local long, ts timestamp, linktype int, orig_len int, "
+           f"frame binary, border {BORDER}")
+FRAMED = ["path", "ordinal", "ts", "linktype", "orig_len", "frame", "class_name", "CLASS", "n_in_capture"]
+Decode = Callable[[DataFrame, list[str]], DataFrame]
 
 
 def list_captures(spark: SparkSession, root: str, glob: str = "*") -> DataFrame:
@@ -376,196 +56,125 @@ def list_captures(spark: SparkSession, root: str, glob: str = "*") -> DataFrame:
         F.regexp_extract("path", r"([^/]+)/[^/]+$", 1)))
 
 
-FILES_PER_INDEX_TASK = 64
-SPLIT_BYTES = 256 << 20  # classic pcap files above this are indexed by several tasks
-SYNC_CHAIN = 8         # consecutive plausible record headers needed to sync
-_SYNC_WINDOW = 16 << 20
-
-RANGE_SCHEMA = T.StructType(list(CHUNK_SCHEMA.fields) + [
-    T.StructField("range_idx", T.IntegerType(), False),
-    T.StructField("sync_start", T.LongType(), False),
-    T.StructField("next_start", T.LongType(), False),
-])
-
-
-def _plausible_chain(buf: bytes, off: int, rec: struct.Struct, frac_max: int, incl_max: int,
-                     file_left: int, chain: int) -> bool:
-    """True when ``chain`` record headers starting at ``off`` of ``buf`` are
-    plausible and link up (or the chain reaches the end of the file)."""
-    prev = None
-    for _ in range(chain):
-        if off == len(buf) and file_left == 0:
-            return True
-        if off + RECORD_HEADER > len(buf):
-            return prev is not None and file_left > 0  # ran past the window: accept
-        sec, frac, incl, orig = rec.unpack_from(buf, off)
-        if frac >= frac_max or incl > incl_max or orig < incl or orig > (1 << 24):
-            return False
-        if prev is not None and abs(sec - prev) > 86400:
-            return False
-        prev = sec
-        off += RECORD_HEADER + incl
-        if off > len(buf) and file_left == 0:
-            return False
-    return True
-
-
-def _index_range(path: str, idx: int, lo: int, hi: int, chunk_bytes: int):
-    """Chunks of the records that *start* in [lo, hi) of one classic pcap
-    file, plus where the first record starts (sync) and where the walk left
-    the range (next), for checking against the neighbouring ranges."""
-    with _open(path) as f:
-        magic = f.read(4)
-        f.seek(0)
-        size = _size(f, path)
-        if len(magic) == 4 and struct.unpack("<I", magic)[0] == NG_SHB:
-            if idx == 0:  # block files are walked whole by the first range
-                for row in _index_ng(f, path, size, chunk_bytes):
-                    yield row + (0, 0, size)
-            return
-        head = read_header(f)
-        if head is None:
-            if idx == 0:
-                yield (path, 0, 0, 0, 0, 1, False, False, 0, False, None, None, 0, 0, 0)
-            return
-        order, nanos, linktype = head
-        f.seek(16)
-        snaplen = struct.unpack(order + "I", f.read(4))[0]
-        rec = struct.Struct(order + "IIII")
-        if idx == 0:
-            pos = GLOBAL_HEADER
-        else:
-            f.seek(lo)
-            buf = f.read(min(_SYNC_WINDOW, size - lo))
-            frac_max = 1_000_000_000 if nanos else 1_000_000
-            incl_max = max(snaplen, 65535)
-            pos = None
-            limit = min(len(buf), hi - lo)
-            for o in range(0, limit):
-                if _plausible_chain(buf, o, rec, frac_max, incl_max, size - lo - len(buf), SYNC_CHAIN):
-                    pos = lo + o
-                    break
-            if pos is None:  # no record start found: the check below sends the file to the fallback
-                yield (path, lo, lo, 0, 0, linktype, order == ">", nanos, 0, False, None, None, idx, -1, -1)
-                return
-        sync = pos
-        start, first, n, count, broken = pos, 0, 0, 0, 0
-        win = _Window(f)
-        while pos < hi:
-            if pos + RECORD_HEADER > size:
-                if pos < size:
-                    broken += 1
-                break
-            incl = rec.unpack(win.get(pos, RECORD_HEADER))[2]
-            nxt = pos + RECORD_HEADER + incl
-            if nxt > size:
-                broken += 1
-                break
-            pos = nxt
-            n += 1
-            count += 1
-            if pos - start >= chunk_bytes:
-                yield (path, start, pos, first, n, linktype, order == ">", nanos, 0, False, None, None,
-                       idx, sync, -2)
-                start, first, n = pos, count, 0
-        yield (path, start, pos, first, n, linktype, order == ">", nanos, broken, False, None, None,
-               idx, sync, pos)
-
-
-def _range_fn(chunk_bytes: int):
-    def index(batches):
-        import pandas as pd
-        cols = [f.name for f in RANGE_SCHEMA.fields]
-        for pdf in batches:
-            rows = []
-            for p, i, lo, hi in zip(pdf["path"], pdf["range_idx"], pdf["lo"], pdf["hi"]):
-                rows.extend(_index_range(p, int(i), int(lo), int(hi), chunk_bytes))
-            yield pd.DataFrame(rows, columns=cols) if rows else pd.DataFrame({c: [] for c in cols})
-    return index
-
-
-def index_captures(listing: DataFrame, chunk_bytes: int = DEFAULT_CHUNK_BYTES,
-                   partitions: int | None = None, split_bytes: int = SPLIT_BYTES) -> DataFrame:
-    """Index pass. Files up to ``split_bytes`` are walked whole, spread over
-    tasks (at least one task per ``FILES_PER_INDEX_TASK`` files); larger
-    classic pcap files are cut into ``split_bytes`` ranges indexed by
-    separate tasks, each syncing on a chain of plausible record headers.
-    Range results are checked against each other (every range must start
-    where the previous one's walk ended); a file that fails the check is
-    walked again whole, so the index is exact either way."""
+def _ranges(listing: DataFrame, range_bytes: int) -> DataFrame:
+    number = F.greatest(F.ceil(F.col("length") / range_bytes), F.lit(1))
+    low = F.col("range_idx") * F.lit(range_bytes).cast("long")
+    rows = listing.select("path", "class_name", "CLASS", "length", F.explode(F.sequence(F.lit(0), (number - 1).cast("int"))).alias("range_idx"))
+    return rows.select("path", "class_name", "CLASS", "range_idx", low.alias("low"),
+                       F.least(low + range_bytes, F.col("length")).alias("high"), "length")
+
+
+def _framed(ranges: DataFrame, batch_bytes: int, frames: bool) -> DataFrame:
+    """Framing of ranges: record rows and border rows."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for r in batch.to_pylist():
+                for got in frame_range(r["path"], r["length"], r["range_idx"], r["low"], r["high"], batch_bytes, frames):
+                    n = got.num_rows
+                    facts = [pa.array([r[k]] * n, t) for k, t in (("path", pa.string()), ("class_name", pa.string()),
+                                                                  ("CLASS", pa.int32()), ("range_idx", pa.int32()))]
+                    yield pa.RecordBatch.from_arrays([*facts, *got.columns], names=["path", "class_name", "CLASS", "range_idx", *FIELDS.names])
+
+    return ranges.mapInArrow(run, _STAGED)
+
+
+def _tasks(listing: DataFrame, range_bytes: int, partitions: int | None) -> int:
+    """About one task per ``range_bytes`` or ``FILES_PER_TASK`` files."""
+    if partitions:
+        return partitions
+    files, size = listing.agg(F.count(F.lit(1)), F.coalesce(F.sum("length"), F.lit(0))).first()
+    base = int(listing.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
+    return max(base, -(-files // FILES_PER_TASK), -(-size // range_bytes))
+
+
+def _checked(borders: DataFrame) -> DataFrame:
+    """Border rows with ``offset`` (records of the ranges before), ``total`` (of the
+    file) and ``sound`` (the file's ranges fit together)."""
+    file = Window.partitionBy("path")
+    earlier = file.orderBy("range_idx").rowsBetween(Window.unboundedPreceding, -1)
+    reached = F.max("exit").over(earlier)  # -1 from ranges in which nothing begins
+    first = F.col("range_idx") == 0
+    fits = first | ((F.col("sync") >= 0) & (F.col("sync") == reached)) | ((F.col("sync") < 0) & (reached >= F.col("high")))
+    alone = F.max("range_idx").over(file) == 0
+    sound = F.min(F.coalesce(fits, F.lit(False)) & ~(F.col("odd") & ~alone)).over(file)
+    return borders.withColumns({"offset": F.coalesce(F.sum("records").over(earlier), F.lit(0)),
+                                "total": F.sum("records").over(file), "sound": sound})
+
+
+def _staged(listing: DataFrame, range_bytes: int, batch_bytes: int, partitions: int | None, decode: Decode | None,
+            frames: bool = True) -> tuple[DataFrame, DataFrame]:
+    """(rows, borders) of a listing, read once and staged."""
+    spark = listing.sparkSession
+    ranges = _ranges(listing, range_bytes).repartition(_tasks(listing, range_bytes, partitions), "path", "range_idx")
+    rows = _framed(ranges, batch_bytes, frames)
+    if decode is not None:
+        rows = decode(rows, ["path", "class_name", "range_idx", "local", "border"])
+    path = scratch_path(spark, "framed")
+    rows.write.parquet(path)
+    staged = spark.read.schema(rows.schema).parquet(path)
+    high = (F.col("range_idx") + 1) * F.lit(range_bytes).cast("long")
+    borders = staged.where(F.col("border").isNotNull()).select("path", "range_idx", "border.*", high.alias("high"))
+    return staged.where(F.col("border").isNull()).drop("border"), _checked(borders)
+
+
+def _settled(listing: DataFrame, range_bytes: int, batch_bytes: int, partitions: int | None, decode: Decode | None,
+             frames: bool = True) -> list[tuple[DataFrame, DataFrame]]:
+    """The staged rows and sound borders of all files; those whose ranges don't fit
+    are framed again, each as one range."""
     spark = listing.sparkSession
-    n = partitions
-    if not n:
-        base = int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
-        n = max(base, -(-listing.count() // FILES_PER_INDEX_TASK))
-    small = listing.where(F.col("length") <= split_bytes).select("path")
-    whole = small.repartition(n, "path").mapInPandas(_index_fn(chunk_bytes), CHUNK_SCHEMA)
-
-    big = listing.where(F.col("length") > split_bytes)
-    ranges = big.select("path", F.posexplode(F.sequence(F.lit(0), F.ceil(F.col("length") / split_bytes) - 1))
-                        .alias("range_idx", "k")) \
-        .select("path", F.col("range_idx").cast("int"), (F.col("k") * split_bytes).alias("lo"),
-                ((F.col("k") + 1) * split_bytes).alias("hi"))
-    parts = ranges.repartition(n, "path", "range_idx").mapInPandas(_range_fn(chunk_bytes), RANGE_SCHEMA)
-    ensure_checkpoint_dir(spark)
-    parts = parts.checkpoint(eager=True)  # small chunk rows, read twice below
-    # per (file, range): records, sync point and exit point; one row per
-    # range, so the window over a file's ranges is small
-    per_range = parts.groupBy("path", "range_idx").agg(
-        F.sum("records").alias("rn"), F.max("sync_start").alias("sync"), F.max("next_start").alias("nxt"))
-    w = Window.partitionBy("path").orderBy("range_idx")
-    per_range = per_range.withColumn(
-        "offset", F.coalesce(F.sum("rn").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))) \
-        .withColumn("ok", F.coalesce(F.lag("nxt").over(w) == F.col("sync"), F.col("range_idx") == 0)
-                    & (F.col("sync") >= 0))
-    bad = per_range.where(~F.col("ok")).select("path").distinct()
-    good = parts.join(per_range.select("path", "range_idx", "offset"), ["path", "range_idx"]) \
-        .join(bad, "path", "left_anti") \
-        .withColumn("first_ordinal", F.col("first_ordinal") + F.col("offset")) \
-        .select(*[f.name for f in CHUNK_SCHEMA.fields])
-    redo = bad.repartition(n, "path").mapInPandas(_index_fn(chunk_bytes), CHUNK_SCHEMA)
-    return whole.unionByName(good).unionByName(redo)
-
-
-def read_captures(spark: SparkSession, root: str, classes: list[str] | None = None,
-                  chunk_bytes: int = DEFAULT_CHUNK_BYTES, glob: str = "*",
-                  partitions: int | None = None, split_bytes: int = SPLIT_BYTES) -> DataFrame:
+    rows, borders = _staged(listing, range_bytes, batch_bytes, partitions, decode, frames)
+    path = scratch_path(spark, "borders")
+    borders.write.parquet(path)
+    borders = spark.read.schema(borders.schema).parquet(path)
+    out = [(rows, borders.where("sound"))]
+    odd = borders.where(~F.col("sound")).select("path").distinct()
+    if not odd.isEmpty():
+        again = listing.join(odd, "path", "left_semi")
+        out.append(_staged(again, 1 << 62, batch_bytes, partitions, decode, frames))
+    return out
+
+
+def _joined(rows: DataFrame, borders: DataFrame) -> DataFrame:
+    facts = borders.select("path", "range_idx", "offset", F.col("total").alias("n_in_capture"))
+    size = facts.agg(F.coalesce(F.sum(F.length("path") + 64), F.lit(0))).first()[0]
+    facts = F.broadcast(facts) if size <= BORDER_BYTES else facts
+    return (rows.join(facts, ["path", "range_idx"])
+            .withColumn("ordinal", F.col("offset") + F.col("local")).drop("offset", "local", "range_idx"))
+
+
+def frames_from_listing(listing: DataFrame, classes: list[str] | None = None, batch_bytes: int = BATCH_BYTES,
+                        partitions: int | None = None, range_bytes: int = RANGE_BYTES, decode: Decode | None = None) -> DataFrame:
+    """Framed records of a listing ``(path, length, class_name)``; or what
+    ``decode(frames, keep)`` makes of them (its result holds the columns ``keep``), with
+    ``ordinal`` and ``n_in_capture``. Pass ``classes`` for stable class indices
+    across separate runs (streams)."""
+    known = attach_class_index(listing.select("path", "length", "class_name"), "class_name", "CLASS", classes)
+    parts = [_joined(*p) for p in _settled(known, range_bytes, batch_bytes, partitions, decode)]
+    out = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+    return out.select(*FRAMED) if decode is None else out
+
+
+def read_captures(spark: SparkSession, root: str, classes: list[str] | None = None, batch_bytes: int = BATCH_BYTES,
+                  glob: str = "*", partitions: int | None = None, range_bytes: int = RANGE_BYTES,
+                  decode: Decode | None = None) -> DataFrame:
     """Framed records of every capture under ``root/<class>/``, with
     ``class_name``, ``CLASS`` (sorted class index) and ``n_in_capture``."""
     listing = list_captures(spark, root, glob)
     if classes is not None:
         listing = listing.where(F.col("class_name").isin(*classes))
-    return frames_from_listing(listing, classes, chunk_bytes, partitions, split_bytes)
+    return frames_from_listing(listing, classes, batch_bytes, partitions, range_bytes, decode)
 
 
-def frames_from_listing(listing: DataFrame, classes: list[str] | None = None,
-                        chunk_bytes: int = DEFAULT_CHUNK_BYTES,
-                        partitions: int | None = None, split_bytes: int = SPLIT_BYTES) -> DataFrame:
-    """Index + framing passes over a listing ``(path, class_name)``. Pass
-    ``classes`` for stable class indices across separate runs (streams)."""
-    spark = listing.sparkSession
-    ensure_checkpoint_dir(spark)
-    chunks = index_captures(listing, chunk_bytes, partitions, split_bytes)
-    # chunk table: a few rows per 32 MB of capture; checkpointed so the
-    # index pass runs once although the table is used twice.
-    chunks = chunks.checkpoint(eager=True)
-    totals = chunks.groupBy("path").agg(F.sum("records").alias("n_in_capture"))
-    labelled = attach_class_index(listing.select("path", "class_name"), "class_name", "CLASS", classes)
-    # per-file facts ride on the (small) chunk rows, so frames never join
-    work = chunks.where(F.col("records") > 0).join(totals, "path").join(labelled, "path")
-    # about one framing task per chunk (~chunk_bytes each): the task count
-    # grows with the data; the chunk table is materialised, so counting it
-    # is cheap
-    n = partitions or max(int(spark.conf.get("spark.sql.shuffle.partitions", "200")), chunks.count())
-    work = work.repartition(n, "path", "start")
-    return work.mapInArrow(_frame_fn(), FRAMED_SCHEMA)
-
-
-def capture_report(spark: SparkSession, root: str, glob: str = "*", split_bytes: int = SPLIT_BYTES) -> DataFrame:
-    """Per capture: records and broken trailing records (index pass only)."""
-    chunks = index_captures(list_captures(spark, root, glob), split_bytes=split_bytes)
-    return chunks.groupBy("path").agg(F.sum("records").alias("records"),
-                                      F.sum("broken").alias("broken_records"))
+def capture_report(spark: SparkSession, root: str, glob: str = "*", range_bytes: int = RANGE_BYTES,
+                   batch_bytes: int = BATCH_BYTES) -> DataFrame:
+    """Per capture: class_name, records, broken records and bytes read; no frame is kept."""
+    listing = list_captures(spark, root, glob).withColumn("CLASS", F.lit(None).cast("int"))
+    parts = [borders for _, borders in _settled(listing, range_bytes, batch_bytes, None, None, frames=False)]
+    borders = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+    per_file = borders.groupBy("path").agg(F.sum("records").alias("records"), F.sum("broken").alias("broken_records"),
+                                           F.sum("bytes_read").alias("bytes_read"))
+    return listing.select("path", "class_name").join(per_file, "path")
 
 
 # ---- sink ------------------------------------------------------------------------
@@ -581,10 +190,10 @@ class _Output:
     def __init__(self, final: str):
         self.final = final
         self.tmp = f"{final}.{uuid.uuid4().hex}.tmp"
-        local = _local(final)
+        local = local_path(final)
         if local is not None:
             os.makedirs(os.path.dirname(local), exist_ok=True)
-            self.fs, self.f = None, open(_local(self.tmp), "wb")
+            self.fs, self.f = None, open(local_path(self.tmp), "wb")
         else:
             from pyarrow import fs as pafs
             self.fs, inner = pafs.FileSystem.from_uri(self.tmp)
@@ -595,10 +204,14 @@ class _Output:
     def write(self, b: bytes) -> None:
         self.f.write(b)
 
+    def drop(self) -> None:
+        """Of a task that failed nothing appears under the final name."""
+        self.f.close()
+
     def close(self) -> None:
         self.f.close()
         if self.fs is None:
-            os.replace(_local(self.tmp), _local(self.final))
+            os.replace(local_path(self.tmp), local_path(self.final))
         else:
             self.fs.move(self._tmp_inner, self._final_inner)
 
@@ -620,9 +233,12 @@ def _write_fn(root: str, class_col: str):
                     body = d["frame"][i]
                     outs[cls].write(struct.pack("<IIII", us // 1_000_000, us % 1_000_000, len(body),
                                                 d["orig_len"][i]) + body)
-        finally:
+        except BaseException:
             for o in outs.values():
-                o.close()
+                o.drop()
+            raise
+        for o in outs.values():
+            o.close()
         yield pa.RecordBatch.from_arrays([pa.array([o.final for o in outs.values()], pa.string())],
                                          names=["file"])
     return write

@@ -13,19 +13,23 @@ from pyspark.sql import types as T
 from ..schema import PACKET_SCHEMA
 
 PARTITION_COLUMN = "class_name"
+KEY_FIELDS = [T.StructField("path", T.StringType()), T.StructField("ordinal", T.LongType())]
 
 
 def write_packets(packets: DataFrame, path: str, mode: str = "overwrite") -> None:
     """One folder per class (``class_name=<name>``), explicit column types so
-    no file carries a per-file inferred type."""
-    cols = [F.col(f.name).cast(f.dataType).alias(f.name) for f in PACKET_SCHEMA.fields]
+    no file carries a per-file inferred type. The row key (path, ordinal) is kept
+    where the table has one."""
+    cols = [F.col(f.name).cast(f.dataType).alias(f.name) for f in [*PACKET_SCHEMA.fields, *KEY_FIELDS] if f.name in packets.columns]
     packets.select(*cols, PARTITION_COLUMN).write.mode(mode).partitionBy(PARTITION_COLUMN).parquet(path)
 
 
 def read_packets(spark: SparkSession, path: str, classes: list[str] | None = None) -> DataFrame:
     """One scan over the class-partitioned table; a class list becomes
     partition pruning (only those folders are listed and read)."""
-    schema = T.StructType(list(PACKET_SCHEMA.fields) + [T.StructField(PARTITION_COLUMN, T.StringType())])
+    written = spark.read.parquet(path).columns
+    schema = T.StructType([*PACKET_SCHEMA.fields, *(f for f in KEY_FIELDS if f.name in written),
+                           T.StructField(PARTITION_COLUMN, T.StringType())])
     df = spark.read.schema(schema).parquet(path)
     if classes is not None:
         df = df.where(F.col(PARTITION_COLUMN).isin(*classes))
@@ -49,11 +53,11 @@ def _footer_schemas(batches):
     import pandas as pd
     import pyarrow.parquet as pq
 
-    from .capture import _open
+    from .framing import open_file
     for pdf in batches:
         keys = []
         for f in pdf["path"]:
-            with _open(f) as fh:
+            with open_file(f)[0] as fh:
                 keys.append(str(pq.read_schema(fh)))
         yield pd.DataFrame({"path": pdf["path"], "schema_key": keys})
 

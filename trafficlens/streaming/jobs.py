@@ -109,7 +109,6 @@ def ingest_captures(spark: SparkSession, root: str, out: str, classes: list[str]
 
     def ingest(batch: DataFrame) -> DataFrame:
         lst = batch.withColumn("class_name", normalise_class_name(F.regexp_extract("path", r"([^/]+)/[^/]+$", 1)))
-        frames = CAP.frames_from_listing(lst, classes)
-        return fields.packet_features(frames, keep=["path", "ordinal"])
+        return CAP.frames_from_listing(lst, classes, decode=fields.packet_features_of).drop("n_in_capture", "class_name")
 
     return run_to_table(listing, out, "append", checkpoint, ingest)
