@@ -11,7 +11,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 
-BLOCK_BYTES = 2 << 20
+BLOCK_BYTES = 1 << 20
 _HASH_PARTS = 1 << 17
 
 _WS = np.zeros(256, dtype=bool)

@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..session import ensure_checkpoint_dir
-from .arrow import slices
+from .arrow import slices, small_batches
 from .chunktable import ChunkTable
 from .slot import held
 from .textbatch import Words, blocks, buffers
@@ -142,6 +142,7 @@ class _Lexicon:
 
 def with_features(docs: DataFrame, lexicon: _Lexicon) -> tuple[DataFrame, list[str]]:
     """The columns of ``docs`` under plain names, and ``features`` (array)."""
+    small_batches(docs.sparkSession)
     names = [f"c{i}" for i in range(len(docs.columns))]
     plain, at = docs.toDF(*names), docs.columns.index("text")
 

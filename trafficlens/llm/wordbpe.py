@@ -22,7 +22,7 @@ from .chunktable import ChunkTable
 from .slot import held
 from .textbatch import Words
 
-MEMORY_PIECES = 300_000
+MEMORY_PIECES = 100_000
 # Fixed value: the pre-token rule of the tokenizer file that the cutting below follows.
 RULE = "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"
 _TOKENIZERS: dict = {}
@@ -101,7 +101,7 @@ class WordEncoder:
     def __init__(self, path: str):
         model = library(path).model
         self.pieces = Pieces(path, lambda p: np.array([x.id for x in model.tokenize(p)], dtype="<u4").tobytes())
-        self.table = ChunkTable(self._compute)
+        self.table = ChunkTable(self._compute, 300_000)
 
     def _compute(self, chunks: list[bytes]) -> list[bytes]:
         out: list = []
