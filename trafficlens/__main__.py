@@ -3,7 +3,7 @@
     extract   CAPTURE_ROOT OUT [--percent P] [--compat] [--classes A,B] [--extended]
     profile   TABLE [--classes A,B]
     train     TABLE [--model decision_tree|random_forest|perceptron] [--nulls skip]
-              [--results PATH] [--model-out PATH] [--classes A,B]
+              [--results PATH] [--model-out PATH] [--matrix-out PATH] [--classes A,B]
     inventory ROOT
 
 The session comes from the environment (``spark-submit`` settings); run
@@ -37,6 +37,7 @@ def main(argv=None) -> None:
     t.add_argument("--nulls", default="skip")
     t.add_argument("--results")
     t.add_argument("--model-out")
+    t.add_argument("--matrix-out")
     t.add_argument("--classes")
     i = sub.add_parser("inventory")
     i.add_argument("root")
@@ -53,7 +54,7 @@ def main(argv=None) -> None:
         prof.show()
         box.orderBy("feature").show(truncate=False)
     elif a.job == "train":
-        jobs.train(spark, a.table, a.model, classes, a.nulls, a.results, a.model_out).show(truncate=False)
+        jobs.train(spark, a.table, a.model, classes, a.nulls, a.results, a.model_out, a.matrix_out).show(truncate=False)
     elif a.job == "inventory":
         jobs.inventory(spark, a.root).orderBy("dir").show(truncate=False)
 

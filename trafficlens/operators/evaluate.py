@@ -13,8 +13,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .ordered import position_in_group
 
-MAX_GRID_CLASSES = 10_000  # columns of the dense grid
+MAX_GRID_CLASSES = 10_000  # columns of the dense grid; ``confusion_rows`` has no limit
 
 
 def confusion_long(pred: DataFrame, label: str = "label", prediction: str = "prediction") -> DataFrame:
@@ -84,6 +85,24 @@ def grid_classes(confusion: DataFrame, actual_only: bool = False) -> list[float]
     vals = vals.distinct()
     out = [r["c"] for r in vals.orderBy("c").limit(MAX_GRID_CLASSES + 1).collect()]
     if len(out) > MAX_GRID_CLASSES:
-        raise ValueError(f"more than {MAX_GRID_CLASSES} classes: use the long confusion table")
+        raise ValueError(f"more than {MAX_GRID_CLASSES} columns: use confusion_rows")
     return out
 
+
+def confusion_axis(confusion: DataFrame) -> DataFrame:
+    """(class, position): every label or prediction seen, numbered from 0 in
+    ascending order without passing the driver."""
+    seen = confusion.select(F.col("label").alias("class")).union(confusion.select("prediction")).where("class IS NOT NULL").distinct()
+    return position_in_group(seen, [], ["class"], "position")
+
+
+def confusion_rows(confusion: DataFrame) -> DataFrame:
+    """The matrix for any number of classes: one row per actual class, (label,
+    position, total, cells), where cells lists (position, n) of the predicted classes
+    that occur, in axis order. Rows without a label or a prediction are left out."""
+    axis = confusion_axis(confusion)
+    placed = (confusion.join(axis.select(F.col("class").alias("label"), "position"), "label")
+              .join(axis.select(F.col("class").alias("prediction"), F.col("position").alias("_tl_at")), "prediction"))
+    cell = F.struct(F.col("_tl_at").alias("position"), "n")
+    return placed.groupBy("label", "position").agg(F.sum("n").alias("total"), F.array_sort(F.collect_list(cell)).alias("cells"))
+

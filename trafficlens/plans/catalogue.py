@@ -286,6 +286,14 @@ def q_confusion_grid(spark, sf_dir):
     return EV.confusion_grid(conf, EV.grid_classes(conf))
 
 
+@register("confusion_rows")
+def q_confusion_rows(spark, sf_dir):
+    """The matrix as sparse rows; cells as text."""
+    rows = EV.confusion_rows(_confusion(spark, sf_dir))
+    cells = F.array_join(F.transform("cells", lambda c: F.concat_ws(":", c["position"].cast("string"), c["n"].cast("string"))), ",")
+    return rows.select("label", "position", "total", cells.alias("cells"))
+
+
 @register("class_scores")
 def q_class_scores(spark, sf_dir):
     return round6(EV.class_scores(_confusion(spark, sf_dir)), ["precision", "recall", "f1"])
@@ -326,6 +334,16 @@ register("train_random_forest")(_train("random_forest"))
 register("train_perceptron")(_train("perceptron"))
 
 
+@register("train_confusion")
+def q_train_confusion(spark, sf_dir):
+    """Confusion matrix of a tree on the test share: rows of the share per actual
+    class, and how many of them have a prediction in the matrix."""
+    path = scratch_path(spark, "matrix")
+    M.train_and_report(training_table(spark, sf_dir), "decision_tree", key_cols=["path", "ordinal"], matrix_to=path)
+    cells = F.aggregate("cells", F.lit(0).cast("bigint"), lambda a, c: a + c["n"])
+    return spark.read.parquet(path).select(F.col("label").cast("int").alias("CLASS"), F.col("total").alias("test_rows"), cells.alias("predicted"))
+
+
 @register("model_round_trip")
 def q_model_round_trip(spark, sf_dir):
     """Fit, save to the shared checkpoint folder, load back, and count test

@@ -47,14 +47,15 @@ def profile(spark: SparkSession, table: str, classes: list[str] | None = None) -
 
 def train(spark: SparkSession, table: str, kind: str = "decision_tree", classes: list[str] | None = None,
           null_policy: str = "skip", results: str | None = None, model_out: str | None = None,
-          **params) -> DataFrame:
+          matrix_out: str | None = None, **params) -> DataFrame:
     """Train on a packet table written by ``extract``. The split key is the
     capture row key when present, else all feature columns and the class."""
     df = spark.read.parquet(table)
     if classes is not None:
         df = df.where(F.col("class_name").isin(*classes))
     keys = ["path", "ordinal"] if {"path", "ordinal"} <= set(df.columns) else ["class_name", *FEATURE_COLUMNS]
-    _, report = M.train_and_report(df, kind, key_cols=keys, null_policy=null_policy, save_to=model_out, **params)
+    _, report = M.train_and_report(df, kind, key_cols=keys, null_policy=null_policy, save_to=model_out,
+                                     matrix_to=matrix_out, **params)
     if results:
         M.append_report(report, results)
     return report

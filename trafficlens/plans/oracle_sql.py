@@ -156,6 +156,9 @@ _BUCKET = "((('0x' || substr(md5('42:' || path || ':' || ordinal::VARCHAR), 1, 8
 SQL["hash_split"] = _with_pos(f"SELECT event_id, path, ordinal, {_BUCKET} AS bucket, {_BUCKET} < 80 AS is_train FROM pos")
 SQL["hash_split_counts"] = _with_pos(f"SELECT {_BUCKET} < 80 AS is_train, count(*) AS rows FROM pos GROUP BY 1")
 
+SQL["train_confusion"] = _with_pos(f"""SELECT CLASS, count(*) AS test_rows, count(*) AS predicted FROM pos
+WHERE {_BUCKET} >= 80 AND {' AND '.join(f'{c} IS NOT NULL' for c in FEATURE_LIST)} GROUP BY CLASS""")
+
 # ---- evaluation over the predictions projection ---------------------------------
 
 CTE_PRED = CTE_EV + """,
@@ -188,6 +191,11 @@ SQL["confusion_long"] = "WITH " + CTE_PRED + "\nSELECT label, prediction, n FROM
 SQL["confusion_grid"] = "WITH " + CTE_PRED + "\nSELECT label, " + ", ".join(
     f"sum(CASE WHEN prediction = {k} THEN n ELSE 0 END)::BIGINT AS p_{k}" for k in (0, 1, 2, 3, 4, 9)) + \
     " FROM conf GROUP BY label"
+SQL["confusion_rows"] = "WITH " + CTE_PRED + """,
+axis AS (SELECT class, row_number() OVER (ORDER BY class) - 1 AS position FROM cls)
+SELECT label, l.position, sum(n)::BIGINT AS total, string_agg(p.position || ':' || n, ',' ORDER BY p.position) AS cells
+FROM conf JOIN axis l ON l.class = label JOIN axis p ON p.class = prediction
+GROUP BY label, l.position"""
 SQL["class_scores"] = "WITH " + CTE_PRED + """
 SELECT class, support, predicted, tp, round(precision, 6) AS precision, round(recall, 6) AS recall,
        round(f1, 6) AS f1 FROM sc2"""
