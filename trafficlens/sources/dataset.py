@@ -4,13 +4,19 @@ and the Spark event-log reader."""
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from functools import reduce
 
+import pyarrow as pa
+import pyarrow.compute as pc
+import pyarrow.parquet as pq
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from ..schema import PACKET_SCHEMA
+from .framing import open_file
 
 PARTITION_COLUMN = "class_name"
 KEY_FIELDS = [T.StructField("path", T.StringType()), T.StructField("ordinal", T.LongType())]
@@ -49,37 +55,46 @@ def union_all(frames: list[DataFrame], by_name: bool = True) -> DataFrame:
     return reduce(lambda a, b: a.union(b), frames)
 
 
-def _footer_schemas(batches):
-    import pandas as pd
-    import pyarrow.parquet as pq
+def _row_groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(path, row_group) of every row group, from the footers."""
+    for batch in batches:
+        for path in batch.column(0).to_pylist():
+            with open_file(path)[0] as f:
+                n = pq.ParquetFile(f).metadata.num_row_groups
+            yield pa.RecordBatch.from_arrays([pa.array([path] * n, pa.string()), pa.array(range(n), pa.int32())], names=["path", "row_group"])
 
-    from .framing import open_file
-    for pdf in batches:
-        keys = []
-        for f in pdf["path"]:
-            with open_file(f)[0] as fh:
-                keys.append(str(pq.read_schema(fh)))
-        yield pd.DataFrame({"path": pdf["path"], "schema_key": keys})
 
+def _typed(column: pa.Array, kind: pa.DataType) -> pa.Array:
+    """The column as ``kind``: fractions are cut, NaN is null, what doesn't fit is an error."""
+    if pa.types.is_floating(column.type) and pa.types.is_integer(kind):
+        column = pc.trunc(pc.if_else(pc.is_nan(column), pa.scalar(None, column.type), column))
+    return pc.cast(column, kind)
 
-def normalise_foreign(spark: SparkSession, root: str) -> DataFrame:
+
+def normalise_foreign(spark: SparkSession, root: str, schema: T.StructType = PACKET_SCHEMA) -> DataFrame:
     """Read parquet files whose column types drift between files (an integer
     column written as int64 in one file and double-with-nulls in another,
-    as pandas does). Spark cannot read such a folder in one scan, so the
-    footers are read by executors, files are grouped by footer schema — one
-    scan per distinct schema, not per file — cast to the fixed schema and
-    unioned by name."""
+    as pandas does). Spark cannot read such a folder in one scan, so tasks read
+    the footers, row groups are dealt to tasks, and each is read there (the columns
+    of ``schema`` only) and cast. No path passes the driver. Columns that a file
+    lacks are null, others are ignored; a folder without files gives no rows."""
+    fields = list(to_arrow_schema(schema))
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for path, group in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                with open_file(path)[0] as f:
+                    file = pq.ParquetFile(f)
+                    there = [x.name for x in fields if x.name in file.schema_arrow.names]
+                    for rows in file.iter_batches(row_groups=[group], columns=there):
+                        yield pa.RecordBatch.from_arrays([
+                            _typed(rows.column(x.name), x.type) if x.name in there else pa.nulls(rows.num_rows, x.type)
+                            for x in fields], names=[x.name for x in fields])
+
     listing = (spark.read.format("binaryFile").option("recursiveFileLookup", "true")
                .option("pathGlobFilter", "*.parquet").load(root).select("path"))
-    keyed = listing.mapInPandas(_footer_schemas, "path string, schema_key string")
-    groups = keyed.groupBy("schema_key").agg(F.collect_list("path").alias("paths")).collect()
-    parts = []
-    for g in groups:
-        df = spark.read.parquet(*g["paths"])
-        cols = [F.col(fl.name).cast(fl.dataType).alias(fl.name) if fl.name in df.columns
-                else F.lit(None).cast(fl.dataType).alias(fl.name) for fl in PACKET_SCHEMA.fields]
-        parts.append(df.select(*cols))
-    return union_all(parts)
+    groups = listing.repartition("path").mapInArrow(_row_groups, "path string, row_group int")
+    return groups.repartition("path", "row_group").mapInArrow(read, schema)
 
 
 def directory_inventory(spark: SparkSession, root: str, folders: DataFrame | None = None) -> DataFrame:
