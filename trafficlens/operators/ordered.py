@@ -66,3 +66,24 @@ def position_in_group(df: DataFrame, by: list[str], order: list[str], out: str =
         same = same & F.col(n).eqNullSafe(F.col(k))
     joined = scanned.join(right, same)
     return joined.withColumn(out, F.col("_tl_off") + F.col(IDX)).drop(PID, IDX, "_tl_off", *keys)
+
+
+def running_total(df: DataFrame, by: list[str], order: list[str], amount: str, out: str = "cum",
+                  partitions: int | None = None) -> DataFrame:
+    """Rows of ``df`` with ``out``, the sum of ``amount`` over the rows of the same
+    ``by`` group up to and with this one in ``order`` (a total order), skew-safe: sums
+    run inside range tasks, and only a per-(task, group) summary is combined."""
+    ensure_checkpoint_dir(df.sparkSession)
+    scanned = local_scan(df, by, order, partitions).checkpoint(eager=True)
+    inside = Window.partitionBy(PID, *by).orderBy(IDX).rowsBetween(Window.unboundedPreceding, 0)
+    earlier = Window.partitionBy(*by).orderBy(PID).rowsBetween(Window.unboundedPreceding, -1)
+    summary = (scanned.groupBy(PID, *by).agg(F.sum(amount).alias("_tl_n"))
+               .withColumn("_tl_off", F.coalesce(F.sum("_tl_n").over(earlier), F.lit(0))))
+    names = [PID, *by]
+    keys = [f"_tl_k{i}" for i in range(len(names))]
+    right = summary.select(*[F.col(n).alias(k) for n, k in zip(names, keys)], "_tl_off")
+    same = F.lit(True)
+    for n, k in zip(names, keys):
+        same = same & F.col(n).eqNullSafe(F.col(k))
+    return (scanned.withColumn(out, F.sum(amount).over(inside)).join(right, same)
+            .withColumn(out, F.col(out) + F.col("_tl_off")).drop(PID, IDX, "_tl_off", *keys))

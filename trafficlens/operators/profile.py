@@ -9,6 +9,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .quantiles import exact_quantiles
+
+QUARTILES = [0.25, 0.5, 0.75]
+
 
 def profile(df: DataFrame, label: str = "CLASS") -> DataFrame:
     """One row: ``rows``, ``columns``, ``classes`` (distinct non-null labels)
@@ -71,20 +75,39 @@ def _stats_from_histogram(hist: DataFrame) -> DataFrame:
              .withColumn("hi_fence", F.col("q3") + F.col("iqr") * 1.5)
 
 
+def _fences(q: DataFrame) -> DataFrame:
+    """(feature, n, min, max, q) with quartiles and fences by name."""
+    q = q.select("feature", "n", "min", "max",
+                 F.col("q")[0].alias("q1"), F.col("q")[1].alias("median"), F.col("q")[2].alias("q3"))
+    return q.withColumn("iqr", F.col("q3") - F.col("q1")) \
+            .withColumn("lo_fence", F.col("q1") - F.col("iqr") * 1.5) \
+            .withColumn("hi_fence", F.col("q3") + F.col("iqr") * 1.5)
+
+
+def _quartile_table(long: DataFrame, exact: bool, accuracy: int) -> DataFrame:
+    """Quartiles and fences of unbounded columns, exact by brackets or approximate."""
+    if exact:
+        return _fences(exact_quantiles(long, QUARTILES, accuracy))
+    return _fences(long.groupBy("feature").agg(
+        F.count(F.lit(1)).alias("n"), F.min("value").alias("min"), F.max("value").alias("max"),
+        _quartiles(F.col("value"), accuracy).alias("q")))
+
+
 def box_statistics(df: DataFrame, features: list[str], exact: bool = True,
-                   accuracy: int = 10000) -> DataFrame:
+                   accuracy: int = 10000, bounded: bool = True) -> DataFrame:
     """Per feature: n, min, q1, median, q3, iqr, whiskers (most extreme data
     inside 1.5·IQR of the box) and flier count.
 
-    ``exact`` reads the data once into a value histogram (bounded by the
-    distinct values per feature) and derives everything from it;
-    ``exact=False`` uses ``percentile_approx`` (constant memory, for columns
-    with unbounded distinct values) and a second pass for the whiskers."""
+    For ``bounded`` features (few distinct values, as header fields) ``exact``
+    reads the data once into a value histogram and derives everything from it.
+    With ``bounded=False`` any number of distinct values is exact too: sketch
+    brackets, a count inside them (``quantiles.py``) and a pass for the whiskers.
+    ``exact=False`` uses ``percentile_approx`` instead of the brackets."""
     out_cols = ["feature", "n", "min", "q1", "median", "q3", "max", "iqr", "whisker_lo", "whisker_hi", "fliers"]
-    if exact:
+    v, lo, hi = F.col("value"), F.col("lo_fence"), F.col("hi_fence")
+    if exact and bounded:
         hist = value_histogram(df, features)
         st = _stats_from_histogram(hist)
-        v, lo, hi = F.col("value"), F.col("lo_fence"), F.col("hi_fence")
         # the joined side is the per-feature summary (one row per feature)
         wk = hist.join(F.broadcast(st.select("feature", "lo_fence", "hi_fence")), "feature") \
             .groupBy("feature").agg(
@@ -93,19 +116,11 @@ def box_statistics(df: DataFrame, features: list[str], exact: bool = True,
                 F.sum(F.when((v < lo) | (v > hi), F.col("n")).otherwise(F.lit(0))).alias("fliers"))
         return st.join(wk, "feature").select(*out_cols)
     long = stack_features(df, features)
-    q = long.groupBy("feature").agg(
-        F.count(F.lit(1)).alias("n"), F.min("value").alias("min"), F.max("value").alias("max"),
-        _quartiles(F.col("value"), accuracy).alias("_q"))
-    q = q.select("feature", "n", "min", "max",
-                 F.col("_q")[0].alias("q1"), F.col("_q")[1].alias("median"), F.col("_q")[2].alias("q3"))
-    q = q.withColumn("iqr", F.col("q3") - F.col("q1")) \
-         .withColumn("lo_fence", F.col("q1") - F.col("iqr") * 1.5) \
-         .withColumn("hi_fence", F.col("q3") + F.col("iqr") * 1.5)
+    q = _quartile_table(long, exact, accuracy)
     # one row per feature: broadcast is bounded by the feature count.
     # Values below the lower whisker are exactly those below the lower fence
     # (and likewise above), so whiskers and flier counts share one pass.
     fences = F.broadcast(q.select("feature", "lo_fence", "hi_fence"))
-    v, lo, hi = F.col("value"), F.col("lo_fence"), F.col("hi_fence")
     w = long.join(fences, "feature").groupBy("feature").agg(
         F.min(F.when(v >= lo, v)).alias("whisker_lo"),
         F.max(F.when(v <= hi, v)).alias("whisker_hi"),
@@ -114,20 +129,18 @@ def box_statistics(df: DataFrame, features: list[str], exact: bool = True,
     return q.join(w, "feature").select(*out_cols)
 
 
-def box_fliers(df: DataFrame, features: list[str], exact: bool = True) -> DataFrame:
+def box_fliers(df: DataFrame, features: list[str], exact: bool = True, accuracy: int = 10000, bounded: bool = True) -> DataFrame:
     """Every value drawn as a flier: ``(feature, value, n)`` — distinct flier
-    values with their multiplicity (no cap)."""
+    values with their multiplicity (no cap). Parameters as in ``box_statistics``."""
     v = F.col("value")
-    if exact:
+    if exact and bounded:
         hist = value_histogram(df, features)
         st = _stats_from_histogram(hist)
         return (hist.join(F.broadcast(st.select("feature", "lo_fence", "hi_fence")), "feature")
                 .where((v < F.col("lo_fence")) | (v > F.col("hi_fence")))
                 .select("feature", "value", "n"))
     long = stack_features(df, features)
-    q = long.groupBy("feature").agg(_quartiles(v, 10000).alias("_q"))
-    q = q.select("feature", (F.col("_q")[0] - (F.col("_q")[2] - F.col("_q")[0]) * 1.5).alias("lo_fence"),
-                 (F.col("_q")[2] + (F.col("_q")[2] - F.col("_q")[0]) * 1.5).alias("hi_fence"))
+    q = _quartile_table(long, exact, accuracy).select("feature", "lo_fence", "hi_fence")
     return (long.join(F.broadcast(q), "feature")
             .where((v < F.col("lo_fence")) | (v > F.col("hi_fence")))
             .groupBy("feature", "value").agg(F.count(F.lit(1)).alias("n")))

@@ -225,6 +225,22 @@ def q_box_fliers(spark, sf_dir):
     return PF.box_fliers(packet_table(spark, sf_dir), FEATURE_COLUMNS)
 
 
+UNBOUNDED_ACCURACY = 1000  # of the sketch; results are exact at any
+
+
+@register("box_statistics_unbounded")
+def q_box_statistics_unbounded(spark, sf_dir):
+    """Box statistics of the 32-bit sequence numbers: as many values as rows."""
+    st = PF.box_statistics(extended_table(spark, sf_dir), ["SEQ", "ACK"], accuracy=UNBOUNDED_ACCURACY, bounded=False)
+    return round6(st, ["min", "q1", "median", "q3", "max", "iqr", "whisker_lo", "whisker_hi"])
+
+
+@register("box_fliers_unbounded")
+def q_box_fliers_unbounded(spark, sf_dir):
+    """Fliers among the measured values of the events."""
+    return PF.box_fliers(events(spark, sf_dir), ["value"], accuracy=UNBOUNDED_ACCURACY, bounded=False)
+
+
 @register("null_policy_skip")
 def q_null_policy_skip(spark, sf_dir):
     return PR.apply_null_policy(packet_table(spark, sf_dir), "skip")

@@ -121,7 +121,7 @@ q AS (
   FROM long GROUP BY feature
 ),
 f AS (SELECT *, q3 - q1 AS iqr, q1 - 1.5 * (q3 - q1) AS lo_fence, q3 + 1.5 * (q3 - q1) AS hi_fence FROM q)"""
-SQL["box_statistics"] = "WITH " + CTE_PK + _LONG + _Q + """
+_BOX = """
 SELECT f.feature, n, round(mn, 6) AS min, round(q1, 6) AS q1, round(median, 6) AS median, round(q3, 6) AS q3,
        round(mx, 6) AS max, round(iqr, 6) AS iqr,
        round(min(CASE WHEN l.value >= lo_fence THEN l.value END), 6) AS whisker_lo,
@@ -129,11 +129,20 @@ SELECT f.feature, n, round(mn, 6) AS min, round(q1, 6) AS q1, round(median, 6) A
        count(*) FILTER (WHERE l.value < lo_fence OR l.value > hi_fence) AS fliers
 FROM f JOIN long l USING (feature)
 GROUP BY f.feature, n, mn, q1, median, q3, mx, iqr"""
-SQL["box_fliers"] = "WITH " + CTE_PK + _LONG + _Q + """
+_FLIERS = """
 SELECT l.feature, l.value, count(*) AS n
 FROM long l JOIN f USING (feature)
 WHERE l.value < lo_fence OR l.value > hi_fence
 GROUP BY l.feature, l.value"""
+SQL["box_statistics"] = "WITH " + CTE_PK + _LONG + _Q + _BOX
+SQL["box_fliers"] = "WITH " + CTE_PK + _LONG + _Q + _FLIERS
+SQL["box_statistics_unbounded"] = "WITH " + CTE_PK + """,
+long AS (
+  SELECT 'SEQ' AS feature, seq::DOUBLE AS value FROM pk WHERE is_tcp
+  UNION ALL SELECT 'ACK' AS feature, ack::DOUBLE AS value FROM pk WHERE is_tcp
+)""" + _Q + _BOX
+SQL["box_fliers_unbounded"] = """WITH
+long AS (SELECT 'value' AS feature, value FROM events WHERE value IS NOT NULL)""" + _Q + _FLIERS
 
 SQL["null_policy_skip"] = with_pk(f"SELECT event_id, {PACKET_COLS} FROM pk WHERE " +
                                   " AND ".join(f"{c} IS NOT NULL" for c in FEATURE_LIST))
