@@ -23,6 +23,7 @@ from ..schema import EXTENDED_INT_COLUMNS, FEATURE_COLUMNS, PACKET_COLUMNS
 from ..session import scratch_path
 from ..sources import capture as CAP
 from ..sources import dataset as DS
+from ..sources import folders as FO
 from ..streaming import jobs as SJ
 from ..streaming import metrics as SM
 from ..streaming import sink as SK
@@ -493,6 +494,17 @@ def q_file_inventory(spark, sf_dir):
     return DS.directory_inventory(spark, root)
 
 
+@register("folder_counts")
+def q_folder_counts(spark, sf_dir):
+    """One file per (class, day) is written, and the tree is listed on executors: files
+    directly inside each folder and in the tree below it."""
+    path = scratch_path(spark, "days")
+    rows = events(spark, sf_dir).select("event_id", "event_type", F.to_date("ts").alias("day"))
+    rows.repartition("event_type", "day").write.option("maxRecordsPerFile", 0).partitionBy("event_type", "day").parquet(path)
+    got = FO.folder_counts(spark, path)
+    return got.select(F.regexp_replace(F.regexp_extract("dir", "/days-[0-9a-f]{32}(.*)$", 1), "(event_type|day)=", "").alias("folder"), "n", "n_below")
+
+
 @register("parquet_round_trip")
 def q_parquet_round_trip(spark, sf_dir):
     """Packet table → class-partitioned parquet → one pruned scan."""

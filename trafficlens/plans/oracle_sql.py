@@ -319,6 +319,11 @@ USING (step)""")
 
 SQL["capture_scan"] = with_pk(f"SELECT {PACKET_COLS} FROM pk")
 SQL["parquet_round_trip"] = with_pk(f"SELECT {PACKET_COLS}, class_name FROM pk")
+SQL["folder_counts"] = """
+WITH days AS (SELECT DISTINCT event_type, ts::DATE AS day FROM events)
+SELECT '/' || event_type || '/' || day::VARCHAR AS folder, 1::BIGINT AS n, 1::BIGINT AS n_below FROM days
+UNION ALL SELECT '/' || event_type, 0, count(*) FROM days GROUP BY event_type
+UNION ALL SELECT '', 0, count(*) FROM days"""
 SQL["parquet_normalise"] = with_pk(f"SELECT {PACKET_COLS} FROM pk")
 SQL["stream_metric_windows"] = SQL["metric_heap_avg_1m"]
 SQL["stream_counter_deltas"] = SQL["metric_task_balance"]
