@@ -114,9 +114,28 @@ def test_packing_is_whole_and_tight(spark, rows):
     assert n <= len(one) + 1
 
 
-def test_packing_hands_on_few_bins(spark, rows):
-    pieces = packing.pack(frame(spark, rows, parts=20), WORD, fan_in=2, handed_on=1).collect()
-    check_packing(rows, pieces)
+def test_packing_hands_on_as_if_all_bins(spark, monkeypatch):
+    """Bounded by fill and rounds left, a node's bins pack as if it handed on all of them."""
+    r = np.random.default_rng(1)
+    # per node many bins of the same few fills, and one small item that finds its place later
+    sizes = np.concatenate([r.choice([1100, 1300, 1500, 1700], 400), r.integers(1, 1000, 32)])
+    r.shuffle(sizes)
+    rows = [(i, " ".join(["the"] * int(n - 1))) for i, n in enumerate(sizes)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(32)
+    fills = lambda pieces: sorted(sum(p.length for p in g) for g in by_sequence(pieces).values())
+    bounded = packing.pack(docs, WORD, fan_in=2).collect()
+    check_packing(rows, bounded)
+    merged, most = packing._merged, []
+    monkeypatch.setattr(packing, "_merged", lambda bins, capacity, n, full: (most.append(n), merged(bins, capacity, 1 << 40, full))[1])
+    whole = packing.pack(docs, WORD, fan_in=2).collect()
+    assert most == [8, 6, 4, 2, 0] and fills(bounded) == fills(whole)
+
+
+def by_sequence(pieces):
+    out = {}
+    for p in pieces:
+        out.setdefault(p.sequence_id, []).append(p)
+    return out
 
 
 def test_best_fit():
