@@ -71,6 +71,38 @@ def test_large_family_equals_components_of_all_pairs(spark, monkeypatch):
     assert [got[i] for i in range(len(texts))] == low
 
 
+def cells_of(spark, labels):
+    """The cells of one bucket whose rows have these classes (None: a class alone)."""
+    name = lambda i: i.to_bytes(16, "big")
+    rows = [(1, 0, name(i), 100, b"", b"") for i in range(len(labels))]
+    shared = spark.createDataFrame(rows, "bucket long, band int, fp binary, size long, keys binary, digest binary")
+    known = spark.createDataFrame([(name(i), name(10**9 + x)) for i, x in enumerate(labels) if x is not None], "node binary, label binary")
+    return near_dedup._cells(shared, known).select("low", "high", "block", "fp", "label").toPandas()
+
+
+def test_one_stray_row_does_not_square_a_bucket(spark):
+    got = cells_of(spark, [1] * 40_000 + [None])
+    assert len(got) <= 2 * 40_001
+    assert got.groupby("fp").size().max() <= 41
+
+
+def test_rows_of_different_classes_meet_in_one_cell(spark, monkeypatch):
+    monkeypatch.setattr(near_dedup, "BLOCK_ROWS", 16)
+    labels = [1] * 150 + [2] * 40 + [3] * 3 + [None] * 17
+    met = Counter()
+    for _, cell in cells_of(spark, labels).groupby(["low", "high"]):
+        rows = list(cell[["fp", "label", "block"]].itertuples(index=False))
+        inner = cell["low"].iloc[0] == cell["high"].iloc[0]
+        for i, x in enumerate(rows):
+            for y in rows[:i]:
+                if x.label != y.label and (inner or x.block != y.block):
+                    met[frozenset((bytes(x.fp), bytes(y.fp)))] += 1
+    sizes = Counter(x for x in labels if x is not None)
+    n = len(labels)
+    different = (n * (n - 1) - sum(k * (k - 1) for k in sizes.values())) // 2
+    assert len(met) == different and set(met.values()) == {1}
+
+
 def test_weighted_jaccard():
     a, b = prose(1, 60), prose(1, 60).replace("w1", "x", 1)
     x, y = bag(a), bag(b)
