@@ -8,7 +8,7 @@ Two passes over the data and no task that holds a feature:
    lies inside; up to ``accuracy`` rows the bracket is the whole column;
 2. bracket ends cut the axis into zones. Values in a bracket are counted one by
    one, all others by zone only, in one partial aggregate: a small, bounded share
-   of the data (2 * WIDTH / accuracy per rank) is shuffled.
+   of the data (2 * (WIDTH + 1) / accuracy per rank) is shuffled.
 
 The counts, ordered by zone and value, get running totals over range tasks
 (``ordered.running_total``); the value whose total first passes a rank has it.
