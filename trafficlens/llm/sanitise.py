@@ -23,10 +23,15 @@ text terms are generalised ([NUMBER] where they have a digit, [NAME] where they
 are capitalised) or else removed, and base spans become [EMAIL] and so on.
 
 Only DataFrame functions. Everything is counted by shuffled aggregations with
-map-side sums; nothing is collected. Only entities of ``SUPPORT`` texts or more
-are paired with terms. Texts meet the terms found by the digest of the text, so
-texts move only where they hold such entities. Copies are told by 64-bit hashes
-when terms are counted.
+map-side sums; nothing is collected but the number of texts. Only entities and
+terms of ``SUPPORT`` texts or more are paired, and of these only where the term is
+rare enough: n(entity, term) is at most n(entity), so a term of more than
+N^(1 - DISCLOSURE) * n(entity)^DISCLOSURE texts can't reach the threshold, whatever
+the pair's count. Common words drop out before they meet an entity, and no pair is
+lost. Texts meet the terms found by the digest of the text, so texts move only where
+they hold such entities. Copies are told by 64-bit hashes when terms are counted.
+Within a text, work grows with its length and (terms left) x (entities): spans,
+surroundings, places and replacements take linear time (``spans.py``).
 
 Null text counts as empty: no spans. Rows may repeat ids or have none: spans
 depend on the text alone. Extra columns are kept by ``sanitise``. Empty in,
@@ -38,11 +43,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import ensure_checkpoint_dir
+from . import spans as sp
+from .secrets import matches
 
 SUPPORT = 3
 DISCLOSURE = 0.8
 REACH = 256
-BROADCAST_ROWS = 2_000_000  # of one key each
+BROADCAST_BYTES = 32 << 20
 _HOLE = "\ua66e"  # a letter
 SPANS = "array<struct<start:int,rank:int,end:int,value:string>>"
 KINDS = ("email", "ip", "card", "phone", "term")
@@ -60,22 +67,6 @@ HINTS = {"email": "@", "ip": ".", "card": None, "phone": "+"}
 WORD = r"[\p{L}\p{N}]++"
 
 
-def _matches(text: Column, pattern: str) -> Column:
-    """(start, end, value) of every match: the lengths of the pieces between the
-    matches and of the matches, added up in turn. Code points."""
-    gaps = F.split(text, pattern, -1)
-    found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-    start = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<start:int,end:int,value:string>>").alias("spans"))
-
-    def step(acc, pair):
-        a = acc["at"] + F.length(pair["gap"])
-        b = a + F.length(pair["hit"])
-        return F.struct(b.alias("at"), F.concat(acc["spans"], F.array(F.struct(a.alias("start"), b.alias("end"), pair["hit"].alias("value")))).alias("spans"))
-
-    pairs = F.arrays_zip(F.slice(gaps, 1, F.size(found)).alias("gap"), found.alias("hit"))
-    return F.aggregate(pairs, start, step)["spans"]
-
-
 def _digits(value: Column) -> Column:
     return F.regexp_replace(value, "[^0-9]", "")
 
@@ -119,7 +110,7 @@ def base_spans(text: Column) -> Column:
     parts = []
     for rank, kind in enumerate(PATTERNS):
         hint = F.lit(True) if HINTS[kind] is None else F.contains(text, F.lit(HINTS[kind]))
-        spans = F.when(hint & F.rlike(text, F.lit(PATTERNS[kind])), F.filter(_matches(text, PATTERNS[kind]), _valid(kind)))
+        spans = F.when(hint & F.rlike(text, F.lit(PATTERNS[kind])), F.filter(matches(text, PATTERNS[kind]), _valid(kind)))
         typed = F.transform(spans, _typed(rank))
         parts.append(F.coalesce(typed, F.array().cast(SPANS)))
     return F.array_sort(F.concat(*parts))
@@ -141,10 +132,7 @@ def _terms(text: Column) -> Column:
 
 def _outside(text: Column, spans: Column) -> Column:
     """The text with a letter for each span, so that words that touch one show."""
-    step = lambda acc, s: F.struct(F.greatest(acc["at"], s["end"]).alias("at"), F.when(s["start"] >= acc["at"], F.concat(
-        acc["out"], F.substring(text, acc["at"] + 1, s["start"] - acc["at"]), F.lit(_HOLE))).otherwise(acc["out"]).alias("out"))
-    done = F.aggregate(spans, F.struct(F.lit(0).alias("at"), F.lit("").alias("out")), step)
-    return F.concat(done["out"], F.substring(text, done["at"] + 1, F.length(text)))
+    return sp.replaced(text, spans, lambda s, pieces: F.lit(_HOLE))
 
 
 def _marked(docs: DataFrame) -> DataFrame:
@@ -154,18 +142,21 @@ def _marked(docs: DataFrame) -> DataFrame:
     # rows without spans get keys of their own, so that they don't gather
     key = F.when(F.size("spans") > 0, F.sha2("text", 256)).otherwise(F.concat(F.lit("-"), F.xxhash64("doc_id", "text").cast("string")))
     text, spans = F.col("text"), F.col("spans")
-    near = F.transform(spans, lambda s: F.struct(
+    empty = F.array().cast("array<struct<entity:string,context:bigint>>")
+    near = F.when(F.size(spans) > 0, sp.let(sp.blocks(text), lambda pieces: F.transform(spans, lambda s: F.struct(
         _entity(s["rank"], s["value"]).alias("entity"),
-        F.xxhash64(F.substring(text, F.greatest(F.lit(0), s["start"] - REACH) + 1, F.least(s["start"], F.lit(REACH))),
-                   F.substring(text, s["end"] + 1, F.lit(REACH))).alias("context")))
+        F.xxhash64(sp.cut(pieces, F.greatest(F.lit(0), s["start"] - REACH), s["start"]),
+                   sp.cut(pieces, s["end"], s["end"] + REACH)).alias("context"))))).otherwise(empty)
     return rows.select("doc_id", key.alias("text_key"), "spans", near.alias("near"))
 
 
 def _checked(keys: DataFrame) -> DataFrame:
-    """Checkpointed ``keys``, broadcast if they are few enough; joined by a
-    shuffle otherwise."""
+    """Checkpointed ``keys``, broadcast if their bytes (with 64 a row for the table)
+    are few enough; joined by a shuffle otherwise."""
     keys = keys.checkpoint()
-    return F.broadcast(keys) if keys.count() <= BROADCAST_ROWS else keys
+    width = sum((F.octet_length(F.col(c).cast("string")) for c in keys.columns), F.lit(64))
+    size = keys.agg(F.coalesce(F.sum(width), F.lit(0)).alias("bytes")).first()["bytes"]
+    return F.broadcast(keys) if size <= BROADCAST_BYTES else keys
 
 
 def _texts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
@@ -175,8 +166,8 @@ def _texts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     return keyed.join(_checked(wanted.select("text_key")), "text_key", "left_semi").dropDuplicates(["text_key"]).join(wanted, "text_key")
 
 
-def _term_counts(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(term, n_term) and total, both of distinct texts: each of n copies of a
+def _term_counts(docs: DataFrame) -> tuple[DataFrame, int]:
+    """(term, n_term) and their total, both of distinct texts: each of n copies of a
     text weighs 1/n."""
     key = F.xxhash64(F.coalesce("text", F.lit("")), F.length(F.coalesce("text", F.lit(""))))
     texts = docs.select(key.alias("copy_key")).groupBy("copy_key").agg(F.count("*").alias("copies")).checkpoint()
@@ -185,7 +176,7 @@ def _term_counts(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     terms = (docs.select(key.alias("copy_key"), "text").join(copied, "copy_key", "left")
              .select("copies", F.explode_outer(_terms(F.col("text"))).alias("term")).where(F.length("term") >= 3)
              .groupBy("term").agg(F.round(F.sum(1 / F.coalesce("copies", F.lit(1)))).alias("n_term")))
-    return terms, texts.agg(F.count("*").alias("total"))  # one row
+    return terms, texts.count()
 
 
 def disclosing_terms(docs: DataFrame, near: DataFrame, spans: DataFrame, support: int = SUPPORT, disclosure: float = DISCLOSURE) -> DataFrame:
@@ -193,33 +184,32 @@ def disclosing_terms(docs: DataFrame, near: DataFrame, spans: DataFrame, support
     text_key, entity, context; ``spans``: text_key, spans, once a text."""
     held = near.groupBy("entity", "context").agg(F.min("text_key").alias("text_key")).select("entity", "text_key").distinct()
     entities = held.groupBy("entity").agg(F.count("*").alias("n_entity")).where(F.col("n_entity") >= support).checkpoint()
-    wanted = held.join(entities, "entity", "left_semi").groupBy("text_key").agg(F.collect_list("entity").alias("entities")).join(spans, "text_key")
-    words = F.explode_outer(F.array(_terms(_outside(F.col("text"), F.col("spans")))))
-    pairs = (_texts(docs, wanted).select("entities", words.alias("words")).select("entities", F.explode_outer("words").alias("term"))
-             .where((F.length("term") >= 3) & ~F.contains("term", F.lit(_HOLE))).select(F.explode_outer("entities").alias("entity"), "term"))
-    joint = pairs.groupBy("entity", "term").agg(F.count("*").alias("both")).where(F.col("both") >= support)
+    wanted = held.join(entities, "entity").checkpoint()
+    texts = wanted.groupBy("text_key").agg(F.max("n_entity").alias("most")).join(spans, "text_key")
     terms, total = _term_counts(docs)
-    scored = (joint.join(entities, "entity").join(terms, "term").join(F.broadcast(total))
-              .withColumn("pmi", F.log2(F.col("both") * F.col("total") / (F.col("n_entity") * F.col("n_term"))))
-              .withColumn("ic", F.log2(F.col("total") / F.col("n_entity"))))
+
+    def most_texts(n_entity: Column) -> Column:  # of a term that may disclose an entity
+        return total ** (1 - disclosure) * F.pow(n_entity, F.lit(disclosure)) * (1 + 1e-9)
+
+    words = F.explode_outer(F.array(_terms(_outside(F.col("text"), F.col("spans")))))
+    held_terms = (_texts(docs, texts).select("text_key", "most", words.alias("words"))
+                  .select("text_key", "most", F.explode_outer("words").alias("term"))
+                  .where((F.length("term") >= 3) & ~F.contains("term", F.lit(_HOLE))))
+    able = (held_terms.join(terms.where(F.col("n_term") >= support), "term")
+            .where(F.col("n_term") <= most_texts(F.col("most"))).select("text_key", "term", "n_term"))
+    pairs = able.join(wanted, "text_key").where(F.col("n_term") <= most_texts(F.col("n_entity")))
+    scored = (pairs.groupBy("entity", "term", "n_entity", "n_term").agg(F.count("*").alias("both")).where(F.col("both") >= support)
+              .withColumn("pmi", F.log2(F.col("both") * F.lit(total) / (F.col("n_entity") * F.col("n_term"))))
+              .withColumn("ic", F.log2(F.lit(total) / F.col("n_entity"))))
     return scored.where((F.col("pmi") > 0) & (F.col("pmi") >= disclosure * F.col("ic"))).select("entity", "term")
 
 
 def _places(text: Column, spans: Column, terms: Column) -> Column:
     """array<(start, rank, end, value)> of the words of a text that are among
     ``terms`` and touch none of ``spans``."""
-    found = F.regexp_extract_all(text, F.lit(WORD), F.lit(0))
-    pairs = F.arrays_zip(F.slice(F.split(text, WORD, -1), 1, F.size(found)).alias("gap"), found.alias("hit"))
-
-    def step(acc, pair):
-        a = acc["at"] + F.length(pair["gap"])
-        b = a + F.length(pair["hit"])
-        value = F.lower(pair["hit"])
-        span = F.struct(a.alias("start"), F.lit(len(PATTERNS)).alias("rank"), b.alias("end"), value.alias("value"))
-        return F.struct(b.alias("at"), F.when(F.array_contains(terms, value), F.concat(acc["spans"], F.array(span))).otherwise(acc["spans"]).alias("spans"))
-
-    marked = F.aggregate(pairs, F.struct(F.lit(0).alias("at"), F.array().cast(SPANS).alias("spans")), step)["spans"]
-    return F.filter(marked, lambda w: ~F.exists(spans, lambda b: (b["start"] < w["end"]) & (w["start"] < b["end"])))
+    words = F.transform(matches(text, WORD), lambda w: F.struct(
+        w["start"].alias("start"), F.lit(len(PATTERNS)).alias("rank"), w["end"].alias("end"), F.lower(w["value"]).alias("value")))
+    return sp.let(sp.valued(words, terms), lambda found: sp.outside(found, spans))
 
 
 def _term_spans(docs: DataFrame, marked: DataFrame, support: int, disclosure: float) -> DataFrame:
@@ -254,17 +244,13 @@ def _cleaned(text: Column, spans: Column) -> Column:
     """The text with each span replaced; of spans that overlap the first gives
     the label and all are covered."""
     labels = F.array(*(F.lit(_label(k)) for k in PATTERNS))
-    begin = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
 
-    def step(acc, s):
-        original = F.substring(text, s["start"] + 1, s["end"] - s["start"])
+    def label(s: Column, pieces: Column) -> Column:
+        original = sp.cut(pieces, s["start"], s["end"])
         general = F.when(F.rlike(original, F.lit("[0-9]")), F.lit("[NUMBER]")).when(F.rlike(original, F.lit(r"^\p{Lu}")), F.lit("[NAME]")).otherwise("")
-        label = F.coalesce(F.get(labels, s["rank"]), general)
-        put = F.when(s["start"] >= acc["at"], F.concat(F.substring(text, acc["at"] + 1, s["start"] - acc["at"]), label)).otherwise("")
-        return F.struct(F.greatest(acc["at"], s["end"]).alias("at"), F.concat(acc["out"], put).alias("out"))
+        return F.coalesce(F.get(labels, s["rank"]), general)
 
-    done = F.aggregate(spans, begin, step)
-    return F.concat(done["out"], F.substring(text, done["at"] + 1, F.length(text)))
+    return sp.let(spans, lambda both: sp.replaced(text, both, label))
 
 
 def sanitise(docs: DataFrame, support: int = SUPPORT, disclosure: float = DISCLOSURE) -> DataFrame:
