@@ -146,8 +146,10 @@ def drop_copies(docs: DataFrame, salts: int = SALTS) -> DataFrame:
                 [*(c.take(rows) for c in batch.columns), pa.array(digests, pa.binary()).take(rows), batch.column(id_at).take(rows)],
                 names=[*names, "sha", "winner_id"])
 
-    kept = _links(docs.select("doc_id", "text"), salts).select(F.col("sha").alias("s"), "keep_id").distinct()
-    local = plain.mapInArrow(run, schema)
-    on = (F.col("s") == F.col("sha")) & F.col("keep_id").eqNullSafe(F.col("winner_id"))
-    return (local.join(kept, on, "left_semi").dropDuplicates(["sha", "winner_id"])
+    # keys without nulls, so that join and deduplication share one exchange of the texts
+    winner = {"winner": F.coalesce("winner_id", F.lit(0)), "without": F.col("winner_id").isNull()}
+    kept = _links(docs.select("doc_id", "text"), salts).select("sha", F.col("keep_id").alias("winner_id")).distinct().withColumns(winner)
+    local = plain.mapInArrow(run, schema).withColumns(winner)
+    key = ["sha", "winner", "without"]
+    return (local.join(kept.select(*key), key, "left_semi").dropDuplicates(key)
             .select(*(F.col(n).alias(c) for n, c in zip(names, docs.columns))))
