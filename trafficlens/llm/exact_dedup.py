@@ -148,7 +148,9 @@ def drop_copies(docs: DataFrame, salts: int = SALTS) -> DataFrame:
 
     # keys without nulls, so that join and deduplication share one exchange of the texts
     winner = {"winner": F.coalesce("winner_id", F.lit(0)), "without": F.col("winner_id").isNull()}
-    kept = _links(docs.select("doc_id", "text"), salts).select("sha", F.col("keep_id").alias("winner_id")).distinct().withColumns(winner)
+    # the size stays in use so that the readers of the salted merge share its exchange here too
+    links = _links(docs.select("doc_id", "text"), salts).where("group_size > 0")
+    kept = links.select("sha", F.col("keep_id").alias("winner_id")).distinct().withColumns(winner)
     local = plain.mapInArrow(run, schema).withColumns(winner)
     key = ["sha", "winner", "without"]
     return (local.join(kept.select(*key), key, "left_semi").dropDuplicates(key)
