@@ -237,6 +237,17 @@ def test_toxicity_held_out(learned):
     rows = toxicity.toxicity_scores(docs, labels).where("held_out").join(labels, "doc_id").select("predicted", "toxic", "score").collect()
     assert all(0 <= r.score <= 1 for r in rows)
     assert sum(r.predicted == r.toxic for r in rows) / len(rows) > 0.93
+    hits = sum(r.predicted and r.toxic for r in rows)
+    assert hits / sum(r.toxic for r in rows) > 0.75 and hits / sum(r.predicted for r in rows) > 0.9
+
+
+def test_drop_toxic_keeps_the_columns_of_what_scores_low(learned):
+    docs, labels = learned
+    part = clashing(docs.where("doc_id < 3000"))
+    out = toxicity.drop_toxic(part, labels)
+    assert out.columns == part.columns
+    known = toxicity.fit(part.select("doc_id", "text"), labels).score(part.select("doc_id", "text"))
+    assert sorted(r.doc_id for r in out.select("doc_id").collect()) == sorted(r.c0 for r in known.where("p < 0.5").collect())
 
 
 def test_corner_rows_and_empty_tables(spark):
