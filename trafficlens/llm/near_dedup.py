@@ -4,13 +4,14 @@ A document is its multiset of five-word shingles, each weighted by TF-IDF.
 Equal word sequences are one node from the start (``fp``, 128 bits), so copies
 are never paired. Then
 
-1. document frequencies: every window of documents hands on the shingles that
-   reach ``LOSSY`` of its documents (two at least), Spark adds them up; a
-   shingle's count lacks at most that share. Shingles in at least 1/``RARE`` of
-   the documents get a lower IDF, all others the full one, so the table that is
-   broadcast has at most ``RARE`` x (mean shingles per document) rows whatever
-   the corpus. IDF runs from ``IDF_LEAST`` to 1: edits are rare shingles by
-   nature, and a steeper IDF would part large groups of near copies;
+1. document frequencies, exact whatever the partitioning: every window of documents
+   hands on the shingles that reach ``LOSSY`` of its documents (two at least, all of a
+   small window), Spark adds them up, and since no count lacks more than the windows
+   kept back, the sums name all candidates; a second pass counts these in full.
+   Weights are the smooth TF-IDF, 1 + ln((1 + documents) / (1 + frequency)), over its
+   highest value. Shingles in fewer than 1/``RARE`` of the documents (and two) have
+   that highest value, so the table that is broadcast has at most ``RARE`` x (mean
+   shingles per document) rows whatever the corpus;
 2. improved consistent weighted sampling draws ``BANDS * ROWS`` samples (shingle,
    level), equal in two documents with the probability of their weighted Jaccard
    similarity. Four samples make a band key: at similarity 0.8 a pair shares one
@@ -64,6 +65,7 @@ RARE = 256
 LOSSY = 1 / 2048
 IDF_LEAST = 0.95
 WINDOW_SHINGLES = 1_000_000
+SMALL_WINDOW = 4 * RARE  # documents
 
 _TABLE = 1 << 16
 _BITS = 44
@@ -161,8 +163,14 @@ class Frequent:
         return out
 
 
-def frequent_shingles(docs: DataFrame) -> Frequent:
-    """Step 1. The driver receives the frequent shingles only."""
+def _least(documents: int) -> int:
+    """The count from which a window of so many documents hands a shingle on."""
+    return 1 if documents < SMALL_WINDOW else max(2, int(np.ceil(LOSSY * documents)))
+
+
+def _candidates(docs: DataFrame) -> tuple[np.ndarray, np.ndarray, int, bool]:
+    """(keys, counts, documents, whole): all shingles that may be frequent; their
+    counts lack nothing if ``whole``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         free()
@@ -170,8 +178,9 @@ def frequent_shingles(docs: DataFrame) -> Frequent:
 
         def counted():
             k, c = np.unique(np.concatenate(keys), return_counts=True)
-            at = np.flatnonzero(c >= max(2, LOSSY * documents))
-            k, c = np.append(k[at].astype(np.int64), -1), np.append(c[at], documents)  # -1: the documents
+            least = _least(documents)
+            at = np.flatnonzero(c >= least)
+            k, c = np.append(k[at].astype(np.int64), -1), np.append(c[at], least - 1)  # -1: what a count may lack
             return pa.RecordBatch.from_arrays([pa.array(k), pa.array(c)], names=["key", "n"])
 
         for batch in batches:
@@ -179,7 +188,7 @@ def frequent_shingles(docs: DataFrame) -> Frequent:
             for a, b in blocks(offsets):
                 keys.append(Bag(data[offsets[a]:offsets[b]], offsets[a:b + 1] - offsets[a], None).key)
                 n, documents = n + len(keys[-1]), documents + b - a
-                if n >= WINDOW_SHINGLES:
+                if n >= WINDOW_SHINGLES and (documents >= SMALL_WINDOW or n >= 8 * WINDOW_SHINGLES):
                     yield counted()
                     keys, n, documents = [], 0, 0
         if keys:
@@ -189,10 +198,40 @@ def frequent_shingles(docs: DataFrame) -> Frequent:
 
     counts = docs.select("text").mapInArrow(run, "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
     documents = docs.count()
-    rows = counts.where((F.col("key") >= 0) & (F.col("n") >= max(2, documents / RARE))).toArrow()
-    keys = rows.column("key").to_numpy().astype(np.uint64)
-    order = np.argsort(keys)
-    return Frequent(keys[order], rows.column("n").to_numpy()[order], documents)
+    reach = max(2, documents / RARE) - documents / SMALL_WINDOW  # no sum lacks more than that share
+    rows = counts.where((F.col("key") < 0) | (F.col("n") >= reach)).toArrow()
+    keys, n = rows.column("key").to_numpy(), rows.column("n").to_numpy()
+    return keys[keys >= 0].astype(np.uint64), n[keys >= 0], documents, not n[keys == -1].any()
+
+
+def _counted(docs: DataFrame, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(keys, counts): the documents that hold each of the ``keys`` (sorted)."""
+    wanted = docs.sparkSession.sparkContext.broadcast(keys)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        keys = wanted.value
+        counts = np.zeros(len(keys), np.int64)
+        for batch in batches:
+            data, offsets = buffers(batch.column(0))
+            for a, b in blocks(offsets):
+                key = Bag(data[offsets[a]:offsets[b]], offsets[a:b + 1] - offsets[a], None).key
+                place = np.minimum(np.searchsorted(keys, key), len(keys) - 1)
+                counts += np.bincount(place[keys[place] == key], minlength=len(keys))
+        at = np.flatnonzero(counts)
+        yield pa.RecordBatch.from_arrays([pa.array(keys[at].astype(np.int64)), pa.array(counts[at])], names=["key", "n"])
+
+    rows = docs.select("text").mapInArrow(run, "key long, n long").groupBy("key").agg(F.sum("n").alias("n")).toArrow()
+    return rows.column("key").to_numpy().astype(np.uint64), rows.column("n").to_numpy()
+
+
+def frequent_shingles(docs: DataFrame) -> Frequent:
+    """Step 1. The driver receives the candidates only."""
+    keys, counts, documents, whole = _candidates(docs)
+    if not whole and len(keys):
+        keys, counts = _counted(docs, np.sort(keys))
+    at = np.flatnonzero(counts >= max(2, documents / RARE))
+    at = at[np.argsort(keys[at])]
+    return Frequent(keys[at], counts[at], documents)
 
 
 def _signatures(docs: DataFrame, frequent) -> DataFrame:
