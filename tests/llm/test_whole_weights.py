@@ -6,6 +6,14 @@ from trafficlens.llm import near_dedup
 from trafficlens.llm.near_dedup import frequent_shingles
 
 
+def test_common_shingles_weigh_little(spark):
+    """Long common text with short texts of their own: nearly equal by plain counts, not by TF-IDF."""
+    common = prose(1, 300, 5000)
+    docs = frame(spark, [(i, f"{common} {prose(100 + i, 20, 5000)}", "en", "s", 1) for i in range(60)])
+    got = near_dedup.near_duplicate_classes(docs).collect()
+    assert {r.class_id for r in got} == set(range(60)) and {r.class_size for r in got} == {1}
+
+
 def test_document_frequencies_do_not_depend_on_partitions(spark):
     common, pair = prose(1, 40, 5000), prose(2, 30, 5000)
     rows = [(i, f"{common} {prose(100 + i, 20, 5000)}" + (f" {pair}" if i in (3, 17) else ""), "en", "s", 1) for i in range(40)]

@@ -63,7 +63,6 @@ BLOCK_TEXT = 16 << 20
 AGREE = 24
 RARE = 256
 LOSSY = 1 / 2048
-IDF_LEAST = 0.95
 WINDOW_SHINGLES = 1_000_000
 SMALL_WINDOW = 4 * RARE  # documents
 
@@ -148,8 +147,8 @@ class Frequent:
 
     def __init__(self, keys: np.ndarray, counts: np.ndarray, documents: int):
         self.keys = keys
-        share = np.minimum(np.log(np.maximum(documents / np.maximum(counts, 1), 1)) / np.log(RARE), 1)
-        self.values = IDF_LEAST + (1 - IDF_LEAST) * share
+        highest = 1 + np.log((1 + documents) / (1 + max(documents / RARE, 1)))
+        self.values = np.minimum((1 + np.log((1 + documents) / (1 + counts))) / highest, 1)
         self.maybe = np.zeros(1 << 20, dtype=bool)
         self.maybe[(keys & np.uint64((1 << 20) - 1)).astype(np.int64)] = True
 
