@@ -1,8 +1,9 @@
-"""Document frequencies and weights of op2."""
+"""Document frequencies and weights of op2, and the last places of a bin of op9."""
 
+import public_tokenizers
 from cases import frame, prose
 
-from trafficlens.llm import near_dedup
+from trafficlens.llm import near_dedup, packing
 from trafficlens.llm.near_dedup import frequent_shingles
 
 
@@ -30,3 +31,11 @@ def test_second_pass_counts_what_windows_keep_back(spark, monkeypatch):
     exact = near_dedup._counted(docs, near_dedup.np.sort(keys))[1]
     assert sorted(exact.tolist())[-8:] == [48] * 8
     assert len(frequent_shingles(docs).keys) == 8
+
+
+def test_a_bin_takes_pieces_until_it_is_full(spark):
+    texts = [" ".join(["the"] * (2040 - 1)), " ".join(["the"] * (8 - 1))]
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string").repartitionByRange(2, "doc_id")
+    got = packing.pack(docs, public_tokenizers.path("word_bpe_49k.json")).collect()
+    assert sorted((r.length, r.offset) for r in got) == [(8, 2040), (2040, 0)]
+    assert len({r.sequence_id for r in got}) == 1

@@ -1,7 +1,8 @@
 """Best-fit packing of token sequences by hierarchical residual packing.
 
 Each partition packs its pieces best-fit (longest first) and closes its bins.
-Bins filled to ``nearly_full`` are final. The other bins become items of the
+Bins filled to ``nearly_full``
+(by default: to the last token, since one piece may have a single one) are final. The other bins become items of the
 next round: ``FAN_IN`` neighbouring nodes of a tree merge, their underfull bins
 are packed best-fit again, and so on up to one root.
 
@@ -37,7 +38,7 @@ from .wordbpe import encoder
 
 CAPACITY = 2048
 END_ID = 0
-NEARLY_FULL = 0.995
+NEARLY_FULL = 1.0  # a bin is final when no token fits
 FAN_IN = 8
 ROWS_AT_ONCE = 400_000
 BLOCK_BYTES = 1 << 20
