@@ -37,6 +37,7 @@ from .framing import BORDER, FIELDS, frame_range, local_path
 
 RANGE_BYTES = 256 << 20
 BATCH_BYTES = 8 << 20
+TASK_BYTES = 64 << 20
 BORDER_BYTES = 32 << 20
 FILES_PER_TASK = 64
 
@@ -80,12 +81,13 @@ def _framed(ranges: DataFrame, batch_bytes: int, frames: bool) -> DataFrame:
 
 
 def _tasks(listing: DataFrame, range_bytes: int, partitions: int | None) -> int:
-    """About one task per ``range_bytes`` or ``FILES_PER_TASK`` files."""
+    """About one task per range or ``FILES_PER_TASK`` files; small ranges share one
+    by ``TASK_BYTES``, so their number doesn't grow with the fineness of the ranges."""
     if partitions:
         return partitions
     files, size = listing.agg(F.count(F.lit(1)), F.coalesce(F.sum("length"), F.lit(0))).first()
     base = int(listing.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
-    return max(base, -(-files // FILES_PER_TASK), -(-size // range_bytes))
+    return max(base, -(-files // FILES_PER_TASK), -(-size // max(range_bytes, TASK_BYTES)))
 
 
 def _checked(borders: DataFrame) -> DataFrame:
