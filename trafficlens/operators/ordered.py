@@ -17,10 +17,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import ensure_checkpoint_dir
+from ..session import ensure_checkpoint_dir, scratch_path
 
 PID = "_tl_pid"
 IDX = "_tl_idx"
+SUMMARY_ROWS = 200_000
 
 
 def _partitions(df: DataFrame, partitions: int | None) -> int:
@@ -37,6 +38,20 @@ def _partitions(df: DataFrame, partitions: int | None) -> int:
     return n
 
 
+def staged(df: DataFrame, name: str) -> DataFrame:
+    """The rows written once to the shared checkpoint folder: range bounds are sampled
+    in a pass of their own, and each later pass would work the rows out again."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def _summary(summary: DataFrame) -> DataFrame:
+    """The per-(task, key) summary, worked out once; broadcast up to ``SUMMARY_ROWS``."""
+    kept = summary.checkpoint(eager=True)
+    return F.broadcast(kept) if kept.count() <= SUMMARY_ROWS else kept
+
+
 def local_scan(df: DataFrame, by: list[str], order: list[str], partitions: int | None = None) -> DataFrame:
     """Range-partition on (by, order) (``order`` must make a total order
     within a key, e.g. end in a unique id), sort each task the same way and
@@ -64,7 +79,7 @@ def position_in_group(df: DataFrame, by: list[str], order: list[str], out: str =
     same = F.lit(True)
     for n, k in zip(names, keys):
         same = same & F.col(n).eqNullSafe(F.col(k))
-    joined = scanned.join(right, same)
+    joined = scanned.join(_summary(right), same)
     return joined.withColumn(out, F.col("_tl_off") + F.col(IDX)).drop(PID, IDX, "_tl_off", *keys)
 
 

@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 
 from ..session import ensure_checkpoint_dir
 from .metrics import EXEC, NAME, add, divide, labels_json, select_series, sum_all, sum_by, with_series_id
-from .ordered import IDX, PID, local_scan
+from .ordered import IDX, PID, local_scan, staged
 
 LOOK_BACK = 300
 
@@ -56,7 +56,7 @@ def ordered_series(samples: DataFrame, partitions: int | None = None) -> DataFra
     ensure_checkpoint_dir(samples.sparkSession)
     s = with_series_id(samples.where(F.col("value").isNotNull() & F.col("ts").isNotNull()))
     s = s.select("series", "metric", "labels", F.unix_micros("ts").alias("us"), "sample_id", F.col("value").cast("double").alias("value"))
-    ranged = local_scan(s, ["series"], ["us", "sample_id"], partitions).checkpoint(eager=True)
+    ranged = local_scan(staged(s, "samples"), ["series"], ["us", "sample_id"], partitions).checkpoint(eager=True)
     w = Window.partitionBy(PID, "series").orderBy(IDX)
     sofar = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     value, before = F.col("value"), F.col("_tl_before")
@@ -207,7 +207,8 @@ def gc_share_at(s: DataFrame, every_seconds: int = 60) -> DataFrame:
 
 
 def ram_share_at(s: DataFrame, every_seconds: int = 60) -> DataFrame:
-    """M12."""
-    heap = last_at(select_series(s, "metrics_executor_JVMHeapMemory_bytes"), every_seconds)
-    off = last_at(select_series(s, "metrics_executor_JVMOffHeapMemory_bytes"), every_seconds)
-    return divide(sum_all(add(heap, off)), sum_all(last_at(select_series(s, "machine_memory_bytes"), every_seconds)))
+    """M12, of one ordered scan over the samples of all three metrics."""
+    heap, off, machine = "metrics_executor_JVMHeapMemory_bytes", "metrics_executor_JVMOffHeapMemory_bytes", "machine_memory_bytes"
+    values = last_at(s.where(F.col("metric").isin(heap, off, machine)), every_seconds).checkpoint(eager=True)
+    used = add(select_series(values, heap), select_series(values, off))
+    return divide(sum_all(used), sum_all(select_series(values, machine)))
