@@ -3,18 +3,18 @@
 * ``windowed_average`` — ``avg_over_time`` as an event-time tumbling window
   with a watermark (late samples beyond it are dropped by Spark).
 * ``counter_increase_stream`` — counter increases per (series, step) with
-  ``applyInPandasWithState``. The state of a (series, step) is the buffer of its
-  samples in the order of (ts, sample_id): a sample that arrives late, but within
+  ``applyInPandasWithState``. ``GROUP_STEPS`` steps of a series make a group, whose
+  state is the buffer of their samples in the order of (ts, sample_id): a sample that arrives late, but within
   the watermark, takes its place in the buffer, so the increase is that of the
   batch operator whatever the order of arrival. Each micro-batch emits the
   present total of the steps it touched (``closed`` false); an event-time timer at
-  the step's end emits the last total (``closed`` true) and drops the buffer once
-  the watermark has passed. Samples later than the watermark are dropped and
+  the end of the first open step emits the last total of the steps that the watermark
+  has passed (``closed`` true) and drops their samples. Samples later than the watermark are dropped and
   counted by Spark. Written through ``sink.read_latest``, the table always shows
   the newest total of every step, open steps included, so nothing is lost at the
   end of a run.
 
-A buffer holds one series' samples of one step. A sample without a value or a time
+A buffer holds one series' samples of the open steps of a group. A sample without a value or a time
 is none."""
 
 from __future__ import annotations
@@ -42,6 +42,7 @@ def windowed_average(samples: DataFrame, seconds: int = 60, watermark: str = "10
 
 INC_OUTPUT = "metric string, labels_json string, step long, value double, samples long, closed boolean"
 INC_STATE = "us array<long>, id array<long>, value array<double>"
+GROUP_STEPS = 24
 INC_KEYS = ["metric", "labels_json", "step"]
 
 
@@ -53,38 +54,48 @@ def _total(value: np.ndarray) -> float:
 
 def _increase_fn(step_us: int):
     def fn(key, pdfs: Iterator[pd.DataFrame], state: GroupState):
-        metric, labels, step = key[0], key[1], int(key[2])
+        metric, labels = key[0], key[1]
 
-        def row(value, closed):
-            return pd.DataFrame({"metric": [metric], "labels_json": [labels], "step": [step], "value": [_total(value)],
-                                 "samples": [len(value)], "closed": [closed]})
+        def rows(step, value, wanted, closed):
+            low, high = np.searchsorted(step, wanted), np.searchsorted(step, wanted, "right")
+            return pd.DataFrame({"metric": metric, "labels_json": labels, "step": wanted,
+                                 "value": [_total(value[a:b]) for a, b in zip(low.tolist(), high.tolist())],
+                                 "samples": high - low, "closed": closed})
 
+        us, id_, value = (list(x) for x in state.get) if state.exists else ([], [], [])
+        new = []
+        if not state.hasTimedOut:
+            for pdf in pdfs:
+                new += pdf["us"].tolist()
+                id_ += pdf["sample_id"].tolist()
+                value += pdf["value"].tolist()
+        order = np.lexsort((id_, us + new))
+        us, id_, value = (np.asarray(x, dtype=t)[order] for x, t in ((us + new, np.int64), (id_, np.int64), (value, np.float64)))
+        step = us // step_us
         if state.hasTimedOut:
-            value = np.asarray(state.get[2], dtype=np.float64)
+            past = (step + 1) * step_us // 1000 <= state.getCurrentWatermarkMs()
+            ended = np.unique(step[past])
+            if len(ended):
+                yield rows(step[past], value[past], ended, True)
+            us, id_, value, step = us[~past], id_[~past], value[~past], step[~past]
+        else:
+            yield rows(step, value, np.unique(np.asarray(new, dtype=np.int64) // step_us), False)
+        if not len(us):
             state.remove()
-            yield row(value, True)
             return
-        us, id_, value = (list(x) for x in state.get) if state.exists else ([], [], [])
-        for pdf in pdfs:
-            us += pdf["us"].tolist()
-            id_ += pdf["sample_id"].tolist()
-            value += pdf["value"].tolist()
-        order = np.lexsort((id_, us))
-        us, id_, value = np.asarray(us, dtype=np.int64)[order], np.asarray(id_, dtype=np.int64)[order], np.asarray(value, dtype=np.float64)[order]
         state.update((us.tolist(), id_.tolist(), value.tolist()))
-        # the step closes when the watermark passes its end (a timer can't lie in the past)
-        state.setTimeoutTimestamp(max((step + 1) * step_us // 1000, state.getCurrentWatermarkMs() + 1))
-        yield row(value, False)
+        # a step closes when the watermark passes its end (a timer can't lie in the past)
+        state.setTimeoutTimestamp(max((int(step[0]) + 1) * step_us // 1000, state.getCurrentWatermarkMs() + 1))
     return fn
 
 
 def counter_increase_stream(samples: DataFrame, seconds: int = 300, watermark: str = "10 minutes") -> DataFrame:
     """Counter increases per series and step, in update mode (see ``INC_KEYS``)."""
     s = samples.where(F.col("value").isNotNull() & F.col("ts").isNotNull())
-    us = F.unix_micros("ts")
+    us, width = F.unix_micros("ts"), F.lit(seconds * 1_000_000 * GROUP_STEPS)
     s = s.select("metric", labels_json().alias("labels_json"), "ts", us.alias("us"), "sample_id", "value",
-                 F.floor(us / F.lit(seconds * 1_000_000)).cast("bigint").alias("step"))
-    return (s.withWatermark("ts", watermark).groupBy(*INC_KEYS)
+                 ((us - F.pmod(us, width)) / width).cast("bigint").alias("steps"))
+    return (s.withWatermark("ts", watermark).groupBy("metric", "labels_json", "steps")
             .applyInPandasWithState(_increase_fn(seconds * 1_000_000), INC_OUTPUT, INC_STATE,
                                     "update", GroupStateTimeout.EventTimeTimeout))
 
