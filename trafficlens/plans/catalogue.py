@@ -19,6 +19,7 @@ from ..operators import profile as PF
 from ..operators import ranges as RG
 from ..operators import sample as SA
 from ..operators.labels import class_dimension
+from ..operators.ordered import staged
 from ..schema import EXTENDED_INT_COLUMNS, FEATURE_COLUMNS, PACKET_COLUMNS
 from ..session import scratch_path
 from ..sources import capture as CAP
@@ -331,7 +332,7 @@ def training_table(spark, sf_dir, percent: int = 100, compat: bool = False) -> D
     ``percent`` below 100 keeps that prefix of every capture (the 1 / 20 /
     100 % data variants). Frames are decoded first, so the ordered scan
     carries ~80-byte feature rows, not frames."""
-    feats = fields.packet_features(P.packets(events(spark, sf_dir)), keep=["path", "ts", "event_id"])
+    feats = staged(fields.packet_features(P.packets(events(spark, sf_dir)), keep=["path", "ts", "event_id"]), "features")
     pos = SA.with_capture_positions(feats, "path", ["ts", "event_id"])
     if percent < 100 or compat:
         pos = SA.prefix_sample(pos, percent, compat=compat)
@@ -367,7 +368,7 @@ def q_model_round_trip(spark, sf_dir):
     rows on which the loaded model agrees with the fitted one."""
     data = PR.apply_null_policy(training_table(spark, sf_dir), "skip") \
         .withColumn("CLASS", F.col("CLASS").cast("double"))
-    train, test = PR.hash_split(data, ["path", "ordinal"])
+    train, test = PR.hash_split(staged(data, "training"), ["path", "ordinal"])
     model = M.build_pipeline("decision_tree").fit(train)
     path = scratch_path(spark, "model")
     model.write().overwrite().save(path)
