@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .ordered import staged
 from .quantiles import exact_quantiles
 
 QUARTILES = [0.25, 0.5, 0.75]
@@ -115,7 +116,7 @@ def box_statistics(df: DataFrame, features: list[str], exact: bool = True,
                 F.max(F.when(v <= hi, v)).alias("whisker_hi"),
                 F.sum(F.when((v < lo) | (v > hi), F.col("n")).otherwise(F.lit(0))).alias("fliers"))
         return st.join(wk, "feature").select(*out_cols)
-    long = stack_features(df, features)
+    long = stack_features(staged(df.select(*[F.col(c).cast("double").alias(c) for c in features]), "columns"), features)
     q = _quartile_table(long, exact, accuracy)
     # one row per feature: broadcast is bounded by the feature count.
     # Values below the lower whisker are exactly those below the lower fence
@@ -139,7 +140,7 @@ def box_fliers(df: DataFrame, features: list[str], exact: bool = True, accuracy:
         return (hist.join(F.broadcast(st.select("feature", "lo_fence", "hi_fence")), "feature")
                 .where((v < F.col("lo_fence")) | (v > F.col("hi_fence")))
                 .select("feature", "value", "n"))
-    long = stack_features(df, features)
+    long = stack_features(staged(df.select(*[F.col(c).cast("double").alias(c) for c in features]), "columns"), features)
     q = _quartile_table(long, exact, accuracy).select("feature", "lo_fence", "hi_fence")
     return (long.join(F.broadcast(q), "feature")
             .where((v < F.col("lo_fence")) | (v > F.col("hi_fence")))
