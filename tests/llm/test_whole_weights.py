@@ -33,6 +33,56 @@ def test_second_pass_counts_what_windows_keep_back(spark, monkeypatch):
     assert len(frequent_shingles(docs).keys) == 8
 
 
+def handed_on(monkeypatch, docs):
+    """(rows of the window sums, frequent shingles) of the documents."""
+    made, plain = [], type(docs).mapInArrow
+    with monkeypatch.context() as m:
+        m.setattr(type(docs), "mapInArrow", lambda *a, **k: (made.append(plain(*a, **k)), made[-1])[1])
+        found = frequent_shingles(docs)
+    return made[0].count(), found
+
+
+def in_parts(spark, texts, cuts):
+    """The texts in as many partitions as there are ``cuts``, of these numbers of rows."""
+    limits = near_dedup.np.cumsum(cuts)
+    rows = [(int(near_dedup.np.searchsorted(limits, i, "right")), t) for i, t in enumerate(texts)]
+    dealt = spark.sparkContext.parallelize(rows, 8).partitionBy(len(cuts), lambda part: part).values().map(lambda t: (t,))
+    return dealt.toDF("text string").cache()
+
+
+def test_small_partitions_hand_on_no_more_than_large_ones(spark, monkeypatch):
+    """Documents that share a line, in 64 partitions: once, all of their shingles went on to the sums."""
+    common = prose(1, 12, 5000)
+    texts = [f"{common if i % 4 == 0 else ''} {prose(100 + i, 12, 5000)}" for i in range(4200)]
+    rows, found = handed_on(monkeypatch, in_parts(spark, texts, [66] * 40 + [65] * 24))
+    few, same = handed_on(monkeypatch, in_parts(spark, texts, [2100, 2100]))
+    assert rows <= 2 * few < 200
+    assert list(found.keys) == list(same.keys) and list(found.values) == list(same.values) and len(found.keys) == 8
+
+
+def test_frequencies_are_exact_however_uneven_the_partitions(spark, monkeypatch):
+    """Shingles at and just under the least frequency, in partitions of 1 to 2,400 documents."""
+    cuts = [1] * 30 + [2400, 20, 0, 700, 3, 1500] + [10] * 60
+    n = sum(cuts)
+    lines = [(prose(k, 9, 5000), -(-n // near_dedup.RARE) + k % 3 - 1) for k in range(30)]
+    texts = [prose(100 + i, 7, 5000) for i in range(n)]
+    for k, (line, times) in enumerate(lines):
+        for j in range(times):
+            at = (j * (n // times) + 37 * k) % n if k % 2 else (n - 1 - j - 20 * k) % n
+            texts[at] += f" {line}"
+    raw = [t.encode() for t in texts]
+    key = near_dedup._bags(raw, None)[0]
+    keys, counts = near_dedup.np.unique(key, return_counts=True)
+    often = counts >= n / near_dedup.RARE
+    docs = in_parts(spark, texts, cuts)
+    want = near_dedup.Frequent(keys[often], counts[often], n)
+    assert 60 < len(want.keys) < 30 * 5
+    for task_bytes in (near_dedup.TASK_BYTES, 1):
+        monkeypatch.setattr(near_dedup, "TASK_BYTES", task_bytes)
+        found = frequent_shingles(docs)
+        assert list(found.keys) == list(want.keys) and list(found.values) == list(want.values)
+
+
 def test_a_bin_takes_pieces_until_it_is_full(spark):
     texts = [" ".join(["the"] * (2040 - 1)), " ".join(["the"] * (8 - 1))]
     docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string").repartitionByRange(2, "doc_id")

@@ -8,6 +8,8 @@ are never paired. Then
    hands on the shingles that reach ``LOSSY`` of its documents (two at least, all of a
    small window), Spark adds them up, and since no count lacks more than the windows
    kept back, the sums name all candidates; a second pass counts these in full.
+   Small partitions share tasks, so that windows are large however finely the
+   documents are cut, and the last window of a task keeps back what it holds once;
    Weights are the smooth TF-IDF, 1 + ln((1 + documents) / (1 + frequency)), over its
    highest value. Shingles in fewer than 1/``RARE`` of the documents (and two) have
    that highest value, so the table that is broadcast has at most ``RARE`` x (mean
@@ -65,6 +67,7 @@ RARE = 256
 LOSSY = 1 / 2048
 WINDOW_SHINGLES = 1_000_000
 SMALL_WINDOW = 4 * RARE  # documents
+TASK_BYTES = 32 << 20  # from here on partitions share no task
 
 _TABLE = 1 << 16
 _BITS = 44
@@ -162,22 +165,25 @@ class Frequent:
         return out
 
 
-def _least(documents: int) -> int:
-    """The count from which a window of so many documents hands a shingle on."""
-    return 1 if documents < SMALL_WINDOW else max(2, int(np.ceil(LOSSY * documents)))
+def _least(documents: int, small: int) -> int:
+    """The count from which a window of so many documents hands a shingle on (``small``: a small one)."""
+    return small if documents < SMALL_WINDOW else max(2, int(np.ceil(LOSSY * documents)))
 
 
 def _candidates(docs: DataFrame) -> tuple[np.ndarray, np.ndarray, int, bool]:
     """(keys, counts, documents, whole): all shingles that may be frequent; their
     counts lack nothing if ``whole``."""
+    documents, size = docs.agg(F.count("*"), F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()
+    tasks = max(1, documents // (2 * SMALL_WINDOW), size // TASK_BYTES)
+    spare = 1 if tasks * SMALL_WINDOW <= documents else 0  # what the last window of a task may keep back if it is small
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         free()
         keys, n, documents = [], 0, 0
 
-        def counted():
+        def counted(small):
             k, c = np.unique(np.concatenate(keys), return_counts=True)
-            least = _least(documents)
+            least = _least(documents, small)
             at = np.flatnonzero(c >= least)
             k, c = np.append(k[at].astype(np.int64), -1), np.append(c[at], least - 1)  # -1: what a count may lack
             return pa.RecordBatch.from_arrays([pa.array(k), pa.array(c)], names=["key", "n"])
@@ -188,16 +194,15 @@ def _candidates(docs: DataFrame) -> tuple[np.ndarray, np.ndarray, int, bool]:
                 keys.append(Bag(data[offsets[a]:offsets[b]], offsets[a:b + 1] - offsets[a], None).key)
                 n, documents = n + len(keys[-1]), documents + b - a
                 if n >= WINDOW_SHINGLES and (documents >= SMALL_WINDOW or n >= 8 * WINDOW_SHINGLES):
-                    yield counted()
+                    yield counted(1)
                     keys, n, documents = [], 0, 0
         if keys:
-            yield counted()
+            yield counted(1 + spare)
         keys = []
         free()
 
-    counts = docs.select("text").mapInArrow(run, "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
-    documents = docs.count()
-    reach = max(2, documents / RARE) - documents / SMALL_WINDOW  # no sum lacks more than that share
+    counts = docs.select("text").coalesce(tasks).mapInArrow(run, "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
+    reach = max(2, documents / RARE) - documents / SMALL_WINDOW - spare * tasks  # no sum lacks more than that
     rows = counts.where((F.col("key") < 0) | (F.col("n") >= reach)).toArrow()
     keys, n = rows.column("key").to_numpy(), rows.column("n").to_numpy()
     return keys[keys >= 0].astype(np.uint64), n[keys >= 0], documents, not n[keys == -1].any()
